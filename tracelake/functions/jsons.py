@@ -55,3 +55,8 @@ def rows_as_json(cols: list[str], order: list[str]) -> Column:
     """
     body = F.array_sort(F.collect_list(F.struct(*order, F.struct(*cols).alias("__row"))))
     return F.to_json(F.transform(body, lambda r: r["__row"]), {"ignoreNullFields": "false"})
+
+
+def list_text(items: Column) -> Column:
+    """Array of strings as JSON text with a space after each comma."""
+    return F.concat(F.lit("["), F.array_join(F.transform(items, quoted), ", "), F.lit("]"))

@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from tracelake.harness import run_events, sql_events
+from tracelake.harness import run_events, run_feeds, sql_events, sql_feeds
 
 
 def queries() -> dict:
     out = {}
-    for module in (run_events,):
+    for module in (run_events, run_feeds):
         out.update(module.queries())
     return out
 
 
 def oracle_sql() -> dict[str, str]:
     out = {}
-    for module in (sql_events,):
+    for module in (sql_events, sql_feeds):
         out.update(module.all_sql())
     return out
