@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from tracelake.harness import run_events, run_feeds, sql_events, sql_feeds
+from tracelake.harness import run_events, run_feeds, run_transcripts, sql_events, sql_feeds, sql_transcripts
+
+QUERY_MODULES = (run_events, run_feeds, run_transcripts)
+SQL_MODULES = (sql_events, sql_feeds, sql_transcripts)
 
 
 def queries() -> dict:
     out = {}
-    for module in (run_events, run_feeds):
+    for module in QUERY_MODULES:
         out.update(module.queries())
     return out
 
 
 def oracle_sql() -> dict[str, str]:
     out = {}
-    for module in (sql_events, sql_feeds):
+    for module in SQL_MODULES:
         out.update(module.all_sql())
     return out
