@@ -167,7 +167,7 @@ def _graph(sources: DataFrame, number: Column) -> DataFrame:
 
 def article_cell(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     heads = article_heads(spark, sf)
-    placed = feeds.position_comments(article_comments(spark, sf), by_time=True)
+    placed = article_comments(spark, sf)
     cell = feeds.tables(feeds.chunk_rows(heads, placed, articles.PREFIX, articles.KIND, "article"))
     cell["sources"] = feeds.sources(heads, articles.PREFIX)
     cell["graph"] = _graph(cell["sources"], F.regexp_extract("source_id", "([0-9]+)$", 1))
@@ -176,7 +176,7 @@ def article_cell(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 def story_cell(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     heads = story_heads(spark, sf)
-    placed = feeds.position_comments(story_comments(spark, sf), by_time=False)
+    placed = story_comments(spark, sf)
     cell = feeds.tables(feeds.chunk_rows(heads, placed, stories.PREFIX, stories.KIND, "story"))
     cell["sources"] = feeds.sources(heads, stories.PREFIX)
     cell["graph"] = _graph(cell["sources"], F.regexp_extract("source_id", "([0-9]+)$", 1))

@@ -32,8 +32,7 @@ def _global_limit(spark, sf):
 
 
 def _thread_rows(spark, sf):
-    placed = feeds.position_comments(H.article_comments(spark, sf), by_time=True)
-    return feeds.threads(H.article_heads(spark, sf), placed)
+    return feeds.threads(H.article_heads(spark, sf), H.article_comments(spark, sf))
 
 
 def _article(report):

@@ -88,9 +88,9 @@ _PREVIEW = "substr(content, 1, 500) AS preview"
 
 QUERIES = {
     "article_heads": "SELECT * EXCLUDE (doc_id, src, lang) FROM heads",
-    "comment_tree_flat": "SELECT head_id, dfs_pos, comment_id, type, author, content, created_utc, parent_id FROM com",
+    "comment_tree_flat": "SELECT head_id, dfs_pos, position, comment_id, type, author, content, created_utc, parent_id FROM placed",
     "story_heads": "SELECT * FROM sheads",
-    "story_comments": "SELECT * FROM scom",
+    "story_comments": "SELECT *, dfs_pos + 1 AS position FROM scom",
     "feed_recent_limit": "SELECT feed_kind, feed, feed_pos, id FROM flim",
     "feed_dedupe": "SELECT id, feed_kind, feed, feed_rank, title FROM funi",
     "feed_global_limit": """SELECT id, feed_rank, feed_pos FROM (

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -21,6 +22,7 @@ _TEXTS = ["id", "parent_id", "author", "body_html", "created_at"]
 _COMMENTS = T.ArrayType(T.StructType(
     [T.StructField("dfs_pos", T.LongType()), *[T.StructField(n, T.StringType()) for n in _TEXTS]]
 ))
+_FLAT = T.StructType([T.StructField("head_id", T.StringType()), T.StructField("flat", _COMMENTS)])
 
 
 def read_articles(spark: SparkSession, path: str) -> DataFrame:
@@ -98,20 +100,29 @@ def _load_tree(text: str | None) -> list:
     return tree if isinstance(tree, list) else []
 
 
-@F.pandas_udf(_COMMENTS)
-def _flatten(trees: pd.Series) -> pd.Series:
-    return trees.map(lambda t: _walk(_load_tree(t)))
+def _flatten(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        yield pd.DataFrame({"head_id": batch["head_id"], "flat": batch["tree"].map(lambda t: _walk(_load_tree(t)))})
 
 
 def flatten_comments(trees: DataFrame, limit: int | None = None) -> DataFrame:
-    """One row per comment in depth-first order; limit keeps the first comments of each article."""
-    flat = trees.select(F.col("article_id").cast("string").alias("head_id"), F.inline(_flatten("tree")))
+    """One row per comment: dfs_pos in depth-first order, position from 1 in time order.
+
+    Order and position are found inside the record of the tree, so nothing is
+    shuffled; limit keeps the first comments of each article in depth-first order.
+    """
+    given = trees.select(F.col("article_id").cast("string").alias("head_id"), "tree")
+    flat = given.mapInPandas(_flatten, _FLAT)
     if limit is not None:
-        flat = flat.filter(F.col("dfs_pos") < limit)
-    text = strip_html("body_html")
-    return flat.select(
-        "head_id", "dfs_pos", F.col("id").alias("comment_id"), F.lit("comment").alias("type"), "author",
-        text.alias("content"), F.lit(0).alias("score"), F.lit("").alias("url"),
-        iso_epoch_or_zero("created_at").alias("created_utc"), "parent_id",
+        flat = flat.withColumn("flat", F.slice("flat", 1, limit))
+    timed = F.transform("flat", lambda c: F.struct(
+        iso_epoch_or_zero(c["created_at"]).alias("created_utc"), c["dfs_pos"].alias("dfs_pos"), c["id"].alias("comment_id"),
+        c["parent_id"].alias("parent_id"), c["author"].alias("author"), c["body_html"].alias("body_html"),
+    ))
+    rows = flat.select("head_id", F.posexplode(F.array_sort(timed)).alias("place", "c"))
+    return rows.select(
+        "head_id", "c.dfs_pos", (F.col("place") + 1).cast("long").alias("position"), "c.comment_id",
+        F.lit("comment").alias("type"), "c.author", strip_html("c.body_html").alias("content"),
+        F.lit(0).alias("score"), F.lit("").alias("url"), "c.created_utc", "c.parent_id",
         F.lit("[]").alias("tags"), F.lit(0).alias("reading_time"), F.lit(None).cast("int").alias("depth"),
     )

@@ -1,11 +1,14 @@
-"""Event classifier of transcript blocks: one ordered chain, the first match wins."""
+"""Event classifier of transcript blocks: one ordered CASE expression, the first match wins.
+
+The expression is written as SQL text, so it reaches Spark in one call; it is
+evaluated row by row inside the JVM and stops at the first rule that holds.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from tracelake.functions.jsons import quoted
-from tracelake.functions.text import LINE_END, SPACE as S, group, nonempty, strip
+from tracelake.functions.text import LINE_END, SPACE as S
 
 # Slash command to kind of event; other commands are "command".
 COMMAND_KINDS = {
@@ -68,129 +71,138 @@ LAUNCH_FLAGS = {
     "show_repo_map": ["--show-repo-map"],
 }
 
+EMPTY = "cast(map() as map<string, string>)"
+
+
+def _str(text: str) -> str:
+    """A raw SQL string literal."""
+    return "r'" + text + "'"
+
+
+def _any(text: str, needles: list[str]) -> str:
+    return "(" + " OR ".join(f"contains({text}, {_str(n)})" for n in needles) + ")"
 
-def _any(text: Column, needles: list[str]) -> Column:
-    found = F.lit(False)
-    for n in needles:
-        found = found | F.contains(text, F.lit(n))
-    return found
 
+def _starts(text: str, *heads: str) -> str:
+    return "(" + " OR ".join(f"startswith({text}, {_str(h)})" for h in heads) + ")"
 
-def _starts(text: Column, *heads: str) -> Column:
-    found = F.lit(False)
-    for h in heads:
-        found = found | F.startswith(text, F.lit(h))
-    return found
 
+def _matches(text: str, pattern: str) -> str:
+    return f"regexp_like({text}, {_str(pattern)})"
 
-def _matches(text: Column, pattern: str) -> Column:
-    return F.regexp_like(text, F.lit(pattern))
 
+def _group(text: str, pattern: str, n: int) -> str:
+    return f"if({_matches(text, pattern)}, regexp_extract({text}, {_str(pattern)}, {n}), null)"
 
-def _first_word(text: Column) -> Column:
-    return F.regexp_extract(text, rf"\A{S}*([^{S[1:]}+)", 1)
 
+def _strip(text: str) -> str:
+    return f"regexp_replace({text}, {_str(rf'\A{S}+|{S}+\z')}, '')"
 
-def _fields(**values: Column) -> Column:
-    """Field name to JSON text; fields without a value are left out."""
-    if not values:
-        return F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
-    pairs = [x for name, v in values.items() for x in (F.lit(name), v)]
-    return F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull())
 
+def _first_word(text: str) -> str:
+    return f"regexp_extract({text}, {_str(rf'\A{S}*([^{S[1:]}+)')}, 1)"
 
-def _text(v: Column) -> Column:
+
+def _json(text: str) -> str:
     """JSON text of a string; null stays null, so the field is left out."""
-    return F.when(v.isNotNull(), quoted(v))
+    inner = f"regexp_extract(to_json(named_struct('v', {text})), {_str('(?s)^.{5}(.*).$')}, 1)"
+    return f"if({text} is null, null, {inner})"
+
+
+def _fields(values: dict[str, str]) -> str:
+    """Map of field name to JSON text without the null ones."""
+    pairs = ", ".join(f"'{name}', {v}" for name, v in values.items())
+    return f"map_filter(map({pairs}), (k, v) -> v is not null)"
 
 
-def _after_colon(text: Column) -> Column:
-    return strip(F.regexp_extract(text, r"(?s)^[^:]*:(.*)$", 1))
+def _after_colon(text: str) -> str:
+    return _strip(f"regexp_extract({text}, {_str(r'(?s)^[^:]*:(.*)$')}, 1)")
 
 
-def command_kind(name: Column) -> Column:
-    known = F.create_map(*[F.lit(x) for pair in COMMAND_KINDS.items() for x in pair])
-    return F.coalesce(F.try_element_at(known, name), F.lit(OTHER_COMMAND))
+def _command_kind(name: str) -> str:
+    known = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in COMMAND_KINDS.items())
+    return f"CASE {name} {known} ELSE '{OTHER_COMMAND}' END"
 
 
-def _user_event(content: Column) -> Column:
-    body = strip(content)
-    command = F.when(_starts(body, "/"), F.regexp_extract(body, rf"\A([^{LINE_END[1:]}*)", 1))
+def _user_fields(text: str) -> str:
+    body = _strip(text)
+    command = f"if({_starts(body, '/')}, regexp_extract({body}, {_str(rf'\A([^{LINE_END[1:]}*)')}, 1), null)"
     name = _first_word(command)
-    has = command.isNotNull()
-    return _fields(
-        command=quoted(command),  # the word null when there is no command
-        command_name=F.when(has, quoted(name)),
-        command_kind=F.when(has, quoted(command_kind(name))),
-    )
+    return _fields({
+        "command": f"coalesce({_json(command)}, 'null')",
+        "command_name": _json(name),
+        "command_kind": f"if({name} is null, null, {_json(_command_kind(name))})",
+    })
 
 
-def _rules(text: Column) -> list[tuple[Column, Column, dict[str, Column]]]:
+def _rules(text: str) -> list[tuple[str, str, dict[str, str]]]:
     """(test, kind, extra event fields) in order, for the content of one tool line."""
-    first = text
-    word = _first_word(first)
+    word = _first_word(text)
     launch = (
-        (_starts(word, "/") & F.endswith(word, F.lit("/aider"))) | (word == "aider")
-        | (_any(first, ["aider "]) & _any(first, ["--"]))
+        f"(({_starts(word, '/')} AND endswith({word}, '/aider')) OR {word} = 'aider'"
+        f" OR ({_any(text, ['aider '])} AND {_any(text, ['--'])}))"
     )
-    flags = {k: F.when(_any(first, v), "true").otherwise("false") for k, v in LAUNCH_FLAGS.items()}
-    path = {"path": 1}
+    flags = {k: f"if({_any(text, v)}, 'true', 'false')" for k, v in LAUNCH_FLAGS.items()}
 
     def found(pattern: str, kind: str, **groups: int):
-        return _matches(text, pattern), F.lit(kind), {k: _text(group(text, pattern, n)) for k, n in groups.items()}
+        return _matches(text, pattern), f"'{kind}'", {k: _json(_group(text, pattern, n)) for k, n in groups.items()}
 
-    def has(needles: list[str], kind: str, also: Column | None = None):
-        test = _any(text, needles)
-        return (test if also is None else test | also), F.lit(kind), {}
+    def has(needles: list[str], kind: str, also: str = "false"):
+        return f"({_any(text, needles)} OR {also})", f"'{kind}'", {}
 
-    read_only_path = strip(F.coalesce(nonempty(group(text, READ_ONLY, 1)), nonempty(group(text, READ_ONLY, 2)), F.lit("")))
+    either = f"coalesce(nullif({_group(text, READ_ONLY, 1)}, ''), nullif({_group(text, READ_ONLY, 2)}, ''), '')"
     return [
-        (launch, F.lit("startup"), {"command": quoted(first), **flags}),
-        (_starts(first, "Aider v"), F.lit("startup"), {"version": quoted(strip(F.substring(first, 8, 1 << 30)))}),
+        (launch, "'startup'", {"command": _json(text), **flags}),
+        (_starts(text, "Aider v"), "'startup'", {"version": _json(_strip(f"substring({text}, 8)"))}),
         (
-            _starts(first, "Model:", "Main model:"), F.lit("startup"),
+            _starts(text, "Model:", "Main model:"), "'startup'",
             {
-                "model": quoted(_after_colon(first)), "model_name": _text(group(first, MODE, 1)),
-                "edit_format": _text(group(first, MODE, 2)),
+                "model": _json(_after_colon(text)), "model_name": _json(_group(text, MODE, 1)),
+                "edit_format": _json(_group(text, MODE, 2)),
             },
         ),
-        (_starts(first, "Git repo:"), F.lit("startup"), {"git_repo": quoted(_after_colon(first))}),
-        (_starts(first, "Repo-map:"), F.lit("repo_map"), {"repo_map": quoted(_after_colon(first))}),
-        (_starts(first, "/"), command_kind(word), {"command": quoted(first), "command_name": quoted(word)}),
+        (_starts(text, "Git repo:"), "'startup'", {"git_repo": _json(_after_colon(text))}),
+        (_starts(text, "Repo-map:"), "'repo_map'", {"repo_map": _json(_after_colon(text))}),
+        (_starts(text, "/"), _command_kind(word), {"command": _json(text), "command_name": _json(word)}),
         found(TOKENS, "usage", sent=1, received=2),
         found(COMMIT, "git_commit", hash=1, message=2),
         found(UNDO, "git_undo", hash=1, message=2),
-        found(NO_EDIT, "dry_run", **path),
-        found(EDIT, "edit_applied", **path),
-        found(SAVED, "history_save", **path),
+        found(NO_EDIT, "dry_run", path=1),
+        found(EDIT, "edit_applied", path=1),
+        found(SAVED, "history_save", path=1),
         found(EXECUTED, "history_load_exec", command=1),
         has(CLEARED, "history_clear"),
         has(RESTORED, "history_restore"),
         has(COPIED, "context_dump"),
-        has(LINT, "lint", _any(F.lower(text), ["lint"])),
+        has(LINT, "lint", f"contains(lower({text}), 'lint')"),
         has(FAILED, "test_failure"),
         found(OUTPUT_ADDED, "shell_output_added", lines=1),
         has(REPO_SUMMARY, "repo_map"),
         has(WEB, "web"),
         found(FILE_PROMPT, "confirmation", answer=1),
-        found(ADDED, "context_file", **path),
-        (_matches(text, READ_ONLY), F.lit("context_file"), {"path": quoted(read_only_path)}),
-        found(DROPPED, "context_file", **path),
-        (_starts(first, "$ ") | _any(text, TOKEN_REPORT), F.lit("usage"), {}),
-        (_matches(first, GIT_STATUS), F.lit("git"), {}),
+        found(ADDED, "context_file", path=1),
+        (_matches(text, READ_ONLY), "'context_file'", {"path": _json(_strip(either))}),
+        found(DROPPED, "context_file", path=1),
+        (f"({_starts(text, '$ ')} OR {_any(text, TOKEN_REPORT)})", "'usage'", {}),
+        (_matches(text, GIT_STATUS), "'git'", {}),
     ]
 
 
-def _event(kind: Column, fields: Column) -> Column:
-    return F.struct(kind.alias("kind"), fields.alias("event"))
+def classify(role: str, content: str) -> Column:
+    """struct(kind, event) of two columns; event maps field names to JSON text. Tool content is one line."""
+    raw = {"raw": _json(content)}
 
+    def event(kind: str, fields: str) -> str:
+        return f"named_struct('kind', {kind}, 'event', {fields})"
 
-def classify(role: Column, content: Column) -> Column:
-    """struct(kind, event): event maps field names to JSON text. Tool content is one line."""
-    raw = quoted(content)
-    chain = F.when(role == "system", _event(F.lit("session_start"), _fields()))
-    chain = chain.when(role == "user", _event(F.lit("user_prompt"), _user_event(content)))
-    chain = chain.when(role != "tool", _event(F.lit(None).cast("string"), _fields()))
+    cases = [
+        f"WHEN {role} = 'system' THEN {event("'session_start'", EMPTY)}",
+        # Most prompts carry no command; one anchored look settles those.
+        f"WHEN {role} = 'user' AND NOT {_matches(content, rf'\A{S}*/')}"
+        f" THEN {event("'user_prompt'", "map('command', 'null')")}",
+        f"WHEN {role} = 'user' THEN {event("'user_prompt'", _user_fields(content))}",
+        f"WHEN {role} <> 'tool' THEN {event('cast(null as string)', EMPTY)}",
+    ]
     for test, kind, extra in _rules(content):
-        chain = chain.when(test, _event(kind, _fields(raw=raw, **extra)))
-    return chain.otherwise(_event(F.lit("raw_status"), _fields(raw=raw)))
+        cases.append(f"WHEN {test} THEN {event(kind, _fields({**raw, **extra}))}")
+    return F.expr(f"CASE {' '.join(cases)} ELSE {event("'raw_status'", _fields(raw))} END")

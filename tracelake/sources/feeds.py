@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, functions as F
 from tracelake.functions.text import first_nonempty
 from tracelake.functions.times import yymmdd
 from tracelake.operators.ranking import pick_first, top_per_group
-from tracelake.operators.sequences import numbered, position_bucket
 
 # Comment bodies that mean the text is gone.
 GONE = ["[deleted]", "[removed]"]
@@ -42,14 +41,6 @@ def dedupe_with_limit(heads: DataFrame, limit: int | None = None) -> DataFrame:
     return unique.orderBy("feed_rank", "feed_pos", "id").limit(limit)
 
 
-def position_comments(comments: DataFrame, by_time: bool) -> DataFrame:
-    """Positions from 1 per head, before anything is filtered: skipped comments leave a gap."""
-    if by_time:
-        day = F.floor(F.col("created_utc") / F.lit(86400)).cast("long")
-        return numbered(comments, ["head_id"], ["created_utc", "dfs_pos"], day, "position")
-    return numbered(comments, ["head_id"], ["dfs_pos"], position_bucket("dfs_pos"), "position")
-
-
 def threads(heads: DataFrame, comments: DataFrame) -> DataFrame:
     """Heads left-joined to their positioned comments, one row per comment or lonely head."""
     h = heads.select(F.col("id").alias("head_id"), F.col("created_utc").alias("head_created"), "title", "num_comments")
@@ -65,7 +56,7 @@ def sources(heads: DataFrame, prefix: str) -> DataFrame:
     )
 
 
-def chunk_rows(heads: DataFrame, positioned: DataFrame, prefix: str, kind: str, head_type: str) -> DataFrame:
+def chunk_rows(heads: DataFrame, comments: DataFrame, prefix: str, kind: str, head_type: str) -> DataFrame:
     """Head as chunk 0, comment i as chunk i; blank and removed comments are left out after numbering."""
     head_source = F.concat(F.lit(prefix), F.col("id"))
     head_depth = F.lit(0) if head_type == "story" else F.lit(None).cast("int")
@@ -77,7 +68,7 @@ def chunk_rows(heads: DataFrame, positioned: DataFrame, prefix: str, kind: str,
         F.lit(None).cast("string").alias("comment_id"),
     )
     source = F.concat(F.lit(prefix), F.col("head_id"))
-    body = positioned.filter((F.col("content") != "") & ~F.col("content").isin(GONE))
+    body = comments.filter((F.col("content") != "") & ~F.col("content").isin(GONE))
     known = heads.select(F.col("id").alias("head_id"))
     rest = body.join(known, "head_id", "left_semi").select(
         F.concat(source, F.lit(":"), F.col("position").cast("string")).alias("id"), "content",

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tracelake.functions.text import LINE_END, SPACE, group, is_blank, rstrip, strip
-from tracelake.operators.sequences import position_bucket, running, with_bucket, without_bucket
 from tracelake.sources.markdown_chat import split_lines
 
 # Marks of the input history and the model log.
@@ -25,10 +24,9 @@ def numbered_lines(files: DataFrame) -> DataFrame:
 
 
 def _islands(rows: DataFrame, starts: Column) -> DataFrame:
-    out = running(
-        with_bucket(rows, position_bucket("line_no")), ["path"], ["line_no"], island=("sum", starts.cast("long"))
-    )
-    return without_bucket(out)
+    """Number the runs that begin at `starts`; a file is one row of at most 2 GiB, which bounds the window."""
+    so_far = Window.partitionBy("path").orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.withColumn("island", F.sum(starts.cast("long")).over(so_far))
 
 
 def _joined(lines: str) -> Column:

@@ -1,16 +1,15 @@
 """Markdown chat transcripts: files to lines, sessions, blocks and canonical rows.
 
-A file is one row until its lines are exploded; from there everything is keyed by
-(path, line bucket), so one long transcript does not stay in one task.
+A file is one row until its lines are exploded, and a row holds at most 2 GiB, so
+the windows per file below are bounded by that; the files spread over the tasks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tracelake.functions.text import LINE_END, SPACE, col, group, is_blank, nonempty, rstrip, strip
 from tracelake.functions.times import stamp_epoch
-from tracelake.operators.sequences import numbered, position_bucket, running, with_bucket, without_bucket
 from tracelake.sources.chat_events import classify
 
 PREFIX = "aider:"  # fixed value: id prefix of this source kind
@@ -77,14 +76,14 @@ def lines(files: DataFrame) -> DataFrame:
     flat = listed.select("path", F.posexplode(rows).alias("pos", "r")).select(
         "path", (F.col("pos") + 1).cast("long").alias("line_no"), "r.raw", "r.role", "r.prev_role"
     )
-    header = (F.col("role") == "system").cast("long")
-    starts = (F.col("role") == "tool") | ~F.col("role").eqNullSafe(F.col("prev_role")) | (F.col("role") == "system")
-    out = running(
-        with_bucket(flat, position_bucket("line_no")), ["path"], ["line_no"],
-        __sessions=("sum", header), island=("sum", starts.cast("long")),
+    header = F.col("role") == "system"
+    starts = header | (F.col("role") == "tool") | ~F.col("role").eqNullSafe(F.col("prev_role"))
+    so_far = Window.partitionBy("path").orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (
+        flat.withColumn("session_index", F.sum(header.cast("long")).over(so_far) - 1)
+        .withColumn("island", F.sum(starts.cast("long")).over(so_far))
+        .filter(F.col("session_index") >= 0)
     )
-    out = without_bucket(out).withColumn("session_index", F.col("__sessions") - 1).drop("__sessions")
-    return out.filter(F.col("session_index") >= 0)
 
 
 def _piece(role: Column, raw: Column) -> Column:
@@ -116,8 +115,9 @@ def blocks(file_lines: DataFrame) -> DataFrame:
         .filter(F.col("role").isin("system", "tool") | ~is_blank("content"))
         .drop("__lines", "island")
     )
-    placed = numbered(kept, ["path", "session_index"], ["start_line"], position_bucket("start_line"), "block_no")
-    return placed.withColumn("__e", classify(F.col("role"), F.col("content"))).select(
+    in_session = Window.partitionBy("path", "session_index").orderBy("start_line")
+    placed = kept.withColumn("block_no", F.row_number().over(in_session).cast("long"))
+    return placed.withColumn("__e", classify("role", "content")).select(
         "path", "session_index", "block_no", "role", "content", "raw", "start_line", "end_line",
         F.col("__e.kind").alias("event_kind"), F.col("__e.event").alias("event"),
     )

@@ -51,11 +51,21 @@ def normalise(raw: DataFrame) -> DataFrame:
     )
 
 
+def listed_comments(stories: DataFrame) -> DataFrame:
+    """Comment records of stories that carry their comments as a JSON array, in the given order."""
+    item = schemas.STORY_COMMENT.replace("story_id string, pos long, ", "")
+    listed = F.from_json("comments", f"array<struct<{item.replace(' string', ':string').replace(' int', ':int')}>>")
+    return stories.select(F.col("short_id").alias("story_id"), F.posexplode(listed).alias("pos", "c")).select(
+        "story_id", F.col("pos").cast("long").alias("pos"), "c.*"
+    )
+
+
 def normalise_comments(raw: DataFrame) -> DataFrame:
     """Comments in the given order; depth and parent come with the record."""
     return raw.select(
         F.col("story_id").alias("head_id"),
         F.col("pos").alias("dfs_pos"),
+        (F.col("pos") + 1).alias("position"),  # the place in the given list; skipped comments leave a gap
         F.coalesce("short_id", F.lit("")).alias("comment_id"),
         F.lit("comment").alias("type"),
         _author("commenting_user").alias("author"),
