@@ -18,5 +18,6 @@ def _decode_entities(values: pd.Series) -> pd.Series:
 def strip_html(c: Column | str) -> Column:
     """Decoded markup such as an escaped tag vanishes too; nothing replaces a tag."""
     text = F.coalesce(col(c), F.lit(""))
-    decoded = F.when(F.contains(text, F.lit("&")), _decode_entities(text)).otherwise(text)
+    # Python sees every row of the batch, so texts without an entity go over as nulls.
+    decoded = F.coalesce(_decode_entities(F.when(F.contains(text, F.lit("&")), text)), text)
     return strip(F.regexp_replace(decoded, "<[^>]+>", ""))

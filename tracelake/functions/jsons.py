@@ -43,9 +43,7 @@ def is_array(v: Column | str, path: str) -> Column:
 def quoted(c: Column | str) -> Column:
     """A JSON string literal for the value; the word null for a null."""
     body = F.to_json(F.struct(col(c).alias("v")))
-    return F.when(col(c).isNull(), F.lit("null")).otherwise(
-        F.regexp_replace(F.regexp_replace(body, r"^\{\"v\":", ""), r"\}\z", "")
-    )
+    return F.when(col(c).isNull(), F.lit("null")).otherwise(F.regexp_extract(body, r"(?s)^.{5}(.*).$", 1))
 
 
 def rows_as_json(cols: list[str], order: list[str]) -> Column:

@@ -50,21 +50,25 @@ def week_end(c: Column | str) -> Column:
     return F.date_add(week_start(c), 6)
 
 
-_ISO = r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{2}(?::?\d{2}(?::?\d{2}(?:[.,]\d+)?)?)?(?:[+-]\d{2}(?::?\d{2})?)?)?$"
-_ZONE = r"(?:[+-]\d{2}(?::?\d{2})?)$"
+_FULL = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(?:\.\d+)?(?:Z|[+-]\d{2}:\d{2})$"
+_ISO = r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{2}(?::?\d{2}(?::?\d{2}(?:[.,]\d+)?)?)?(?:Z|[+-]\d{2}(?::?\d{2})?)?)?$"
+_ZONE = r"[T ].*(?:Z|[+-]\d{2}(?::?\d{2})?)$"
 
 
 def iso_instant(c: Column | str) -> Column:
-    """ISO 8601 text to a timestamp; null when it cannot be read. Naive text is UTC."""
-    text = F.regexp_replace(col(c), "Z", "+00:00")
-    ok = F.regexp_like(text, F.lit(_ISO))
-    has_zone = F.regexp_like(text, F.lit(r"\d{2}.*[T ].*" + _ZONE))
-    full = F.regexp_replace(F.regexp_replace(text, " ", "T"), ",", ".")
-    hours_only = F.regexp_replace(full, r"^(\d{4}-\d{2}-\d{2}T\d{2})(?=$|[+-])", "$1:00")
-    zoned = F.when(has_zone, hours_only).otherwise(
-        F.concat(hours_only, F.when(F.contains(hours_only, F.lit("T")), F.lit("Z")).otherwise(F.lit("T00:00:00Z")))
+    """ISO 8601 text to a timestamp; null when it cannot be read. Text without a zone is UTC."""
+    text = col(c)
+    point = F.regexp_replace(F.regexp_replace(text, " ", "T"), ",", ".")
+    minutes = F.regexp_replace(point, r"^(\d{4}-\d{2}-\d{2}T\d{2})(?=$|[Z+-])", "$1:00")
+    zoned = (
+        F.when(F.regexp_like(text, F.lit(_ZONE)), minutes)
+        .when(F.contains(minutes, F.lit("T")), F.concat(minutes, F.lit("Z")))
+        .otherwise(F.concat(minutes, F.lit("T00:00:00Z")))
+    )
+    return (
+        F.when(F.regexp_like(text, F.lit(_FULL)), text.try_cast("timestamp"))
+        .when(F.regexp_like(text, F.lit(_ISO)), zoned.try_cast("timestamp"))
     )
-    return F.when(ok, zoned.try_cast("timestamp"))
 
 
 def iso_epoch_or_zero(c: Column | str) -> Column:

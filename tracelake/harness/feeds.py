@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tracelake import schemas
 from tracelake.functions.jsons import quoted
-from tracelake.harness.events import table
+from tracelake.harness.events import stored, table
 from tracelake.sources import articles, feeds, stories
 
 T0 = 1704067200  # 2024-01-01
@@ -167,8 +167,9 @@ def _graph(sources: DataFrame, number: Column) -> DataFrame:
 
 def article_cell(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     heads = article_heads(spark, sf)
-    placed = article_comments(spark, sf)
-    cell = feeds.tables(feeds.chunk_rows(heads, placed, articles.PREFIX, articles.KIND, "article"))
+    rows = stored("articles", spark, sf, lambda: feeds.chunk_rows(
+        heads, article_comments(spark, sf), articles.PREFIX, articles.KIND, "article"))
+    cell = feeds.tables(rows)
     cell["sources"] = feeds.sources(heads, articles.PREFIX)
     cell["graph"] = _graph(cell["sources"], F.regexp_extract("source_id", "([0-9]+)$", 1))
     return cell
@@ -176,8 +177,9 @@ def article_cell(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 def story_cell(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     heads = story_heads(spark, sf)
-    placed = story_comments(spark, sf)
-    cell = feeds.tables(feeds.chunk_rows(heads, placed, stories.PREFIX, stories.KIND, "story"))
+    rows = stored("stories", spark, sf, lambda: feeds.chunk_rows(
+        heads, story_comments(spark, sf), stories.PREFIX, stories.KIND, "story"))
+    cell = feeds.tables(rows)
     cell["sources"] = feeds.sources(heads, stories.PREFIX)
     cell["graph"] = _graph(cell["sources"], F.regexp_extract("source_id", "([0-9]+)$", 1))
     return cell

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from tracelake.harness import run_events, run_feeds, run_transcripts, sql_events, sql_feeds, sql_transcripts
+from tracelake.harness import (
+    run_agent_store, run_events, run_feeds, run_transcripts, sql_agent_store, sql_events, sql_feeds, sql_transcripts,
+)
 
-QUERY_MODULES = (run_events, run_feeds, run_transcripts)
-SQL_MODULES = (sql_events, sql_feeds, sql_transcripts)
+QUERY_MODULES = (run_events, run_feeds, run_transcripts, run_agent_store)
+SQL_MODULES = (sql_events, sql_feeds, sql_transcripts, sql_agent_store)
 
 
 def queries() -> dict:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tracelake.harness.events import table
+from tracelake.harness.events import stored, table
 from tracelake.sources import markdown_chat as chat
 
 # Tool lines the test transcripts cycle through: text, expected kind, tool, target, success.
@@ -85,18 +85,15 @@ def files(spark: SparkSession, sf: str, half: bool = False) -> DataFrame:
 
 
 def blocks(spark: SparkSession, sf: str, half: bool = False) -> DataFrame:
-    return chat.blocks(chat.lines(files(spark, sf, half)))
+    return stored(f"blocks{half}", spark, sf, lambda: chat.blocks(chat.lines(files(spark, sf, half))))
 
 
 def sessions(spark: SparkSession, sf: str, half: bool = False) -> DataFrame:
-    rows = chat.lines(files(spark, sf, half))
-    return chat.sessions(rows, chat.blocks(rows))
+    return chat.sessions(chat.lines(files(spark, sf, half)), blocks(spark, sf, half))
 
 
 def chunks(spark: SparkSession, sf: str, half: bool = False) -> DataFrame:
-    rows = chat.lines(files(spark, sf, half))
-    block_rows = chat.blocks(rows)
-    return chat.chunk_rows(chat.sessions(rows, block_rows), block_rows, MODIFIED)
+    return chat.chunk_rows(sessions(spark, sf, half), blocks(spark, sf, half), MODIFIED)
 
 
 def input_files(spark: SparkSession, sf: str) -> DataFrame:

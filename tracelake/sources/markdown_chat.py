@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tracelake.functions.text import LINE_END, SPACE, col, group, is_blank, nonempty, rstrip, strip
 from tracelake.functions.times import stamp_epoch
+from tracelake.operators.columns import evaluate_once
 from tracelake.sources.chat_events import classify
 
 PREFIX = "aider:"  # fixed value: id prefix of this source kind
@@ -117,7 +118,7 @@ def blocks(file_lines: DataFrame) -> DataFrame:
     )
     in_session = Window.partitionBy("path", "session_index").orderBy("start_line")
     placed = kept.withColumn("block_no", F.row_number().over(in_session).cast("long"))
-    return placed.withColumn("__e", classify("role", "content")).select(
+    return evaluate_once(placed, __e=classify("role", "content")).select(
         "path", "session_index", "block_no", "role", "content", "raw", "start_line", "end_line",
         F.col("__e.kind").alias("event_kind"), F.col("__e.event").alias("event"),
     )
