@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from tracelake.harness import (
-    run_agent_store, run_events, run_feeds, run_transcripts, sql_agent_store, sql_events, sql_feeds, sql_transcripts,
+    run_agent_store, run_events, run_feeds, run_lineage, run_transcripts, sql_agent_store, sql_events, sql_feeds,
+    sql_lineage, sql_transcripts,
 )
 
-QUERY_MODULES = (run_events, run_feeds, run_transcripts, run_agent_store)
-SQL_MODULES = (sql_events, sql_feeds, sql_transcripts, sql_agent_store)
+QUERY_MODULES = (run_events, run_feeds, run_transcripts, run_agent_store, run_lineage)
+SQL_MODULES = (sql_events, sql_feeds, sql_transcripts, sql_agent_store, sql_lineage)
 
 
 def queries() -> dict:
