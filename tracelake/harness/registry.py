@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from tracelake.harness import (
-    run_agent_store, run_events, run_feeds, run_lineage, run_transcripts, sql_agent_store, sql_events, sql_feeds,
-    sql_lineage, sql_transcripts,
+    run_agent_store, run_events, run_feeds, run_lineage, run_search, run_transcripts, sql_agent_store, sql_events, sql_feeds,
+    sql_lineage, sql_search, sql_transcripts,
 )
 
-QUERY_MODULES = (run_events, run_feeds, run_transcripts, run_agent_store, run_lineage)
-SQL_MODULES = (sql_events, sql_feeds, sql_transcripts, sql_agent_store, sql_lineage)
+QUERY_MODULES = (run_events, run_feeds, run_transcripts, run_agent_store, run_lineage, run_search)
+SQL_MODULES = (sql_events, sql_feeds, sql_transcripts, sql_agent_store, sql_lineage, sql_search)
 
 
 def queries() -> dict:
