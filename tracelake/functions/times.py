@@ -60,10 +60,11 @@ def iso_instant(c: Column | str) -> Column:
     text = col(c)
     point = F.regexp_replace(F.regexp_replace(text, " ", "T"), ",", ".")
     minutes = F.regexp_replace(point, r"^(\d{4}-\d{2}-\d{2}T\d{2})(?=$|[Z+-])", "$1:00")
+    full = F.regexp_replace(minutes, r"^(\d{4}-\d{2}-\d{2}T\d{2}:\d{2})(?=$|[Z+-])", "$1:00")
     zoned = (
-        F.when(F.regexp_like(text, F.lit(_ZONE)), minutes)
-        .when(F.contains(minutes, F.lit("T")), F.concat(minutes, F.lit("Z")))
-        .otherwise(F.concat(minutes, F.lit("T00:00:00Z")))
+        F.when(F.regexp_like(text, F.lit(_ZONE)), full)
+        .when(F.contains(full, F.lit("T")), F.concat(full, F.lit("Z")))
+        .otherwise(F.concat(full, F.lit("T00:00:00Z")))
     )
     return (
         F.when(F.regexp_like(text, F.lit(_FULL)), text.try_cast("timestamp"))

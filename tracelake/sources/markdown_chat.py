@@ -32,7 +32,7 @@ def read_transcripts(
     """
     files = (
         spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
-        .option("wholetext", "true").text(folder)
+        .text(folder, wholetext=True)
         .select(
             F.col("_metadata.file_path").alias("path"), F.make_valid_utf8("value").alias("text"),
             F.unix_seconds(F.col("_metadata.file_modification_time")).alias("modified"),

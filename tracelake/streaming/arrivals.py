@@ -14,13 +14,15 @@ CHUNKS = """
 chunk_id string, source_id string, chunk_number long, type string, role string, content string, timestamp long,
 tool_name string, target_file string, success boolean, event_kind string, start_line long, end_line long
 """
+# Fixed by Spark: the columns of its binaryFile source.
+FILE = "path string, modificationTime timestamp, length long, content binary"
 _COLUMNS = [c.split()[0] for c in CHUNKS.replace("\n", " ").split(",")]
 
 
 def watch(spark: SparkSession, folder: str, pattern: str = "aider*.chat*.md", files_per_batch: int = 1000) -> DataFrame:
     """New files below a landing folder: path, text, modified."""
     raw = (
-        spark.readStream.format("binaryFile").option("recursiveFileLookup", "true")
+        spark.readStream.format("binaryFile").schema(FILE).option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern).option("maxFilesPerTrigger", files_per_batch).load(folder)
     )
     text = F.make_valid_utf8(F.col("content").cast("string"))
