@@ -34,8 +34,8 @@ def by_key(data):
     return out
 
 
-@pytest.mark.parametrize("seed,hours,same_day", [(1, 24, False), (2, 1, False), (3, 24, True), (4, 1000, True)])
-def test_gap_sessions(spark, seed, hours, same_day):
+@pytest.mark.parametrize("seed,max_rows,same_day", [(1, 50, False), (2, 7, False), (3, 20, True), (4, 100000, True)])
+def test_gap_sessions(spark, seed, max_rows, same_day):
     data = rows(seed)
     want = {}
     for key, seq in by_key(data).items():
@@ -46,7 +46,7 @@ def test_gap_sessions(spark, seed, hours, same_day):
             no, pos = (no + 1, 1) if cut else (no, pos + 1)
             prev = r[1]
             want[r[2]] = (no, pos)
-    out = S.gap_sessions(frame(spark, data), ["k"], "ts", ["i"], "1 HOUR", hours, same_day)
+    out = S.gap_sessions(frame(spark, data), ["k"], "ts", ["i"], "1 HOUR", same_day, max_rows)
     assert {r["i"]: (r["session_no"], r["position"]) for r in out.collect()} == want
 
 
@@ -60,17 +60,29 @@ def test_running_and_previous(spark, seed):
             s, m = s + r[3], max(m, r[3])
             total[r[2]], last[r[2]], seen[r[2]], n[r[2]] = s, p, m, c
             p = r[3]
-    df = S.with_bucket(frame(spark, data), S.time_bucket("ts", 5))
+    df = S.with_bucket(frame(spark, data), ["k"], S.time_value("ts"), 30)
     df = S.running(df, ["k"], ["ts", "i"], total=("sum", F.col("v")), top=("max", F.col("v")))
     df = S.without_bucket(S.previous(df, ["k"], ["ts", "i"], {"p": "v"}))
     got = df.collect()
     assert {r["i"]: r["total"] for r in got} == total
     assert {r["i"]: r["top"] for r in got} == seen
     assert {r["i"]: r["p"] for r in got} == last
-    num = S.numbered(frame(spark, data), ["k"], ["ts", "i"], S.time_bucket("ts", 3), "n").collect()
+    num = S.numbered(frame(spark, data), ["k"], ["ts", "i"], S.time_value("ts"), "n", 11).collect()
     assert {r["i"]: r["n"] for r in num} == n
 
 
+def test_only_large_keys_are_cut(spark):
+    df = S.with_bucket(frame(spark, rows(8)), ["k"], S.time_value("ts"), 100)
+    buckets = {r["k"]: r["n"] for r in df.groupBy("k").agg(F.countDistinct("__bucket").alias("n")).collect()}
+    assert buckets[0] >= 4 and all(n == 1 for k, n in buckets.items() if k != 0)
+    nulls = spark.createDataFrame([(None, 1, None), (None, 2, 5), (1, 3, None), (1, 4, 9)], "k int, i int, t long")
+    got = S.numbered(nulls, ["k"], ["t", "i"], F.col("t"), "n", 1).collect()
+    assert {r["i"]: r["n"] for r in got} == {1: 1, 2: 2, 3: 1, 4: 2}
+    at = [(None, T0, 1), (None, T0 + dt.timedelta(minutes=1), 2), (None, T0 + dt.timedelta(days=1), 3), (7, T0, 4)]
+    cut = S.gap_sessions(spark.createDataFrame(at, "k int, ts timestamp_ntz, i int"), ["k"], "ts", ["i"], "1 HOUR", max_rows=1)
+    assert {r["i"]: (r["session_no"], r["position"]) for r in cut.collect()} == {1: (1, 1), 2: (1, 2), 3: (2, 1), 4: (1, 1)}
+
+
 def test_pick_and_top(spark):
     data = rows(7)
     first = {k: seq[0][2] for k, seq in by_key(data).items()}

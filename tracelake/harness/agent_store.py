@@ -12,7 +12,7 @@ FALLBACK = 1700000000
 
 
 def _base(spark: SparkSession, sf: str) -> DataFrame:
-    e = events(spark, sf).withColumn("k", F.get_json_object("props", "$.k").cast("long"))
+    e = events(spark, sf, spread=True).withColumn("k", F.get_json_object("props", "$.k").cast("long"))
     # Even users write milliseconds, odd users seconds.
     at = F.when(F.col("user_id") % 2 == 0, epoch_seconds("ts") * 1000).otherwise(epoch_seconds("ts"))
     return e.select(

@@ -20,11 +20,11 @@ LARGE = 10
 WIDE = {"documents", "pages", "conversations"}
 
 
-def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A driver table. A text table in fewer splits than cores is spread; a large one is read as it is."""
+def table(spark: SparkSession, sf: str, name: str, spread: bool = False) -> DataFrame:
+    """A driver table. A small file with costly rows is spread over the cores; a large one is read as it is."""
     df = spark.read.parquet(f"{sf}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    if name in WIDE and len(df.inputFiles()) < cores and _small(spark, f"{sf}/{name}.parquet"):
+    if (spread or name in WIDE) and len(df.inputFiles()) < cores and _small(spark, f"{sf}/{name}.parquet"):
         return df.repartition(cores)
     return df
 
@@ -52,8 +52,8 @@ def stored(name: str, spark: SparkSession, sf: str, make) -> DataFrame:
     return _KEPT[key]
 
 
-def events(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+def events(spark: SparkSession, sf: str, spread: bool = False) -> DataFrame:
+    return table(spark, sf, "events", spread).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 def numbered_events(spark: SparkSession, sf: str) -> DataFrame:

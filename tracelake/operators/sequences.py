@@ -1,12 +1,10 @@
 """Ordered computations per key that stay parallel when one key is very large.
 
-A plain window puts every row of a key into one task.  Here each key is cut
-into buckets along its order column (a time slice or a block of positions), the
-window runs per (key, bucket), and only one summary row per (key, bucket) is
-windowed per key to carry values across the cuts.  The big input is shuffled
-once, by (key, bucket); the summaries are small and pre-aggregated.
-
-`bucket` must be a non-decreasing function of the order columns.
+A plain window puts every row of a key into one task.  Here a key with more than
+max_rows rows is cut into buckets along its order column; the window runs per
+(key, bucket), and only one summary row per (key, bucket) is windowed per key to
+carry values across the cuts.  Other keys are one bucket, so they cost what a
+plain window costs.  The input is shuffled once, by (key, bucket).
 """
 
 from __future__ import annotations
@@ -14,20 +12,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 _BUCKET = "__bucket"
+MAX_ROWS = 2_000_000
 
 
-def time_bucket(c: str, hours: int = 24) -> Column:
-    """Bucket number of a timestamp column."""
-    seconds = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(c))
-    return F.floor(seconds / F.lit(hours * 3600)).cast("long")
-
+def time_value(c: str) -> Column:
+    """A timestamp as microseconds, to cut along."""
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(c))
 
-def position_bucket(c: str, size: int = 65536) -> Column:
-    return F.floor(F.col(c) / F.lit(size)).cast("long")
 
+def with_bucket(df: DataFrame, keys: list[str], along: Column, max_rows: int = MAX_ROWS) -> DataFrame:
+    """Number the buckets of every key. `along` is a number that never falls in the order of the rows.
 
-def with_bucket(df: DataFrame, bucket: Column) -> DataFrame:
-    return df.withColumn(_BUCKET, bucket)
+    Rows are counted per key first (combined on the map side).  Keys above
+    max_rows get slices of equal width, as many as it takes for max_rows rows
+    each on average.  There are at most (rows / max_rows) such keys, which bounds
+    what is broadcast.  A null along sorts first and has a bucket of its own; rows
+    with a null key are one group and stay one bucket.
+    """
+    counted = df.select(*keys, along.alias("__along")).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.min("__along").alias("__lo"), F.max("__along").alias("hi")
+    )
+    width = F.greatest(F.lit(1.0), (F.col("hi") - F.col("__lo")) / F.ceil(F.col("n") / F.lit(max_rows)))
+    large = counted.filter(F.col("n") > max_rows).select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__lo", width.alias("__width"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & (df[k] == F.col(f"__k_{k}"))
+    slice_no = F.floor((along - F.col("__lo")) / F.col("__width")).cast("long")
+    bucket = F.when(along.isNull(), F.lit(-1).cast("long")).otherwise(F.coalesce(slice_no, F.lit(0).cast("long")))
+    out = df.join(F.broadcast(large), same, "left").withColumn(_BUCKET, bucket)
+    return out.select(*df.columns, _BUCKET)
 
 
 def without_bucket(df: DataFrame) -> DataFrame:
@@ -83,15 +96,17 @@ def running(df: DataFrame, keys: list[str], order: list[str], **aggs: tuple[str,
     return out
 
 
-def numbered(df: DataFrame, keys: list[str], order: list[str], bucket: Column, name: str) -> DataFrame:
+def numbered(
+    df: DataFrame, keys: list[str], order: list[str], along: Column, name: str, max_rows: int = MAX_ROWS
+) -> DataFrame:
     """1-based row number per key, in order."""
-    out = running(with_bucket(df, bucket), keys, order, **{name: ("sum", F.lit(1).cast("long"))})
+    out = running(with_bucket(df, keys, along, max_rows), keys, order, **{name: ("sum", F.lit(1).cast("long"))})
     return without_bucket(out)
 
 
 def gap_sessions(
-    df: DataFrame, keys: list[str], ts: str, tie: list[str], gap: str, bucket_hours: int = 24,
-    same_day: bool = False,
+    df: DataFrame, keys: list[str], ts: str, tie: list[str], gap: str, same_day: bool = False,
+    max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """Add session_no and position (both 1-based): a gap above `gap` starts a new session.
 
@@ -108,7 +123,7 @@ def gap_sessions(
         return cut | (F.to_date(later) != F.to_date(earlier)) if same_day else cut
 
     rows = (
-        df.withColumn(_BUCKET, time_bucket(ts, bucket_hours))
+        with_bucket(df, keys, time_value(ts), max_rows)
         .withColumn("__prev", F.lag(ts).over(local))
         .withColumn("__n", F.row_number().over(local).cast("long"))
         .withColumn("__cut", F.coalesce(breaks(F.col("__prev"), F.col(ts)), F.lit(False)))
@@ -135,7 +150,10 @@ def gap_sessions(
             (F.col("rows0") - F.max("last_cut").over(before) + 1).alias("__open_rows"),
         )
     )
-    out = rows.join(parts, [*keys, _BUCKET])
+    # A left join, so rows with a null key are kept: they are one bucket, which opens at its first row.
+    out = rows.join(parts, [*keys, _BUCKET], "left")
+    out = out.withColumn("__opens", F.coalesce("__opens", F.lit(True)))
+    out = out.withColumn("__cuts0", F.coalesce("__cuts0", F.lit(0).cast("long")))
     opened = F.col("__opens").cast("long")
     position = (
         F.when(F.col("__cut_n").isNotNull(), F.col("__n") - F.col("__cut_n") + 1)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tracelake.functions.text import preview
 from tracelake.functions.times import from_epoch
-from tracelake.operators.sequences import gap_sessions, numbered, previous, with_bucket, without_bucket
+from tracelake.operators.sequences import gap_sessions, previous, running, time_value, with_bucket, without_bucket
 from tracelake.plans.digest import WRITE_TOOLS
 
 # Bodies a file can be recovered from.
@@ -69,8 +69,8 @@ def density_shifts(messages: DataFrame, factor: float = 3.0) -> DataFrame:
         edits(messages).groupBy("session_id", F.date_trunc("hour", "created_at").alias("hour"))
         .agg(F.count(F.lit(1)).alias("edits"))
     )
-    day = F.floor(F.timestamp_diff("DAY", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("hour"))).cast("long")
-    lagged = without_bucket(previous(with_bucket(hourly, day), ["session_id"], ["hour"], {"before": "edits"}))
+    placed = with_bucket(hourly, ["session_id"], time_value("hour"))
+    lagged = without_bucket(previous(placed, ["session_id"], ["hour"], {"before": "edits"}))
     return lagged.filter(F.col("edits") >= factor * F.col("before"))
 
 
@@ -134,9 +134,9 @@ def version_deltas(versions: DataFrame) -> DataFrame:
     """
     slim = versions.select("target_file", "chunk_id", "content_hash", "body_tool", "timestamp", "session_id", "position")
     order = ["timestamp", "session_id", "position", "chunk_id"]
-    day = F.floor(F.col("timestamp") / F.lit(86400)).cast("long")
-    lagged = without_bucket(previous(with_bucket(slim, day), ["target_file"], order, {"prev_hash": "content_hash"}))
-    placed = numbered(lagged, ["target_file"], order, day, "version")
+    cut = with_bucket(slim, ["target_file"], F.col("timestamp"))
+    cut = previous(cut, ["target_file"], order, {"prev_hash": "content_hash"})
+    placed = without_bucket(running(cut, ["target_file"], order, version=("sum", F.lit(1).cast("long"))))
     lines = versions.groupBy("content_hash").agg(
         F.any_value(F.split(body_text(F.col("body_tool"), F.col("content")), "\n")).alias("lines")
     )

@@ -16,17 +16,20 @@ from tracelake.functions.text import words
 
 K1 = 1.2
 B = 0.75
-POSTINGS = "token string, id string, positions array<int>"
+POSTINGS = "token string, id string, length int, positions array<int>"
 DOCUMENTS = "id string, length int"
 
 
 def build_index(chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Postings (token, id, positions) and documents (id, length) of chunks (id, content)."""
+    """Postings (token, id, length, positions) and documents (id, length) of chunks (id, content).
+
+    A posting carries the length of its chunk, so ranking needs no join to the documents.
+    """
     tokens = chunks.select("id", words(F.coalesce("content", F.lit(""))).alias("tokens"))
     documents = tokens.select("id", F.size("tokens").alias("length"))
     postings = (
-        tokens.select("id", F.posexplode("tokens").alias("pos", "token"))
-        .groupBy("token", "id").agg(F.array_sort(F.collect_list("pos")).alias("positions"))
+        tokens.select("id", F.size("tokens").alias("length"), F.posexplode("tokens").alias("pos", "token"))
+        .groupBy("token", "id").agg(F.max("length").alias("length"), F.array_sort(F.collect_list("pos")).alias("positions"))
     )
     return postings, documents
 
@@ -89,15 +92,15 @@ def keyword(
     # One entry per query word and chunk, so the map stays as small as the query.
     per_id = (
         postings.filter(F.col("token").isin(wanted)).groupBy("id")
-        .agg(F.map_from_entries(F.collect_list(F.struct("token", "positions"))).alias("by_token"))
+        .agg(F.max("length").alias("length"), F.map_from_entries(F.collect_list(F.struct("token", "positions"))).alias("by_token"))
     )
-    counted = per_id.select("id", *[_hits(u).alias(f"tf{i}") for i, u in enumerate(units)])
+    counted = per_id.select("id", "length", *[_hits(u).alias(f"tf{i}") for i, u in enumerate(units)])
     totals = documents.agg(F.count(F.lit(1)).alias("n"), F.avg("length").alias("avg")).select(F.struct("n", "avg"))
     found = counted.agg(F.array(*[F.count_if(F.col(f"tf{i}") > 0) for i in range(len(units))]))
     matched = counted.filter(" AND ".join(f"tf{i} > 0" for i in range(len(units))))
     if candidates is not None:
         matched = matched.join(candidates.select("id"), "id", "left_semi")
-    scored = matched.join(documents, "id").withColumn("__t", totals.scalar()).withColumn("__df", found.scalar())
+    scored = matched.withColumn("__t", totals.scalar()).withColumn("__df", found.scalar())
     rank = F.lit(0.0)
     for i in range(len(units)):
         df, tf = F.get("__df", i), F.col(f"tf{i}")

@@ -125,8 +125,8 @@ def chunk_rows(sessions: DataFrame, messages: DataFrame, parts: DataFrame, fallb
     # A part without text makes no row here, so it gets no number later.
     p = p.select("*", F.explode(F.filter(F.array(part_text()), lambda t: ~is_blank(t))).alias("text"))
     rows = p.join(m, ["session_id", "message_id"]).join(s, "session_id")
-    day = F.coalesce(F.floor(F.col("m_created") / F.lit(86400)).cast("long"), F.lit(-1).cast("long"))
-    rows = numbered(rows, ["session_id"], ["m_created", "message_id", "p_created", "part_id"], day, "chunk_number")
+    order = ["m_created", "message_id", "p_created", "part_id"]
+    rows = numbered(rows, ["session_id"], order, F.col("m_created"), "chunk_number")
     kind = text_at("d", "$.type")
     is_tool = kind == "tool"
     is_user = F.col("m_role") == "user"
