@@ -26,7 +26,7 @@ def with_bucket(df: DataFrame, keys: list[str], along: Column, max_rows: int = M
     Rows are counted per key first (combined on the map side).  Keys above
     max_rows get slices of equal width, as many as it takes for max_rows rows
     each on average.  There are at most (rows / max_rows) such keys, which bounds
-    what is broadcast.  A null along sorts first and has a bucket of its own; rows
+    what is broadcast.  A null along sorts first, before the first slice; rows
     with a null key are one group and stay one bucket.
     """
     counted = df.select(*keys, along.alias("__along")).groupBy(*keys).agg(
@@ -38,7 +38,8 @@ def with_bucket(df: DataFrame, keys: list[str], along: Column, max_rows: int = M
     for k in keys:
         same = same & (df[k] == F.col(f"__k_{k}"))
     slice_no = F.floor((along - F.col("__lo")) / F.col("__width")).cast("long")
-    bucket = F.when(along.isNull(), F.lit(-1).cast("long")).otherwise(F.coalesce(slice_no, F.lit(0).cast("long")))
+    zero, first = F.lit(0).cast("long"), F.lit(-1).cast("long")
+    bucket = F.when(F.col("__width").isNull(), zero).when(along.isNull(), first).otherwise(slice_no)
     out = df.join(F.broadcast(large), same, "left").withColumn(_BUCKET, bucket)
     return out.select(*df.columns, _BUCKET)
 
