@@ -42,6 +42,15 @@ def test_audit(spark):
     assert got == {"k": (4, 1, 1, '{"a":"2","b":"1"}'), "l": (1, 1, 0, '{"a":"2","b":"1"}')}
 
 
+def test_merged_statistics(spark):
+    schema = "source_id string, type string, timestamp long"
+    rows = [("s", "user_prompt", 5), ("s", "assistant", 9), ("t", "user_prompt", 1), ("s", "user_prompt", 2), ("u", "x", 7)]
+    merged = incremental.merge_stats(
+        incremental.source_stats(spark.createDataFrame(rows[:2], schema)), spark.createDataFrame(rows[2:], schema))
+    whole = incremental.source_stats(spark.createDataFrame(rows, schema))
+    assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, whole.collect()))
+
+
 def test_signature(spark, tmp_path):
     (tmp_path / "x").mkdir()
     (tmp_path / "x" / "aider.chat.md").write_text("12345")

@@ -21,6 +21,12 @@ def _high_water(spark, sf):
     return fresh.select("chunk_id", "chunk_number", "content", "type")
 
 
+def _stats(spark, sf):
+    """Statistics of the half-written transcripts, merged with the rows above the mark."""
+    old = H.chunks(spark, sf, half=True)
+    return incremental.merge_stats(incremental.source_stats(old), incremental.above_high_water(old, H.chunks(spark, sf)))
+
+
 def _blocks(spark, sf):
     return H.blocks(spark, sf).drop("event", "raw")
 
@@ -59,6 +65,7 @@ def queries() -> dict:
         "transcript_coverage": lambda spark, sf: chat.coverage(H.blocks(spark, sf)),
         "transcript_unclassified": lambda spark, sf: chat.unclassified(H.blocks(spark, sf)),
         "transcript_high_water": _high_water,
+        "source_stats": _stats,
         "input_history": lambda spark, sf: logs.input_history(H.input_files(spark, sf)),
         "model_log": lambda spark, sf: logs.model_log(H.model_files(spark, sf)),
         "analytics_log": _analytics,

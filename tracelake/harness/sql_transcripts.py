@@ -137,12 +137,25 @@ h5 AS (SELECT *, row_number() OVER (PARTITION BY path, session_index ORDER BY st
    WHERE role IN ('system', 'tool') OR regexp_matches(content, '\\S')),
 mark AS (SELECT source_id, max(block_no) AS m FROM h5 JOIN ses USING (path, session_index) LEFT JOIN tl ON tl.n = h5.n AND h5.role = 'tool'
    WHERE h5.content <> '' OR (h5.role = 'tool' AND tl.kind <> 'raw_status') GROUP BY 1)
-SELECT chunk_id, chunk_number, content, type FROM chk LEFT JOIN mark USING (source_id) WHERE chunk_number > coalesce(m, 0)"""
+"""
+
+STATS = HIGH_WATER.rstrip() + """,
+half AS (SELECT source_id, block_no, CASE WHEN h5.role = 'user' THEN 1 ELSE 0 END AS prompt FROM h5 JOIN ses USING (path, session_index)
+   LEFT JOIN tl ON tl.n = h5.n AND h5.role = 'tool' WHERE h5.content <> '' OR (h5.role = 'tool' AND tl.kind <> 'raw_status')),
+start AS (SELECT source_id, min(timestamp - chunk_number) AS t FROM chk GROUP BY 1),
+both_rows AS (SELECT half.source_id, prompt, t + block_no AS ts FROM half JOIN start ON start.source_id = half.source_id
+   UNION ALL SELECT source_id, CASE WHEN type = 'user_prompt' THEN 1 ELSE 0 END, timestamp FROM chk LEFT JOIN mark USING (source_id)
+   WHERE chunk_number > coalesce(m, 0))
+SELECT source_id, count(*) AS message_count, CAST(sum(prompt) AS BIGINT) AS prompt_count, min(ts) AS first_ts, max(ts) AS last_ts
+FROM both_rows GROUP BY 1"""
+
+HIGH_WATER += """SELECT chunk_id, chunk_number, content, type FROM chk LEFT JOIN mark USING (source_id) WHERE chunk_number > coalesce(m, 0)"""
 
 
 def all_sql() -> dict[str, str]:
     out = {name: f"WITH {BASE.strip()}\n{body}" for name, body in QUERIES.items()}
     out["transcript_high_water"] = "WITH " + HIGH_WATER
+    out["source_stats"] = "WITH " + STATS
     out["input_history"] = INPUT.strip()
     out["model_log"] = MODEL.strip()
     out["analytics_log"] = ANALYTICS.strip()

@@ -52,6 +52,23 @@ def changed_below_high_water(stored: DataFrame, incoming: DataFrame, key: str =
     return old.join(new, key).filter(F.col("stored_hash") != F.col("incoming_hash"))
 
 
+def source_stats(chunks: DataFrame, source: str = "source_id") -> DataFrame:
+    """Messages, user prompts and the time range per source."""
+    return chunks.groupBy(source).agg(
+        F.count(F.lit(1)).alias("message_count"), F.count_if(F.col("type") == "user_prompt").alias("prompt_count"),
+        F.min("timestamp").alias("first_ts"), F.max("timestamp").alias("last_ts"),
+    )
+
+
+def merge_stats(stored: DataFrame, fresh: DataFrame, source: str = "source_id") -> DataFrame:
+    """Stored statistics plus those of newly inserted chunks; the old chunks are not read again."""
+    both = stored.unionByName(source_stats(fresh, source))
+    return both.groupBy(source).agg(
+        F.sum("message_count").alias("message_count"), F.sum("prompt_count").alias("prompt_count"),
+        F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"),
+    )
+
+
 def directory_signature(files: DataFrame) -> DataFrame:
     """Total size and number of the files (columns of the binaryFile source)."""
     return files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("total_size"), F.count(F.lit(1)).alias("file_count"))
