@@ -86,9 +86,8 @@ def test_event_json_is_sorted_json(spark):
 
     text = "# aider chat started at 2024-01-01 10:00:00\n> Applied edit to a.py\n#### hello\n"
     files = spark.createDataFrame([("p", text)], "path string, text string")
-    rows = chat.lines(files)
-    blocks = chat.blocks(rows)
-    chunks = chat.chunk_rows(chat.sessions(rows, blocks), blocks, 0)
+    blocks = chat.blocks(chat.lines(files))
+    chunks = chat.chunk_rows(chat.sessions(files, blocks), blocks, 0)
     out = {r["event_kind"]: r["event_json"] for r in chat.tool_events(chunks).collect()}
     assert out["edit_applied"] == json.dumps(
         {"path": "a.py", "raw": "Applied edit to a.py", "role": "tool", "start_line": 2, "end_line": 2, "event_kind": "edit_applied"},

@@ -100,9 +100,8 @@ def test_stream_equals_batch(spark, tmp_path, shared):
     got = sinks.read_current(spark, table, arrivals.CHUNKS)
     path = [r["path"] for r in chat.read_transcripts(spark, str(land)).collect() if "aider.a.chat" in r["path"]][0]
     files = spark.createDataFrame([(path, HEAD + "#### two\n> Applied edit to a.py\n")], "path string, text string")
-    rows = chat.lines(files)
-    blocks = chat.blocks(rows)
-    want = chat.chunk_rows(chat.sessions(rows, blocks), blocks, 0).select("chunk_number", "content", "timestamp")
+    blocks = chat.blocks(chat.lines(files))
+    want = chat.chunk_rows(chat.sessions(files, blocks), blocks, 0).select("chunk_number", "content", "timestamp")
     mine = got.filter(F.col("timestamp") < 1704200000).select("chunk_number", "content", "timestamp")
     assert sorted(map(tuple, mine.collect())) == sorted(map(tuple, want.collect()))
     assert got.count() == 7

@@ -36,7 +36,7 @@ def write(folder, name, data: bytes):
 def parsed(spark, files):
     rows = chat.lines(files)
     blocks = chat.blocks(rows)
-    return rows, blocks, chat.sessions(rows, blocks)
+    return rows, blocks, chat.sessions(files, blocks)
 
 
 def test_scan_blocks_and_sessions(spark, tmp_path):

@@ -89,7 +89,7 @@ def blocks(spark: SparkSession, sf: str, half: bool = False) -> DataFrame:
 
 
 def sessions(spark: SparkSession, sf: str, half: bool = False) -> DataFrame:
-    return chat.sessions(chat.lines(files(spark, sf, half)), blocks(spark, sf, half))
+    return chat.sessions(files(spark, sf, half), blocks(spark, sf, half))
 
 
 def chunks(spark: SparkSession, sf: str, half: bool = False) -> DataFrame:

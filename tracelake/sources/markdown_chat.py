@@ -52,10 +52,14 @@ def split_lines(text: Column | str) -> Column:
     return F.filter(F.split(plain, f"(?<={LINE_END})"), lambda x: x != "")
 
 
+def _is_header(line: Column) -> Column:
+    return F.regexp_like(F.regexp_replace(line, r"\n+\z", ""), F.lit(SESSION_HEADER))
+
+
 def _role(line: Column) -> Column:
     bare = F.regexp_replace(line, r"\n+\z", "")
     return (
-        F.when(F.regexp_like(bare, F.lit(SESSION_HEADER)), "system")
+        F.when(_is_header(line), "system")
         .when(F.startswith(bare, F.lit(USER_MARK)), "user")
         .when(F.startswith(bare, F.lit(TOOL_MARK)), "tool")
         .otherwise("assistant")
@@ -134,12 +138,25 @@ def source_id(path: Column, index: Column, started_at: Column) -> Column:
     return F.concat(F.lit(PREFIX), F.substring(F.sha1(stable), 1, 24))
 
 
-def sessions(file_lines: DataFrame, block_rows: DataFrame) -> DataFrame:
-    """One row per session with its line range, metadata, title and stable id."""
-    extent = file_lines.groupBy("path", "session_index").agg(
-        F.min("line_no").alias("start_line"), F.max("line_no").alias("end_line")
+def extents(files: DataFrame) -> DataFrame:
+    """path, session_index, start_line, end_line, found inside the row of the file: nothing is shuffled."""
+    listed = files.select("path", split_lines("text").alias("__lines")).filter(F.size("__lines") > 0)
+    starts = F.filter(
+        F.transform("__lines", lambda x, i: F.when(_is_header(x), i + 1)), lambda n: n.isNotNull()
+    )
+    found = listed.select("path", F.size("__lines").alias("__n"), starts.alias("__starts"))
+    flat = found.select("path", "__n", "__starts", F.posexplode("__starts").alias("at", "start"))
+    after = F.get("__starts", F.col("at") + 1)
+    return flat.select(
+        "path", F.col("at").cast("long").alias("session_index"), F.col("start").cast("long").alias("start_line"),
+        F.coalesce(after - 1, F.col("__n")).cast("long").alias("end_line"),
     )
 
+
+def sessions(files: DataFrame, block_rows: DataFrame) -> DataFrame:
+    """One row per session with its line range, metadata, title and stable id."""
+    extent = extents(files)
+
     def pick(kind: str, field: str, chooser) -> Column:
         v = nonempty(value("event", field))
         ok = (F.col("role") == "tool") & (F.col("event_kind") == kind) & v.isNotNull()

@@ -39,10 +39,9 @@ def _logical(files: DataFrame) -> DataFrame:
 def ingest_files(spark: SparkSession, files: DataFrame, table: str) -> str:
     """One batch: parse the files, append the new chunk rows, write the next table version."""
     newest = _logical(files)
-    rows = chat.lines(newest)
-    blocks = chat.blocks(rows)
+    blocks = chat.blocks(chat.lines(newest))
     made = newest.select("path", "modified")
-    sessions = chat.sessions(rows, blocks).join(made, "path")
+    sessions = chat.sessions(newest, blocks).join(made, "path")
     chunks = chat.chunk_rows(sessions, blocks, 0)
     late = sessions.select("source_id", "modified", "started_at")
     # A header without a readable time falls back to the file's own time.
