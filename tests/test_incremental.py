@@ -91,13 +91,13 @@ def test_stream_equals_batch(spark, tmp_path, shared):
     (land / "aider.a.chat.md").write_text(HEAD)
     (land / "aider.b.chat.md").write_text("# aider chat started at never\n> Aider v1\n")
     arrivals.start(spark, str(land), table, check).awaitTermination()
-    first = sinks.read_current(spark, table, arrivals.CHUNKS)
+    first = arrivals.stored_chunks(spark, table)
     assert first.count() == 5
     # The transcript grew: the new drop holds all of it under a versioned name.
     (land / "aider.a@2.chat.md").write_text(HEAD + "#### two\n> Applied edit to a.py\n")
     arrivals.start(spark, str(land), table, check).awaitTermination()
     arrivals.start(spark, str(land), table, check).awaitTermination()  # nothing new: nothing changes
-    got = sinks.read_current(spark, table, arrivals.CHUNKS)
+    got = arrivals.stored_chunks(spark, table)
     path = [r["path"] for r in chat.read_transcripts(spark, str(land)).collect() if "aider.a.chat" in r["path"]][0]
     files = spark.createDataFrame([(path, HEAD + "#### two\n> Applied edit to a.py\n")], "path string, text string")
     blocks = chat.blocks(chat.lines(files))
@@ -110,6 +110,7 @@ def test_stream_equals_batch(spark, tmp_path, shared):
 def test_replayed_batch_adds_nothing(spark, tmp_path):
     table = str(tmp_path / "t")
     files = spark.createDataFrame([("/l/aider.a.chat.md", HEAD, 5)], "path string, text string, modified long")
-    arrivals.ingest_files(spark, files, table)
-    arrivals.ingest_files(spark, files, table)
-    assert sinks.read_current(spark, table, arrivals.CHUNKS).count() == 3
+    arrivals.ingest_files(spark, files, table, 0)
+    arrivals.ingest_files(spark, files, table, 0)  # the same batch again, after a failure
+    arrivals.ingest_files(spark, files, table, 1)  # the same file again, as a later batch
+    assert arrivals.stored_chunks(spark, table).count() == 3

@@ -1,7 +1,9 @@
 """Idempotent merges of a batch into a table, and the content-addressed store.
 
-Each function returns DataFrames; `write_version` stores a result as a new
-directory, so a failed job never leaves a half-written table behind.
+Each function returns DataFrames.  Append-only tables (keep-first, high-water)
+are stored as one directory per batch, so a batch writes only its own rows and a
+replayed batch replaces itself.  Tables whose rows change are stored as whole
+versions, read by the newest complete one.
 """
 
 from __future__ import annotations
@@ -89,10 +91,28 @@ def content_store(bodies: DataFrame) -> tuple[DataFrame, DataFrame]:
     return store, edges
 
 
-def _versions(spark: SparkSession, base: str) -> list[int]:
+def _folder(spark: SparkSession, base: str):
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(base)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return jvm, root, root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def write_batch(df: DataFrame, base: str, batch_id: int) -> None:
+    """Write the rows of one batch into its own directory; the same batch again replaces it."""
+    df.write.mode("overwrite").parquet(f"{base}/batch={batch_id}")
+
+
+def read_batches(spark: SparkSession, base: str, schema: str, before: int | None = None) -> DataFrame:
+    """All rows of an append-only table, or those of the batches before one; empty when there is none yet."""
+    _, root, fs = _folder(spark, base)
+    if not fs.exists(root):
+        return spark.createDataFrame([], schema)
+    df = spark.read.schema(f"{schema}, batch long").parquet(base)
+    return (df if before is None else df.filter(F.col("batch") < before)).drop("batch")
+
+
+def _versions(spark: SparkSession, base: str) -> list[int]:
+    jvm, root, fs = _folder(spark, base)
     if not fs.exists(root):
         return []
     found = []

@@ -89,14 +89,18 @@ def keyword(
     postings, documents = index
     units = parse_query(query)
     wanted = sorted({w for u in units for w in u})
+    read = postings.filter(F.col("token").isin(wanted))
     # One entry per query word and chunk, so the map stays as small as the query.
     per_id = (
-        postings.filter(F.col("token").isin(wanted)).groupBy("id")
+        read.groupBy("id")
         .agg(F.max("length").alias("length"), F.map_from_entries(F.collect_list(F.struct("token", "positions"))).alias("by_token"))
     )
     counted = per_id.select("id", "length", *[_hits(u).alias(f"tf{i}") for i, u in enumerate(units)])
     totals = documents.agg(F.count(F.lit(1)).alias("n"), F.avg("length").alias("avg")).select(F.struct("n", "avg"))
-    found = counted.agg(F.array(*[F.count_if(F.col(f"tf{i}") > 0) for i in range(len(units))]))
+    if all(len(u) == 1 for u in units):  # a word is in as many chunks as it has postings: no grouping by chunk
+        found = read.agg(F.array(*[F.count_if(F.col("token") == u[0]) for u in units]))
+    else:
+        found = counted.agg(F.array(*[F.count_if(F.col(f"tf{i}") > 0) for i in range(len(units))]))
     matched = counted.filter(" AND ".join(f"tf{i} > 0" for i in range(len(units))))
     if candidates is not None:
         matched = matched.join(candidates.select("id"), "id", "left_semi")

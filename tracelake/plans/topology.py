@@ -14,20 +14,6 @@ from tracelake.functions.times import calendar_since, instant, week_end, week_st
 from tracelake.operators.ranking import top_per_group
 
 
-def distinct_list(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
-    """Sorted, comma-joined distinct values per key; duplicates go before the values meet."""
-    pairs = df.filter(F.col(value).isNotNull()).select(*keys, value).distinct()
-    return pairs.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_list(value)), ",").alias(out))
-
-
-def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
-    renamed = right.select(*[F.col(c).alias(f"__r_{c}") if c in keys else F.col(c) for c in right.columns])
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & left[k].eqNullSafe(renamed[f"__r_{k}"])
-    return left.join(renamed, cond, how).drop(*[f"__r_{k}" for k in keys])
-
-
 def seed(sessions: DataFrame, as_of, days: int = 14, min_sessions: int = 5) -> DataFrame:
     """Communities with at least min_sessions sessions in the window."""
     recent = sessions.filter(calendar_since("started_at", as_of, days) & F.col("community_id").isNotNull())

@@ -42,10 +42,16 @@ def dedupe_with_limit(heads: DataFrame, limit: int | None = None) -> DataFrame:
 
 
 def threads(heads: DataFrame, comments: DataFrame) -> DataFrame:
-    """Heads left-joined to their positioned comments, one row per comment or lonely head."""
+    """Heads with their positioned comments, one row per comment or lonely head.
+
+    An inner join and the lonely heads apart, instead of an outer join kept by the
+    heads: Spark can split a head with very many comments only in the inner join.
+    """
     h = heads.select(F.col("id").alias("head_id"), F.col("created_utc").alias("head_created"), "title", "num_comments")
     c = comments.select("head_id", "position", "comment_id", "author", F.col("created_utc").alias("comment_created"))
-    return h.join(c, "head_id", "left")
+    talked = c.join(h, "head_id")
+    lonely = h.join(c.select("head_id").distinct(), "head_id", "left_anti")
+    return talked.unionByName(lonely, allowMissingColumns=True)
 
 
 def sources(heads: DataFrame, prefix: str) -> DataFrame:

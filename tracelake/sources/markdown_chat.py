@@ -230,7 +230,7 @@ def with_tool_op(block_rows: DataFrame) -> DataFrame:
 def chunk_rows(session_rows: DataFrame, block_rows: DataFrame, fallback_epoch: Column | int) -> DataFrame:
     """Canonical message rows; blank chunks are left out but keep their number."""
     fallback = fallback_epoch if isinstance(fallback_epoch, Column) else F.lit(fallback_epoch).cast("long")
-    heads = session_rows.select(
+    heads = session_rows.select(  # the fallback may be a column of the session rows
         "path", "session_index", "source_id", F.coalesce(stamp_epoch("started_at"), fallback).alias("__start")
     )
     role = F.col("role")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tracelake.operators.ranking import pick_last
-from tracelake.operators.sinks import read_current, write_version
+from tracelake.operators.sinks import read_batches, write_batch
 from tracelake.sources import markdown_chat as chat
 from tracelake.streaming.incremental import above_high_water
 
@@ -14,6 +14,7 @@ CHUNKS = """
 chunk_id string, source_id string, chunk_number long, type string, role string, content string, timestamp long,
 tool_name string, target_file string, success boolean, event_kind string, start_line long, end_line long
 """
+MARKS = "source_id string, chunk_number long"
 # Fixed by Spark: the columns of its binaryFile source.
 FILE = "path string, modificationTime timestamp, length long, content binary"
 _COLUMNS = [c.split()[0] for c in CHUNKS.replace("\n", " ").split(",")]
@@ -36,29 +37,33 @@ def _logical(files: DataFrame) -> DataFrame:
     return pick_last(named, ["path"], ["modified", "text"])
 
 
-def ingest_files(spark: SparkSession, files: DataFrame, table: str) -> str:
-    """One batch: parse the files, append the new chunk rows, write the next table version."""
+def ingest_files(spark: SparkSession, files: DataFrame, table: str, batch_id: int) -> None:
+    """One batch: parse the files and write only the rows above the marks of the earlier batches.
+
+    The marks (highest number per source) are a small table of their own, so the
+    stored chunks are not read again.  A replayed batch replaces its own rows.
+    """
     newest = _logical(files)
     blocks = chat.blocks(chat.lines(newest))
-    made = newest.select("path", "modified")
-    sessions = chat.sessions(newest, blocks).join(made, "path")
-    chunks = chat.chunk_rows(sessions, blocks, 0)
-    late = sessions.select("source_id", "modified", "started_at")
+    sessions = chat.sessions(newest, blocks).join(newest.select("path", "modified"), "path")
     # A header without a readable time falls back to the file's own time.
-    fixed = chunks.join(late, "source_id").withColumn(
-        "timestamp",
-        F.when(chat.stamp_epoch("started_at").isNull(), F.col("modified") + F.col("chunk_number") - 1).otherwise(F.col("timestamp")),
-    ).select(*_COLUMNS)
-    stored = read_current(spark, table, CHUNKS)
-    return write_version(stored.unionByName(above_high_water(stored, fixed)), table)
+    chunks = chat.chunk_rows(sessions, blocks, F.col("modified")).select(*_COLUMNS)
+    marks = read_batches(spark, f"{table}/marks", MARKS, before=batch_id)
+    write_batch(above_high_water(marks, chunks), f"{table}/chunks", batch_id)
+    written = spark.read.schema(CHUNKS).parquet(f"{table}/chunks/batch={batch_id}")
+    write_batch(written.groupBy("source_id").agg(F.max("chunk_number").alias("chunk_number")), f"{table}/marks", batch_id)
+
+
+def stored_chunks(spark: SparkSession, table: str) -> DataFrame:
+    return read_batches(spark, f"{table}/chunks", CHUNKS)
 
 
 def start(
     spark: SparkSession, folder: str, table: str, checkpoint: str, pattern: str = "aider*.chat*.md", files_per_batch: int = 1000
 ) -> StreamingQuery:
-    """Process all files that have arrived, then stop. A replayed batch adds nothing: its rows are not above the mark."""
-    def batch(df: DataFrame, _: int) -> None:
-        ingest_files(spark, df, table)
+    """Process all files that have arrived, then stop."""
+    def batch(df: DataFrame, batch_id: int) -> None:
+        ingest_files(spark, df, table, batch_id)
 
     return (
         watch(spark, folder, pattern, files_per_batch).writeStream.foreachBatch(batch)
