@@ -167,8 +167,8 @@ def queries() -> dict:
         "source_graph": _graph,
         "source_bridges": lambda spark, sf: graph.bridge_listing(_graph(spark, sf)),
         "hub_sources_near_query": _hub_hits,
-        "user_voice": lambda spark, sf: vectors.user_voice(_prompts(spark, sf), AS_OF),
-        "user_voice_tight": lambda spark, sf: vectors.user_voice(_prompts(spark, sf), AS_OF, vectors.VOICE_TIGHT, 10),
-        "secondary_work": lambda spark, sf: vectors.secondary_work(_prompts(spark, sf)),
-        "workstream_clusters": lambda spark, sf: vectors.workstream_clusters(_prompts(spark, sf)),
+        "user_voice": lambda spark, sf: _rounded(vectors.user_voice(_prompts(spark, sf), AS_OF)),
+        "user_voice_tight": lambda spark, sf: _rounded(vectors.user_voice(_prompts(spark, sf), AS_OF, vectors.VOICE_TIGHT, 10)),
+        "secondary_work": lambda spark, sf: _rounded(vectors.secondary_work(_prompts(spark, sf))),
+        "workstream_clusters": lambda spark, sf: _rounded(vectors.workstream_clusters(_prompts(spark, sf))),
     }

@@ -96,6 +96,23 @@ QUERIES = {
   CASE WHEN block_role = 'user' THEN string_split(user_command, ' ')[1] WHEN n IN (6, 7, 8) THEN string_split(body, ' ')[1] END AS command_name,
   CASE WHEN block_role = 'user' AND starts_with(user_command, '/add ') THEN 'context_file'
        WHEN block_role = 'user' AND user_command IS NOT NULL THEN 'command' END AS command_kind FROM chk""",
+    "transcript_tool_events": """SELECT chunk_id, event_kind, CASE WHEN event_kind = 'raw_status' THEN 1 ELSE 0 END AS raw_status,
+  '{' || concat_ws(', ', CASE WHEN n = 24 THEN '"answer": "y"' END,
+    '"command": ' || CASE WHEN block_role = 'user' THEN coalesce(to_json(user_command)::VARCHAR, 'null') WHEN n IN (0, 1, 6, 7, 8) THEN to_json(body)::VARCHAR
+      WHEN n = 15 THEN to_json(substr(body, 12))::VARCHAR END,
+    CASE WHEN starts_with(user_command, '/add ') THEN '"command_kind": "context_file"' WHEN user_command IS NOT NULL THEN '"command_kind": "command"' END,
+    CASE WHEN user_command IS NOT NULL THEN '"command_name": ' || to_json(string_split(user_command, ' ')[1]) WHEN n IN (6, 7, 8) THEN '"command_name": ' || to_json(string_split(body, ' ')[1]) END,
+    CASE n WHEN 0 THEN '"dry_run": true' WHEN 1 THEN '"dry_run": false' END, CASE WHEN n = 3 THEN '"edit_format": "diff"' END,
+    '"end_line": ' || end_line, '"event_kind": "' || event_kind || '"', CASE WHEN n = 4 THEN '"git_repo": ' || to_json(substr(body, 11)) END,
+    CASE n WHEN 10 THEN '"hash": "ab' || d || '"' WHEN 11 THEN '"hash": "cd' || d || '"' END, CASE WHEN n = 21 THEN '"lines": "' || d || '"' END,
+    CASE WHEN n IN (10, 11) THEN '"message": "add file ' || d || '"' END, CASE WHEN n IN (0, 1) THEN '"message_file": false' END,
+    CASE n WHEN 0 THEN '"message_mode": false' WHEN 1 THEN '"message_mode": true' END, CASE WHEN n = 3 THEN '"model": ' || to_json(substr(body, 8)) END,
+    CASE WHEN n = 3 THEN '"model_name": "prov/m' || d || '"' END, CASE n WHEN 0 THEN '"no_git": true' WHEN 1 THEN '"no_git": false' END,
+    '"path": "' || target_file || '"', CASE WHEN block_role = 'tool' THEN '"raw": ' || to_json(body) END, CASE WHEN n = 9 THEN '"received": "30"' END,
+    CASE WHEN n = 5 THEN '"repo_map": ' || to_json(substr(body, 11)) END, CASE WHEN n IN (0, 1) THEN '"restore_history": false' END,
+    '"role": "' || block_role || '"', CASE WHEN n = 9 THEN '"sent": "' || d || '.5k"' END, CASE WHEN n IN (0, 1) THEN '"show_repo_map": false' END,
+    '"start_line": ' || start_line, CASE WHEN n = 2 THEN '"version": ' || to_json(substr(body, 8)) END) || '}' AS event_json
+  FROM chk WHERE event_kind IS NOT NULL""",
     "transcript_usage": """SELECT chunk_id, CASE WHEN n = 9 THEN d || '.5k' END AS sent, CASE WHEN n = 9 THEN '30' END AS received
   FROM chk WHERE event_kind = 'usage'""",
     "transcript_git_events": """SELECT chunk_id, event_kind, CASE n WHEN 10 THEN 'ab' ELSE 'cd' END || d AS commit_hash,

@@ -25,6 +25,7 @@ SUPPRESS_SHARE = 0.5
 POOL = 300
 DIVERSE_SHARE = 0.7
 NEIGHBOURS = 5
+DIGITS = 9  # a product differs in its last bits with the batch it is made in; rounded, equal texts tie and the id decides
 
 
 def _slot(token: str) -> tuple[int, float]:
@@ -82,7 +83,7 @@ def cosine(c: str, query: Sequence[float]) -> Column:
         present = vectors.is_valid().to_numpy(zero_copy_only=False)
         m = vectors.drop_null().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, len(q))
         out = np.full(len(vectors), np.nan)
-        out[present] = _unit_rows(m) @ q
+        out[present] = np.round(_unit_rows(m) @ q, DIGITS)
         return pa.array(out, mask=~present)
 
     return F.arrow_udf(score, T.DoubleType())(F.col(c))
@@ -103,7 +104,7 @@ def score(
     if decay_days is not None:
         age = F.timestamp_diff("SECOND", F.col(created), instant(as_of)) / F.lit(86400.0)
         out = out.withColumn("score", F.col("score") * F.pow(F.lit(0.5), age / F.lit(float(decay_days))))
-    return out
+    return out.withColumn("score", F.round("score", DIGITS))
 
 
 def top(scored: DataFrame, limit: int) -> DataFrame:
@@ -126,7 +127,7 @@ def _mmr(limit: int, share: float):
         taken: list[int] = []
         while len(taken) < min(limit, len(pdf)):
             gain = score if not taken else share * score - (1 - share) * near
-            gain = np.round(gain, 9)
+            gain = np.round(gain, DIGITS)
             gain[taken] = -np.inf
             best = int(np.argmax(gain))
             taken.append(best)
@@ -149,14 +150,14 @@ def _climb(neighbours: int):
         if not parts:
             return
         pdf, unit = _sorted_pool(pd.concat(parts))
-        sim = np.round(unit @ unit.T, 9)
+        sim = np.round(unit @ unit.T, DIGITS)
         np.fill_diagonal(sim, -np.inf)
         k = min(neighbours, len(pdf) - 1)
         if k < 1:
             yield pd.DataFrame({"id": pdf["id"], "_cluster_id": [1], "_is_attractor": [1], "score": pdf["score"]})
             return
         nearest = np.argsort(-sim, axis=1, kind="stable")[:, :k]
-        density = np.round(np.take_along_axis(sim, nearest, axis=1).mean(axis=1), 9)
+        density = np.round(np.take_along_axis(sim, nearest, axis=1).mean(axis=1), DIGITS)
         rank = np.lexsort((np.arange(len(pdf)), -density)).argsort()  # 0 is the densest, ties by pool order
         parent = np.array([min([i, *nearest[i]], key=lambda j: rank[j]) for i in range(len(pdf))])
         while (parent[parent] != parent).any():
