@@ -126,7 +126,8 @@ def _prompts(spark, sf):
 
 def _hub_hits(spark, sf):
     scored = vectors.score(_sources(spark, sf).withColumn("id", F.col("source_id")), _query(spark, sf, 0))
-    return vectors.hub_hits(scored.select("id", "source_id", "score"), _graph(spark, sf))
+    hits = vectors.hub_hits(scored.select("id", "source_id", "score"), _graph(spark, sf))
+    return _rounded(hits).withColumn("centrality", F.round("centrality", 8))
 
 
 def _ranked(hits):
@@ -164,8 +165,8 @@ def queries() -> dict:
         "source_mean_vectors": _means,
         "source_anchor_edges": _anchor_edges,
         "source_centrality": lambda spark, sf: _graph(spark, sf).select("source_id", F.round("centrality", 8).alias("centrality")),
-        "source_graph": _graph,
-        "source_bridges": lambda spark, sf: graph.bridge_listing(_graph(spark, sf)),
+        "source_graph": lambda spark, sf: _graph(spark, sf).withColumn("centrality", F.round("centrality", 8)),
+        "source_bridges": lambda spark, sf: graph.bridge_listing(_graph(spark, sf)).withColumn("centrality", F.round("centrality", 8)),
         "hub_sources_near_query": _hub_hits,
         "user_voice": lambda spark, sf: _rounded(vectors.user_voice(_prompts(spark, sf), AS_OF)),
         "user_voice_tight": lambda spark, sf: _rounded(vectors.user_voice(_prompts(spark, sf), AS_OF, vectors.VOICE_TIGHT, 10)),

@@ -24,7 +24,6 @@ ANCHORS = 64
 NEAREST = 3
 DAMPING = 0.85
 STEPS = 30
-LINKS = 2
 BRIDGE_SHARE = 0.4
 
 
@@ -120,28 +119,20 @@ def walk_anchors(n: int, mass: np.ndarray, start: np.ndarray, walk: np.ndarray,
     return visits * inverse
 
 
-def anchor_communities(mass: np.ndarray, walk: np.ndarray, links: int = LINKS) -> np.ndarray:
-    """Label propagation over the strongest links between anchors; labels are anchor numbers."""
-    k = len(mass)
+def anchor_communities(mass: np.ndarray, walk: np.ndarray) -> np.ndarray:
+    """Communities of anchors: each is linked to its strongest neighbour, and the smallest label spreads along the links."""
     scale = np.sqrt(np.outer(mass, mass))
-    near = np.divide(walk, scale, out=np.zeros_like(walk), where=scale > 0)
-    near = np.round((near + near.T) / 2, 9)
+    near = np.round(np.divide(walk, scale, out=np.zeros_like(walk), where=scale > 0), 9)
     np.fill_diagonal(near, 0.0)
-    linked = np.zeros_like(near)
-    for i in range(k):
-        for j in np.argsort(-near[i], kind="stable")[:links]:
-            linked[i, j] = linked[j, i] = near[i, j]
-    labels = np.arange(k)
-    for _ in range(20):
+    strongest = near.argmax(axis=1)  # the first of equals
+    links = [(i, j) for i, j in enumerate(strongest) if near[i, j] > 0]
+    labels = np.arange(len(mass))
+    while True:
         before = labels.copy()
-        for i in range(k):
-            if linked[i].any():
-                votes = np.bincount(labels, weights=linked[i], minlength=k)
-                votes[labels[i]] += 1e-9  # a tie keeps the label it has
-                labels[i] = int(np.argmax(np.round(votes, 12)))
+        for i, j in links:
+            labels[i] = labels[j] = min(labels[i], labels[j])
         if (before == labels).all():
-            break
-    return labels
+            return labels
 
 
 def source_graph(
