@@ -6,11 +6,13 @@ becomes one message.  All later 'now' values are AS_OF, the end of the data.
 
 from __future__ import annotations
 
+from hashlib import md5
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tracelake.functions.times import epoch_seconds
 from tracelake.operators.sequences import gap_sessions
-from tracelake.session import checkpoint_dir
+from tracelake.session import shared_folder
 
 AS_OF = "2024-01-31 00:00:00"
 LARGE = 10
@@ -42,13 +44,19 @@ _KEPT: dict[tuple, DataFrame] = {}
 def stored(name: str, spark: SparkSession, sf: str, make) -> DataFrame:
     """Rows the reports would find already ingested: made once per session and read by all later queries.
 
-    Where the cluster names a shared folder they are written there; else they are
-    cached, and a lost block is computed again.
+    Where the cluster names a shared folder they are a Parquet table there, so
+    later queries read only the columns they need and a lost executor costs
+    nothing; else they are cached, and a lost block is computed again.
     """
     key = (name, spark.sparkContext.applicationId, sf)
     if key not in _KEPT:
-        made = make()
-        _KEPT[key] = made.checkpoint(eager=True) if checkpoint_dir(spark) else made.persist()
+        folder = shared_folder(spark)
+        if folder is None:
+            _KEPT[key] = make().persist()
+        else:
+            path = f"{folder}/{spark.sparkContext.applicationId}/{name}-{md5(sf.encode()).hexdigest()[:8]}"
+            make().write.mode("overwrite").parquet(path)
+            _KEPT[key] = spark.read.parquet(path)
     return _KEPT[key]
 
 
@@ -91,6 +99,10 @@ def messages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sessions(spark: SparkSession, sf: str) -> DataFrame:
+    return stored("sessions", spark, sf, lambda: _sessions(spark, sf))
+
+
+def _sessions(spark: SparkSession, sf: str) -> DataFrame:
     ev = numbered_events(spark, sf)
     agg = ev.groupBy("session_id", "user_id").agg(
         F.count(F.lit(1)).alias("message_count"),

@@ -18,7 +18,7 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
 
 def _index(spark, sf):
     return (
-        stored("postings", spark, sf, lambda: search.build_index(_documents(spark, sf))[0]),
+        stored("postings", spark, sf, lambda: search.sorted_postings(search.build_index(_documents(spark, sf))[0])),
         stored("lengths", spark, sf, lambda: search.build_index(_documents(spark, sf))[1]),
     )
 

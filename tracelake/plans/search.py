@@ -34,9 +34,13 @@ def build_index(chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
     return postings, documents
 
 
+def sorted_postings(postings: DataFrame) -> DataFrame:
+    """Ranges of (token, id): Parquet statistics then skip other words, and a common word spreads over many files."""
+    return postings.repartitionByRange("token", "id").sortWithinPartitions("token", "id")
+
+
 def write_index(postings: DataFrame, documents: DataFrame, folder: str) -> None:
-    ordered = postings.repartitionByRange("token", "id").sortWithinPartitions("token", "id")
-    ordered.write.mode("overwrite").parquet(f"{folder}/postings")
+    sorted_postings(postings).write.mode("overwrite").parquet(f"{folder}/postings")
     documents.write.mode("overwrite").parquet(f"{folder}/documents")
 
 

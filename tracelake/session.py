@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = "*", name: str = "tracelake", shuffle_partitions: int = 8) -> SparkSession:
@@ -29,23 +29,6 @@ def local_session(cores: int | str = "*", name: str = "tracelake", shuffle_parti
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared folder named by the cluster, or what the caller set, or nothing."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    current = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
-    if named:
-        spark.sparkContext.setCheckpointDir(named)
-    return named
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint where a shared folder is known; otherwise the plan stays as it is.
-
-    Reliable checkpoints survive the loss of an executor.  Without a shared
-    folder the lineage is kept, which is slower for long loops but still right.
-    """
-    if checkpoint_dir(df.sparkSession) is None:
-        return df
-    return df.checkpoint(eager=True)
+def shared_folder(spark: SparkSession) -> str | None:
+    """The shared folder the cluster names for intermediate tables, or nothing."""
+    return spark.conf.get("spark.checkpoint.dir", None)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tracelake import schemas
@@ -77,21 +77,6 @@ def normalise(raw: DataFrame) -> DataFrame:
     )
 
 
-def _walk(tree: list) -> list[dict]:
-    """Depth-first pre-order list of one comment tree; no recursion, so depth is not limited by the stack."""
-    out, todo = [], [(node, None) for node in reversed(tree)]
-    while todo:
-        node, parent = todo.pop()
-        user = node.get("user") or {}
-        out.append({
-            "dfs_pos": len(out), "id": node.get("id_code") or "", "parent_id": parent or "",
-            "author": user.get("username") or "", "body_html": node.get("body_html") or "",
-            "created_at": node.get("created_at") or "",
-        })
-        todo.extend((child, node.get("id_code") or "") for child in reversed(node.get("children") or []))
-    return out
-
-
 def _load_tree(text: str | None) -> list:
     try:
         tree = json.loads(text) if text else []
@@ -100,9 +85,34 @@ def _load_tree(text: str | None) -> list:
     return tree if isinstance(tree, list) else []
 
 
-def _flatten(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _walk(tree: list, into: dict[str, list]) -> int:
+    """Append one comment tree in depth-first pre-order; no recursion, so depth is not limited by the stack."""
+    count, todo = 0, [(node, "") for node in reversed(tree)]
+    while todo:
+        node, parent = todo.pop()
+        own = node.get("id_code") or ""
+        into["dfs_pos"].append(count)
+        into["id"].append(own)
+        into["parent_id"].append(parent)
+        into["author"].append((node.get("user") or {}).get("username") or "")
+        into["body_html"].append(node.get("body_html") or "")
+        into["created_at"].append(node.get("created_at") or "")
+        count += 1
+        todo.extend((child, own) for child in reversed(node.get("children") or []))
+    return count
+
+
+def _flatten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Trees to arrays of comments, built column by column."""
     for batch in batches:
-        yield pd.DataFrame({"head_id": batch["head_id"], "flat": batch["tree"].map(lambda t: _walk(_load_tree(t)))})
+        columns: dict[str, list] = {"dfs_pos": [], **{name: [] for name in _TEXTS}}
+        ends = [0]
+        for text in batch.column("tree").to_pylist():
+            ends.append(ends[-1] + _walk(_load_tree(text), columns))
+        kinds = [pa.int64(), *[pa.string()] * len(_TEXTS)]
+        rows = pa.StructArray.from_arrays([pa.array(v, k) for v, k in zip(columns.values(), kinds)], list(columns))
+        flat = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows)
+        yield pa.RecordBatch.from_arrays([batch.column("head_id"), flat], ["head_id", "flat"])
 
 
 def flatten_comments(trees: DataFrame, limit: int | None = None) -> DataFrame:
@@ -112,7 +122,7 @@ def flatten_comments(trees: DataFrame, limit: int | None = None) -> DataFrame:
     shuffled; limit keeps the first comments of each article in depth-first order.
     """
     given = trees.select(F.col("article_id").cast("string").alias("head_id"), "tree")
-    flat = given.mapInPandas(_flatten, _FLAT)
+    flat = given.mapInArrow(_flatten, _FLAT)
     if limit is not None:
         flat = flat.withColumn("flat", F.slice("flat", 1, limit))
     timed = F.transform("flat", lambda c: F.struct(
