@@ -8,6 +8,7 @@ from pyspark.sql import Column, functions as F
 SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 # The line ends Python's str.splitlines() knows, after newline normalising.
+LINE_ENDS = "\n\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
 LINE_END = r"[\n\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 
 

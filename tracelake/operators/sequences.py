@@ -1,10 +1,11 @@
 """Ordered computations per key that stay parallel when one key is very large.
 
-A plain window puts every row of a key into one task.  Here a key with more than
-max_rows rows is cut into buckets along its order column; the window runs per
-(key, bucket), and only one summary row per (key, bucket) is windowed per key to
-carry values across the cuts.  Other keys are one bucket, so they cost what a
-plain window costs.  The input is shuffled once, by (key, bucket).
+A plain window puts every row of a key into one task.  So keys are counted first
+(combined on the map side, key and order column only).  When no key has more than
+max_rows rows, the plain window is used.  Else such keys are cut into buckets
+along their order column; the window runs per (key, bucket), and only one summary
+row per (key, bucket) is windowed per key to carry values across the cuts.  Other
+keys stay one bucket.  The input is shuffled once, by (key, bucket).
 """
 
 from __future__ import annotations
@@ -20,25 +21,30 @@ def time_value(c: str) -> Column:
     return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(c))
 
 
-def with_bucket(df: DataFrame, keys: list[str], along: Column, max_rows: int = MAX_ROWS) -> DataFrame:
-    """Number the buckets of every key. `along` is a number that never falls in the order of the rows.
+def with_bucket(
+    df: DataFrame, keys: list[str], along: Column, max_rows: int = MAX_ROWS, sizes: DataFrame | None = None
+) -> DataFrame:
+    """Number the buckets of every key; without a large key the rows come back as they are.
 
-    Rows are counted per key first (combined on the map side).  Keys above
+    `along` is a number that never falls in the order of the rows.  Keys above
     max_rows get slices of equal width, as many as it takes for max_rows rows
     each on average.  There are at most (rows / max_rows) such keys, which bounds
     what is broadcast.  A null along sorts first, before the first slice; rows
-    with a null key are one group and stay one bucket.
+    with a null key are one group and stay one bucket.  `sizes` may hold the same
+    keys and order column more cheaply than df, with at least as many rows.
     """
-    counted = df.select(*keys, along.alias("__along")).groupBy(*keys).agg(
+    counted = (df if sizes is None else sizes).select(*keys, along.alias("__along")).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), F.min("__along").alias("__lo"), F.max("__along").alias("hi")
     )
     width = F.greatest(F.lit(1.0), (F.col("hi") - F.col("__lo")) / F.ceil(F.col("n") / F.lit(max_rows)))
     large = counted.filter(F.col("n") > max_rows).select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__lo", width.alias("__width"))
+    if large.isEmpty():
+        return df
     same = F.lit(True)
     for k in keys:
         same = same & (df[k] == F.col(f"__k_{k}"))
-    slice_no = F.floor((along - F.col("__lo")) / F.col("__width")).cast("long")
     zero, first = F.lit(0).cast("long"), F.lit(-1).cast("long")
+    slice_no = F.floor((along - F.col("__lo")) / F.col("__width")).cast("long")
     bucket = F.when(F.col("__width").isNull(), zero).when(along.isNull(), first).otherwise(slice_no)
     out = df.join(F.broadcast(large), same, "left").withColumn(_BUCKET, bucket)
     return out.select(*df.columns, _BUCKET)
@@ -50,6 +56,9 @@ def without_bucket(df: DataFrame) -> DataFrame:
 
 def previous(df: DataFrame, keys: list[str], order: list[str], values: dict[str, str]) -> DataFrame:
     """Add lag(1) of columns: values maps new name to source column. Needs with_bucket first."""
+    if _BUCKET not in df.columns:
+        whole = Window.partitionBy(*keys).orderBy(*order)
+        return df.select("*", *[F.lag(src).over(whole).alias(name) for name, src in values.items()])
     local = Window.partitionBy(*keys, _BUCKET).orderBy(*order)
     along = Window.partitionBy(*keys).orderBy(_BUCKET)
     ends = df.groupBy(*keys, _BUCKET).agg(
@@ -69,11 +78,14 @@ def previous(df: DataFrame, keys: list[str], order: list[str], values: dict[str,
 
 def running(df: DataFrame, keys: list[str], order: list[str], **aggs: tuple[str, Column]) -> DataFrame:
     """Add running aggregates: name=('sum'|'max', expression). Needs with_bucket first."""
+    fns = {"sum": F.sum, "max": F.max}
+    if _BUCKET not in df.columns:
+        whole = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.select("*", *[fns[fn](expr).over(whole).alias(name) for name, (fn, expr) in aggs.items()])
     local = (
         Window.partitionBy(*keys, _BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     before = Window.partitionBy(*keys).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    fns = {"sum": F.sum, "max": F.max}
     staged = df
     for name, (_, expr) in aggs.items():
         staged = staged.withColumn(f"__v_{name}", expr)
@@ -98,10 +110,11 @@ def running(df: DataFrame, keys: list[str], order: list[str], **aggs: tuple[str,
 
 
 def numbered(
-    df: DataFrame, keys: list[str], order: list[str], along: Column, name: str, max_rows: int = MAX_ROWS
+    df: DataFrame, keys: list[str], order: list[str], along: Column, name: str, max_rows: int = MAX_ROWS,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """1-based row number per key, in order."""
-    out = running(with_bucket(df, keys, along, max_rows), keys, order, **{name: ("sum", F.lit(1).cast("long"))})
+    out = running(with_bucket(df, keys, along, max_rows, sizes), keys, order, **{name: ("sum", F.lit(1).cast("long"))})
     return without_bucket(out)
 
 
@@ -114,7 +127,9 @@ def gap_sessions(
     With same_day a change of calendar day starts one as well.  One shuffle of
     the rows by (key, bucket), one summary row per (key, bucket), one join back.
     """
-    local = Window.partitionBy(*keys, _BUCKET).orderBy(ts, *tie)
+    placed = with_bucket(df, keys, time_value(ts), max_rows)
+    by = [*keys, _BUCKET] if _BUCKET in placed.columns else keys
+    local = Window.partitionBy(*by).orderBy(ts, *tie)
     upto = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     along = Window.partitionBy(*keys).orderBy(_BUCKET)
     before = along.rowsBetween(Window.unboundedPreceding, -1)
@@ -124,13 +139,15 @@ def gap_sessions(
         return cut | (F.to_date(later) != F.to_date(earlier)) if same_day else cut
 
     rows = (
-        with_bucket(df, keys, time_value(ts), max_rows)
-        .withColumn("__prev", F.lag(ts).over(local))
+        placed.withColumn("__prev", F.lag(ts).over(local))
         .withColumn("__n", F.row_number().over(local).cast("long"))
         .withColumn("__cut", F.coalesce(breaks(F.col("__prev"), F.col(ts)), F.lit(False)))
         .withColumn("__cuts", F.sum(F.col("__cut").cast("long")).over(upto))
         .withColumn("__cut_n", F.max(F.when(F.col("__cut"), F.col("__n"))).over(upto))
     )
+    if by == keys:
+        since = F.coalesce(F.col("__cut_n"), F.lit(1).cast("long"))
+        return rows.select(*df.columns, (F.col("__cuts") + 1).alias("session_no"), (F.col("__n") - since + 1).alias("position"))
     parts = (
         rows.groupBy(*keys, _BUCKET)
         .agg(

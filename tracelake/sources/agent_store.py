@@ -126,7 +126,12 @@ def chunk_rows(sessions: DataFrame, messages: DataFrame, parts: DataFrame, fallb
     p = p.select("*", F.explode(F.filter(F.array(part_text()), lambda t: ~is_blank(t))).alias("text"))
     rows = p.join(m, ["session_id", "message_id"]).join(s, "session_id")
     order = ["m_created", "message_id", "p_created", "part_id"]
-    rows = numbered(rows, ["session_id"], order, F.col("m_created"), "chunk_number")
+    # How large the sessions are at most is known without reading any payload.
+    sizes = parts.select("session_id", "message_id").join(
+        messages.select(F.col("id").alias("message_id"), "session_id", F.col("time_created").alias("m_created")),
+        ["session_id", "message_id"],
+    )
+    rows = numbered(rows, ["session_id"], order, F.col("m_created"), "chunk_number", sizes=sizes)
     kind = text_at("d", "$.type")
     is_tool = kind == "tool"
     is_user = F.col("m_role") == "user"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tracelake.functions.text import LINE_END, SPACE, group, is_blank, rstrip, strip
+from tracelake.functions.text import LINE_ENDS, SPACE, group, is_blank, rstrip, strip
 from tracelake.sources.markdown_chat import split_lines
 
 # Marks of the input history and the model log.
@@ -19,7 +19,7 @@ def numbered_lines(files: DataFrame) -> DataFrame:
     flat = files.select("path", F.posexplode(split_lines("text")).alias("pos", "raw"))
     return flat.select(
         "path", (F.col("pos") + 1).cast("long").alias("line_no"),
-        F.regexp_replace("raw", f"{LINE_END}\\z", "").alias("line"),
+        F.rtrim("raw", F.lit(LINE_ENDS)).alias("line"),
     )
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tracelake.functions.text import LINE_END, SPACE, col, group, is_blank, nonempty, rstrip, strip
+from tracelake.functions.text import LINE_END, LINE_ENDS, SPACE, col, group, is_blank, nonempty, rstrip, strip
 from tracelake.functions.times import stamp_epoch
 from tracelake.operators.columns import evaluate_once
 from tracelake.sources.chat_events import classify
@@ -16,6 +16,7 @@ from tracelake.sources.chat_events import classify
 PREFIX = "aider:"  # fixed value: id prefix of this source kind
 KIND = "aider"
 # How a transcript marks its lines.
+HEADER_MARK = "# aider chat started at "
 SESSION_HEADER = rf"(?d)^# aider chat started at (.+?){SPACE}*$"
 USER_MARK = "#### "
 TOOL_MARK = "> "
@@ -53,16 +54,13 @@ def split_lines(text: Column | str) -> Column:
 
 
 def _is_header(line: Column) -> Column:
-    return F.regexp_like(F.regexp_replace(line, r"\n+\z", ""), F.lit(SESSION_HEADER))
+    return F.startswith(line, F.lit(HEADER_MARK)) & F.regexp_like(line, F.lit(SESSION_HEADER))
 
 
 def _role(line: Column) -> Column:
-    bare = F.regexp_replace(line, r"\n+\z", "")
     return (
-        F.when(_is_header(line), "system")
-        .when(F.startswith(bare, F.lit(USER_MARK)), "user")
-        .when(F.startswith(bare, F.lit(TOOL_MARK)), "tool")
-        .otherwise("assistant")
+        F.when(_is_header(line), "system").when(F.startswith(line, F.lit(USER_MARK)), "user")
+        .when(F.startswith(line, F.lit(TOOL_MARK)), "tool").otherwise("assistant")
     )
 
 
@@ -92,13 +90,9 @@ def lines(files: DataFrame) -> DataFrame:
 
 
 def _piece(role: Column, raw: Column) -> Column:
-    """One line without its line end and its role mark."""
-    bare = F.regexp_replace(raw, f"{LINE_END}\\z", "")
-    return (
-        F.when(role == "tool", F.regexp_replace(bare, "^> ", ""))
-        .when(role == "user", F.regexp_replace(bare, "^#### ", ""))
-        .otherwise(bare)
-    )
+    """One line without its line end (it holds exactly one) and its role mark."""
+    bare = F.rtrim(raw, F.lit(LINE_ENDS))
+    return F.when(role == "tool", F.substring(bare, 3, 1 << 30)).when(role == "user", F.substring(bare, 6, 1 << 30)).otherwise(bare)
 
 
 def blocks(file_lines: DataFrame) -> DataFrame:
@@ -111,7 +105,7 @@ def blocks(file_lines: DataFrame) -> DataFrame:
     raw = F.array_join(F.transform("__lines", lambda s: s["raw"]), "")
     typed = F.array_join(F.transform("__lines", lambda s: s["piece"]), "\n")
     content = (
-        F.when(F.col("role") == "system", group(F.regexp_replace(F.col("raw"), r"\n+\z", ""), SESSION_HEADER))
+        F.when(F.col("role") == "system", group("raw", SESSION_HEADER))
         .when(F.col("role") == "assistant", rstrip("raw"))
         .otherwise(rstrip(typed))
     )
