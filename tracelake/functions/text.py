@@ -6,27 +6,27 @@ from pyspark.sql import Column, functions as F
 
 # The characters Python's str.strip() and \s treat as white space.
 SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
-
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 # The line ends Python's str.splitlines() knows, after newline normalising.
 LINE_ENDS = "\n\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
 LINE_END = r"[\n\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 
 
-
 def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def strip(c: Column | str) -> Column:
-    return F.regexp_replace(col(c), f"\\A{SPACE}+|{SPACE}+\\z", "")
+    return F.btrim(col(c), F.lit(SPACES))
 
 
 def rstrip(c: Column | str) -> Column:
-    return F.regexp_replace(col(c), f"{SPACE}+\\z", "")
+    return F.rtrim(col(c), F.lit(SPACES))
 
 
 def is_blank(c: Column | str) -> Column:
-    return F.coalesce(strip(c), F.lit("")) == ""
+    """Null or without any character that is not white space; stops at the first such character."""
+    return ~F.regexp_like(F.coalesce(col(c), F.lit("")), F.lit(f"[^{SPACE[1:]}"))
 
 
 def nonempty(c: Column | str) -> Column:

@@ -110,7 +110,7 @@ def blocks(file_lines: DataFrame) -> DataFrame:
         .otherwise(rstrip(typed))
     )
     kept = (
-        merged.withColumn("raw", raw).withColumn("content", content)
+        evaluate_once(evaluate_once(merged, raw=raw), content=content)
         .filter(F.col("role").isin("system", "tool") | ~is_blank("content"))
         .drop("__lines", "island")
     )
