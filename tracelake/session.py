@@ -10,6 +10,8 @@ import os
 
 from pyspark.sql import SparkSession
 
+from tracelake.shipping import ship
+
 
 def local_session(cores: int | str = "*", name: str = "tracelake", shuffle_partitions: int = 8) -> SparkSession:
     spark = (
@@ -26,6 +28,7 @@ def local_session(cores: int | str = "*", name: str = "tracelake", shuffle_parti
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    ship(spark)
     return spark
 
 
