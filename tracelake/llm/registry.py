@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from tracelake.llm.byte_bpe import op4_byte_bpe
+from tracelake.llm.decontam import op6_decontam
+from tracelake.llm.quality import op5_quality
+from tracelake.llm.simhash import op7_simhash
 from tracelake.llm.token_counts import op3_token_counts
 from tracelake.llm.token_files import op1_token_files
 from tracelake.shipping import ship
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op3_token_counts, op4_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op3_token_counts, op4_byte_bpe, op5_quality, op6_decontam, op7_simhash)}
 
 
 def queries() -> dict:
