@@ -35,7 +35,7 @@ from tracelake.llm.shared import slices
 
 SAMPLE_PAGES = 2000
 #: Weight of what elements say, and of ties between blocks.
-NAMED, TIED = 8.0, 3.0
+NAMED, TIED = 8.0, 4.5
 SCALE = 1000
 UNSEEN = {"script", "style", "noscript", "template", "svg", "math", "iframe", "object", "select", "button", "textarea", "head", "title", "canvas", "audio", "video"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}

@@ -8,12 +8,13 @@ from tracelake.llm.fuzzy_lines import op10_fuzzy_lines
 from tracelake.llm.main_text import op9_main_text
 from tracelake.llm.pii import op2_pii
 from tracelake.llm.quality import op5_quality
+from tracelake.llm.repeats import op8_repeats
 from tracelake.llm.simhash import op7_simhash
 from tracelake.llm.token_counts import op3_token_counts
 from tracelake.llm.token_files import op1_token_files
 from tracelake.shipping import ship
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_pii, op3_token_counts, op4_byte_bpe, op5_quality, op6_decontam, op7_simhash, op9_main_text, op10_fuzzy_lines)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_pii, op3_token_counts, op4_byte_bpe, op5_quality, op6_decontam, op7_simhash, op8_repeats, op9_main_text, op10_fuzzy_lines)}
 
 
 def queries() -> dict:
