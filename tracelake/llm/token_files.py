@@ -31,14 +31,17 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
 from tracelake.llm.shared import SLICE_BYTES, cut_places, slices, text_rows, work_folder, written
+from tracelake.llm.token_counts import byte_letters
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
 CACHE_ENTRIES = 600_000
 SHARD_SCHEMA = "shard int, file string, width int, n_docs long, n_null long, n_tokens long"
-#: A space that does not stand between two other characters: a cut there could change the tokens.
-UNSAFE_SPACE = re.compile(r"^ | $|\s | \s")
-WORD_AND_MARK = re.compile(r"( ?[A-Za-z]+)([,.;:!?])")
+#: White space but spaces and line ends.
+RARE_WHITE = re.compile(r"[^\S \n]")
+#: Pre-tokens of plain pieces: Latin letters, digits, marks but the apostrophe, single line ends. Other pieces are left whole.
+PLAIN = r" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]++| ?[0-9]++| ?[!-&(-/:-@\[-`{-~]++|\n"
+PLAIN_PART, PLAIN_PIECE = re.compile(PLAIN), re.compile(f"(?:{PLAIN})++")
 
 
 class PieceEncoder:
@@ -50,32 +53,49 @@ class PieceEncoder:
         self.type = np.dtype("<u2" if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4")
         self.end = np.array([end_id], self.type).tobytes()
         self.cache: dict[str, bytes] = {}
+        self.after_space: dict[str, bytes] = {}
 
-    def library(self, piece: str) -> bytes:
-        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, self.type).tobytes()
+        self.spelling = {byte: letter for letter, byte in byte_letters().items()}
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+
+    def word(self, part: str) -> bytes:
+        """The library's model on one pre-token, spelled in its byte letters."""
+        ids = self.cache.get(part)
+        if ids is None:
+            spelled = part.encode().decode("latin-1").translate(self.spelling)
+            ids = self.cache[part] = np.array([t.id for t in self.tokenizer.model.tokenize(spelled)], self.type).tobytes()
+        return ids
 
     def packed(self, piece: str) -> bytes:
+        """The library on one piece; a plain one is split into its pre-tokens, which repeat more often."""
+        if len(self.cache) >= CACHE_ENTRIES:
+            self.cache.clear()
         ids = self.cache.get(piece)
-        if ids is None:
-            if len(self.cache) >= CACHE_ENTRIES:
-                self.cache.clear()
-            parts = WORD_AND_MARK.fullmatch(piece)  # a letter and a mark never share a pre-token
-            if parts:
-                ids = self.packed(parts[1]) + self.packed(parts[2])
-            else:
-                ids = self.library(piece)
-            self.cache[piece] = ids
+        if ids is not None:
+            return ids
+        if PLAIN_PIECE.fullmatch(piece) and "\n\n" not in piece and not any(s in piece for s in self.special):
+            ids = b"".join(map(self.word, PLAIN_PART.findall(piece)))
+        else:
+            ids = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, self.type).tobytes()
         return ids
 
     def encode(self, text: str) -> bytes:
-        if UNSAFE_SPACE.search(text):
+        """A cut before a space changes no token if the space stands between two other characters."""
+        if not text:
+            return self.end
+        if "  " in text or "\n " in text or " \n" in text or text[0] == " " or text[-1] == " " or RARE_WHITE.search(text):
             places = [0, *cut_places(text, 1), len(text)]
-            pieces = [text[a:b] for a, b in zip(places, places[1:])] if text else []
-        else:
-            words = text.split(" ")
-            pieces = [words[0], *[" " + w for w in words[1:]]] if text else []
-        get, packed = self.cache.get, self.packed
-        return b"".join([get(p) or packed(p) for p in pieces]) + self.end
+            get, packed = self.cache.get, self.packed
+            return b"".join([get(p := text[a:b]) or packed(p) for a, b in zip(places, places[1:])]) + self.end
+        first, *words = text.split(" ")
+        get, after = self.after_space.get, self.following
+        return b"".join([self.packed(first), *[get(w) or after(w) for w in words], self.end])
+
+    def following(self, word: str) -> bytes:
+        if len(self.after_space) >= CACHE_ENTRIES:
+            self.after_space.clear()
+        ids = self.after_space[word] = self.packed(" " + word)
+        return ids
 
 
 _ENCODERS: dict[tuple[str, int], PieceEncoder] = {}
