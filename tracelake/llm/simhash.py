@@ -155,13 +155,13 @@ def links(distinct: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> Data
 
 
 def grouped(prints: DataFrame, folder: str, radius: int = RADIUS) -> DataFrame:
-    """fingerprint, component_id for every distinct fingerprint. prints: doc_id, fingerprint."""
+    """fingerprint, root, component_id for every distinct fingerprint. prints: doc_id, fingerprint."""
     distinct = written(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("doc_id")), folder, "distinct")
     roots = components(links(distinct.select("fingerprint"), radius), folder)
     rooted = distinct.join(roots, distinct.fingerprint == roots.node, "left").select("fingerprint", "doc_id", F.coalesce("root", "fingerprint").alias("root"))
     rooted = written(rooted, folder, "rooted")
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return rooted.select("fingerprint", "root").join(least, "root").select("fingerprint", "component_id")
+    return rooted.select("fingerprint", "root").join(least, "root").select("fingerprint", "root", "component_id")
 
 
 def simhash_groups(docs: DataFrame, folder: str, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
@@ -181,8 +181,8 @@ def one_of_each(docs: DataFrame, folder: str, words: int = WORDS, radius: int =
     prints = wide.select(F.col("row.doc_id").cast("long").alias("doc_id"), "fingerprint", "place")
     named = prints.join(grouped(prints, folder, radius), "fingerprint")
     first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("place"))).getField("place").alias("place")
-    roots = named.groupBy(F.col("component_id").isNull(), F.coalesce("component_id", "fingerprint")).agg(first).select("place")
-    return wide.join(roots, "place", "left_semi").select("row.*")
+    stay = named.groupBy("root").agg(first).select("place")
+    return wide.join(stay, "place", "left_semi").select("row.*")
 
 
 def op7_simhash(spark: SparkSession, sf: str) -> DataFrame:
