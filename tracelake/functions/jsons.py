@@ -40,6 +40,11 @@ def is_array(v: Column | str, path: str) -> Column:
     return F.coalesce(F.startswith(kind_at(v, path), F.lit("ARRAY")), F.lit(False))
 
 
+def spaced(json: Column) -> Column:
+    """JSON text with a space after each comma and colon between tokens; strings stay as they are."""
+    return F.regexp_replace(json, r'((?:"(?:[^"\\]++|\\.)*+"|[^",:])++)([,:])', "$1$2 ")
+
+
 def quoted(c: Column | str) -> Column:
     """A JSON string literal for the value; the word null for a null."""
     body = F.to_json(F.struct(col(c).alias("v")))

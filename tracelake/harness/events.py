@@ -18,24 +18,9 @@ AS_OF = "2024-01-31 00:00:00"
 LARGE = 10
 
 
-# Tables with long texts: the test files have one row group, so one task would do all the work.
-WIDE = {"documents", "pages", "conversations"}
-
-
-def table(spark: SparkSession, sf: str, name: str, spread: bool = False) -> DataFrame:
-    """A driver table. A small file with costly rows is spread over the cores; a large one is read as it is."""
-    df = spark.read.parquet(f"{sf}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if (spread or name in WIDE) and len(df.inputFiles()) < cores and _small(spark, f"{sf}/{name}.parquet"):
-        return df.repartition(cores)
-    return df
-
-
-def _small(spark: SparkSession, path: str, limit: int = 256 << 20) -> bool:
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.getContentSummary(where).getLength() < limit
+def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A driver table as it is; splitting is left to spark.sql.files.maxPartitionBytes."""
+    return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
 _KEPT: dict[tuple, DataFrame] = {}
@@ -44,24 +29,19 @@ _KEPT: dict[tuple, DataFrame] = {}
 def stored(name: str, spark: SparkSession, sf: str, make) -> DataFrame:
     """Rows the reports would find already ingested: made once per session and read by all later queries.
 
-    Where the cluster names a shared folder they are a Parquet table there, so
-    later queries read only the columns they need and a lost executor costs
-    nothing; else they are cached, and a lost block is computed again.
+    They are a Parquet table in the shared folder, so later queries read only
+    the columns they need and a lost executor costs nothing.
     """
     key = (name, spark.sparkContext.applicationId, sf)
     if key not in _KEPT:
-        folder = shared_folder(spark)
-        if folder is None:
-            _KEPT[key] = make().persist()
-        else:
-            path = f"{folder}/{spark.sparkContext.applicationId}/{name}-{md5(sf.encode()).hexdigest()[:8]}"
-            make().write.mode("overwrite").parquet(path)
-            _KEPT[key] = spark.read.parquet(path)
+        path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{md5(sf.encode()).hexdigest()[:8]}"
+        make().write.mode("overwrite").parquet(path)
+        _KEPT[key] = spark.read.parquet(path)
     return _KEPT[key]
 
 
-def events(spark: SparkSession, sf: str, spread: bool = False) -> DataFrame:
-    return table(spark, sf, "events", spread).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+def events(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 def numbered_events(spark: SparkSession, sf: str) -> DataFrame:

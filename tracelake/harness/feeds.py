@@ -43,8 +43,8 @@ def landed_articles(spark: SparkSession, sf: str) -> DataFrame:
     )
     line = _json({
         "id": _number(doc + 1),
-        "title": quoted(F.substring(F.split("text", "\n")[0], 1, 80)),
-        "description": quoted(F.substring("text", 1, 200)),
+        "title": quoted(F.split("text", "\n")[0]),
+        "description": quoted("text"),
         "url": quoted(F.concat(F.lit("https://example.org/a/"), doc.cast("string"))),
         "published_at": quoted(F.when(doc % 97 == 0, "soon").otherwise(_iso(_head_epoch()))),
         "positive_reactions_count": _number(F.col("n_chars") % 500),
@@ -112,7 +112,7 @@ def landed_stories(spark: SparkSession, sf: str) -> DataFrame:
     who = F.concat(F.lit("s"), (conv % 25).cast("string"))
     line = _json({
         "short_id": quoted(code),
-        "title": quoted(F.substring(F.split("text", "\n")[0], 1, 80)),
+        "title": quoted(F.split("text", "\n")[0]),
         "description_plain": F.when(conv % 3 == 0, F.lit('""')).otherwise(quoted("text")),
         "description": F.when(conv % 6 == 0, F.lit("null")).otherwise(quoted("text")),
         "url": quoted(F.concat(F.lit("https://example.org/s/"), code)),

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tracelake.harness import agent_store as H
 from tracelake.operators import sinks
 from tracelake.plans import digest
@@ -11,12 +9,12 @@ from tracelake.sources import agent_store as store
 
 
 def _contents(spark, sf):
-    body, _ = sinks.content_store(store.bodies(H.chunks(spark, sf)).filter(F.col("tool_name") != "grep"))
+    body, _ = sinks.content_store(store.bodies(H.chunks(spark, sf)))
     return body.select("hash", "content", "byte_length")
 
 
 def _body_edges(spark, sf):
-    _, edges = sinks.content_store(store.bodies(H.chunks(spark, sf)).filter(F.col("tool_name") != "grep"))
+    _, edges = sinks.content_store(store.bodies(H.chunks(spark, sf)))
     return edges
 
 

@@ -5,9 +5,6 @@ from __future__ import annotations
 from tracelake.harness import events as E
 from tracelake.plans import digest, topology
 
-# The Mondays the test events fall in.
-WEEKS = ["2024-01-01", "2024-01-08", "2024-01-15", "2024-01-22", "2024-01-29"]
-
 
 def _seeded(spark, sf):
     s = E.sessions(spark, sf)
@@ -40,7 +37,7 @@ def queries() -> dict:
         "topology_bridges": _with_seed(topology.bridges),
         "topology_projects": _with_seed(lambda s, seed: topology.projects(s, seed, E.AS_OF)),
         "topology_weekly_pulse": _with_seed(_pulse),
-        "topology_pulse_grid": _with_seed(lambda s, seed: topology.pulse_grid(_pulse(s, seed), WEEKS)),
+        "topology_pulse_grid": _with_seed(lambda s, seed: topology.pulse_grid(_pulse(s, seed), topology.weeks_of(E.AS_OF))),
         "lane_timeline": lambda spark, sf: topology.lane_timeline(E.sessions(spark, sf)),
         "digest_inventory": lambda spark, sf: digest.inventory(E.sessions(spark, sf), E.AS_OF),
         "digest_inventory_projects": lambda spark, sf: digest.inventory_projects(E.sessions(spark, sf), E.AS_OF),

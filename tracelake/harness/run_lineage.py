@@ -107,6 +107,11 @@ def _since_days(spark, sf):
     return incremental.since(_event_rows(spark, sf), at).groupBy("author").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _edited(spark, sf):
+    """The files the caller asks about: here those written on the last day."""
+    return E.messages(spark, sf).filter("tool_name = 'Write' AND created_at >= DATE '2024-01-30'").select("target_file")
+
+
 def queries() -> dict:
     return {
         "path_iterations": lambda spark, sf: lineage.path_iterations(E.messages(spark, sf), NAME),
@@ -119,7 +124,7 @@ def queries() -> dict:
         "version_deltas": lambda spark, sf: lineage.version_deltas(_versions(spark, sf)).select(
             "target_file", "version", "chunk_id", "content_hash", "prev_hash", "added", "removed"),
         "file_provenance": lambda spark, sf: lineage.provenance(E.messages(spark, sf), E.sessions(spark, sf), FILE),
-        "co_touched_files": lambda spark, sf: lineage.co_touched(E.messages(spark, sf)),
+        "co_touched_files": lambda spark, sf: lineage.co_touched(E.messages(spark, sf), _edited(spark, sf)),
         "assignment_summary": lambda spark, sf: lineage.assignment_summary(E.sessions(spark, sf), _lanes(spark, sf)),
         "ingest_keep_first": lambda spark, sf: sinks.keep_first(_first(spark, sf), _texts(spark, sf), ["key"], ["doc_id"]),
         "ingest_replace": lambda spark, sf: sinks.replace(_first(spark, sf), _texts(spark, sf), ["key"], ["doc_id"]),
@@ -129,13 +134,4 @@ def queries() -> dict:
         "refresh_next_cursor": lambda spark, sf: incremental.next_cursor(_event_rows(spark, sf)),
         "refresh_since_days": _since_days,
         "author_cursors": _author_cursors,
-        "settings_rows": lambda spark, sf: _settings(spark, sf),
     }
-
-
-def _settings(spark, sf):
-    """Settings written next to the data: the cursor comes from the events."""
-    from tracelake.plans.presets import scope_rows
-
-    cursor = incremental.next_cursor(_event_rows(spark, sf))
-    return scope_rows(H.meta(spark).filter(F.col("key") != "last_pull_ts").unionByName(cursor))

@@ -24,12 +24,12 @@ def _index(spark, sf):
 
 
 def _updated(spark, sf):
-    """Labelled documents change to their first line, toxic ones are deleted."""
+    """Labelled documents change in every word, toxic ones are deleted."""
     labels = table(spark, sf, "labels")
     docs = _documents(spark, sf)
     kept = labels.filter(F.col("toxic") == 0).select(F.col("doc_id").cast("string").alias("id"))
     gone = labels.filter(F.col("toxic") == 1).select(F.col("doc_id").cast("string").alias("id"))
-    changed = docs.join(kept, "id", "left_semi").select("id", F.split("content", "\n")[0].alias("content"))
+    changed = docs.join(kept, "id", "left_semi").select("id", F.replace("content", F.lit("e"), F.lit("o")).alias("content"))
     return search.update_index(_index(spark, sf), changed, gone)
 
 
@@ -115,11 +115,14 @@ def _anchor_edges(spark, sf):
 
 
 def _prompts(spark, sf):
-    c = table(spark, sf, "conversations").filter(F.col("role") == "user")
+    """Turns as messages; those of a conversation divisible by nine lie before the last day."""
+    c = table(spark, sf, "conversations")
     return c.select(
         F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("id"),
         F.col("text").alias("content"), F.col("conv_id").cast("string").alias("session_id"),
-        (F.lit(AS_OF).cast("timestamp_ntz") - F.make_dt_interval(F.lit(0), (F.col("conv_id") % 24).cast("int"))).alias("created_at"),
+        (F.lit(AS_OF).cast("timestamp_ntz") - F.make_dt_interval(
+            F.when(F.col("conv_id") % 9 == 0, 3).otherwise(0), (F.col("conv_id") % 24).cast("int"))).alias("created_at"),
+        F.when(F.col("role") == "user", "user_prompt").otherwise("assistant").alias("type"),
         vectors.embed("text").alias("embedding"),
     )
 
@@ -170,6 +173,6 @@ def queries() -> dict:
         "hub_sources_near_query": _hub_hits,
         "user_voice": lambda spark, sf: _rounded(vectors.user_voice(_prompts(spark, sf), AS_OF)),
         "user_voice_tight": lambda spark, sf: _rounded(vectors.user_voice(_prompts(spark, sf), AS_OF, vectors.VOICE_TIGHT, 10)),
-        "secondary_work": lambda spark, sf: _rounded(vectors.secondary_work(_prompts(spark, sf))),
-        "workstream_clusters": lambda spark, sf: _rounded(vectors.workstream_clusters(_prompts(spark, sf))),
+        "secondary_work": lambda spark, sf: _rounded(vectors.secondary_work(_prompts(spark, sf), AS_OF)),
+        "workstream_clusters": lambda spark, sf: _rounded(vectors.workstream_clusters(_prompts(spark, sf), AS_OF)),
     }

@@ -30,9 +30,10 @@ chk AS (SELECT 'opencode:' || session_id || '_' || n AS chunk_id, 'opencode:' ||
      WHEN raw_tool = 'apply_patch' THEN k % 7 <> 0 END AS success,
    message_id, part_id, kind, raw_tool, event_id, k, output, patch_text, diff FROM c),
 bodies AS (
-   SELECT chunk_id, CASE WHEN output = '' THEN '{"state":{"input":{"command":"run ' || k || '"},' || CASE k % 4 WHEN 0 THEN '"metadata":{"exit":0},'
-       WHEN 1 THEN '"metadata":{"exit":1},' WHEN 2 THEN '"metadata":{"exit":"x"},' ELSE '' END
-       || '"output":"","status":"completed"},"tool":"bash","type":"tool"}' ELSE output END AS content FROM chk WHERE raw_tool IN ('read', 'bash', 'apply_patch')
+   SELECT chunk_id, CASE WHEN output = '' THEN '{"state": {"input": {"command": "run ' || k || '"}, ' || CASE k % 4 WHEN 0 THEN '"metadata": {"exit": 0}, '
+       WHEN 1 THEN '"metadata": {"exit": 1}, ' WHEN 2 THEN '"metadata": {"exit": "x"}, ' ELSE '' END
+       || '"output": "", "status": "completed"}, "tool": "bash", "type": "tool"}' ELSE output END AS content FROM chk WHERE raw_tool IN ('read', 'bash', 'apply_patch')
+   UNION ALL SELECT chunk_id, '{"state": {"status": "running", "title": "t' || k || '"}, "tool": "grep", "type": "tool"}' FROM chk WHERE raw_tool = 'grep'
    UNION ALL SELECT chunk_id, patch_text FROM chk WHERE patch_text IS NOT NULL
    UNION ALL SELECT chunk_id, 'line ' || k || chr(10) || 'value' || chr(10) FROM chk WHERE raw_tool = 'read')
 """
@@ -50,10 +51,10 @@ QUERIES = {
   CASE WHEN raw_tool IN ('read', 'bash') THEN 'completed' WHEN raw_tool = 'apply_patch' THEN CASE WHEN k % 7 = 0 THEN 'error' ELSE 'completed' END
     WHEN raw_tool = 'grep' THEN 'running' END AS status, CAST(NULL AS VARCHAR) AS snapshot, CAST(NULL AS VARCHAR) AS reason FROM chk""",
     "store_patches": r"""SELECT chunk_id, substr(sha256(d), 1, 16) AS patch_hash,
-  CASE kind WHEN 'patch' THEN '["a' || k || '", "b"]' ELSE '[{"relativePath":"src/r' || k || '.py"}]' END AS files_json,
+  CASE kind WHEN 'patch' THEN '["a' || k || '", "b"]' ELSE '[{"relativePath": "src/r' || k || '.py"}]' END AS files_json,
   '{"diff": ' || to_json(d) || '}' AS diff_json FROM (SELECT *, CASE WHEN kind = 'patch' THEN 'Q' || k ELSE coalesce(diff, patch_text,
-  '{"state":{"input":{},"metadata":{"files":[{"relativePath":"src/r' || k || '.py"}]},"output":"done ' || k || '","status":"'
-  || CASE WHEN k % 7 = 0 THEN 'error' ELSE 'completed' END || '"},"tool":"apply_patch","type":"tool"}') END AS d
+  '{"state": {"input": {}, "metadata": {"files": [{"relativePath": "src/r' || k || '.py"}]}, "output": "done ' || k || '", "status": "'
+  || CASE WHEN k % 7 = 0 THEN 'error' ELSE 'completed' END || '"}, "tool": "apply_patch", "type": "tool"}') END AS d
   FROM chk WHERE kind = 'patch' OR raw_tool = 'apply_patch')""",
     "store_content": "SELECT sha256(content) AS hash, content, strlen(content) AS byte_length FROM bodies GROUP BY content",
     "store_content_edges": "SELECT DISTINCT chunk_id, sha256(content) AS content_hash FROM bodies",

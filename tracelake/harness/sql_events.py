@@ -44,6 +44,12 @@ def with_base(body: str) -> str:
     return f"WITH {BASE.strip()}\n{body.strip()}"
 
 
+# One column per Monday from the week sixty days before 2024-01-31 to its own.
+_GRID = ",\n  ".join(
+    f"""coalesce(max(c) FILTER (w = DATE '{w}'), '·') AS "{w}\""""
+    for w in ("2023-11-27", "2023-12-04", "2023-12-11", "2023-12-18", "2023-12-25", "2024-01-01", "2024-01-08", "2024-01-15", "2024-01-22", "2024-01-29")
+)
+
 QUERIES = {
     "topology_seed": "SELECT community_id, community_label, recent_sessions, recent_msgs, projects FROM seed",
     "topology_communities": """
@@ -83,11 +89,7 @@ FROM seeded WHERE started_at >= DATE '2023-12-02' GROUP BY 1, 2, 3""",
 , pulse AS (SELECT CAST(date_trunc('week', started_at) AS DATE) AS w, community_label AS community, count(*) AS n
   FROM seeded WHERE started_at >= DATE '2023-12-02' GROUP BY 1, 2),
 cells AS (SELECT community, w, repeat('◼', CAST(ceil(5 * n / (SELECT max(n) FROM pulse)) AS BIGINT)) AS c FROM pulse)
-SELECT community, coalesce(max(c) FILTER (w = DATE '2024-01-01'), '·') AS "2024-01-01",
-  coalesce(max(c) FILTER (w = DATE '2024-01-08'), '·') AS "2024-01-08",
-  coalesce(max(c) FILTER (w = DATE '2024-01-15'), '·') AS "2024-01-15",
-  coalesce(max(c) FILTER (w = DATE '2024-01-22'), '·') AS "2024-01-22",
-  coalesce(max(c) FILTER (w = DATE '2024-01-29'), '·') AS "2024-01-29"
+SELECT community, """ + _GRID + """
 FROM cells GROUP BY community""",
     "lane_timeline": """
 SELECT community_id, min(started_at) AS first_activity, max(ended_at) AS last_activity,
@@ -102,17 +104,13 @@ FROM sessions WHERE started_at >= DATE '2024-01-30' AND session_id NOT ILIKE 'ag
 SELECT project, count(*) AS sessions, CAST(sum(message_count) AS BIGINT) AS total_msgs
 FROM sessions WHERE started_at >= DATE '2024-01-30' AND session_id NOT ILIKE 'agent-%' GROUP BY project""",
     "digest_inventory_document": """
-, r AS (SELECT * FROM sessions WHERE started_at >= DATE '2024-01-30' AND session_id NOT ILIKE 'agent-%'),
-l AS (SELECT *, strftime(started_at, '%Y-%m-%d %H:%M:%S') AS s0, strftime(ended_at, '%Y-%m-%d %H:%M:%S') AS e0 FROM r
-      ORDER BY s0 DESC, session_id LIMIT 50),
-j AS (SELECT session_id, s0, '{"id":"' || session_id || '","title":"' || title || '","msgs":' || message_count || ',"start":"' || s0
-  || '","end":"' || e0 || '","community":' || coalesce('"' || community_label || '"', 'null') || ',"centrality":' || centrality
-  || ',"hub":' || is_hub || ',"bridge":' || is_bridge || ',"fingerprint":' || coalesce('"' || fingerprint_index || '"', 'null') || '}' AS o FROM l),
-p AS (SELECT project, count(*) AS n, CAST(sum(message_count) AS BIGINT) AS m FROM r GROUP BY project
-      ORDER BY n DESC, project NULLS FIRST LIMIT 50),
-q AS (SELECT project, n, '{"project":' || coalesce('"' || project || '"', 'null') || ',"sessions":' || n || ',"total_msgs":' || m || '}' AS o FROM p)
-SELECT '{"sessions":[' || (SELECT string_agg(o, ',' ORDER BY s0, session_id) FROM j) || '],"projects":['
-  || (SELECT string_agg(o, ',' ORDER BY n DESC, project NULLS FIRST) FROM q) || ']}' AS inventory""",
+, r AS (SELECT *, strftime(started_at, '%Y-%m-%d %H:%M:%S') AS s0, strftime(ended_at, '%Y-%m-%d %H:%M:%S') AS e0 FROM sessions
+      WHERE started_at >= DATE '2024-01-30' AND session_id NOT ILIKE 'agent-%')
+SELECT 'session' AS kind, '{"id":"' || session_id || '","title":"' || substr(title, 1, 120) || '","msgs":' || message_count || ',"start":"' || s0
+  || '","end":"' || e0 || '","community":' || coalesce('"' || community_label || '"', 'null') || ',"centrality":' || round(centrality, 6)
+  || ',"hub":' || is_hub || ',"bridge":' || is_bridge || ',"fingerprint":' || coalesce('"' || fingerprint_index || '"', 'null') || '}' AS payload FROM r
+UNION ALL SELECT 'project', '{"project":' || coalesce('"' || project || '"', 'null') || ',"sessions":' || count(*)
+  || ',"total_msgs":' || CAST(sum(message_count) AS BIGINT) || '}' FROM r GROUP BY project""",
     "digest_file_hotspots": """
 SELECT file, sessions, ops, tools FROM (
 SELECT coalesce(file_uuid, target_file) AS fid, min(target_file) AS file, count(DISTINCT session_id) AS sessions,
@@ -135,8 +133,8 @@ FROM sessions WHERE started_at >= DATE '2024-01-29' AND session_id NOT ILIKE 'ag
 s AS (SELECT date_trunc('hour', started_at) AS hour, count(*) AS started,
   CAST(sum(CASE WHEN CAST(started_at AS DATE) <> CAST(ended_at AS DATE) THEN 1 ELSE 0 END) AS BIGINT) AS overnight,
   CAST(sum(CASE WHEN message_count > 10 THEN 1 ELSE 0 END) AS BIGINT) AS long_sessions FROM sessions GROUP BY 1)
-SELECT b.hour, b.messages, coalesce(started, 0) AS started, coalesce(overnight, 0) AS overnight,
-  coalesce(long_sessions, 0) AS long_sessions FROM b LEFT JOIN s ON b.hour = s.hour""",
+SELECT hour, coalesce(messages, 0) AS messages, coalesce(started, 0) AS started, coalesce(overnight, 0) AS overnight,
+  coalesce(long_sessions, 0) AS long_sessions FROM b FULL JOIN s USING (hour)""",
     "digest_file_heat": """
 SELECT target_file, count(DISTINCT session_id) AS sessions, count(*) AS ops FROM messages
 WHERE target_file IS NOT NULL GROUP BY 1 HAVING count(DISTINCT session_id) >= 2""",

@@ -2,8 +2,8 @@
 
 BASE = r"""
 art0 AS (SELECT doc_id, doc_id + 1 AS id, text, lang, source AS src, n_chars,
-   substr(string_split(text, chr(10))[1], 1, 80) AS title,
-   CASE WHEN doc_id % 5 = 0 THEN substr(text, 1, 200) ELSE text END AS body,
+   string_split(text, chr(10))[1] AS title,
+   text AS body,
    CASE WHEN doc_id % 97 = 0 THEN 0 ELSE 1704067200 + (doc_id * 7919) % 2592000 END AS created_utc,
    1704067200 + (doc_id * 7919) % 2592000 AS t0,
    CASE WHEN doc_id % 10 = 9 THEN '[]' ELSE '["' || lang || '", "' || source || '"]' END AS tags FROM documents),
@@ -42,9 +42,9 @@ achunks AS (SELECT r.id, r.content, r.timestamp, make_timestamp(r.timestamp::BIG
    r.tags, r.reading_time, g.centrality, g.is_hub, g.is_bridge, g.community_id
    FROM arows r JOIN heads h ON r.source_id = 'devto_' || h.id LEFT JOIN graph g ON g.source_id = r.source_id),
 sheads AS (SELECT 'c' || conv_id AS id, 'story' AS type, 's' || (conv_id % 25) AS author,
-   substr(string_split(text, chr(10))[1], 1, 80) AS title, CASE WHEN conv_id % 6 = 0 THEN '' ELSE text END AS body,
-   CASE WHEN conv_id % 6 = 0 THEN substr(string_split(text, chr(10))[1], 1, 80)
-        ELSE regexp_replace(substr(string_split(text, chr(10))[1], 1, 80) || chr(10) || chr(10) || text, '^\s+|\s+$', '', 'g') END AS content,
+   string_split(text, chr(10))[1] AS title, CASE WHEN conv_id % 6 = 0 THEN '' ELSE text END AS body,
+   CASE WHEN conv_id % 6 = 0 THEN string_split(text, chr(10))[1]
+        ELSE regexp_replace(string_split(text, chr(10))[1] || chr(10) || chr(10) || text, '^\s+|\s+$', '', 'g') END AS content,
    CAST(length(text) % 100 AS INTEGER) AS score, CAST(conv_id % 10 AS INTEGER) AS num_comments,
    CASE WHEN conv_id % 5 = 0 THEN 'https://lobste.rs/s/c' ELSE 'https://example.org/t/c' END || conv_id AS url,
    1704067200 + (conv_id * 86413) % 2592000 AS created_utc,
@@ -132,6 +132,8 @@ QUERIES = {
   tags, reading_time FROM achunks WHERE author IN ('user7', 'u3', 'user20') AND created_at >= TIMESTAMP '2024-01-12'
   ORDER BY created_at DESC, id LIMIT 200""",
     "cell_shape": "SELECT 'chunks' AS what, count(*) AS n FROM arows UNION ALL SELECT 'sources', count(*) FROM heads",
+    "random_sample": """SELECT type, title, author, substr(content, 1, 180) AS preview FROM achunks WHERE length(content) > 40
+  ORDER BY md5('7' || id), id LIMIT 3""",
     "latest_sample": """SELECT id, created_at, type, title, author, tags, substr(content, 1, 300) AS preview FROM achunks
   ORDER BY timestamp DESC, id LIMIT 3""",
     "top_articles_for_tag": """SELECT title, author, article_score, article_comments, reading_time, article_url FROM achunks

@@ -32,9 +32,9 @@ SELECT q.*, count(*) AS messages, count(*) FILTER (m.type = 'user_prompt') AS pr
   make_timestamp((max(timestamp) - 25200) * 1000000) AS last_touch, count(*) AS ops FROM messages m JOIN sessions s ON s.session_id = m.session_id
   WHERE target_file = 'src/file_7.py' AND tool_name IN ('Write', 'Edit') GROUP BY 1""",
     "co_touched_files": """, t AS (SELECT DISTINCT session_id, target_file AS f FROM messages WHERE target_file IS NOT NULL),
-hot AS (SELECT f FROM t GROUP BY f ORDER BY count(*) DESC, f LIMIT 25)
+asked AS (SELECT DISTINCT target_file AS f FROM messages WHERE tool_name = 'Write' AND created_at >= DATE '2024-01-30')
 SELECT a.f AS file, b.f AS with_file, count(*) AS sessions FROM t a JOIN t b ON a.session_id = b.session_id AND a.f <> b.f
-WHERE a.f IN (SELECT f FROM hot) GROUP BY 1, 2 HAVING count(*) >= 2""",
+WHERE a.f IN (SELECT f FROM asked) GROUP BY 1, 2 HAVING count(*) >= 2""",
     "assignment_summary": """, l AS (SELECT DISTINCT session_id, tool_name AS lane FROM messages WHERE tool_name IS NOT NULL),
 n AS (SELECT session_id, count(*) AS n FROM l GROUP BY 1),
 s AS (SELECT l.*, CASE WHEN n > 3 THEN 'ambiguous' WHEN lane = 'Bash' THEN 'excluded' ELSE 'assigned' END AS status FROM l JOIN n USING (session_id))
@@ -87,8 +87,6 @@ REFRESH_QUERIES = {
     "author_cursors": """SELECT coalesce(r.author, c.author) AS author, greatest(r.m, c.cursor) AS cursor FROM
   (SELECT author, max(timestamp) AS m FROM r GROUP BY 1) r FULL JOIN (VALUES ('view', 1704100000), ('click', 1900000000), ('gone', 5)) c(author, cursor)
   ON c.author = r.author""",
-    "settings_rows": """SELECT 'scope' AS key, '{}' AS value UNION ALL SELECT 'tags', '["en", "src3"]' UNION ALL
-  SELECT 'authors', '["user7", "u3", "user20"]' UNION ALL SELECT 'last_pull_ts', max(timestamp)::VARCHAR FROM r""",
 }
 
 

@@ -53,11 +53,10 @@ def flag_batch(
 ) -> DataFrame:
     """Add outcome to every batch row: rejected, duplicate (key known or repeated) or inserted."""
     known = target.select(*keys).distinct().withColumn("__known", F.lit(True))
-    first = (
-        batch.filter(valid).groupBy(*keys).agg(F.min(F.struct(*order)).alias("__first"))
-    )
+    row = F.struct(*order, *sorted(set(batch.columns) - set(order)))  # ties in order are broken by the rest of the row
+    first = batch.filter(valid).groupBy(*keys).agg(F.min(row).alias("__first"))
     out = batch.join(known, keys, "left").join(first, keys, "left")
-    fresh = F.col("__known").isNull() & (F.struct(*order) == F.col("__first"))
+    fresh = F.col("__known").isNull() & row.eqNullSafe(F.col("__first"))
     outcome = F.when(~F.coalesce(valid, F.lit(False)), "rejected").when(fresh, "inserted").otherwise("duplicate")
     return out.withColumn("outcome", outcome).drop("__known", "__first")
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tracelake.functions.jsons import rows_as_json
 from tracelake.functions.text import preview
 from tracelake.functions.times import calendar_since
 
@@ -40,21 +39,15 @@ def inventory_projects(sessions: DataFrame, as_of, days: int = 1) -> DataFrame:
     )
 
 
-def inventory_document(sessions: DataFrame, as_of, days: int = 1, limit: int = 50) -> DataFrame:
-    """One row: the newest `limit` sessions and the busiest `limit` projects as one JSON document.
-
-    The row form (inventory, inventory_projects) is the unlimited report; a JSON
-    document is a single cell, so it takes a top-k of each list.
-    """
-    listed = inventory(sessions, as_of, days).withColumn("start", F.date_format("start", "yyyy-MM-dd HH:mm:ss"))
-    listed = listed.withColumn("end", F.date_format("end", "yyyy-MM-dd HH:mm:ss"))
-    listed = listed.orderBy(F.col("start").desc(), F.col("id").asc()).limit(limit)
-    projects = inventory_projects(sessions, as_of, days).withColumn("__n", -F.col("sessions"))
-    projects = projects.orderBy("__n", F.col("project").asc_nulls_first()).limit(limit)
-    left = listed.agg(rows_as_json([c for c in listed.columns], ["start", "id"]).alias("sessions"))
-    right = projects.agg(rows_as_json(["project", "sessions", "total_msgs"], ["__n", "project"]).alias("projects"))
-    return left.withColumn("projects", right.scalar()).select(
-        F.concat(F.lit('{"sessions":'), "sessions", F.lit(',"projects":'), "projects", F.lit("}")).alias("inventory")
+def inventory_document(sessions: DataFrame, as_of, days: int = 1) -> DataFrame:
+    """The report as JSON objects: one row per session and per project, so its size is bounded by no cell."""
+    text = {"ignoreNullFields": "false"}
+    listed = inventory(sessions, as_of, days)
+    for c in ("start", "end"):
+        listed = listed.withColumn(c, F.date_format(c, "yyyy-MM-dd HH:mm:ss"))
+    projects = inventory_projects(sessions, as_of, days)
+    return listed.select(F.lit("session").alias("kind"), F.to_json(F.struct(*listed.columns), text).alias("payload")).union(
+        projects.select(F.lit("project"), F.to_json(F.struct("project", "sessions", "total_msgs"), text))
     )
 
 
@@ -131,8 +124,8 @@ def work_rhythm(sessions: DataFrame, messages: DataFrame, large: int = 100) -> D
         F.sum(F.when(_overnight(), 1).otherwise(0)).alias("overnight"),
         F.sum(F.when(F.col("message_count") > large, 1).otherwise(0)).alias("long_sessions"),
     )
-    zero = {"started": 0, "overnight": 0, "long_sessions": 0}
-    return busy.join(starts, "hour", "left").fillna(zero)
+    zero = {"messages": 0, "started": 0, "overnight": 0, "long_sessions": 0}
+    return busy.join(starts, "hour", "full").fillna(zero)
 
 
 def file_heat(messages: DataFrame, min_sessions: int = 2) -> DataFrame:

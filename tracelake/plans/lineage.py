@@ -166,22 +166,15 @@ def provenance(messages: DataFrame, sessions: DataFrame, path: str, shift_hours:
     )
 
 
-def co_touched(messages: DataFrame, focus: int = 25, min_sessions: int = 2) -> DataFrame:
-    """Files often touched together with the `focus` hottest files, by number of shared sessions.
+def co_touched(messages: DataFrame, wanted: DataFrame, min_sessions: int = 2) -> DataFrame:
+    """All files touched together with the wanted ones (target_file), by number of shared sessions.
 
-    Each (session, file) row meets at most `focus` partners, so the work stays
-    linear in the rows; all pairs of a session are never built.
+    A row (session, file) meets the wanted files of its session alone; pairs of
+    two other files are never built.
     """
     touched = messages.filter(F.col("target_file").isNotNull()).select("session_id", "target_file").distinct()
-    hot = (
-        touched.groupBy("target_file").agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.col("n").desc(), F.col("target_file").asc()).limit(focus)
-    )
-    # At most `focus` names per session.
-    named = touched.join(hot.select("target_file"), "target_file", "left_semi").groupBy("session_id").agg(
-        F.collect_list("target_file").alias("hot_files")
-    )
-    pairs = touched.join(named, "session_id").select(F.explode("hot_files").alias("file"), F.col("target_file").alias("with_file"))
+    asked = touched.join(wanted.select("target_file").distinct(), "target_file", "left_semi").select("session_id", F.col("target_file").alias("file"))
+    pairs = touched.select("session_id", F.col("target_file").alias("with_file")).join(asked, "session_id")
     return (
         pairs.filter(F.col("file") != F.col("with_file")).groupBy("file", "with_file")
         .agg(F.count(F.lit(1)).alias("sessions")).filter(F.col("sessions") >= min_sessions)

@@ -93,6 +93,8 @@ def keyword(
     postings, documents = index
     units = parse_query(query)
     wanted = sorted({w for u in units for w in u})
+    if not units:
+        return documents.select("id", F.lit(0.0).alias("rank")).where("false")
     read = postings.filter(F.col("token").isin(wanted))
     # One entry per query word and chunk, so the map stays as small as the query.
     per_id = (

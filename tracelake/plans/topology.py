@@ -7,6 +7,8 @@ community_id, community_label, centrality, is_hub, is_bridge, fingerprint_index.
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tracelake.functions.text import preview
@@ -136,6 +138,14 @@ def weekly_pulse(sessions: DataFrame, seeded: DataFrame, as_of, days: int = 60)
     )
 
 
+def weeks_of(as_of, days: int = 60) -> list[str]:
+    """All Mondays of the window, oldest first."""
+    last = date.fromisoformat(str(as_of)[:10])
+    first = last - timedelta(days=days)
+    monday = first - timedelta(days=first.weekday())
+    return [(monday + timedelta(weeks=i)).isoformat() for i in range((last - monday).days // 7 + 1)]
+
+
 def pulse_grid(pulse: DataFrame, weeks: list[str]) -> DataFrame:
     """Community by week; cell length 1..5 relative to the peak, a dot for no activity."""
     peak = pulse.agg(F.max("sessions").alias("p")).scalar()

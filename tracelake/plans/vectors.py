@@ -18,7 +18,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tracelake.functions.text import words
-from tracelake.functions.times import instant
+from tracelake.functions.times import calendar_since, instant
+from tracelake.session import scratch_table
 
 DIMENSIONS = 64
 SUPPRESS_SHARE = 0.5
@@ -116,32 +117,38 @@ def _sorted_pool(pdf: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray]:
     return pdf, _unit_rows(np.vstack(pdf["embedding"].to_numpy()).astype(np.float64))
 
 
-def _mmr(limit: int, share: float):
-    def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts = [b for b in batches if len(b)]
-        if not parts:
-            return
-        pdf, unit = _sorted_pool(pd.concat(parts))
-        near = np.full(len(pdf), -np.inf)
-        score = pdf["score"].to_numpy()
-        taken: list[int] = []
-        while len(taken) < min(limit, len(pdf)):
-            gain = score if not taken else share * score - (1 - share) * near
-            gain = np.round(gain, DIGITS)
-            gain[taken] = -np.inf
-            best = int(np.argmax(gain))
-            taken.append(best)
-            near = np.maximum(near, unit @ unit[best])
-        yield pd.DataFrame({"id": pdf["id"].iloc[taken].to_numpy(), "pick": range(1, len(taken) + 1), "score": score[taken]})
-
-    return pick
-
-
-def diverse(scored: DataFrame, limit: int, pool: int = POOL, share: float = DIVERSE_SHARE) -> DataFrame:
-    """Spread results: greedy maximal marginal relevance over the best `pool` rows, which one task holds."""
-    best = top(scored, pool).select("id", "score", "embedding").coalesce(1)
-    schema = T.StructType([best.schema["id"], T.StructField("pick", T.IntegerType()), T.StructField("score", T.DoubleType())])
-    return best.mapInPandas(_mmr(limit, share), schema)
+def _nearest(c: str, picked: np.ndarray) -> Column:
+    """Largest cosine of a vector column with the vectors picked so far, a batch at a time."""
+    unit = _unit_rows(picked)
+
+    def near(vectors: pa.Array) -> pa.Array:
+        m = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, unit.shape[1])
+        return pa.array((_unit_rows(m) @ unit.T).max(axis=1))
+
+    return F.arrow_udf(near, T.DoubleType())(F.col(c))
+
+
+def diverse(scored: DataFrame, limit: int, pool: int | None = None, share: float = DIVERSE_SHARE) -> DataFrame:
+    """Spread results: greedy maximal marginal relevance over all scored rows, or over the best `pool` where the caller names one.
+
+    Each of the `limit` rounds scores every row against the picks so far, in
+    batches, and takes the best; only the picks come to the driver.
+    """
+    rows = scored.select("id", "score", "embedding").filter(F.col("embedding").isNotNull())
+    rows = scratch_table(rows if pool is None else top(rows, pool))
+    picks: list = []
+    while len(picks) < limit:
+        left, gain = rows, F.col("score")
+        if picks:
+            left = rows.filter(~F.col("id").isin([p["id"] for p in picks]))
+            near = _nearest("embedding", np.array([p["embedding"] for p in picks], dtype=np.float64))
+            gain = F.round(share * F.col("score") - (1 - share) * near, DIGITS)
+        best = left.withColumn("__gain", gain).orderBy(F.col("__gain").desc(), F.col("score").desc(), F.col("id").asc()).limit(1).collect()
+        if not best:
+            break
+        picks += best
+    schema = T.StructType([rows.schema["id"], T.StructField("pick", T.IntegerType()), T.StructField("score", T.DoubleType())])
+    return rows.sparkSession.createDataFrame([(p["id"], i, p["score"]) for i, p in enumerate(picks, start=1)], schema)
 
 
 def _climb(neighbours: int):
@@ -195,25 +202,35 @@ def hub_hits(scored: DataFrame, graph: DataFrame, limit: int = 10) -> DataFrame:
     )
 
 
-# Texts of the digest's semantic reports and their modifiers.
+# Texts of the digest's semantic reports and their modifiers.
 VOICE = "decisions architecture goals accomplishments next steps"
 VOICE_TIGHT = "decisions goals accomplishments what we built what is next"
 SECONDARY = "work tasks progress"
-SECONDARY_SUPPRESS = "skill digest query report"
+SECONDARY_SUPPRESS = "skill digest query pipeline"
 CLUSTERS = "what are we working on, what decisions, what was built"
 
 
-def user_voice(prompts: DataFrame, as_of, text: str = VOICE, limit: int = 20) -> DataFrame:
-    """Recent prompts near the theme, spread out, fresher ones first. prompts: id, content, embedding, session_id, created_at."""
-    scored = score(prompts, embed_text(text), decay_days=1, as_of=as_of)
-    return diverse(scored, limit).join(prompts.select("id", "content", "session_id", "created_at"), "id")
+def _asked(messages: DataFrame, as_of, days: int) -> DataFrame:
+    """The prompts of the window: what the semantic reports look at."""
+    return messages.filter((F.col("type") == "user_prompt") & calendar_since("created_at", as_of, days))
+
+
+def _told(hits: DataFrame, messages: DataFrame) -> DataFrame:
+    return hits.join(messages.select("id", "content", "session_id", "created_at"), "id")
+
+
+def user_voice(messages: DataFrame, as_of, text: str = VOICE, limit: int = 20, days: int = 1) -> DataFrame:
+    """Prompts of the last day near the theme, spread out, fresher ones first. messages: id, type, content, embedding, session_id, created_at."""
+    prompts = _asked(messages, as_of, days)
+    return _told(diverse(score(prompts, embed_text(text), decay_days=1, as_of=as_of), limit), prompts)
 
 
-def secondary_work(prompts: DataFrame, limit: int = 15, suppress: str = SECONDARY_SUPPRESS) -> DataFrame:
-    scored = score(prompts, embed_text(SECONDARY), suppress=embed_text(suppress))
-    return diverse(scored, limit).join(prompts.select("id", "content", "session_id", "created_at"), "id")
+def secondary_work(messages: DataFrame, as_of, limit: int = 15, suppress: str = SECONDARY_SUPPRESS, days: int = 1) -> DataFrame:
+    prompts = _asked(messages, as_of, days)
+    return _told(diverse(score(prompts, embed_text(SECONDARY), suppress=embed_text(suppress)), limit), prompts)
 
 
-def workstream_clusters(prompts: DataFrame, pool: int = POOL) -> DataFrame:
-    scored = score(prompts, embed_text(CLUSTERS))
-    return peaks(scored, pool).join(prompts.select("id", "content", "session_id", "created_at"), "id")
+def workstream_clusters(messages: DataFrame, as_of, pool: int = POOL, days: int = 1) -> DataFrame:
+    """Clusters of the best `pool` prompts of the last day. Spreading a pool that is clustered whole changes its order alone."""
+    prompts = _asked(messages, as_of, days)
+    return _told(peaks(score(prompts, embed_text(CLUSTERS)), pool), prompts)

@@ -7,8 +7,10 @@ except a UTC session time zone and AQE, which is on by default.
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from tracelake.shipping import ship
 
@@ -32,6 +34,20 @@ def local_session(cores: int | str = "*", name: str = "tracelake", shuffle_parti
     return spark
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The shared folder the cluster names for intermediate tables, or nothing."""
-    return spark.conf.get("spark.checkpoint.dir", None)
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names for intermediate tables. A local session without one gets a temporary folder."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = tempfile.mkdtemp(prefix="tracelake-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
+def scratch_table(df: DataFrame) -> DataFrame:
+    """The rows as a table of their own in the shared folder, for plans that read them several times."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/scratch-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

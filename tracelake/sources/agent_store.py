@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tracelake import schemas
-from tracelake.functions.jsons import is_array, is_object, kind_at, list_text, object_variant, quoted, text_at
+from tracelake.functions.jsons import is_array, is_object, kind_at, object_variant, quoted, spaced, text_at
 from tracelake.functions.text import SPACE, first_nonempty, is_blank, nonempty, strip
 from tracelake.functions.times import millis_or_seconds
 from tracelake.operators.columns import evaluate_once
@@ -68,7 +68,7 @@ def tool_content(v: str = "d") -> Column:
     def titled(name: str, head: Column, body: Column) -> Column:
         return strip(F.concat(F.lit(f"{name}: "), head, F.lit("\n"), strip(body)))
 
-    other = F.coalesce(nonempty(output), nonempty(title), F.to_json(v))
+    other = F.coalesce(nonempty(output), nonempty(title), spaced(F.to_json(v)))
     return (
         F.when(tool == "bash", titled("Bash", command, printed))
         .when(tool == "read", titled("Read", first_nonempty(text_at(v, "$.state.input.filePath"), title), shown))
@@ -188,17 +188,19 @@ def patch_records(chunks: DataFrame) -> DataFrame:
     )
     diff = F.coalesce(
         nonempty(text_at("d", "$.state.metadata.diff")), nonempty(text_at("d", "$.patch")),
-        nonempty(text_at("d", "$.state.input.patchText")), F.to_json("d"),
+        nonempty(text_at("d", "$.state.input.patchText")), spaced(F.to_json("d")),
     )
 
     def files_at(path: str) -> Column:
-        listed = F.try_variant_get("d", path, "array<string>")
-        plain = F.when(F.startswith(kind_at("d", path), F.lit("ARRAY<STRING")), list_text(listed))
-        return F.when(is_array("d", path) & (F.size(listed) > 0), F.coalesce(plain, text_at("d", path)))
+        value = F.try_variant_get("d", path, "variant")
+        return F.when(F.schema_of_variant(value) != "VOID", spaced(F.to_json(value)))
+
+    own = files_at("$.files")
+    own = F.when(~own.isin("[]", "{}", '""', "false", "0"), own)
 
     return chunks.filter(is_patch).select(
         "chunk_id", F.substring(F.sha2(diff, 256), 1, 16).alias("patch_hash"),
-        F.coalesce(files_at("$.files"), files_at("$.state.metadata.files")).alias("files_json"),
+        F.coalesce(own, files_at("$.state.metadata.files")).alias("files_json"),
         F.concat(F.lit('{"diff": '), quoted(diff), F.lit("}")).alias("diff_json"),
     )
 
@@ -211,7 +213,7 @@ def bodies(chunks: DataFrame) -> DataFrame:
     patch = F.when(raw_tool == "apply_patch", nonempty(text_at("d", "$.state.input.patchText")))
     clean = F.when((raw_tool == "read") & F.col("target_file").isNotNull(), read_body(output))
     listed = F.array(
-        F.struct(F.coalesce(output, F.to_json("d")).alias("content"), raw_tool.alias("tool_name")),
+        F.struct(F.coalesce(output, spaced(F.to_json("d"))).alias("content"), raw_tool.alias("tool_name")),
         F.struct(patch.alias("content"), F.lit("apply_patch_input").alias("tool_name")),
         F.struct(clean.alias("content"), F.lit("read_body").alias("tool_name")),
     )

@@ -86,19 +86,27 @@ def _load_tree(text: str | None) -> list:
 
 
 def _walk(tree: list, into: dict[str, list]) -> int:
-    """Append one comment tree in depth-first pre-order; no recursion, so depth is not limited by the stack."""
+    """Append one comment tree in depth-first pre-order; no recursion, so depth is not limited by the stack.
+
+    What is no object is no comment; a field of another kind than expected is empty.
+    """
+    def text(value) -> str:
+        return value if isinstance(value, str) else ""
+
     count, todo = 0, [(node, "") for node in reversed(tree)]
     while todo:
         node, parent = todo.pop()
-        own = node.get("id_code") or ""
+        if not isinstance(node, dict):
+            continue
+        own, user, children = text(node.get("id_code")), node.get("user"), node.get("children")
         into["dfs_pos"].append(count)
         into["id"].append(own)
         into["parent_id"].append(parent)
-        into["author"].append((node.get("user") or {}).get("username") or "")
-        into["body_html"].append(node.get("body_html") or "")
-        into["created_at"].append(node.get("created_at") or "")
+        into["author"].append(text(user.get("username")) if isinstance(user, dict) else "")
+        into["body_html"].append(text(node.get("body_html")))
+        into["created_at"].append(text(node.get("created_at")))
         count += 1
-        todo.extend((child, own) for child in reversed(node.get("children") or []))
+        todo.extend((child, own) for child in reversed(children if isinstance(children, list) else []))
     return count
 
 
