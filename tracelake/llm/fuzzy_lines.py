@@ -1,15 +1,17 @@
 """Fuzzy line deduplication by MinHash (operator 10). DataFrame and SQL functions only.
 
 A line is compared trimmed and in lower case. Its signature holds eight
-minimum hashes of character shingles: those of up to nine characters that
-begin at a space (each word start gives one), or, where spaces are rare, those
-at every character. Neighbouring pairs of minima, in a ring, are the eight
-bands. In a bucket of up to 32 lines all pairs are candidates; in a larger one
-first every line with one leading line, then, once those links are merged,
-only pairs whose lines are still in different components. A candidate counts
-if the Jaccard similarity of the sets of all five-character shingles is 0.8 or
-more, computed exactly. Components keep the line that comes first by doc_id,
-text hash and line number.
+minimum hashes of character shingles: in a long line those of up to nine
+characters that begin at a space (each word start gives one), in a short line
+or one of few spaces those of five characters at every place. Neighbouring
+pairs of minima, in a ring, are the eight bands. A byte of each minimum goes
+along, and only lines that agree in three bytes or more are candidates. In a
+bucket of up to eight lines all such pairs are; in a larger one first every
+line with one leading line, then, once those links are merged, only pairs whose
+lines are still in different components. A candidate counts if the Jaccard
+similarity of the sets of all five-character shingles is 0.8 or more, computed
+exactly. Components keep the line that comes first by doc_id, text hash and
+line number.
 
 Equal lines share one id (64-bit hash of the compared form) from the first
 shuffle on, so thousands of copies cost one row. Blank lines are neither
@@ -22,6 +24,8 @@ gives no rows. Lines of any length are compared whole.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tracelake.llm.components import components
@@ -30,62 +34,82 @@ from tracelake.llm.shared import work_folder, written
 SHINGLE = 5
 SIMILARITY = 0.8
 MINIMA = 8
+#: Bytes of the signatures in which a candidate pair agrees at least.
+AGREEING = 3
 #: Up to so many lines of a bucket are compared pair by pair at once.
-SMALL_BUCKET = 32
+SMALL_BUCKET = 8
 ANCHORED = "(?= (.{1,8}))"
-EVERYWHERE = "(?=(.{1,9}))"
-#: Text with fewer spaces than one in so many characters is shingled at every character.
-RARE_SPACES = 24
+#: Lines up to this length, and those with fewer spaces than one in so many characters, are shingled at every character.
+SHORT, RARE_SPACES = 64, 24
+WHITE = " \t\n\x0b\x0c\r"
+
+
+def lines(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, line_no, line (compared form) of every line that is not blank."""
+    own = F.transform(F.split(F.lower("text"), "\n", -1), lambda line: F.btrim(line, F.lit(WHITE)))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.posexplode(own).alias("line_no", "line"))
+    return rows.where("line <> ''")
 
 
-def compared(line: Column) -> Column:
-    return F.lower(F.regexp_replace(line, r"^[\x09-\x0d\x20]+|[\x09-\x0d\x20]+$", ""))
+def _everywhere(line: Column) -> Column:
+    every = F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{{SHINGLE}}}))"), F.lit(1))
+    return F.when(F.length(line) < SHINGLE, F.array(line)).otherwise(every)
+
+
+def shingle_set(line: Column) -> Column:
+    return F.array_distinct(_everywhere(line))
 
 
 def signature(line: Column) -> Column:
-    """Eight minima of the hashed shingles, as an array. Exclusive or with a constant orders the hashes anew for each."""
-    spaced = F.concat(F.lit(" "), line)
+    """The hashed shingles of which minima are taken."""
     spaces = F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit("")))
-    shingles = F.when(spaces * RARE_SPACES >= F.length(line), F.regexp_extract_all(spaced, F.lit(ANCHORED), F.lit(1)))
-    shingles = shingles.otherwise(F.regexp_extract_all(line, F.lit(EVERYWHERE), F.lit(1)))
-    return F.transform(shingles, lambda s: F.xxhash64(s))
+    long = (F.length(line) > SHORT) & (spaces * RARE_SPACES >= F.length(line))
+    anchored = F.regexp_extract_all(F.concat(F.lit(" "), line), F.lit(ANCHORED), F.lit(1))
+    return F.transform(F.when(long, anchored).otherwise(_everywhere(line)), lambda s: F.xxhash64(s))
 
 
 def _minima(hashes: Column) -> list[Column]:
+    """Exclusive or with a constant orders the hashes anew for each."""
     constants = [(0x9E3779B97F4A7C15 * (i + 1) & (1 << 64) - 1) for i in range(MINIMA)]
-    constants = [c - (1 << 64) if c >> 63 else c for c in constants]
-    return [_nearest(hashes, c).alias(f"m{i}") for i, c in enumerate(constants)]
+    return [_nearest(hashes, c - (1 << 64) if c >> 63 else c).alias(f"m{i}") for i, c in enumerate(constants)]
 
 
 def _nearest(hashes: Column, constant: int) -> Column:
     return F.array_min(F.transform(hashes, lambda h: h.bitwiseXOR(F.lit(constant))))
 
 
-def lines(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, line_no, line (compared form) of every line that is not blank."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n", -1)).alias("line_no", "raw"))
-    return rows.select("doc_id", "text_hash", "line_no", compared(F.col("raw")).alias("line")).where("line <> ''")
+def _keys() -> Column:
+    return F.array(*[F.xxhash64(F.lit(i), F.col(f"m{i}"), F.col(f"m{(i + 1) % MINIMA}")) for i in range(MINIMA)])
 
 
-def shingle_set(line: Column) -> Column:
-    every = F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{{SHINGLE}}}))"), F.lit(1))
-    return F.array_distinct(F.when(F.length(line) < SHINGLE, F.array(line)).otherwise(every))
+def _bytes() -> Column:
+    """The lowest byte of every minimum, packed into a long."""
+    parts = [F.shiftleft(F.col(f"m{i}").bitwiseAND(F.lit(255).cast("long")), 8 * i) for i in range(MINIMA)]
+    return reduce(lambda x, y: x.bitwiseOR(y), parts)
+
+
+def _agree(a: str, b: str) -> Column:
+    apart = F.col(a).bitwiseXOR(F.col(b))
+    same = [(F.shiftright(apart, 8 * i).bitwiseAND(F.lit(255).cast("long")) == 0).cast("int") for i in range(MINIMA)]
+    return reduce(lambda x, y: x + y, same) >= AGREEING
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The candidate pairs a, b whose lines are similar enough, by their exact shingle sets."""
-    left = texts.select(F.col("id").alias("a"), F.col("line").alias("line_a"))
-    right = texts.select(F.col("id").alias("b"), F.col("line").alias("line_b"))
-    sets = pairs.join(left, "a").join(right, "b").select("a", "b", shingle_set(F.col("line_a")).alias("x"), shingle_set(F.col("line_b")).alias("y"))
-    shared = F.size(F.array_intersect("x", "y"))
-    return sets.where(shared >= F.lit(SIMILARITY) * (F.size("x") + F.size("y") - shared)).select("a", "b")
+    left = texts.select(F.col("id").alias("a"), F.col("line").alias("line_a"), F.col("size").alias("size_a"))
+    right = texts.select(F.col("id").alias("b"), F.col("line").alias("line_b"), F.col("size").alias("size_b"))
+    both = pairs.join(left, "a").join(right, "b")
+    both = both.where(F.least("size_a", "size_b") >= F.lit(SIMILARITY) * F.greatest("size_a", "size_b"))  # else no set of shared ones is large enough
+    shared = F.size(F.array_intersect(shingle_set(F.col("line_a")), shingle_set(F.col("line_b"))))
+    counted = both.select("a", "b", "size_a", "size_b", F.explode(F.array(shared)).alias("shared"))  # a generator: evaluated once, not per use
+    return counted.where(F.col("shared") >= F.lit(SIMILARITY) * (F.col("size_a") + F.col("size_b") - F.col("shared"))).select("a", "b")
 
 
-def _pairs(members: DataFrame) -> DataFrame:
-    """a < b for all members of a bucket. members: key, id and more columns, which come with each side."""
+def _pairs(members: DataFrame, also: str = "true") -> DataFrame:
+    """Candidates a < b among the members of a bucket. members: key, id, bytes and more columns, which come with each side."""
     left = members.select("key", *[F.col(c).alias(f"{c}_a") for c in members.columns if c != "key"])
     right = members.select("key", *[F.col(c).alias(f"{c}_b") for c in members.columns if c != "key"])
-    return left.join(right, "key").where("id_a < id_b")
+    return left.join(right, "key").where("id_a < id_b").where(also).where(_agree("bytes_a", "bytes_b"))
 
 
 def _named(pairs: DataFrame) -> DataFrame:
@@ -95,33 +119,35 @@ def _named(pairs: DataFrame) -> DataFrame:
 def _texts(rows: DataFrame, pairs: DataFrame, folder: str, name: str) -> DataFrame:
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     found = rows.select(F.xxhash64("line").alias("id"), "line").join(wanted, "id", "left_semi")
-    return written(found.groupBy("id").agg(F.min("line").alias("line")), folder, name)
+    texts = found.groupBy("id").agg(F.min("line").alias("line"))
+    return written(texts.select("id", "line", F.size(shingle_set(F.col("line"))).alias("size")), folder, name)
 
 
 def line_components(docs: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
     """The occurrences (doc_id, text_hash, line_no, id) and the line ids that are not their own root (node, root)."""
     rows = lines(docs)
-    hashed = rows.select("doc_id", "text_hash", "line_no", F.xxhash64("line").alias("id"), signature(F.col("line")).alias("h"))
-    places = written(hashed.select("doc_id", "text_hash", "line_no", "id", *_minima(F.col("h"))), folder, "places")
-    firsts = [F.first(f"m{i}").alias(f"m{i}") for i in range(MINIMA)]
-    bands = [F.xxhash64(F.lit(i), F.col(f"m{i}"), F.col(f"m{(i + 1) % MINIMA}")) for i in range(MINIMA)]
-    keyed = places.groupBy("id").agg(*firsts).select("id", F.explode(F.array(*bands)).alias("key"))
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min_by("id", F.xxhash64("id", "key")).alias("lead")).where("n > 1")
-    members = written(keyed.join(sizes, "key"), folder, "members")
-    small = _pairs(members.where(F.col("n") <= SMALL_BUCKET).select("key", "id"))
-    large = members.where(F.col("n") > SMALL_BUCKET)
-    led = large.where("id <> lead").select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b"))
+    place = ["doc_id", "text_hash", "line_no", "id"]
+    hashed = rows.select(*place[:3], F.xxhash64("line").alias("id"), signature(F.col("line")).alias("h"))
+    places = written(hashed.select(*place, *_minima(F.col("h"))).select(*place, _keys().alias("keys"), _bytes().alias("bytes")), folder, "places")
+    distinct = places.groupBy("id").agg(F.first("keys").alias("keys"), F.first("bytes").alias("bytes"))
+    keyed = distinct.select("id", "bytes", F.explode("keys").alias("key")).repartition("key")  # one exchange for the counts and the join
+    sizes = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min_by(F.struct("id", "bytes"), F.xxhash64("id", "key")).alias("lead")).where("n > 1")
+    members = written(keyed.join(sizes, "key").select("key", "id", "bytes", "n", "lead"), folder, "members")
+    small = _pairs(members.where(F.col("n") <= SMALL_BUCKET).select("key", "id", "bytes"))
+    large = members.where(F.col("n") > SMALL_BUCKET).select("key", "id", "bytes", F.col("lead.id").alias("lead"), F.col("lead.bytes").alias("lead_bytes"))
+    led = large.where("id <> lead").where(_agree("bytes", "lead_bytes")).select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b"))
     pairs = written(_named(small).union(led).distinct(), folder, "pairs")
     edges = written(verified(pairs, _texts(rows, pairs, folder, "texts")), folder, "similar")
     roots = components(edges, f"{folder}/first")
-    if large.isEmpty():
-        return places, roots
-    rooted = large.join(roots, large.id == roots.node, "left").select("key", "id", F.coalesce("root", "id").alias("root"))
+    rooted = large.join(roots, large.id == roots.node, "left").select("key", "id", "bytes", F.coalesce("root", "id").alias("root"))
+    rooted = written(rooted, folder, "rooted")
     mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
-    apart = written(_named(_pairs(rooted.join(mixed, "key", "left_semi")).where("root_a <> root_b")), folder, "apart")
-    more = verified(apart.join(pairs, ["a", "b"], "left_anti"), _texts(rows, apart, folder, "more_texts"))
-    both = written(edges.union(more), folder, "all_similar")
-    return places, components(both, f"{folder}/second")
+    apart = _named(_pairs(rooted.join(mixed, "key", "left_semi"), "root_a <> root_b"))
+    apart = written(apart.join(pairs, ["a", "b"], "left_anti"), folder, "apart")
+    if apart.isEmpty():
+        return places, roots
+    more = verified(apart, _texts(rows, apart, folder, "more_texts"))
+    return places, components(written(edges.union(more), folder, "all_similar"), f"{folder}/second")
 
 
 def line_groups(docs: DataFrame, folder: str) -> DataFrame:
