@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from hashlib import md5
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tracelake.functions.times import epoch_seconds
 from tracelake.harness.events import events, stored
+from tracelake.session import shared_folder
 from tracelake.sources import agent_store as store
 
 FALLBACK = 1700000000
@@ -74,3 +77,11 @@ def parts(spark: SparkSession, sf: str) -> DataFrame:
 def chunks(spark: SparkSession, sf: str) -> DataFrame:
     return stored("agent_chunks", spark, sf, lambda: store.chunk_rows(
         sessions(spark, sf), messages(spark, sf), parts(spark, sf), FALLBACK))
+
+
+def landed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three tables written as an export (JSON lines in the shared folder) and read back by the reader."""
+    folder = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/export-{md5(sf.encode()).hexdigest()[:8]}"
+    for name, rows in (("session", sessions), ("message", messages), ("part", parts)):
+        rows(spark, sf).write.mode("overwrite").json(f"{folder}/{name}")
+    return store.read_store(spark, folder)

@@ -149,6 +149,14 @@ def landed_story_comments(spark: SparkSession, sf: str) -> DataFrame:
     return c.select(F.from_json(line, schemas.STORY_COMMENT).alias("r")).select("r.*")
 
 
+def stories_with_comments(spark: SparkSession, sf: str) -> DataFrame:
+    """Stories that carry their comments as one JSON array, as a detail request lists them."""
+    c = landed_story_comments(spark, sf)
+    item = F.struct(*[x for x in c.columns if x not in ("story_id", "pos")])
+    rows = F.array_sort(F.collect_list(F.struct("pos", item.alias("c"))))
+    return c.groupBy(F.col("story_id").alias("short_id")).agg(F.to_json(F.transform(rows, lambda r: r["c"])).alias("comments"))
+
+
 def story_heads(spark: SparkSession, sf: str) -> DataFrame:
     return stories.normalise(landed_stories(spark, sf))
 

@@ -21,6 +21,7 @@ def _body_edges(spark, sf):
 def queries() -> dict:
     return {
         "store_chunks": lambda spark, sf: H.chunks(spark, sf).drop("d"),
+        "store_landed_chunks": lambda spark, sf: store.chunk_rows(*H.landed(spark, sf), H.FALLBACK).drop("d"),
         "store_sources": lambda spark, sf: store.source_rows(H.sessions(spark, sf), H.messages(spark, sf)),
         "store_sessions": lambda spark, sf: store.session_sidecar(H.sessions(spark, sf)),
         "store_parts": lambda spark, sf: store.part_sidecar(H.chunks(spark, sf)),

@@ -8,7 +8,7 @@ from tracelake.functions.html import strip_html
 from tracelake.harness import feeds as H
 from tracelake.harness.events import table
 from tracelake.plans import presets, views
-from tracelake.sources import feeds
+from tracelake.sources import feeds, stories
 
 CURSOR = 1705000000
 
@@ -48,6 +48,8 @@ def queries() -> dict:
         "article_heads": H.article_heads,
         "comment_tree_flat": lambda spark, sf: H.article_comments(spark, sf).drop("tags", "reading_time", "depth", "url", "score"),
         "story_heads": H.story_heads,
+        "story_listed_comments": lambda spark, sf: stories.normalise_comments(
+            stories.listed_comments(H.stories_with_comments(spark, sf))).drop("tags", "reading_time"),
         "story_comments": lambda spark, sf: H.story_comments(spark, sf).drop("tags", "reading_time"),
         "feed_recent_limit": lambda spark, sf: feeds.recent_per_feed(H.feed_rows(spark, sf), CURSOR, 10).select(
             "feed_kind", "feed", "feed_pos", "id"),

@@ -40,6 +40,7 @@ bodies AS (
 
 QUERIES = {
     "store_chunks": "SELECT * EXCLUDE (kind, raw_tool, event_id, k, output, patch_text, diff) FROM chk",
+    "store_landed_chunks": "SELECT * EXCLUDE (kind, raw_tool, event_id, k, output, patch_text, diff) FROM chk",
     "store_sources": """SELECT 'opencode:' || session_id AS source_id, 'Work of ' || user_id AS title, 'opencode:' || session_id AS source,
   '/home/' || user_id AS primary_cwd, min(tm)::VARCHAR AS file_date, min_by(model, CAST(tm AS HUGEINT) * 10000000 + event_id) FILTER (model IS NOT NULL) AS model
   FROM t GROUP BY session_id, user_id""",

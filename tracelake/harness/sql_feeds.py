@@ -91,6 +91,7 @@ QUERIES = {
     "comment_tree_flat": "SELECT head_id, dfs_pos, position, comment_id, type, author, content, created_utc, parent_id FROM placed",
     "story_heads": "SELECT * FROM sheads",
     "story_comments": "SELECT *, dfs_pos + 1 AS position FROM scom",
+    "story_listed_comments": "SELECT *, dfs_pos + 1 AS position FROM scom",
     "feed_recent_limit": "SELECT feed_kind, feed, feed_pos, id FROM flim",
     "feed_dedupe": "SELECT id, feed_kind, feed, feed_rank, title FROM funi",
     "feed_global_limit": """SELECT id, feed_rank, feed_pos FROM (

@@ -123,9 +123,9 @@ def keyword(
 
 
 def with_snippet(hits: DataFrame, chunks: DataFrame, query: str, before: int = 30, width: int = 120) -> DataFrame:
-    """Add the text round the first place one of the query words stands."""
+    """Add the text round the first place where the first word of the query stands as a word."""
     first = parse_query(query)[0][0]
-    at = F.locate(first, F.lower("content"))
+    at = F.regexp_instr(F.lower("content"), F.lit(rf"(?<![\p{{L}}\p{{N}}]){first}(?![\p{{L}}\p{{N}}])"))
     start = F.greatest(F.lit(1), at - before)
     body = chunks.select("id", F.col("content").substr(start, F.lit(width)).alias("snippet"))
     return hits.join(body, "id")
