@@ -3,11 +3,13 @@
 Base rules look at one document. The method then compares two histograms of
 it, its character classes and its use of the language's most common words,
 with those of the language, by Jensen-Shannon distance (base 2). The
-references come from all documents with enough words and few symbols; a language with little text uses that of all languages. Short
-documents are not judged by a histogram: each has a least length.
+references come from all documents with enough words and few symbols; where a
+language has little text, characters are compared with those of all languages
+and words are not. Short documents are not judged by a histogram: each has a
+least length.
 
-Null text: no words, rejected. Null or odd languages use the reference of all.
-Every row is judged by itself, so repeated rows get equal rows. Extra columns
+Null text: no words, rejected. Null or odd languages are compared by the
+characters of all. Every row is judged by itself, so repeated rows get equal rows. Extra columns
 are left by `judged` and kept by `accepted`. An empty table gives no rows; if
 no document may serve as reference, only the base rules hold. Whole texts are
 read, whatever their length.
@@ -164,15 +166,16 @@ def references(docs: DataFrame, folder: str) -> dict[str, tuple]:
 def judge(text: str, lang: str, known: dict[str, tuple]) -> dict:
     data = text.encode("utf-8", "surrogatepass")
     out = base_measures(text, data) | {"char_distance": None, "word_distance": None}
-    reference = known.get(lang) or known.get("*")
+    own = known.get(lang)
+    reference = own or known.get("*")
     if reference and len(text) >= MIN_CHARS:
         out["char_distance"] = distance(char_histogram(text, data), reference[0])
-    if reference:
+    if own:
         words = folded_words(data)
         n = sum(words.values())
         if n >= MIN_COMMON:
-            used = [words.get(w, 0) for w in reference[1]]
-            out["word_distance"] = distance(np.array([*used, n - sum(used)], float), reference[2])
+            used = [words.get(w, 0) for w in own[1]]
+            out["word_distance"] = distance(np.array([*used, n - sum(used)], float), own[2])
     chars, common = out["char_distance"] or 0, out["word_distance"] or 0
     far = chars > CHAR_DISTANCE or common > WORD_DISTANCE or chars + common > JOINT_DISTANCE
     return out | {"kept": not out["base_failed"] and not far}
