@@ -123,3 +123,20 @@ def test_fuzzy_lines_in_large_buckets(spark, monkeypatch):
     lines = [base[:p] + c + base[p + 1:] for p, c in ((rng.randrange(len(base)), rng.choice("xyz")) for _ in range(60))]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "doc_id long, text string")
     assert {r.first_doc_id for r in fuzzy_lines.line_groups(docs, work_folder(spark, "f")).collect()} == {0}
+
+
+def test_lines_of_unlike_length_and_spacing_share_bands(spark):
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    pairs = []
+    for _ in range(40):
+        head = " ".join(word(6) for _ in range(8)) + " " + word(4)
+        pairs.append((f"{head} page 9"[:64], f"{head} page 9"[:64] + " 104"))  # 64 and 68 characters
+        parts = [word(24) for _ in range(4)]
+        pairs.append((" ".join(parts) + " " + word(30), None))
+    pairs = [(a, b or a[:-12] + " " + a[-11:]) for a, b in pairs]  # the second sort: one space more in 130 characters
+    sets = [tuple({t[i:i + 5] for i in range(len(t) - 4)} for t in p) for p in pairs]
+    assert all(len(x & y) >= 0.8 * len(x | y) for x, y in sets)
+    docs = spark.createDataFrame([(i, "\n".join(p)) for i, p in enumerate(pairs)], "doc_id long, text string")
+    gone = [r.doc_id for r in fuzzy_lines.line_groups(docs, work_folder(spark, "f")).collect() if not r.kept]
+    assert len(gone) >= 0.97 * len(pairs)

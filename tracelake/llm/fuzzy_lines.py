@@ -1,12 +1,11 @@
 """Fuzzy line deduplication by MinHash (operator 10). DataFrame and SQL functions only.
 
 A line is compared trimmed and in lower case. Its signature holds eight
-minimum hashes of character shingles: in a long line those of up to nine
-characters that begin at a space (each word start gives one), in a short line
-or one of few spaces those of five characters at every place. Neighbouring
+minimum hashes of its five-character shingles, those at every place whatever
+the line's length, so that any two alike lines share minima. Neighbouring
 pairs of minima, in a ring, are the eight bands. A byte of each minimum goes
-along, and only lines that agree in three bytes or more are candidates. In a
-bucket of up to eight lines all such pairs are; in a larger one first every
+along, and only lines that agree in three bytes or more, and whose numbers of
+shingles allow the similarity, are candidates. In a bucket of up to eight lines all such pairs are; in a larger one first every
 line with one leading line, then, once those links are merged, only pairs whose
 lines are still in different components. A candidate counts if the Jaccard
 similarity of the sets of all five-character shingles is 0.8 or more, computed
@@ -38,9 +37,6 @@ MINIMA = 8
 AGREEING = 3
 #: Up to so many lines of a bucket are compared pair by pair at once.
 SMALL_BUCKET = 8
-ANCHORED = "(?= (.{1,8}))"
-#: Lines up to this length, and those with fewer spaces than one in so many characters, are shingled at every character.
-SHORT, RARE_SPACES = 64, 24
 WHITE = " \t\n\x0b\x0c\r"
 
 
@@ -62,10 +58,7 @@ def shingle_set(line: Column) -> Column:
 
 def signature(line: Column) -> Column:
     """The hashed shingles of which minima are taken."""
-    spaces = F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit("")))
-    long = (F.length(line) > SHORT) & (spaces * RARE_SPACES >= F.length(line))
-    anchored = F.regexp_extract_all(F.concat(F.lit(" "), line), F.lit(ANCHORED), F.lit(1))
-    return F.transform(F.when(long, anchored).otherwise(_everywhere(line)), lambda s: F.xxhash64(s))
+    return F.transform(_everywhere(line), lambda s: F.xxhash64(s))
 
 
 def _minima(hashes: Column) -> list[Column]:
@@ -94,22 +87,27 @@ def _agree(a: str, b: str) -> Column:
     return reduce(lambda x, y: x + y, same) >= AGREEING
 
 
+def _sizes_allow(a: str, b: str) -> Column:
+    """Else no set of shared shingles is large enough."""
+    return F.least(a, b) >= F.lit(SIMILARITY) * F.greatest(a, b)
+
+
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The candidate pairs a, b whose lines are similar enough, by their exact shingle sets."""
     left = texts.select(F.col("id").alias("a"), F.col("line").alias("line_a"), F.col("size").alias("size_a"))
     right = texts.select(F.col("id").alias("b"), F.col("line").alias("line_b"), F.col("size").alias("size_b"))
     both = pairs.join(left, "a").join(right, "b")
-    both = both.where(F.least("size_a", "size_b") >= F.lit(SIMILARITY) * F.greatest("size_a", "size_b"))  # else no set of shared ones is large enough
+    both = both.where(_sizes_allow("size_a", "size_b"))
     shared = F.size(F.array_intersect(shingle_set(F.col("line_a")), shingle_set(F.col("line_b"))))
     counted = both.select("a", "b", "size_a", "size_b", F.explode(F.array(shared)).alias("shared"))  # a generator: evaluated once, not per use
     return counted.where(F.col("shared") >= F.lit(SIMILARITY) * (F.col("size_a") + F.col("size_b") - F.col("shared"))).select("a", "b")
 
 
 def _pairs(members: DataFrame, also: str = "true") -> DataFrame:
-    """Candidates a < b among the members of a bucket. members: key, id, bytes and more columns, which come with each side."""
+    """Candidates a < b among the members of a bucket. members: key, id, bytes, size and more columns, which come with each side."""
     left = members.select("key", *[F.col(c).alias(f"{c}_a") for c in members.columns if c != "key"])
     right = members.select("key", *[F.col(c).alias(f"{c}_b") for c in members.columns if c != "key"])
-    return left.join(right, "key").where("id_a < id_b").where(also).where(_agree("bytes_a", "bytes_b"))
+    return left.join(right, "key").where("id_a < id_b").where(also).where(_sizes_allow("size_a", "size_b")).where(_agree("bytes_a", "bytes_b"))
 
 
 def _named(pairs: DataFrame) -> DataFrame:
@@ -128,18 +126,18 @@ def line_components(docs: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]
     rows = lines(docs)
     place = ["doc_id", "text_hash", "line_no", "id"]
     hashed = rows.select(*place[:3], F.xxhash64("line").alias("id"), signature(F.col("line")).alias("h"))
-    places = written(hashed.select(*place, *_minima(F.col("h"))).select(*place, _keys().alias("keys"), _bytes().alias("bytes")), folder, "places")
-    distinct = places.groupBy("id").agg(F.first("keys").alias("keys"), F.first("bytes").alias("bytes"))
-    keyed = distinct.select("id", "bytes", F.explode("keys").alias("key")).repartition("key")  # one exchange for the counts and the join
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min_by(F.struct("id", "bytes"), F.xxhash64("id", "key")).alias("lead")).where("n > 1")
-    members = written(keyed.join(sizes, "key").select("key", "id", "bytes", "n", "lead"), folder, "members")
-    small = _pairs(members.where(F.col("n") <= SMALL_BUCKET).select("key", "id", "bytes"))
-    large = members.where(F.col("n") > SMALL_BUCKET).select("key", "id", "bytes", F.col("lead.id").alias("lead"), F.col("lead.bytes").alias("lead_bytes"))
-    led = large.where("id <> lead").where(_agree("bytes", "lead_bytes")).select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b"))
+    places = written(hashed.select(*place, *_minima(F.col("h")), F.size(F.array_distinct("h")).alias("size")).select(*place, _keys().alias("keys"), _bytes().alias("bytes"), "size"), folder, "places")
+    distinct = places.groupBy("id").agg(F.first("keys").alias("keys"), F.first("bytes").alias("bytes"), F.first("size").alias("size"))
+    keyed = distinct.select("id", "bytes", "size", F.explode("keys").alias("key")).repartition("key")  # one exchange for the counts and the join
+    sizes = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min_by(F.struct("id", "bytes", "size"), F.xxhash64("id", "key")).alias("lead")).where("n > 1")
+    members = written(keyed.join(sizes, "key").select("key", "id", "bytes", "size", "n", "lead"), folder, "members")
+    small = _pairs(members.where(F.col("n") <= SMALL_BUCKET).select("key", "id", "bytes", "size"))
+    large = members.where(F.col("n") > SMALL_BUCKET).select("key", "id", "bytes", "size", F.col("lead.id").alias("lead"), F.col("lead.bytes").alias("lead_bytes"), F.col("lead.size").alias("lead_size"))
+    led = large.where("id <> lead").where(_sizes_allow("size", "lead_size")).where(_agree("bytes", "lead_bytes")).select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b"))
     pairs = written(_named(small).union(led).distinct(), folder, "pairs")
     edges = written(verified(pairs, _texts(rows, pairs, folder, "texts")), folder, "similar")
     roots = components(edges, f"{folder}/first")
-    rooted = large.join(roots, large.id == roots.node, "left").select("key", "id", "bytes", F.coalesce("root", "id").alias("root"))
+    rooted = large.join(roots, large.id == roots.node, "left").select("key", "id", "bytes", "size", F.coalesce("root", "id").alias("root"))
     rooted = written(rooted, folder, "rooted")
     mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
     apart = _named(_pairs(rooted.join(mixed, "key", "left_semi"), "root_a <> root_b"))
