@@ -1,5 +1,6 @@
 """Operator 5 against a plain version, and its verdicts against labels it does not read."""
 
+import random
 import re
 from collections import Counter
 
@@ -7,6 +8,7 @@ import numpy as np
 import pytest
 
 from tracelake.llm import quality, registry
+from tracelake.llm.shared import work_folder
 
 
 @pytest.fixture(scope="module")
@@ -51,3 +53,23 @@ def test_distance():
 def test_many_distinct_words(monkeypatch):
     words = [b"a", b"b", b"c", b"x", b"a", b"b", b"c"]
     assert quality.repeat_words(words) == 6
+
+
+def test_rare_scripts_are_not_judged_by_latin_texts(spark, monkeypatch):
+    rng = random.Random(6)
+
+    def text(letters):
+        words = ["".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(90)]
+        return ". ".join(" ".join(words[i:i + 9]).capitalize() for i in range(0, 90, 9)) + "."
+
+    sorts = {"en": "abcdefghijklmnopqrstuvwxyz", "ru": "абвгдежзийклмнопрстуфхцчшыьэюя", "el": "αβγδεζηθικλμνξοπρστυφχψω", "ko": "가나다라마바사아자차카타파하"}
+    rows = [(i, text(sorts["en"]), "en") for i in range(300)]
+    rows += [(1000 + i, text(sorts[g]), h) for i, (g, h) in enumerate((g, h) for g in ("ru", "el", "ko") for h in (g, None, "?!"))]
+    rows += [(2000, "7# $4 %% 19 |> " * 4 + " ".join(f"{i}$$#%&|{i * i}" for i in range(80)), "xx")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    own = {r.doc_id: r for r in quality.judged(docs, work_folder(spark, "q")).collect()}
+    assert [own[1000 + i].kept for i in range(9)] == [True] * 9 and all(own[1000 + i].char_distance is None for i in range(9))
+    assert own[0].kept and not own[2000].kept  # Latin texts, and those without letters, are still compared
+    monkeypatch.setattr(quality, "REFERENCE_WORDS", 200)
+    same = {r.doc_id: r for r in quality.judged(docs, work_folder(spark, "q")).collect()}
+    assert all(same[1000 + i].kept and same[1000 + i].char_distance < 0.1 for i in range(9))

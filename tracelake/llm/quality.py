@@ -4,12 +4,13 @@ Base rules look at one document. The method then compares two histograms of
 it, its character classes and its use of the language's most common words,
 with those of the language, by Jensen-Shannon distance (base 2). The
 references come from all documents with enough words and few symbols; where a
-language has little text, characters are compared with those of all languages
-and words are not. Short documents are not judged by a histogram: each has a
+language has little text, characters are compared with those of all documents
+of the same script and words are not. Where the script has little text too, the
+histograms say nothing and the base rules decide. Short documents are not judged by a histogram: each has a
 least length.
 
 Null text: no words, rejected. Null or odd languages are compared by the
-characters of all. Every row is judged by itself, so repeated rows get equal rows. Extra columns
+characters of the script. Every row is judged by itself, so repeated rows get equal rows. Extra columns
 are left by `judged` and kept by `accepted`. An empty table gives no rows; if
 no document may serve as reference, only the base rules hold. Whole texts are
 read, whatever their length.
@@ -17,6 +18,7 @@ read, whatever their length.
 
 from __future__ import annotations
 
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
@@ -31,7 +33,7 @@ MAX_REPEAT_PERCENT = 50
 SYMBOLS = b"#*$%&|<>"
 WHITE = b" \t\n\x0b\x0c\r"
 COMMON_WORDS = 50
-#: A language has a reference of its own from so many words on; a document may serve with at most so many symbols per 100 words.
+#: A language or a script has a reference of its own from so many words on; a document may serve with at most so many symbols per 100 words.
 REFERENCE_WORDS, REFERENCE_SYMBOLS = 20_000, 10
 #: Least code points and words for a histogram to be judged, and the largest distances of an accepted document.
 MIN_CHARS, MIN_COMMON = 200, 50
@@ -66,6 +68,17 @@ def _ascii_histogram(data: bytes) -> np.ndarray:
     return np.bincount(char_classes()[:128], np.bincount(np.frombuffer(data, np.uint8), minlength=128), N_CLASSES).astype(np.int64)
 
 
+def script(text: str, histogram: np.ndarray) -> str:
+    """The script of most letters, by their Unicode names, after a star; the first of equals. Without letters it is Latin."""
+    if histogram[2] + histogram[3] >= histogram[8]:
+        return "*LATIN"
+    letters: Counter = Counter()
+    for letter, n in Counter(text).items():
+        if letter.isalpha():
+            letters[unicodedata.name(letter, "").split(" ")[0]] += n
+    return "*" + min(letters, key=lambda s: (-letters[s], s))
+
+
 def folded_words(data: bytes) -> Counter:
     """Words in lower case without marks; letters outside ASCII stay as they are."""
     return Counter(data.translate(_FOLDED).split())
@@ -122,36 +135,41 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batch):
             chars: dict[str, np.ndarray] = {}
             texts: dict[str, list[bytes]] = {}
+            totals: dict[str, int] = {}
             for text, lang in zip(part.column("text").to_pylist(), part.column("lang").to_pylist()):
                 data = text.encode("utf-8", "surrogatepass")
                 symbols = len(data) - len(data.translate(None, SYMBOLS))
                 n = len(data.split())
                 if n >= MIN_WORDS and 100 * symbols <= REFERENCE_SYMBOLS * n:
-                    chars[lang] = chars.get(lang, 0) + char_histogram(text, data)
+                    histogram = char_histogram(text, data)
+                    own = script(text, histogram)
+                    chars[lang] = chars.get(lang, 0) + histogram
+                    chars[own] = chars.get(own, 0) + histogram
+                    totals[own] = totals.get(own, 0) + n
                     texts.setdefault(lang, []).append(data)
             words = {lang: folded_words(b" ".join(own)) for lang, own in texts.items()}
             rows = [(lang, "c", str(i), int(n)) for lang, h in chars.items() for i, n in enumerate(h) if n]
             rows += [(lang, "w", w.decode("utf-8", "replace"), n) for lang, c in words.items() for w, n in c.items()]
+            rows += [(own, "t", "", n) for own, n in totals.items()]
             if rows:
                 columns = list(zip(*rows))
                 yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.string()) for c in columns[:3]), pa.array(columns[3], pa.int64())], names=["lang", "kind", "item", "n"])
 
 
 def references(docs: DataFrame, folder: str) -> dict[str, tuple]:
-    """By language key, and for all under "*": class counts, common words, their counts and that of the rest.
+    """By language key: class counts, common words, their counts and that of the rest. By script (after a star): class counts, no words.
 
     Counted over all documents; what comes to the driver is bounded by the
-    keys (18,279 at most) times the classes and common words.
+    keys (18,279 and the scripts of Unicode at most) times the classes and common words.
     """
     counts = text_rows(docs, language_key(docs).alias("lang")).select("lang", "text").mapInArrow(_counts, "lang string, kind string, item string, n long")
     own = written(counts.groupBy("lang", "kind", "item").agg(F.sum("n").alias("n")), folder, "counts")
-    every = own.groupBy("kind", "item").agg(F.sum("n").alias("n")).select(F.lit("*").alias("lang"), "kind", "item", "n")
-    both = own.union(every)
+    words = own.where("kind = 'w'")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "item"))
-    top = both.where("kind = 'w'").withColumn("rank", rank).where(F.col("rank") <= COMMON_WORDS).select("lang", "kind", "item", "n")
-    total = both.where("kind = 'w'").groupBy("lang").agg(F.sum("n").alias("n")).select("lang", F.lit("t").alias("kind"), F.lit("").alias("item"), "n")
+    top = words.withColumn("rank", rank).where(F.col("rank") <= COMMON_WORDS).select("lang", "kind", "item", "n")
+    total = words.groupBy("lang").agg(F.sum("n").alias("n")).select("lang", F.lit("t").alias("kind"), F.lit("").alias("item"), "n")
     out: dict[str, tuple] = {}
-    for lang, kind, item, n in sorted(tuple(r) for r in top.union(total).union(both.where("kind = 'c'")).collect()):
+    for lang, kind, item, n in sorted(tuple(r) for r in top.union(total).union(own.where("kind <> 'w'")).collect()):
         classes, words, totals = out.setdefault(lang, (np.zeros(N_CLASSES), {}, []))
         if kind == "c":
             classes[int(item)] = n
@@ -160,16 +178,18 @@ def references(docs: DataFrame, folder: str) -> dict[str, tuple]:
         else:
             totals.append(n)
     return {lang: (classes, list(words), np.array([*words.values(), totals[0] - sum(words.values())], float))
-            for lang, (classes, words, totals) in out.items() if lang == "*" or totals[0] >= REFERENCE_WORDS}
+            for lang, (classes, words, totals) in out.items() if lang and totals[0] >= REFERENCE_WORDS}
 
 
 def judge(text: str, lang: str, known: dict[str, tuple]) -> dict:
     data = text.encode("utf-8", "surrogatepass")
     out = base_measures(text, data) | {"char_distance": None, "word_distance": None}
     own = known.get(lang)
-    reference = own or known.get("*")
-    if reference and len(text) >= MIN_CHARS:
-        out["char_distance"] = distance(char_histogram(text, data), reference[0])
+    if known and len(text) >= MIN_CHARS:
+        histogram = char_histogram(text, data)
+        reference = own or known.get(script(text, histogram))
+        if reference:
+            out["char_distance"] = distance(histogram, reference[0])
     if own:
         words = folded_words(data)
         n = sum(words.values())
