@@ -47,3 +47,17 @@ def test_fit_tells_texts_from_links():
     y = np.repeat([1.0, 0.0], 200)
     w = main_text.fit(x, y)
     assert ((x @ w > 0) == (y == 1)).mean() > 0.98
+
+
+def texts(page):
+    return [b[2] for b in main_text.blocks_of(page)]
+
+
+def test_omitted_end_tags():
+    for head in ("<head><title>T</title><body>", "<head><title>T</title>", "<head><meta charset=utf-8><noscript><link><body>", "<head><style>p{}</style></head><body>"):
+        assert texts(f"<html>{head}<p>One.<p>Two <b>three</b>.</html>") == ["One.", "Two three."]
+    assert texts("<html><head><title>T</title>Bare text<p>One.") == ["Bare text", "One."]
+    for tag in ("button", "select", "svg", "noscript", "video"):
+        assert texts(f"<article><p>One.</p><{tag}>hid<p>Two.</p><p>Three.</p></article><p>Four.") == ["One.", "Two.", "Three.", "Four."]
+        assert texts(f"<article><p>One <{tag}>hid</{tag}> two.</p><{tag}><div>hid</div>hid</{tag}><p>Three.") == ["One two.", "Three."]
+    assert texts("<div><button>A<p>One.</p><button><div>B</div></button><p>Two.</p></div>") == ["One.", "Two."]

@@ -16,7 +16,9 @@ whole.
 
 Null or empty html: empty text. Markup without blocks of text: empty text.
 Broken markup is read as far as it goes: open elements are closed where a new
-one forces it, at the latest at the end. Null and repeated ids and urls stay
+one forces it, at the latest at the end. The head ends at the first element or
+text that may not stand in it. A button, select, drawing and the like without
+an end tag of its own hides nothing from the first block in it on. Null and repeated ids and urls stay
 as they are, each row gets a row. Extra columns are left. An empty table gives
 no rows.
 """
@@ -38,6 +40,9 @@ SAMPLE_PAGES = 2000
 NAMED, TIED = 8.0, 4.5
 SCALE = 1000
 UNSEEN = {"script", "style", "noscript", "template", "svg", "math", "iframe", "object", "select", "button", "textarea", "head", "title", "canvas", "audio", "video"}
+#: Of these, those that hide their blocks only if an end tag of their own closes them; and what may stand in the head.
+IF_CLOSED = {"noscript", "svg", "math", "object", "select", "button", "canvas", "audio", "video", "head"}
+IN_HEAD = {"html", "head", "base", "basefont", "bgsound", "link", "meta", "title", "noscript", "noframes", "style", "script", "template"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark",
           "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
@@ -63,6 +68,8 @@ class Blocks(HTMLParser):
         self.parts: list[str] = []
         self.linked = 0
         self.blocks: list[tuple[tuple[int, ...], int, str, int]] = []
+        self.inside: list[list[int]] = []  # by block, the elements that hide it if they are closed
+        self.closed: set[int] = set()
 
     def _cut(self) -> None:
         words = "".join(self.parts).split()
@@ -71,6 +78,7 @@ class Blocks(HTMLParser):
             for _, _, own in self.stack:
                 said = own or said if said >= 0 else -1
             self.blocks.append((tuple(n for _, n, _ in self.stack), self.linked, " ".join(words), said))
+            self.inside.append([n for t, n, _ in self.stack if t in IF_CLOSED])
         self.parts, self.linked = [], 0
 
     def _said(self, tag: str, attrs) -> int:
@@ -85,7 +93,27 @@ class Blocks(HTMLParser):
             return -1 if PLAIN_NAMES.search(names) else 1 if BODY_NAMES.search(names) else 0
         return 0
 
+    def _heard(self) -> bool:
+        """Whether text here may count: nothing hides it, or only elements that may prove unclosed, and a block has begun in the innermost."""
+        if not self.unseen:
+            return True
+        inner = next(t for t, _, _ in reversed(self.stack) if t not in INLINE)
+        return inner not in UNSEEN and all(t in IF_CLOSED for t, _, _ in self.stack if t in UNSEEN)
+
+    def _leave_head(self) -> None:
+        while any(t == "head" for t, _, _ in self.stack):
+            self._close()
+
     def handle_starttag(self, tag, attrs):
+        if self.stack and self.stack[-1][0] == "head" and tag not in IN_HEAD or tag == "body":
+            self._leave_head()
+        if tag == "head" and any(t in ("head", "body") for t, _, _ in self.stack):
+            return
+        if tag in ("button", "select") and any(t == tag for t, _, _ in self.stack):  # neither holds another
+            if self._heard():
+                self._cut()
+            while self._close() != tag:
+                pass
         if tag in UNSEEN:
             self._open(tag, 0)
             self.unseen += 1
@@ -122,22 +150,28 @@ class Blocks(HTMLParser):
         self.count += 1
         self.stack.append((tag, self.count, said))
 
-    def _close(self) -> None:
+    def _close(self) -> str:
         tag = self.stack.pop()[0]
         self.unseen -= tag in UNSEEN
         self.links -= tag == "a"
+        return tag
 
     def handle_endtag(self, tag):
         if not any(t == tag for t, _, _ in self.stack):
             return
-        if tag not in INLINE and tag not in UNSEEN:
+        last = max(i for i, (t, _, _) in enumerate(self.stack) if t == tag)
+        if tag not in INLINE and tag not in UNSEEN or self._heard() and any(t in UNSEEN for t, _, _ in self.stack[last:]):
             self._cut()
+        if tag in UNSEEN:
+            self.closed.add(self.stack[last][1])
         while self.stack[-1][0] != tag:
             self._close()
         self._close()
 
     def handle_data(self, data):
-        if not self.unseen:
+        if self.unseen and self.stack[-1][0] == "head" and data.strip():
+            self._leave_head()
+        if self._heard():
             self.parts.append(data)
             if self.links:
                 self.linked += len(data.split())
@@ -148,7 +182,7 @@ def blocks_of(html: str) -> list[tuple[tuple[int, ...], int, str, int]]:
     parser.feed(html)
     parser.close()
     parser._cut()
-    return parser.blocks
+    return [b for b, inside in zip(parser.blocks, parser.inside) if parser.closed.isdisjoint(inside)]
 
 
 def features(blocks: list) -> np.ndarray:
