@@ -61,3 +61,19 @@ def test_omitted_end_tags():
         assert texts(f"<article><p>One.</p><{tag}>hid<p>Two.</p><p>Three.</p></article><p>Four.") == ["One.", "Two.", "Three.", "Four."]
         assert texts(f"<article><p>One <{tag}>hid</{tag}> two.</p><{tag}><div>hid</div>hid</{tag}><p>Three.") == ["One two.", "Three."]
     assert texts("<div><button>A<p>One.</p><button><div>B</div></button><p>Two.</p></div>") == ["One.", "Two."]
+
+
+def test_names_do_not_decide_alone():
+    long = "This paragraph is long enough, has marks; and says a lot about the matter at hand, which goes on for quite a while, as paragraphs do. " * 3
+    body = f"<h1>Head</h1><p>{long}</p><p>{long}</p><p>Short.</p>" + f"<p>{long}</p>" * 4
+    links = "<div class=promo>" + "".join(f"<p><a href=x>link {i}</a></p>" for i in range(5)) + "</div>"
+    whole = main_text.content(main_text.blocks_of(body), main_text.WEIGHTS)
+    assert whole.count("\n") == 7
+    for open_, close in (('<div class="layout with-sidebar">', "</div>"), ('<div id="content" class="no-sidebar">', "</div>"), ('<article class="legal-news">', "</article>"),
+                         ('<div class="sidebar"><main>', "</main></div>"), ("<form><article>", "</article></form>")):
+        assert main_text.content(main_text.blocks_of(links + open_ + body + close), main_text.WEIGHTS) == whole
+    against = main_text.content(main_text.blocks_of(links + f'<div class="banner">{f"<p>{long}</p>" * 6}</div>'), main_text.WEIGHTS)
+    assert against.count(long.strip()) == 6 and "link" not in against
+    assert main_text.content(main_text.blocks_of(f"<div hidden><article>{body}</article></div>"), main_text.WEIGHTS) == ""
+    names = {"sidebar": -1, "site-footer": -1, "cookie-notice": -1, "comment-body": -1, "related-posts": -1, "post-content": 1, "content-wrapper": 1, "with-sidebar": 0, "legal-news": 0}
+    assert {n: main_text.named(n) for n in names} == names

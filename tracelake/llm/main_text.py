@@ -3,9 +3,13 @@
 A page becomes blocks of text with their place in the element tree. A logistic
 classifier on how a block reads (words, links, marks, place on the page) gives
 the costs of calling it content or boilerplate; what its elements say by name
-(article, nav, footer, classes such as "sidebar") adds to them. Both are the
-capacities of edges to the two terminals. Neighbouring blocks, and blocks of
-one parent, are tied by edges that weigh more the more of the tree they share.
+(article, nav, footer, classes such as "sidebar") adds to them, no more than
+the classifier and the ties can outweigh; only what is hidden is out for good.
+Both are the capacities of edges to the two terminals. Neighbouring blocks, and
+blocks of one parent, are tied by edges that weigh more the more of the tree
+they share, and less where their elements say different things. A name counts
+as a whole ("sidebar", "site-footer", not "with-sidebar"); an article or main
+element inside another that says "boilerplate" leaves the matter open.
 The maximum flow cuts the cheapest set of edges; blocks on the content side
 are the text.
 
@@ -27,6 +31,7 @@ from __future__ import annotations
 
 import re
 from collections import deque
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import numpy as np
@@ -36,8 +41,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tracelake.llm.shared import slices
 
 SAMPLE_PAGES = 2000
-#: Weight of what elements say, and of ties between blocks.
-NAMED, TIED = 8.0, 4.5
+#: Weight of what elements say (twice that against), of ties between blocks, the share of it where elements say different things, of what is hidden.
+NAMED, TIED, UNLIKE, HIDDEN = 2.0, 4.5, 0.25, 100.0
 SCALE = 1000
 UNSEEN = {"script", "style", "noscript", "template", "svg", "math", "iframe", "object", "select", "button", "textarea", "head", "title", "canvas", "audio", "video"}
 #: Of these, those that hide their blocks only if an end tag of their own closes them; and what may stand in the head.
@@ -50,14 +55,38 @@ INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code"
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
 PLAIN = {"nav", "footer", "aside", "form", "header", "menu", "dialog", "fieldset"}
 BODY = {"article", "main"}
-PLAIN_NAMES = re.compile(r"(?i)(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|sidebar|side|menu|nav\w*|breadcrumbs?|footer|foot|header|masthead|cookies?|consent|notice|popup|modal|"
+PLAIN_NAMES = re.compile(r"ads?|advert\w*|banner|sponsor\w*|promo\w*|sidebar|side|menu|nav\w*|breadcrumbs?|footer|foot|header|masthead|cookies?|consent|notice|popup|modal|"
                          r"overlay|newsletter|subscribe|signup|login|share|sharing|social|related|recommend\w*|comments?|commentlist|disqus|replies|reply|respond|widget|toolbar|pagination|pager|"
-                         r"copyright|legal|search|form)(?:$|[\s_-])")
-BODY_NAMES = re.compile(r"(?i)(?:^|[\s_-])(?:article|content|entry|post|story|main|body|text)(?:$|[\s_-])")
+                         r"copyright|legal|search|form")
+BODY_NAMES = re.compile(r"article|content|entry|post|story|main|body|text")
+#: Parts of a name after the one that counts; and first parts that make it the state of a page, not what the element holds.
+CARRIERS = re.compile(r"wrap\w*|inner|outer|container|box|list|area|section|block|bar|links?|items?|slot|units?|buttons?|posts?|panel|group|row|col|top|bottom|left|right|\d+|")
+STATES = {"with", "without", "no", "not", "has", "is", "hide", "show", "toggle", "layout"}
 #: Words, share of words in links, marks, length of a word, place on the page, a constant: weights before fitting.
 WEIGHTS = np.array([1.2, -4.0, 0.8, 0.0, 0.0, -1.5])
 
 
+@lru_cache(4096)
+def named(names: str) -> int:
+    """-1 if one of the names is that of boilerplate, else 1 if one is that of the main text, else 0. The last part of a name counts."""
+    said = 0
+    for name in names.lower().split():
+        parts = re.split("[_-]+", name)
+        if parts[0] in STATES:
+            continue
+        while len(parts) > 1 and CARRIERS.fullmatch(parts[-1]):
+            parts.pop()
+        own = len(parts)
+        while own > 1 and BODY_NAMES.fullmatch(parts[own - 1]):  # the text of a comment
+            own -= 1
+            while own > 1 and CARRIERS.fullmatch(parts[own - 1]):
+                own -= 1
+        if PLAIN_NAMES.fullmatch(parts[own - 1]):
+            return -1
+        said = said or int(bool(BODY_NAMES.fullmatch(parts[-1])))
+    return said
+
+
 class Blocks(HTMLParser):
     """Text blocks of a page: [path of (tag, number), words, words in links, text]; what is said about a path is kept beside."""
 
@@ -75,23 +104,23 @@ class Blocks(HTMLParser):
         words = "".join(self.parts).split()
         if words:
             said = 0
-            for _, _, own in self.stack:
-                said = own or said if said >= 0 else -1
+            for tag, _, own in self.stack:
+                said = min(said, own) if -2 in (said, own) or said == -1 and own < 1 else 0 if said == -1 and tag in BODY else said if said == -1 else own or said
             self.blocks.append((tuple(n for _, n, _ in self.stack), self.linked, " ".join(words), said))
             self.inside.append([n for t, n, _ in self.stack if t in IF_CLOSED])
         self.parts, self.linked = [], 0
 
     def _said(self, tag: str, attrs) -> int:
-        """1 if the element says it holds the main text, -1 if something else, 0 if nothing."""
+        """1 if the element says it holds the main text, -1 if something else, -2 if it is hidden, 0 if it says nothing."""
         names = " ".join(v or "" for k, v in attrs if k in ("class", "id", "role", "aria-label"))
         hidden = any(k == "hidden" or (k == "aria-hidden" and v == "true") or (k == "style" and re.search(r"display\s*:\s*none", v or "")) for k, v in attrs)
-        if hidden or tag in PLAIN and not (tag == "header" and any(t in BODY for t, _, _ in self.stack)):
+        if hidden:
+            return -2
+        if tag in PLAIN and not (tag == "header" and any(t in BODY for t, _, _ in self.stack)):
             return -1
         if tag in BODY:
-            return 1 if not PLAIN_NAMES.search(names) else -1
-        if names and tag not in ("html", "body"):
-            return -1 if PLAIN_NAMES.search(names) else 1 if BODY_NAMES.search(names) else 0
-        return 0
+            return 1 if named(names) >= 0 else -1
+        return named(names) if tag not in ("html", "body") else 0
 
     def _heard(self) -> bool:
         """Whether text here may count: nothing hides it, or only elements that may prove unclosed, and a block has begun in the innermost."""
@@ -286,13 +315,13 @@ def content(blocks: list, weights: np.ndarray) -> str:
     scores = np.clip(features(blocks) @ weights, -6, 6)
     said = np.array([b[3] for b in blocks])
     keep = np.maximum(scores, 0) + NAMED * (said > 0)
-    leave = np.maximum(-scores, 0) + 2 * NAMED * (said < 0)
+    leave = np.maximum(-scores, 0) + 2 * NAMED * (said < 0) + HIDDEN * (said < -1)
     ties, last_of = [], {}
     for i, (path, _, _, own) in enumerate(blocks):
         parent = path[:-1]
         for j in {i - 1, last_of.get(parent, i - 1)}:
-            if j >= 0 and own == blocks[j][3]:
-                ties.append((j, i, int(SCALE * TIED * nearness(path, blocks[j][0]))))
+            if j >= 0:
+                ties.append((j, i, int(SCALE * TIED * nearness(path, blocks[j][0]) * (1 if own == blocks[j][3] else UNLIKE))))
         last_of[parent] = i
     inside = minimum_cut([int(SCALE * c) for c in keep], [int(SCALE * c) for c in leave], ties)
     return "\n".join(b[2] for b, k in zip(blocks, inside) if k)
