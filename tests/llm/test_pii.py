@@ -54,3 +54,9 @@ def test_trees_add_what_looks_like_a_phone(spark):
 def test_main_path_is_native(spark, sf):
     plan = pii.op2_pii(spark, sf)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_phones_whose_digits_are_all_apart(spark):
+    rows = [(1, "call +1 2 3 4 5 6 7 8 now"), (2, "+4.9-1 7-2 3 4 5"), (3, "+1 2 3")]
+    got = {r.doc_id: r for r in pii.span_table(spark.createDataFrame(rows, "doc_id long, text string"), work_folder(spark, "pii")).collect()}
+    assert [got[i].spans for i in (1, 2, 3)] == [",".join(base_spans(t)) for _, t in rows] == ["phone:5:21", "phone:0:16", ""]

@@ -48,6 +48,8 @@ WIDE = {
     "phone": r"(?:\+|\b00)?(?:\([0-9]{1,5}+\)|(?<![0-9])[0-9]{1,5}+)(?:[\x20./-]{1,2}+\(?[0-9]{2,6}+\)?){1,5}+",
 }
 TRIGGER = {"email": "@|(?i)[ (\\[]at[ )\\]]", "ip": "[0-9][.]|:", "card": "[0-9]{4}|[0-9][ .-][0-9]", "phone": "[0-9]{2}"}
+#: Of the base patterns, where theirs is wider.
+BASE_TRIGGER = {"phone": r"\+[0-9]"}
 CONTEXT = 24
 WORDS_BEFORE = {
     "email": r"(?i)\b(e-?mail|mail|contact|write|reach)\b", "ip": r"(?i)\b(ip|ipv6|host|server|address|login|from)\b",
@@ -101,7 +103,7 @@ def _spans(numbered: DataFrame, column: str, kind: str) -> DataFrame:
 
 
 def _scan(docs: DataFrame, folder: str) -> DataFrame:
-    columns = [_found(F.col("text"), patterns[k], TRIGGER[k]).alias(f"{name}_{k}") for name, patterns in (("base", BASE), ("wide", WIDE)) for k in KINDS]
+    columns = [_found(F.col("text"), patterns[k], triggers[k]).alias(f"{name}_{k}") for name, patterns, triggers in (("base", BASE, TRIGGER | BASE_TRIGGER), ("wide", WIDE, TRIGGER)) for k in KINDS]
     return written(text_rows(docs).select(F.monotonically_increasing_id().alias("row_no"), "doc_id", *columns), folder, "scan")
 
 
