@@ -60,3 +60,21 @@ def test_phones_whose_digits_are_all_apart(spark):
     rows = [(1, "call +1 2 3 4 5 6 7 8 now"), (2, "+4.9-1 7-2 3 4 5"), (3, "+1 2 3")]
     got = {r.doc_id: r for r in pii.span_table(spark.createDataFrame(rows, "doc_id long, text string"), work_folder(spark, "pii")).collect()}
     assert [got[i].spans for i in (1, 2, 3)] == [",".join(base_spans(t)) for _, t in rows] == ["phone:5:21", "phone:0:16", ""]
+
+
+def test_other_forms_can_be_added(spark):
+    rng = random.Random(3)
+    digits = lambda n: "".join(rng.choice("123456789") for _ in range(n))
+    quad = lambda: ".".join(str(rng.randint(10, 250)) for _ in range(4))
+    def card(right):
+        while passes_luhn(c := "4" + digits(15)) != right:
+            pass
+        return c
+    rows = [(i, f"please mail john{digits(2)}@example.com for more") for i in range(200)] + [(200 + i, f"they met at {digits(2)}.{digits(2)} today") for i in range(200)]
+    rows += [(400 + i, f"paid with card {card(True)} then") for i in range(200)] + [(600 + i, f"parcel no {card(False)} came") for i in range(200)]
+    rows += [(800 + i, f"login from host {quad()} again") for i in range(200)] + [(1000 + i, f"it was {digits(2)}:{digits(2)}:{digits(2)} then") for i in range(200)]
+    wanted = {2000: ("please mail ", "john (at) example (dot) com", "email"), 2001: ("login from host ", "2001:db8:85a3:1:2:8a2e:370:7334", "ip"), 2002: ("paid with card ", "378282246310005", "card")}
+    rows += [(i, f"{a}{m} then") for i, (a, m, _) in wanted.items()] + [(2010, "they met at 10.30 then"), (2011, "paid with card 378282246310006 then")]
+    got = {r.doc_id: r.spans for r in pii.span_table(spark.createDataFrame(rows, "doc_id long, text string"), work_folder(spark, "pii")).collect()}
+    assert {i: f"{k}:{len(a)}:{len(a) + len(m)}" in got[i].split(",") for i, (a, m, k) in wanted.items()} == dict.fromkeys(wanted, True)
+    assert "email" not in got[2010] and "card" not in got[2011]

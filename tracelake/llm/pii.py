@@ -4,8 +4,10 @@ Base spans follow fixed patterns and checks and always stay. Wider patterns
 propose more spans, overlapping across kinds: addresses written out, numbers
 without a plus sign, other groupings. Boosted trees score them by format and
 context. They learn from candidates that are known without a person: those
-that hold a base span are right, those that break their kind's rule (checksum,
-range, number of digits) are wrong. What tells the two apart by definition
+that hold a base span are right, those that break the rule of their own form
+(checksum, range, number of digits or groups, no domain) are wrong. Addresses
+written out, IPv6 and cards of 12 to 15 digits that keep theirs are of neither
+sort; addresses are scored as if written with signs. What tells the two apart by definition
 (plus sign, at sign, checksum) is no feature, so that a score speaks for
 candidates of neither sort. Per kind, the threshold is the least score above
 which held-out candidates are right often enough; a kind without enough of
@@ -82,6 +84,26 @@ def rule(kind: str, match: Column) -> Column:
             "card": n.between(16, 19) & luhn(F.when(n.between(16, 19), _digits(match)).otherwise("1")), "phone": n.between(8, 15)}[kind]
 
 
+def _plain(match: Column) -> Column:
+    """An address written out, with its signs; a bare " at " before a literal dot stays as it is, text is full of those."""
+    signed = F.regexp_replace(F.regexp_replace(match, _DOT, "."), _AT, "@")
+    return F.when(match.rlike(r"[\[(](?:at|AT)[\])]|" + _DOT.replace(r"\.|", "", 1)), signed).otherwise(match)
+
+
+def impossible(kind: str, match: Column) -> Column:
+    """Whether a candidate breaks the rule of its own form, so that it is surely no personal data."""
+    n = F.length(_digits(match))
+    address = F.regexp_replace(F.regexp_replace(match, _DOT, "."), _AT, "@")
+    outside = ~F.substring_index(address, ".", -1).rlike("^(?:[A-Za-z]{2,}|xn--[A-Za-z0-9-]+)$")
+    groups = F.split(match, ":", -1)
+    filled = F.size(F.filter(groups, lambda g: g != ""))
+    short = ~match.rlike(":::|::.*::|^:[^:]") & (filled <= 7)
+    six = F.when(match.contains("::"), short).otherwise((F.size(groups) == 8) & (filled == 8))
+    return {"email": outside | address.rlike(r"^\.|\.@|\.\.|@-|-\.|\.-") | (~match.contains("@") & address.rlike(r"(?i)@www\.")),
+            "ip": F.when(match.contains(":"), ~six).otherwise(~rule("ip", match)),
+            "card": ~n.between(12, 19) | ~luhn(F.when(n.between(12, 19), _digits(match)).otherwise("1")), "phone": ~rule("phone", match)}[kind]
+
+
 def _found(text: Column, pattern: str, trigger: str) -> Column:
     """Matches with the length of the text since the last one and what stands around; the last entry has no match."""
     there = text.rlike(trigger)
@@ -120,7 +142,7 @@ def _by_kind(make) -> Column:
 
 
 def featured(candidates: DataFrame) -> DataFrame:
-    m, digits = F.col("match"), F.col("all_digits")
+    m, digits = F.when(F.col("kind_no") == 0, _plain(F.col("match"))).otherwise(F.col("match")), F.col("all_digits")
     groups = F.filter(F.split(m, "[^0-9A-Za-z]+", -1), lambda g: g != "")
     number = lambda c: c.cast("double")
     rows = candidates.withColumn("all_digits", _digits(m)).withColumn("parts", groups)
@@ -177,8 +199,9 @@ def personal_data(docs: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
     numbered = _scan(docs, folder)
     base = written(_all(numbered, "base").where(_by_kind(lambda k: rule(k, F.col("match")))), folder, "base")
     candidates = featured(_touching(_all(numbered, "wide"), base))
-    checked = _by_kind(lambda k: F.col("match").rlike("@") if k == "email" else rule(k, F.col("match")))
-    candidates = written(candidates.withColumn("label", F.when(F.col("right"), 1.0).when(~F.col("hit") & ~checked, 0.0)), folder, "candidates")
+    candidates = candidates.withColumn("wrong", _by_kind(lambda k: impossible(k, F.col("match"))))
+    taught = (F.col("kind_no") != KINDS.index("card")) | (F.col("digits") >= 16)  # no card of fewer digits is known to be right
+    candidates = written(candidates.withColumn("label", F.when(F.col("right"), 1.0).when(~F.col("hit") & F.col("wrong") & taught, 0.0)), folder, "candidates")
     order = F.xxhash64("match", "before", "start")
     known = candidates.where("label IS NOT NULL").withColumn("turn", order).orderBy("turn", "match", "row_no", "start").limit(SAMPLE)
     known = written(known.withColumn("held", F.pmod(F.xxhash64("turn"), F.lit(4)) == 0), folder, "known")
@@ -186,7 +209,7 @@ def personal_data(docs: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
     trained = train(known)
     if trained and trained[1]:
         model, least = trained
-        free = _scored(candidates.where("NOT hit AND label IS NULL"), model)
+        free = _scored(candidates.where("NOT hit AND NOT wrong"), model)
         chosen = free.where(_by_kind(lambda k: F.col("score") >= F.lit(least.get(KINDS.index(k), 2.0))))
         spans = spans.union(chosen.select("row_no", "kind_no", "start", "stop", F.lit(False)))
     return numbered.select("row_no", "doc_id"), written(spans, folder, "spans")
