@@ -78,3 +78,20 @@ def test_other_forms_can_be_added(spark):
     got = {r.doc_id: r.spans for r in pii.span_table(spark.createDataFrame(rows, "doc_id long, text string"), work_folder(spark, "pii")).collect()}
     assert {i: f"{k}:{len(a)}:{len(a) + len(m)}" in got[i].split(",") for i, (a, m, k) in wanted.items()} == dict.fromkeys(wanted, True)
     assert "email" not in got[2010] and "card" not in got[2011]
+
+
+def test_rare_kind_keeps_its_threshold(spark, monkeypatch):
+    monkeypatch.setattr(pii, "SAMPLE", 400)
+    rng = random.Random(7)
+    digits = lambda n: "".join(rng.choice("123456789") for _ in range(n))
+
+    def card(right):
+        while passes_luhn(c := "4" + digits(15)) != right:
+            pass
+        return c
+
+    rows = [(i, f"total of {digits(2)} {digits(2)} units") for i in range(4000)] + [(4000 + i, f"call +1 555-{digits(3)}-{digits(4)} now") for i in range(2000)]
+    rows += [(7000 + i, f"paid with card {card(True)} then") for i in range(200)] + [(8000 + i, f"parcel no {card(False)} came") for i in range(200)]
+    rows += [(9000, "paid with card 4111.1111.1111.1111 then")]
+    got = {r.doc_id: r.spans for r in pii.span_table(spark.createDataFrame(rows, "doc_id long, text string"), work_folder(spark, "pii")).collect()}
+    assert "card:15:34" in got[9000].split(",")

@@ -13,8 +13,8 @@ candidates of neither sort. Per kind, the threshold is the least score above
 which held-out candidates are right often enough; a kind without enough of
 them, or whose classes can't be told apart, adds nothing.
 
-Training takes a bounded sample of candidates by hash (`SAMPLE`); everything
-else covers all rows. Positions are code points, ends exclusive. Null text:
+Fitting the trees takes a bounded sample of candidates by hash, of each kind
+alike (`SAMPLE`); everything else, the thresholds too, covers all rows. Positions are code points, ends exclusive. Null text:
 empty, no spans. Rows are numbered once in a written table, so repeated
 doc_ids and rows stay apart. Extra columns are left. An empty table gives no
 rows. Texts of any length are read whole; patterns are possessive, so long
@@ -56,7 +56,7 @@ CONTEXT = 24
 WORDS_BEFORE = {
     "email": r"(?i)\b(e-?mail|mail|contact|write|reach)\b", "ip": r"(?i)\b(ip|ipv6|host|server|address|login|from)\b",
     "card": r"(?i)\b(card|visa|credit|payment|paid|account)\b", "phone": r"(?i)\b(phone|tel|telephone|mobile|cell|call|fax|dial)\b"}
-#: Candidates for training at most, of which a quarter is held out; what a threshold must reach on how many held-out ones.
+#: Candidates for training at most; a quarter of all and those beyond the sample are held out. What a threshold must reach on how many held-out ones.
 SAMPLE = 40_000
 PRECISION, LEAST_HELD = 0.98, 20
 TREES, DEPTH, SEED = 12, 3, 42
@@ -174,13 +174,21 @@ def _assembled(rows: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=list(FEATURES), outputCol="features", handleInvalid="keep").transform(rows.fillna(0, subset=list(FEATURES)))
 
 
-def train(known: DataFrame) -> tuple[GBTClassificationModel, dict[int, float]] | None:
-    """Trees and a threshold per kind from candidates with label and held (out); None if the classes can't be learnt."""
-    fit = known.where("NOT held")
+def train(known: DataFrame, folder: str) -> tuple[GBTClassificationModel, dict[int, float]] | None:
+    """Trees and a threshold per kind from all candidates with label, turn and held (out); None if the classes can't be learnt.
+
+    The trees see the first of each kind by turn; the thresholds count all that
+    come after those and all that are held out.
+    """
+    order = ["turn", "match", "row_no", "start"]
+    parts = [known.where(~F.col("held") & (F.col("kind_no") == i)).orderBy(*order).limit(SAMPLE // len(KINDS)) for i in range(len(KINDS))]
+    fit = written(reduce(DataFrame.union, parts), folder, "fit")
+    last = {r.kind_no: r.turn for r in fit.groupBy("kind_no").agg(F.max("turn").alias("turn")).collect()}  # a row per kind
+    unseen = F.col("held") | _by_kind(lambda k: F.col("turn") > F.lit(last.get(KINDS.index(k), -(1 << 63))))
     if fit.select("label").distinct().count() < 2:
         return None
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, featuresCol="features", labelCol="label").fit(_assembled(fit))
-    scored = _scored(known.where("held"), model).select("kind_no", "label", F.floor(F.col("score") * 100).alias("bin"))
+    scored = _scored(known.where(unseen), model).select("kind_no", "label", F.floor(F.col("score") * 100).alias("bin"))
     above = Window.partitionBy("kind_no").orderBy(F.desc("bin"))
     bins = scored.groupBy("kind_no", "bin").agg(F.sum("label").alias("good"), F.count("*").alias("n"))
     running = bins.select("kind_no", "bin", F.sum("good").over(above).alias("good"), F.sum("n").over(above).alias("n"))
@@ -203,10 +211,9 @@ def personal_data(docs: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
     taught = (F.col("kind_no") != KINDS.index("card")) | (F.col("digits") >= 16)  # no card of fewer digits is known to be right
     candidates = written(candidates.withColumn("label", F.when(F.col("right"), 1.0).when(~F.col("hit") & F.col("wrong") & taught, 0.0)), folder, "candidates")
     order = F.xxhash64("match", "before", "start")
-    known = candidates.where("label IS NOT NULL").withColumn("turn", order).orderBy("turn", "match", "row_no", "start").limit(SAMPLE)
-    known = written(known.withColumn("held", F.pmod(F.xxhash64("turn"), F.lit(4)) == 0), folder, "known")
+    known = candidates.where("label IS NOT NULL").withColumn("turn", order).withColumn("held", F.pmod(F.xxhash64("turn"), F.lit(4)) == 0)
     spans = base.select("row_no", "kind_no", "start", "stop", F.lit(True).alias("base"))
-    trained = train(known)
+    trained = train(known, folder)
     if trained and trained[1]:
         model, least = trained
         free = _scored(candidates.where("NOT hit AND NOT wrong"), model)
