@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +39,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
 from tracelake.llm.shared import slices, text_rows, work_folder, written
+from tracelake.llm.token_counts import byte_letters
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
@@ -50,20 +52,36 @@ ENTRY_BYTES, LONGEST_KEPT = 250, 64
 PART = 1 << 18
 #: No pre-token of the vocabulary crosses white space or goes on at a digit, and nothing is composed with either.
 APART = re.compile(r"[ \n0-9]")
+#: Pre-tokens of plain words: Latin letters, one digit, marks but the apostrophe and what opens a special token.
+PLAIN = r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]++|[0-9]|[!-&(-/:;=-@\[-`{-~]++"
+PLAIN_PART, PLAIN_WORD = re.compile(PLAIN), re.compile(f"(?:{PLAIN})++")
 ROWS = 4096
 SCHEMA = "part int, window long, offset long, doc_id long, start long, length long, doc_tokens long, ids binary"
 
 
 class WordIds(dict):
-    """The library's ids of a word between spaces, as bytes; bounded by bytes."""
+    """The library's ids of a word between spaces, as bytes; bounded by bytes.
+
+    Plain words are split into pre-tokens here, which repeat more often, and only the library's model works on these.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.spelling = {byte: letter for letter, byte in byte_letters().items()}
         self.held = 0
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        if PLAIN_WORD.fullmatch(word):
+            parts = PLAIN_PART.findall(word.lower())
+            if len(parts) > 1 or parts[0] != word:
+                ids = b"".join([self[p] for p in parts])
+            else:
+                spelled = word if word.isascii() else word.encode().decode("latin-1").translate(self.spelling)
+                ids = array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+        else:
+            ids = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
         if len(word) <= LONGEST_KEPT:
             if self.held > CACHE_BYTES:
                 self.clear()
