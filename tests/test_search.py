@@ -1,7 +1,9 @@
 """Keyword search, vector modifiers and the source graph against brute force."""
 
+import hashlib
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -137,35 +139,94 @@ def test_embedding(spark, chunks):
     assert filled["a"] == [1.0] * 64 and np.allclose(filled["b"], got["b"])
 
 
-def full_walk(sources, anchors, nearest, steps):
-    """PageRank on the explicit source-by-source matrix."""
-    unit = sources / np.linalg.norm(sources, axis=1, keepdims=True)
-    sim = np.round(unit @ anchors.T, 9)
-    z = np.zeros_like(sim)
-    for i, row in enumerate(sim):
-        for k in np.argsort(-row, kind="stable")[:nearest]:
-            z[i, k] = max(row[k], 0)
-    degree, mass = z.sum(1), z.sum(0)
-    step = (z / np.where(degree > 0, degree, 1)[:, None]) @ (z / np.where(mass > 0, mass, 1)).T
-    rank = np.full(len(z), 1 / len(z))
-    for _ in range(steps + 1):
-        rank = (1 - graph.DAMPING) / len(z) + graph.DAMPING * step.T @ rank
-    return rank
-
-
-def test_graph_equals_the_explicit_walk(spark, cloud):
+def brute_graph(ids, m, nearest=graph.NEAREST):
+    """Neighbours, walk, labels and crossings by explicit loops; rows of zeros are unlinked."""
+    norm = np.linalg.norm(m, axis=1, keepdims=True)
+    unit = np.divide(m, norm, out=np.zeros_like(m), where=norm > 0)
+    sim, n = np.round(unit @ unit.T, graph.DIGITS), len(ids)
+    edges = {}
+    for i in range(n):
+        best = sorted((-sim[i, j], ids[j], j) for j in range(n) if j != i and sim[i, j] > 0)[:nearest]
+        edges[i] = [(j, -w) for w, _, j in best] or [(i, 1.0)]
+    rank = np.full(n, 1 / n)
+    for _ in range(graph.STEPS):
+        after = np.full(n, (1 - graph.DAMPING) / n)
+        for i, out in edges.items():
+            for j, w in out:
+                after[j] += graph.DAMPING * rank[i] * w / sum(w for _, w in out)
+        rank = after
+    label = list(ids)
+    turn = [int(hashlib.md5(str(i).encode()).hexdigest()[0], 16) % 2 for i in ids]
+    for number in range(1, graph.ROUNDS + 1):
+        before = list(label)
+        for i, out in edges.items():
+            if turn[i] == number % 2:
+                votes = Counter()
+                for j, w in out:
+                    votes[before[j]] += w
+                label[i] = min(votes, key=lambda c: (-round(votes[c], graph.DIGITS), c))
+    weight, across, reached = np.zeros(n), np.zeros(n), [set() for _ in ids]
+    for i, out in edges.items():
+        for j, w in out:
+            for a, b in ((i, j), (j, i)):
+                weight[a] += w
+                if label[a] != label[b]:
+                    across[a] += w
+                    reached[a].add(label[b])
+    return edges, rank, label, across / weight, [len(r) for r in reached]
+
+
+def test_graph_equals_the_explicit_one(spark, cloud):
     m, df = cloud
-    sources = df.filter("embedding is not null").withColumnRenamed("id", "source_id")
-    anchors = graph.choose_anchors(sources, 12)
-    got = {r["source_id"]: r for r in graph.source_graph(sources, k=12).collect()}
-    want = full_walk(m, anchors, graph.NEAREST, graph.STEPS)
-    assert np.allclose([got[i]["centrality"] for i in range(60)], want, atol=1e-9)
-    assert len({got[i]["community_id"] for i in range(20)}) == 1
-    for c in {r["community_id"] for r in got.values()}:
-        inside = [r for r in got.values() if r["community_id"] == c]
-        assert [r["is_hub"] for r in inside].count(1) == 1
-        hub = next(r for r in inside if r["is_hub"])
-        assert hub["centrality"] >= max(r["centrality"] for r in inside) - 1e-12
+    extra = [(1000, [0.0] * m.shape[1]), (1001, None), (1002, (-m[40]).tolist())]
+    sources = df.filter("embedding is not null").select(F.col("id").alias("source_id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    sources = sources.union(spark.createDataFrame(extra, "source_id long, embedding array<double>"))
+    rows = sorted((r["source_id"], r["embedding"] or [0.0] * m.shape[1]) for r in sources.collect())
+    ids = [i for i, _ in rows]
+    edges, rank, label, share, reached = brute_graph(ids, np.array([v for _, v in rows]))
+    got = {r["source_id"]: r for r in graph.source_graph(sources).collect()}
+    assert sorted(got) == ids
+    for k, i in enumerate(ids):
+        r = got[i]
+        assert np.allclose([r["centrality"], r["bridge_share"]], [rank[k], share[k]], atol=1e-8)
+        assert (r["community_id"], r["reached"]) == (label[k], reached[k])
+        assert r["is_bridge"] == (share[k] >= graph.BRIDGE_SHARE)
+    for c in set(label):
+        inside = [got[i] for i, x in zip(ids, label) if x == c]
+        best = min(inside, key=lambda r: (-round(r["centrality"], 12), r["source_id"]))
+        assert [r["source_id"] for r in inside if r["is_hub"]] == ([best["source_id"]] if len(inside) > 1 else [])
+    for i in (1000, 1001):
+        assert (got[i]["community_id"], got[i]["is_hub"], got[i]["is_bridge"]) == (i, 0, 0)
+        assert math.isclose(got[i]["centrality"], 1 / len(ids))
+    assert graph.source_graph(sources.where("false")).count() == 0
+    alone = graph.source_graph(sources.where("source_id = 5")).first()
+    assert (alone["community_id"], alone["centrality"], alone["is_hub"], alone["is_bridge"]) == (5, 1.0, 0, 0)
+
+
+def test_neighbours_beyond_one_cell(spark):
+    """Recall against brute force with many runs, a third of all sources alike, and ids of another type; communities are not few."""
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(160, 32))
+    m = np.vstack([centres[rng.integers(0, 160, 4000)] + 0.35 * rng.normal(size=(4000, 32)), np.tile(centres[0], (2000, 1))])
+    ids = [f"s{k:05d}" for k in range(len(m))]
+    sources = spark.createDataFrame(list(zip(ids, m.tolist())), "source_id string, embedding array<double>").repartition(5)
+    found = {}
+    for r in graph.neighbour_edges(sources, cell=64).collect():
+        found.setdefault(r["source_id"], []).append((r["neighbour"], r["weight"]))
+    unit = m / np.linalg.norm(m, axis=1, keepdims=True)
+    hits = total = 0
+    for k in range(0, len(m), 7):
+        sim = np.round(unit @ unit[k], graph.DIGITS)
+        sim[k] = -2
+        least = np.sort(sim)[-graph.NEAREST]
+        got = found[ids[k]]
+        assert len(got) == len({j for j, _ in got}) == graph.NEAREST and ids[k] not in {j for j, _ in got}
+        assert all(math.isclose(sim[int(j[1:])], w, abs_tol=2e-9) for j, w in got)
+        hits += sum(w >= least - 2e-9 for _, w in got)
+        total += graph.NEAREST
+    assert hits / total >= 0.9
+    communities = {r["community_id"] for r in graph.source_graph(sources, cell=64).collect()}
+    assert 60 < len(communities) < 2000
 
 
 def test_mean_vectors(spark):

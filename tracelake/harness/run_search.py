@@ -9,7 +9,6 @@ from tracelake.plans import graph, search, vectors
 
 AS_OF = "2024-01-31 00:00:00"
 PHRASE = '"of the" with'
-ANCHORS = 16
 
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -104,14 +103,21 @@ def _sources(spark, sf):
 
 
 def _graph(spark, sf):
-    return graph.source_graph(_sources(spark, sf), k=ANCHORS)
+    """The graph as the reports find it: built once, like the other enrichments."""
+    return stored("source_graph", spark, sf, lambda: graph.source_graph(_sources(spark, sf)))
 
 
-def _anchor_edges(spark, sf):
-    sources = _sources(spark, sf)
-    edges = graph.anchor_edges(sources, graph.choose_anchors(sources, ANCHORS))
-    return edges.select("source_id", F.posexplode(F.arrays_zip("anchors", "weights")).alias("place", "e")).select(
-        "source_id", "place", F.col("e.anchors").alias("anchor"), F.round("e.weights", 4).alias("weight"))
+def _neighbour_edges(spark, sf):
+    return graph.neighbour_edges(_sources(spark, sf)).withColumn("weight", F.round("weight", 4))
+
+
+def _enrichment(spark, sf):
+    return _graph(spark, sf).select("source_id", F.round("centrality", 8).alias("centrality"), "is_hub", "is_bridge", "community_id")
+
+
+def _bridges(spark, sf):
+    listed = graph.bridge_listing(_graph(spark, sf))
+    return listed.withColumn("centrality", F.round("centrality", 8)).withColumn("bridge_share", F.round("bridge_share", 6))
 
 
 def _prompts(spark, sf):
@@ -166,10 +172,10 @@ def queries() -> dict:
         "embed_documents": _embedded,
         "embed_only_new": _embed_new,
         "source_mean_vectors": _means,
-        "source_anchor_edges": _anchor_edges,
+        "source_neighbour_edges": _neighbour_edges,
         "source_centrality": lambda spark, sf: _graph(spark, sf).select("source_id", F.round("centrality", 8).alias("centrality")),
-        "source_graph": lambda spark, sf: _graph(spark, sf).withColumn("centrality", F.round("centrality", 8)),
-        "source_bridges": lambda spark, sf: graph.bridge_listing(_graph(spark, sf)).withColumn("centrality", F.round("centrality", 8)),
+        "source_graph": _enrichment,
+        "source_bridges": _bridges,
         "hub_sources_near_query": _hub_hits,
         "user_voice": lambda spark, sf: _rounded(vectors.user_voice(_prompts(spark, sf), AS_OF)),
         "user_voice_tight": lambda spark, sf: _rounded(vectors.user_voice(_prompts(spark, sf), AS_OF, vectors.VOICE_TIGHT, 10)),

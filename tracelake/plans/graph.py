@@ -1,30 +1,44 @@
-"""Similarity graph of sources: centrality, hubs, bridges and communities.
-
-The graph is an anchor graph: a bounded set of anchor vectors, and for every
-source the weights of its few nearest anchors.  Two sources are linked through
-the anchors they share, so no source pair is ever built, however large a group
-of alike sources is.  One aggregate folds all sources into an anchor-by-anchor
-matrix; the random walk runs on that matrix, and one more pass gives every
-source its rank.
+"""Similarity graph of sources: neighbours, centrality, hubs, bridges and communities.
+
+Every source has at most `nearest` edges, to the sources of largest cosine. To
+find them, sources are put in order by signed random projections, and compared
+with those that stand near them in that order, in `tables` orders of their own.
+Up to 2 * `cell` sources all are compared and the edges are exact; beyond,
+the work grows in proportion to the sources, whatever group of them is alike,
+and the share of true neighbours found is measured by a test.
+
+The walk and the communities are rounds of joins and sums over the written
+edges. A source without a vector, or without a neighbour of positive cosine, is
+linked to itself alone: it has the average centrality, is its own community,
+and is neither hub nor bridge. No source at all gives no rows. source_id is
+unique and not null.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tracelake.operators.ranking import top_per_group
+from tracelake.session import Scratch
 
-ANCHORS = 64
-NEAREST = 3
+NEAREST = 8
+#: Sources that are compared at a time with as many before and after them, and orders that are tried.
+CELL, TABLES = 1024, 8
 DAMPING = 0.85
-STEPS = 30
+STEPS = 10
+ROUNDS = 8
+#: Rounds of one plan; then the state is written.
+WRITTEN = 5
 BRIDGE_SHARE = 0.4
+DIGITS = 9
 
 
 def source_vectors(chunks: DataFrame) -> DataFrame:
@@ -34,138 +48,200 @@ def source_vectors(chunks: DataFrame) -> DataFrame:
     return pooled.select("source_id", vector_to_array("m").alias("embedding"))
 
 
-def choose_anchors(sources: DataFrame, k: int = ANCHORS) -> np.ndarray:
-    """k source vectors in hash order of their id: at most k rows reach the driver."""
-    rows = sources.orderBy(F.md5(F.col("source_id").cast("string")), "source_id").limit(k).select("embedding").collect()
-    m = np.array([r["embedding"] for r in rows], dtype=np.float64)
-    return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12)
+def _matrix(vectors: pa.Array) -> np.ndarray:
+    return vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1).astype(np.float64)
 
 
-def anchor_edges(sources: DataFrame, anchors: np.ndarray, nearest: int = NEAREST) -> DataFrame:
-    """source_id, anchors and weights: the nearest anchors with positive cosine, strongest first."""
-    keep = min(nearest, len(anchors))
+def unit_vectors(sources: DataFrame) -> DataFrame:
+    """source_id and the vector at length one; sources without a vector or with the zero vector are left out."""
+    present = sources.select("source_id", F.col("embedding").cast("array<double>").alias("embedding")).filter(F.col("embedding").isNotNull())
+    length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x))
+    return present.withColumn("length", length).filter("length > 0").select(
+        "source_id", F.transform("embedding", lambda x: x / F.col("length")).alias("embedding"))
 
-    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            m = batch.column("embedding").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-            m = m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12)
-            sim = np.round(m @ anchors.T, 9)
-            near = np.argsort(-sim, axis=1, kind="stable")[:, :keep]
-            weight = np.maximum(np.take_along_axis(sim, near, axis=1), 0.0)
-            ends = np.arange(0, (batch.num_rows + 1) * keep, keep, dtype=np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("source_id"), pa.ListArray.from_arrays(ends, pa.array(near.ravel().astype(np.int32))),
-                    pa.ListArray.from_arrays(ends, pa.array(weight.ravel())),
-                ],
-                ["source_id", "anchors", "weights"],
-            )
-
-    schema = T.StructType([
-        sources.schema["source_id"], T.StructField("anchors", T.ArrayType(T.IntegerType())),
-        T.StructField("weights", T.ArrayType(T.DoubleType())),
-    ])
-    return sources.select("source_id", F.col("embedding").cast("array<double>").alias("embedding")).mapInArrow(link, schema)
-
-
-def _with_degree(edges: DataFrame) -> DataFrame:
-    return edges.withColumn("degree", F.aggregate("weights", F.lit(0.0), lambda a, w: a + w))
-
-
-_TERMS = """
-concat(
-  flatten(transform(z, a -> transform(z, b -> named_struct('i', a.anchors, 'j', b.anchors, 'v', a.weights * b.weights / degree)))),
-  transform(z, a -> named_struct('i', a.anchors, 'j', -1, 'v', a.weights)),
-  transform(z, a -> named_struct('i', a.anchors, 'j', -2, 'v', a.weights / degree)),
-  array(named_struct('i', -1, 'j', -1, 'v', 1.0D)))
-"""
 
+def _order(dimensions: int, middle: list[float], bits: int, table: int):
+    """The place of vectors in one order: signs of `bits` projections from the middle, then a further projection."""
+    planes = np.random.default_rng(table).normal(size=(dimensions, bits + 1))
+    weights = 1 << np.arange(bits, dtype=np.int64)
+
+    def place(vectors: pa.Array) -> pa.Array:
+        along = (_matrix(vectors) - np.asarray(middle)) @ planes if len(vectors) else np.zeros((0, bits + 1))
+        cell = (along[:, :bits] > 0) @ weights
+        return pa.StructArray.from_arrays([pa.array(cell.astype(np.int64)), pa.array(along[:, bits])], ["cell", "along"])
+
+    return F.arrow_udf(place, "struct<cell: long, along: double>")
+
+
+def _nearest(nearest: int, cell: int):
+    """Rows in order, in runs of `cell`: each run is compared with itself and the runs before and after it."""
+
+    def best(run: pa.Table, around: list[pa.Table]) -> pa.RecordBatch:
+        seen = pa.concat_tables(around)
+        seen = seen.take(pc.sort_indices(seen.column("source_id")))
+        near = np.round(_matrix(run.column("embedding").combine_chunks()) @ _matrix(seen.column("embedding").combine_chunks()).T, DIGITS)
+        # one number that orders by cosine, then by id: no ties are left to the partition below
+        ranked = np.round(near * 10**DIGITS).astype(np.int64) * len(seen) - np.arange(len(seen))
+        own = pc.index_in(run.column("source_id"), seen.column("source_id")).to_numpy()
+        ranked[np.arange(len(run)), own] = np.iinfo(np.int64).min
+        k = min(nearest, len(seen))
+        top = np.argpartition(-(ranked + 1), k - 1, axis=1)[:, :k]
+        row, weight = np.repeat(np.arange(len(run)), k), np.take_along_axis(near, top, axis=1).ravel()
+        keep = (weight > 0) & (top.ravel() != np.repeat(own, k))
+        return pa.RecordBatch.from_arrays([
+            run.column("source_id").take(pa.array(row[keep])).combine_chunks(),
+            seen.column("source_id").take(pa.array(top.ravel()[keep])).combine_chunks(), pa.array(weight[keep])], ["source_id", "neighbour", "weight"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        runs: list[pa.Table] = []
+        held: list[pa.RecordBatch] = []
+        size = 0
 
-def anchor_matrix(edges: DataFrame, k: int) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
-    """(sources, anchor mass, walk start per anchor, walk matrix) from one aggregate.
+        def close() -> None:
+            runs.append(pa.Table.from_batches(held).combine_chunks())
+            held.clear()
 
-    Every source adds a constant number of terms, summed on the map side; at most
-    k * (k + 2) + 1 sums come to the driver.  A source without any positive
-    weight only counts.
+        for batch in batches:
+            while batch.num_rows:
+                part = batch.slice(0, cell - size)
+                held.append(part)
+                size += part.num_rows
+                batch = batch.slice(part.num_rows)
+                if size == cell:
+                    close()
+                    size = 0
+                    if len(runs) > 1:
+                        yield best(runs[-2], runs[-3:])
+                        del runs[:-2]
+        if size:
+            close()
+            if len(runs) > 1:
+                yield best(runs[-2], runs[-3:])
+        if runs:
+            yield best(runs[-1], runs[-2:])
+
+    return run
+
+
+def neighbour_edges(sources: DataFrame, nearest: int = NEAREST, cell: int = CELL, tables: int = TABLES, scratch: Scratch | None = None) -> DataFrame:
+    """source_id, neighbour, weight: up to `nearest` sources of the largest positive cosine."""
+    scratch = scratch or Scratch(sources.sparkSession)
+    units = scratch.write("units", unit_vectors(sources))
+    n = units.count()
+    kind = sources.schema["source_id"].dataType
+    schema = T.StructType([T.StructField("source_id", kind), T.StructField("neighbour", kind), T.StructField("weight", T.DoubleType())])
+    if not n:
+        return sources.sparkSession.createDataFrame([], schema)
+    middle = list(units.agg(Summarizer.mean(array_to_vector("embedding")).alias("m")).first()["m"])
+    bits = max(0, math.ceil(math.log2(n / (2 * cell))))
+    found = None
+    for table in range(tables if bits else 1):  # without a bit, all orders compare all
+        placed = units.withColumn("at", _order(len(middle), middle, bits, table)("embedding"))
+        placed = placed.repartitionByRange(max(1, n // (8 * cell)), "at.cell", "at.along", "source_id").sortWithinPartitions("at.cell", "at.along", "source_id")
+        pairs = placed.select("source_id", "embedding").mapInArrow(_nearest(nearest, cell), schema)
+        found = pairs if found is None else found.union(pairs)
+    if not bits:
+        return found
+    best = F.sort_array(F.collect_list(F.struct((-F.col("weight")).alias("w"), "neighbour")))  # at most nearest * tables
+    once = found.groupBy("source_id", "neighbour").agg(F.max("weight").alias("weight"))
+    top = once.groupBy("source_id").agg(F.slice(best, 1, nearest).alias("e")).select("source_id", F.explode("e").alias("e"))
+    return top.select("source_id", "e.neighbour", (-F.col("e.w")).alias("weight"))
+
+
+def linked_sources(sources: DataFrame, edges: DataFrame) -> DataFrame:
+    """source_id and its edges, as an array of at most `nearest`; an unlinked source has an edge to itself."""
+    lists = edges.groupBy("source_id").agg(F.collect_list(F.struct("neighbour", "weight")).alias("edges"))
+    itself = F.array(F.struct(F.col("source_id").alias("neighbour"), F.lit(1.0).alias("weight")))
+    return sources.select("source_id").join(lists, "source_id", "left").withColumn("edges", F.coalesce("edges", itself))
+
+
+def centrality(nodes: DataFrame, scratch: Scratch, steps: int = STEPS) -> DataFrame:
+    """source_id, centrality: visits of a damped walk along the edges by weight, from all sources alike.
+
+    A round sums the shares that arrive at a source, first within each task; the
+    edges are dealt by source once for all rounds of a plan.
+    """
+    n = nodes.count()
+    degree = F.aggregate("edges", F.lit(0.0), lambda s, e: s + e["weight"])
+    shares = F.transform("edges", lambda e: F.struct(e["neighbour"].alias("neighbour"), (e["weight"] / degree).alias("share")))
+    nodes = scratch.write("shares", nodes.select("source_id", shares.alias("edges")))
+    dealt = nodes.repartition("source_id")
+    ranks = nodes.select("source_id", F.lit(1.0 / n if n else 0.0).alias("centrality"))
+    for step in range(1, steps + 1):
+        passed = dealt.join(ranks, "source_id").select(F.explode("edges").alias("e"), "centrality")
+        sums = passed.groupBy(F.col("e.neighbour").alias("source_id")).agg(F.sum(F.col("centrality") * F.col("e.share")).alias("visits"))
+        ranks = dealt.select("source_id").join(sums, "source_id", "left").select(
+            "source_id", ((1 - DAMPING) / max(n, 1) + DAMPING * F.coalesce("visits", F.lit(0.0))).alias("centrality"))
+        if step % WRITTEN == 0 or step == steps:
+            ranks = scratch.write(f"ranks-{step}", ranks)
+            scratch.drop(f"ranks-{step - WRITTEN}")
+    return ranks
+
+
+def communities(nodes: DataFrame, scratch: Scratch, rounds: int = ROUNDS) -> DataFrame:
+    """source_id, community_id: labels that spread along the edges.
+
+    A source takes the label of the largest weight among its neighbours, the
+    smallest of equals. Sources take turns, by a hash of their id, so that two
+    do not swap labels for ever. A label is the id of the source it began at.
     """
-    linked = _with_degree(edges).withColumn("z", F.arrays_zip("anchors", "weights"))
-    alone = "array(named_struct('i', -1, 'j', -1, 'v', 1.0D))"
-    terms = linked.select(F.expr(f"inline(if(degree > 0, {_TERMS}, {alone}))"))
-    walk, mass, start, n = np.zeros((k, k)), np.zeros(k), np.zeros(k), 0
-    for r in terms.groupBy("i", "j").agg(F.sum("v").alias("v")).collect():
-        if r["i"] < 0:
-            n = int(r["v"])
-        elif r["j"] == -1:
-            mass[r["i"]] = r["v"]
-        elif r["j"] == -2:
-            start[r["i"]] = r["v"]
-        else:
-            walk[r["i"], r["j"]] = r["v"]
-    return n, mass, start, walk
-
-
-def walk_anchors(n: int, mass: np.ndarray, start: np.ndarray, walk: np.ndarray, steps: int = STEPS) -> np.ndarray:
-    """Visits per anchor divided by anchor mass after a damped walk from all sources alike.
-
-    This is the same walk as PageRank over source, anchor, source; only the
-    anchor sums are kept between steps.
+    turn = F.conv(F.substring(F.md5(F.col("source_id").cast("string")), 1, 1), 16, 10).cast("int") % 2
+    labels = nodes.select("source_id", F.col("source_id").alias("community_id"))
+    for number in range(1, rounds + 1):
+        asking = nodes.where(turn == number % 2).select("source_id", F.explode("edges").alias("e")).select("source_id", "e.neighbour", "e.weight")
+        told = asking.join(labels.select(F.col("source_id").alias("neighbour"), "community_id"), "neighbour")
+        votes = told.groupBy("source_id", "community_id").agg(F.round(F.sum("weight"), DIGITS).alias("votes"))
+        chosen = votes.groupBy("source_id").agg(F.min_by("community_id", F.struct(-F.col("votes"), "community_id")).alias("chosen"))
+        labels = labels.join(chosen, "source_id", "left").select("source_id", F.coalesce("chosen", "community_id").alias("community_id"))
+        labels = scratch.write(f"labels-{number}", labels)
+        scratch.drop(f"labels-{number - 1}")
+    return labels
+
+
+def crossings(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """source_id, share, reached: the share of the weight of its edges, from it and to it, that crosses communities, and how many others it reaches.
+
+    Both ends of an edge are given their community, then weights are summed by
+    source and community, first within each task.
     """
-    inverse = np.divide(1.0, mass, out=np.zeros_like(mass), where=mass > 0)
-    visits = start / n
-    for _ in range(steps):
-        visits = (1 - DAMPING) / n * start + DAMPING * (walk @ (visits * inverse))
-    return visits * inverse
-
-
-def anchor_communities(mass: np.ndarray, walk: np.ndarray) -> np.ndarray:
-    """Communities of anchors: each is linked to its strongest neighbour, and the smallest label spreads along the links."""
-    scale = np.sqrt(np.outer(mass, mass))
-    near = np.round(np.divide(walk, scale, out=np.zeros_like(walk), where=scale > 0), 9)
-    np.fill_diagonal(near, 0.0)
-    strongest = near.argmax(axis=1)  # the first of equals
-    links = [(i, j) for i, j in enumerate(strongest) if near[i, j] > 0]
-    labels = np.arange(len(mass))
-    while True:
-        before = labels.copy()
-        for i, j in links:
-            labels[i] = labels[j] = min(labels[i], labels[j])
-        if (before == labels).all():
-            return labels
+    ends = nodes.join(labels, "source_id").select("source_id", "community_id", F.explode("edges").alias("e"))
+    other = labels.select(F.col("source_id").alias("neighbour"), F.col("community_id").alias("other_id"))
+    edges = ends.select("source_id", "community_id", "e.neighbour", "e.weight").join(other, "neighbour")
+    there = F.struct("source_id", F.col("community_id").alias("own"), F.col("other_id").alias("far"), "weight")
+    back = F.struct(F.col("neighbour").alias("source_id"), F.col("other_id").alias("own"), F.col("community_id").alias("far"), "weight")
+    both = edges.select(F.explode(F.array(there, back)).alias("x")).select("x.*")
+    summed = both.groupBy("source_id", "own", "far").agg(F.sum("weight").alias("weight"))
+    crosses = F.col("far") != F.col("own")
+    return summed.groupBy("source_id").agg(
+        F.round(F.sum(F.when(crosses, F.col("weight")).otherwise(0.0)) / F.sum("weight"), DIGITS).alias("share"), F.count_if(crosses).alias("reached"))
 
 
 def source_graph(
-    sources: DataFrame, k: int = ANCHORS, nearest: int = NEAREST, hubs: int = 1, bridge_share: float = BRIDGE_SHARE
+    sources: DataFrame, nearest: int = NEAREST, cell: int = CELL, tables: int = TABLES, hubs: int = 1, bridge_share: float = BRIDGE_SHARE,
 ) -> DataFrame:
-    """source_id, centrality, is_hub, is_bridge, community_id for vectors (source_id, embedding)."""
-    anchors = choose_anchors(sources, k)
-    edges = anchor_edges(sources, anchors, nearest)
-    n, mass, start, walk = anchor_matrix(edges, len(anchors))
-    visits = walk_anchors(n, mass, start, walk)
-    labels = anchor_communities(mass, walk)
-    per_anchor = F.array(*[F.lit(float(v)) for v in visits])
-    community = F.array(*[F.lit(int(v)) for v in labels])
-    linked = _with_degree(edges).withColumn("labels", F.transform("anchors", lambda a: F.get(community, a)))
-    walked = F.aggregate(
-        F.zip_with("anchors", "weights", lambda a, w: w * F.get(per_anchor, a)), F.lit(0.0), lambda s, x: s + x
-    )
-    own = F.get("labels", 0)
-    foreign = F.aggregate(
-        F.zip_with("labels", "weights", lambda c, w: F.when(c == own, F.lit(0.0)).otherwise(w)), F.lit(0.0), lambda s, x: s + x
-    )
-    ranked = linked.select(
-        "source_id", ((1 - DAMPING) / n + DAMPING * walked).alias("centrality"),
-        F.when((F.col("degree") > 0) & (foreign / F.col("degree") >= bridge_share), 1).otherwise(0).alias("is_bridge"),
-        own.alias("community_id"),
-    )
+    """source_id, centrality, is_hub, is_bridge, community_id, bridge_share, reached for vectors (source_id, embedding).
+
+    Hubs are the `hubs` most central sources of a community of two or more;
+    bridges have at least `bridge_share` of their weight across communities.
+    """
+    scratch = Scratch(sources.sparkSession)
+    nodes = scratch.write("nodes", linked_sources(sources, neighbour_edges(sources, nearest, cell, tables, scratch)))
+    ranks, labels = centrality(nodes, scratch), communities(nodes, scratch)
+    ranked = labels.join(ranks, "source_id").join(crossings(nodes, labels), "source_id")
     best = top_per_group(
         ranked.select("community_id", "centrality", "source_id"), ["community_id"],
         [F.round("centrality", 12).desc(), F.col("source_id").asc()], hubs,
-    ).select("source_id", F.lit(1).alias("is_hub"))
-    return ranked.join(best, "source_id", "left").select(
-        "source_id", "centrality", F.coalesce("is_hub", F.lit(0)).alias("is_hub"), "is_bridge", "community_id"
-    )
+    ).select("source_id", F.lit(True).alias("best"))
+    several = ranked.groupBy("community_id").agg((F.count("*") > 1).alias("several"))
+    out = ranked.join(best, "source_id", "left").join(several, "community_id")
+    flagged = out.select(
+        "source_id", "centrality", F.when(F.col("best") & F.col("several"), 1).otherwise(0).alias("is_hub"),
+        F.when((F.col("share") >= bridge_share) & (F.col("reached") > 0), 1).otherwise(0).alias("is_bridge"), "community_id",
+        F.col("share").alias("bridge_share"), "reached")
+    graph = scratch.write("graph", flagged)
+    for name in ("units", "nodes", "shares", f"ranks-{STEPS}", f"labels-{ROUNDS}"):
+        scratch.drop(name)
+    return graph
 
 
 def bridge_listing(graph: DataFrame, limit: int = 20) -> DataFrame:

@@ -51,3 +51,20 @@ def scratch_table(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/scratch-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Tables of one job in a folder of their own below the shared one; the job drops those it needs no more."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folder = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/scratch-{uuid.uuid4().hex}"
+
+    def write(self, name: str, df: DataFrame) -> DataFrame:
+        df.write.parquet(f"{self.folder}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
+
+    def drop(self, name: str) -> None:
+        """Nothing happens where the table is not there."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
