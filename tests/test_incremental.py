@@ -1,5 +1,6 @@
 """Merges, signatures and the arrival stream."""
 
+import os
 import random
 
 import pytest
@@ -107,6 +108,52 @@ def test_stream_equals_batch(spark, tmp_path, shared):
     assert got.count() == 7
 
 
+def grow(path, text):
+    """Append in place, with a later time than any before."""
+    times = [p.stat().st_mtime for p in path.parent.glob("*")]
+    with path.open("a") as f:
+        f.write(text)
+    os.utime(path, (max(times) + 5,) * 2)
+
+
+def test_files_that_grow_in_place(spark, tmp_path, shared, monkeypatch):
+    land, base = tmp_path / "land", str(tmp_path / "base")
+    land.mkdir()
+    a, b, odd = land / "aider.a.chat.md", land / "aider.b.chat.md", land / "aider.{c}*.chat.md"
+    for p in (a, b, odd):
+        p.write_text(HEAD)
+    read = []
+    plain = arrivals.read_files
+    monkeypatch.setattr(arrivals, "read_files", lambda s, paths: read.extend(p.rpartition("/")[2] for p in paths) or plain(s, paths))
+    refresh = lambda **k: arrivals.refresh(spark, str(land), base, files_per_batch=2, **k)
+    rows = lambda: sorted((r["source_id"], r["chunk_number"], r["content"]) for r in arrivals.stored_chunks(spark, f"{base}/table").collect())
+    assert refresh(dry_run=True) and refresh() and not refresh(dry_run=True)
+    assert len(rows()) == 9 and sorted(read) == sorted(p.name for p in (a, b, odd))
+    read.clear()
+    assert not refresh() and read == []  # nothing has changed: nothing is read
+    grow(a, "#### two\n> Applied edit to a.py\n")
+    assert refresh(dry_run=True) and refresh() and read == [a.name]
+    assert len(rows()) == 11 and len({r[:2] for r in rows()}) == 11
+    before, read[:] = rows(), []
+    grow(b, "more of the reply\n")  # a block below the mark that grows stays as it was stored
+    a.unlink()
+    (land / "aider.d.chat.md").write_text(HEAD)
+    assert refresh() and sorted(read) == [b.name, "aider.d.chat.md"]
+    assert set(before) < set(rows()) and len(rows()) == 14
+    b.unlink()
+    assert plain(spark, [f"file:{b}"]).count() == 0
+
+
+def test_open_listing_is_ingested_later(spark, tmp_path, shared):
+    """A run that ends between the snapshot and the stream loses nothing."""
+    land, base = tmp_path / "land", str(tmp_path / "base")
+    land.mkdir()
+    (land / "aider.a.chat.md").write_text(HEAD)
+    assert arrivals.snapshot(spark, str(land), f"{base}/listings")
+    assert not arrivals.refresh(spark, str(land), base)
+    assert arrivals.stored_chunks(spark, f"{base}/table").count() == 3
+
+
 def test_replayed_batch_adds_nothing(spark, tmp_path):
     table = str(tmp_path / "t")
     files = spark.createDataFrame([("/l/aider.a.chat.md", HEAD, 5)], "path string, text string, modified long")

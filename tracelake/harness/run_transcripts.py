@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tracelake.harness import transcripts as H
 from tracelake.operators import sinks
 from tracelake.sources import logs, markdown_chat as chat
-from tracelake.streaming import incremental
+from tracelake.streaming import arrivals, incremental
 
 
 def _analytics(spark, sf):
@@ -46,8 +46,27 @@ def _content_store(spark, sf):
     return store.select("hash", "content", "byte_length")
 
 
+def _scanned(spark, sf):
+    """Transcripts read back from their files."""
+    files = chat.read_transcripts(spark, H.landed(spark, sf))
+    return files.select(H.logical(F.col("path")).alias("path"), F.octet_length("text").cast("long").alias("n_bytes"), F.md5("text").alias("digest"))
+
+
+def _signature(spark, sf):
+    listed = incremental.file_listing(spark, H.landed(spark, sf), arrivals.PATTERN)
+    return incremental.directory_signature(listed)
+
+
+def _streamed(spark, sf):
+    kept = H.streamed(spark, sf)
+    return kept.select("source_id", "chunk_number", (F.col("type") == "user_prompt").cast("long").alias("prompt"))
+
+
 def queries() -> dict:
     return {
+        "transcript_scan": _scanned,
+        "transcript_signature": _signature,
+        "transcript_stream": _streamed,
         "transcript_lines": lambda spark, sf: chat.lines(H.files(spark, sf)).select(
             "path", "session_index", "line_no", "role", "raw"),
         "transcript_blocks": _blocks,

@@ -156,9 +156,18 @@ mark AS (SELECT source_id, max(block_no) AS m FROM h5 JOIN ses USING (path, sess
    WHERE h5.content <> '' OR (h5.role = 'tool' AND tl.kind <> 'raw_status') GROUP BY 1)
 """
 
-STATS = HIGH_WATER.rstrip() + """,
+HALF = HIGH_WATER.rstrip() + """,
 half AS (SELECT source_id, block_no, CASE WHEN h5.role = 'user' THEN 1 ELSE 0 END AS prompt FROM h5 JOIN ses USING (path, session_index)
-   LEFT JOIN tl ON tl.n = h5.n AND h5.role = 'tool' WHERE h5.content <> '' OR (h5.role = 'tool' AND tl.kind <> 'raw_status')),
+   LEFT JOIN tl ON tl.n = h5.n AND h5.role = 'tool' WHERE h5.content <> '' OR (h5.role = 'tool' AND tl.kind <> 'raw_status'))"""
+
+STREAM = HALF + """
+SELECT source_id, block_no AS chunk_number, prompt FROM half
+UNION ALL SELECT source_id, chunk_number, CASE WHEN type = 'user_prompt' THEN 1 ELSE 0 END FROM chk LEFT JOIN mark USING (source_id)
+WHERE chunk_number > coalesce(m, 0)"""
+
+FILES = f"WITH {BASE.strip()},\nf AS (SELECT path, string_agg(raw, chr(10) ORDER BY line_no) AS text FROM lines0 GROUP BY 1)\n"
+
+STATS = HALF + """,
 start AS (SELECT source_id, min(timestamp - chunk_number) AS t FROM chk GROUP BY 1),
 both_rows AS (SELECT half.source_id, prompt, t + block_no AS ts FROM half JOIN start ON start.source_id = half.source_id
    UNION ALL SELECT source_id, CASE WHEN type = 'user_prompt' THEN 1 ELSE 0 END, timestamp FROM chk LEFT JOIN mark USING (source_id)
@@ -172,6 +181,9 @@ HIGH_WATER += """SELECT chunk_id, chunk_number, content, type FROM chk LEFT JOIN
 def all_sql() -> dict[str, str]:
     out = {name: f"WITH {BASE.strip()}\n{body}" for name, body in QUERIES.items()}
     out["transcript_high_water"] = "WITH " + HIGH_WATER
+    out["transcript_stream"] = "WITH " + STREAM
+    out["transcript_scan"] = f"{FILES}SELECT path, strlen(text) AS n_bytes, md5(text) AS digest FROM f"
+    out["transcript_signature"] = f"{FILES}SELECT CAST(sum(strlen(text)) AS BIGINT) AS total_size, count(*) AS file_count FROM f"
     out["source_stats"] = "WITH " + STATS
     out["input_history"] = INPUT.strip()
     out["model_log"] = MODEL.strip()

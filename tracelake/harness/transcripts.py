@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from hashlib import md5
+
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tracelake.harness.events import stored, table
+from tracelake.session import shared_folder
 from tracelake.sources import markdown_chat as chat
+from tracelake.streaming import arrivals
 
 # Tool lines the test transcripts cycle through: text, expected kind, tool, target, success.
 # {d} stands for the document number.
@@ -125,3 +132,51 @@ def analytics_files(spark: SparkSession, sf: str) -> DataFrame:
     line = F.when(F.col("event_id") % 7 == 0, F.concat(F.lit('{"event": '), F.col("event_id").cast("string"))).otherwise(good)
     text = F.concat(F.lit("\n"), line, F.lit("\n"))
     return e.select(F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("path"), text.alias("text"))
+
+
+def landing(spark: SparkSession, sf: str, name: str) -> str:
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{md5(sf.encode()).hexdigest()[:8]}"
+
+
+def land(spark: SparkSession, sf: str, folder: str, half: bool = False) -> None:
+    """Write every transcript as a file below the folder, over an earlier one."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = pyarrow.fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
+        for batch in batches:
+            for path, text in zip(batch.column("path").to_pylist(), batch.column("text").to_pylist()):
+                place = root + path.removeprefix("/work")
+                fs.create_dir(place.rpartition("/")[0], recursive=True)
+                with fs.open_output_stream(place) as out:
+                    out.write(text.encode())
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    files(spark, sf, half).select("path", "text").mapInArrow(write, "n long").agg(F.sum("n")).collect()
+
+
+def logical(path: Column) -> Column:
+    """The path as the other queries have it."""
+    return F.concat(F.lit("/work"), F.regexp_extract(path, "(/p[0-9]+/[^/]*)$", 1))
+
+
+_LANDED: set[str] = set()
+
+
+def landed(spark: SparkSession, sf: str) -> str:
+    """A folder with all transcripts, written once per session."""
+    folder = landing(spark, sf, "landed")
+    if folder not in _LANDED:
+        land(spark, sf, folder)
+        _LANDED.add(folder)
+    return folder
+
+
+def streamed(spark: SparkSession, sf: str) -> DataFrame:
+    """The table after two triggers of the stream; between them every transcript has grown in place."""
+    key = landing(spark, sf, "grown")
+    if key not in _LANDED:
+        for half in (True, False):
+            land(spark, sf, f"{key}/land", half)
+            arrivals.refresh(spark, f"{key}/land", key, rename=logical)
+        _LANDED.add(key)
+    return arrivals.stored_chunks(spark, f"{key}/table")

@@ -1,14 +1,25 @@
-"""File-arrival stream of transcripts: every micro-batch appends what is above the high-water mark."""
+"""Streams of transcripts: every micro-batch appends what is above the high-water mark.
+
+`start` takes files as they arrive, each path once. A transcript is usually
+appended to in place, which Spark's file source does not see; for that,
+`snapshot` writes the folder's listing whenever its signature has changed, and
+`start_grown` streams over the listings. Its state holds the signatures (path,
+length, time) that have passed, so files that are new or have changed are read,
+and no others. `refresh` does both, or says only whether there is anything to do.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import re
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tracelake.operators.ranking import pick_last
 from tracelake.operators.sinks import read_batches, write_batch
 from tracelake.sources import markdown_chat as chat
-from tracelake.streaming.incremental import above_high_water
+from tracelake.streaming.incremental import above_high_water, directory_signature, file_listing
 
 CHUNKS = """
 chunk_id string, source_id string, chunk_number long, type string, role string, content string, timestamp long,
@@ -20,30 +31,40 @@ FILE = "path string, modificationTime timestamp, length long, content binary"
 _COLUMNS = [c.split()[0] for c in CHUNKS.replace("\n", " ").split(",")]
 
 
-def watch(spark: SparkSession, folder: str, pattern: str = "aider*.chat*.md", files_per_batch: int = 1000) -> DataFrame:
+LISTING = "path string, length long, modificationTime timestamp"
+PATTERN = "aider*.chat*.md"
+Rename = Callable[[Column], Column]
+
+
+def watch(spark: SparkSession, folder: str, pattern: str = PATTERN, files_per_batch: int = 1000) -> DataFrame:
     """New files below a landing folder: path, text, modified."""
     raw = (
         spark.readStream.format("binaryFile").schema(FILE).option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern).option("maxFilesPerTrigger", files_per_batch).load(folder)
     )
+    return _texts(raw)
+
+
+def _texts(files: DataFrame) -> DataFrame:
     text = F.make_valid_utf8(F.col("content").cast("string"))
-    return raw.select("path", text.alias("text"), F.unix_seconds("modificationTime").alias("modified"))
+    return files.select("path", text.alias("text"), F.unix_seconds("modificationTime").alias("modified"))
 
 
-def _logical(files: DataFrame) -> DataFrame:
+def _logical(files: DataFrame, rename: Rename | None) -> DataFrame:
     """Drops of one transcript share its logical path: a version suffix after '@' in the file name is removed."""
-    named = files.withColumn("path", F.regexp_replace("path", r"@[^/@]*(?=\.chat)", ""))
+    path = F.regexp_replace("path", r"@[^/@]*(?=\.chat)", "")
+    named = files.withColumn("drop", F.col("path")).withColumn("path", rename(path) if rename else path)
     # The newest drop of a transcript holds all of it.
-    return pick_last(named, ["path"], ["modified", "text"])
+    return pick_last(named, ["path"], ["modified", "drop"]).drop("drop")
 
 
-def ingest_files(spark: SparkSession, files: DataFrame, table: str, batch_id: int) -> None:
+def ingest_files(spark: SparkSession, files: DataFrame, table: str, batch_id: int, rename: Rename | None = None) -> None:
     """One batch: parse the files and write only the rows above the marks of the earlier batches.
 
     The marks (highest number per source) are a small table of their own, so the
     stored chunks are not read again.  A replayed batch replaces its own rows.
     """
-    newest = _logical(files)
+    newest = _logical(files, rename)
     blocks = chat.blocks(chat.lines(newest))
     sessions = chat.sessions(newest, blocks).join(newest.select("path", "modified"), "path")
     # A header without a readable time falls back to the file's own time.
@@ -59,7 +80,7 @@ def stored_chunks(spark: SparkSession, table: str) -> DataFrame:
 
 
 def start(
-    spark: SparkSession, folder: str, table: str, checkpoint: str, pattern: str = "aider*.chat*.md", files_per_batch: int = 1000
+    spark: SparkSession, folder: str, table: str, checkpoint: str, pattern: str = PATTERN, files_per_batch: int = 1000
 ) -> StreamingQuery:
     """Process all files that have arrived, then stop."""
     def batch(df: DataFrame, batch_id: int) -> None:
@@ -69,3 +90,70 @@ def start(
         watch(spark, folder, pattern, files_per_batch).writeStream.foreachBatch(batch)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
+
+
+def _listed(spark: SparkSession, listings: str) -> DataFrame:
+    return read_batches(spark, listings, LISTING + ", number long")
+
+
+def _signature(files: DataFrame) -> tuple:
+    """Total size, number and newest time of the files."""
+    return (*directory_signature(files).first(), files.agg(F.max(F.unix_micros("modificationTime"))).first()[0])
+
+
+def snapshot(spark: SparkSession, folder: str, listings: str, pattern: str = PATTERN, files_per_batch: int = 1000) -> bool:
+    """Write the listing of the folder as the next snapshot, unless its signature is that of the last one. File bodies are not read.
+
+    A snapshot's files hold at most `files_per_batch` rows each, which bounds a micro-batch of the stream over them.
+    """
+    earlier = _listed(spark, listings)
+    last = earlier.agg(F.max("number")).first()[0]
+    now = file_listing(spark, folder, pattern)
+    if last is not None and _signature(now) == _signature(earlier.filter(F.col("number") == last)):
+        return False
+    number = 0 if last is None else last + 1
+    rows = now.withColumn("number", F.lit(number).cast("long")).repartition(-(-now.count() // files_per_batch) or 1)
+    rows.write.mode("overwrite").option("maxRecordsPerFile", files_per_batch).parquet(f"{listings}/batch={number}")
+    return True
+
+
+def read_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """path, text, modified of the named files; those that have gone meanwhile are left out."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    there = [p for p in map(jvm.org.apache.hadoop.fs.Path, paths) if p.getFileSystem(conf).exists(p)]
+    if not there:
+        return _texts(spark.createDataFrame([], FILE))
+    plain = [re.sub(r"([\[\]{}*?\\])", r"\\\1", p.toString()) for p in there]
+    return _texts(spark.read.format("binaryFile").schema(FILE).load(plain))
+
+
+def start_grown(spark: SparkSession, listings: str, table: str, checkpoint: str, rename: Rename | None = None) -> StreamingQuery:
+    """Ingest the files whose signature has not passed yet, one file of a snapshot at a time, then stop."""
+    rows = spark.readStream.schema(LISTING).option("maxFilesPerTrigger", 1).parquet(f"{listings}/*")
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        paths = [r["path"] for r in df.select("path").distinct().collect()]  # at most files_per_batch
+        if paths:
+            ingest_files(spark, read_files(spark, paths), table, batch_id, rename)
+
+    return (
+        rows.dropDuplicates(["path", "length", "modificationTime"]).writeStream.foreachBatch(batch)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+
+
+def refresh(
+    spark: SparkSession, folder: str, base: str, pattern: str = PATTERN, files_per_batch: int = 1000, rename: Rename | None = None, dry_run: bool = False,
+) -> bool:
+    """Bring the table below `base` up to date with a folder of growing transcripts; returns whether the folder had changed.
+
+    With dry_run nothing is written.
+    """
+    listings = f"{base}/listings"
+    if dry_run:
+        earlier = _listed(spark, listings)
+        last = earlier.filter(F.col("number") == F.coalesce(earlier.agg(F.max("number")).scalar(), F.lit(-1)))
+        return _signature(file_listing(spark, folder, pattern)) != _signature(last)
+    changed = snapshot(spark, folder, listings, pattern, files_per_batch)
+    start_grown(spark, listings, f"{base}/table", f"{base}/checkpoint", rename).awaitTermination()  # also what an earlier run left open
+    return changed
