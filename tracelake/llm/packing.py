@@ -46,23 +46,24 @@ END_ID = 1
 WINDOW = 2048
 MOST_OPEN = 4096
 #: Bytes of words and ids that a worker keeps, with what Python adds to them.
-CACHE_BYTES = 96 << 20
+CACHE_BYTES = 128 << 20
 ENTRY_BYTES, LONGEST_KEPT = 250, 64
 #: Characters encoded at a time.
 PART = 1 << 18
 #: No pre-token of the vocabulary crosses white space or goes on at a digit, and nothing is composed with either.
 APART = re.compile(r"[ \n0-9]")
-#: Pre-tokens of plain words: Latin letters, one digit, marks but the apostrophe and what opens a special token.
+#: Pre-tokens of plain lines: Latin letters, one digit, marks but the apostrophe and what opens a special token.
 PLAIN = r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]++|[0-9]|[!-&(-/:;=-@\[-`{-~]++"
-PLAIN_PART, PLAIN_WORD = re.compile(PLAIN), re.compile(f"(?:{PLAIN})++")
+PLAIN_PART, PLAIN_LINE = re.compile(PLAIN), re.compile(f"(?: |{PLAIN})++")
 ROWS = 4096
 SCHEMA = "part int, window long, offset long, doc_id long, start long, length long, doc_tokens long, ids binary"
 
 
 class WordIds(dict):
-    """The library's ids of a word between spaces, as bytes; bounded by bytes.
+    """The library's ids of pre-tokens, or of words between spaces, as bytes.
 
-    Plain words are split into pre-tokens here, which repeat more often, and only the library's model works on these.
+    Plain lines are split into pre-tokens here, and only the library's model works on these. What is kept is bounded
+    by bytes: a full table becomes the old one, from which what is used again comes back.
     """
 
     def __init__(self, path: str):
@@ -70,33 +71,38 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.spelling = {byte: letter for letter, byte in byte_letters().items()}
+        self.old: dict[str, bytes] = {}
         self.held = 0
 
     def __missing__(self, word: str) -> bytes:
-        if PLAIN_WORD.fullmatch(word):
-            parts = PLAIN_PART.findall(word.lower())
-            if len(parts) > 1 or parts[0] != word:
-                ids = b"".join([self[p] for p in parts])
-            else:
-                spelled = word if word.isascii() else word.encode().decode("latin-1").translate(self.spelling)
-                ids = array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
-        else:
-            ids = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self.found(word)
         if len(word) <= LONGEST_KEPT:
-            if self.held > CACHE_BYTES:
+            if self.held > CACHE_BYTES // 2:
+                self.old = dict(self)
                 self.clear()
                 self.held = 0
             self.held += ENTRY_BYTES + 4 * len(word) + len(ids)
             self[word] = ids
         return ids
 
+    def found(self, word: str) -> bytes:
+        if PLAIN_PART.fullmatch(word):
+            lowered = word.lower()
+            spelled = lowered if word.isascii() else lowered.encode().decode("latin-1").translate(self.spelling)
+            return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+
     def encode(self, text: str) -> Iterator[bytes]:
         """The ids of a text, in parts."""
         first = 0
         while first < len(text):
             cut = APART.search(text, first + PART) if first + PART < len(text) else None
             last = cut.start() if cut else len(text)
-            yield b"".join(map(self.__getitem__, text[first:last].replace("\n", " ").split(" ")))
+            for line in text[first:last].split("\n"):
+                plain = PLAIN_LINE.fullmatch(line)
+                yield b"".join(map(self.__getitem__, PLAIN_PART.findall(line.lower()) if plain else line.split(" ")))
             first = last
 
 
@@ -233,7 +239,7 @@ def pack(docs: DataFrame, folder: str, path: str = VOCABULARY, end_id: int = END
     pieces = written(text_rows(docs).mapInArrow(_pack(path, end_id, size, most_open), SCHEMA), folder, "pieces")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     tasks = pieces.groupBy("part").agg((F.max("window") + 1).alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    return pieces.join(tasks, "part").select(
+    return pieces.join(F.broadcast(tasks), "part").select(  # one row of two numbers a task
         "doc_id", "start", "length", "doc_tokens", (F.col("base") + F.col("window")).alias("sequence_id"), "offset", "ids")
 
 
