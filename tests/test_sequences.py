@@ -60,27 +60,49 @@ def test_running_and_previous(spark, seed):
             s, m = s + r[3], max(m, r[3])
             total[r[2]], last[r[2]], seen[r[2]], n[r[2]] = s, p, m, c
             p = r[3]
-    df = S.with_bucket(frame(spark, data), ["k"], S.time_value("ts"), 30)
-    df = S.running(df, ["k"], ["ts", "i"], total=("sum", F.col("v")), top=("max", F.col("v")))
-    df = S.without_bucket(S.previous(df, ["k"], ["ts", "i"], {"p": "v"}))
+    df = S.sliced(frame(spark, data), ["k"], ["ts", "i"], 30)
+    df = S.running(df, ["ts", "i"], total=("sum", F.col("v")), top=("max", F.col("v")))
+    df = S.whole(S.previous(df, ["ts", "i"], {"p": "v"}))
     got = df.collect()
     assert {r["i"]: r["total"] for r in got} == total
     assert {r["i"]: r["top"] for r in got} == seen
     assert {r["i"]: r["p"] for r in got} == last
-    num = S.numbered(frame(spark, data), ["k"], ["ts", "i"], S.time_value("ts"), "n", 11).collect()
+    num = S.numbered(frame(spark, data), ["k"], ["ts", "i"], "n", 11).collect()
     assert {r["i"]: r["n"] for r in num} == n
 
 
 def test_only_large_keys_are_cut(spark):
-    df = S.with_bucket(frame(spark, rows(8)), ["k"], S.time_value("ts"), 100)
-    buckets = {r["k"]: r["n"] for r in df.groupBy("k").agg(F.countDistinct("__bucket").alias("n")).collect()}
-    assert buckets[0] >= 4 and all(n == 1 for k, n in buckets.items() if k != 0)
+    df = S.sliced(frame(spark, rows(8)), ["k"], ["ts", "i"], 100)
+    slices = {r["k"]: r["n"] for r in df.groupBy("k").agg(F.countDistinct("__slice").alias("n")).collect()}
+    assert slices[0] >= 3 and all(n == 1 for k, n in slices.items() if k != 0)
     nulls = spark.createDataFrame([(None, 1, None), (None, 2, 5), (1, 3, None), (1, 4, 9)], "k int, i int, t long")
-    got = S.numbered(nulls, ["k"], ["t", "i"], F.col("t"), "n", 1).collect()
+    got = S.numbered(nulls, ["k"], ["t", "i"], "n", 1).collect()
     assert {r["i"]: r["n"] for r in got} == {1: 1, 2: 2, 3: 1, 4: 2}
     at = [(None, T0, 1), (None, T0 + dt.timedelta(minutes=1), 2), (None, T0 + dt.timedelta(days=1), 3), (7, T0, 4)]
-    cut = S.gap_sessions(spark.createDataFrame(at, "k int, ts timestamp_ntz, i int"), ["k"], "ts", ["i"], "1 HOUR", max_rows=1)
+    cut = S.gap_sessions(spark.createDataFrame(at, "k int, ts timestamp_ntz, i int"), ["k"], "ts", ["i"], "1 HOUR", target=1)
     assert {r["i"]: (r["session_no"], r["position"]) for r in cut.collect()} == {1: (1, 1), 2: (1, 2), 3: (2, 1), 4: (1, 1)}
+    assert S.numbered(nulls.where("false"), ["k"], ["t", "i"], "n", 1).count() == 0
+
+
+@pytest.mark.parametrize("tie", ["long", "string"])
+def test_no_slice_is_above_twice_the_target(spark, tie):
+    """One key with nearly all rows, of these 99 % in one second; ties by numbers or by long strings that begin alike."""
+    rng = random.Random(9)
+    data = []
+    for i in range(6000):
+        key = (None if i % 2 else 0) if i % 50 else rng.randrange(1, 9)
+        at = T0 + (dt.timedelta(seconds=5) if rng.random() < 0.99 else dt.timedelta(seconds=rng.randrange(10**7)))
+        data.append((key, at, i * 10**9 - 7 * 10**11 if tie == "long" else f"message-of-one-session-{i:09d}-é"))
+    df = spark.createDataFrame(data, f"k int, ts timestamp_ntz, i {tie}").repartition(3)
+    target = 40
+    sizes = S.sliced(df, ["k"], ["ts", "i"], target).groupBy("k", "__slice").count().collect()
+    assert max(r["count"] for r in sizes) <= 2 * target
+    assert len(sizes) < 3 * len(data) / target
+    want, number = {}, {}
+    for key, _, i in sorted(data, key=lambda r: (r[1], r[2])):
+        want[key, i] = number[key] = number.get(key, 0) + 1
+    got = S.numbered(df, ["k"], ["ts", "i"], "n", target).collect()
+    assert {(r["k"], r["i"]): r["n"] for r in got} == want
 
 
 def test_pick_and_top(spark):

@@ -46,6 +46,7 @@ def queries() -> dict:
         "digest_delegations": lambda spark, sf: digest.delegations(
             E.delegation_edges(spark, sf), E.sessions(spark, sf), E.messages(spark, sf), E.AS_OF
         ),
+        "digest_open_loops_default": lambda spark, sf: digest.open_loops(E.sessions(spark, sf), E.AS_OF),
         "digest_open_loops": lambda spark, sf: digest.open_loops(E.sessions(spark, sf), E.AS_OF, days=2, large=E.LARGE),
         "digest_work_rhythm": lambda spark, sf: digest.work_rhythm(E.sessions(spark, sf), E.messages(spark, sf), E.LARGE),
         "digest_file_heat": lambda spark, sf: digest.file_heat(E.messages(spark, sf)),

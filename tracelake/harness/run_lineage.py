@@ -33,9 +33,9 @@ def _versions(spark, sf):
     return lineage.recoverable(E.messages(spark, sf), edges, store)
 
 
-def _context(spark, sf):
+def _context(spark, sf, around=2):
     m = E.messages(spark, sf)
-    ranges = lineage.context_ranges(lineage.seam_units(m), E.sessions(spark, sf), around=2)
+    ranges = lineage.context_ranges(lineage.seam_units(m), E.sessions(spark, sf), around=around)
     return lineage.context_messages(ranges, m).groupBy("session_id", "unit", "from_pos", "to_pos").agg(
         F.count(F.lit(1)).alias("messages"), F.count_if(F.col("type") == "user_prompt").alias("prompts"))
 
@@ -117,9 +117,13 @@ def queries() -> dict:
         "path_iterations": lambda spark, sf: lineage.path_iterations(E.messages(spark, sf), NAME),
         "work_units": lambda spark, sf: lineage.work_units(E.messages(spark, sf), E.sessions(spark, sf), NAME, large=5),
         "seam_units": lambda spark, sf: lineage.seam_units(E.messages(spark, sf)),
+        # Sessions of more than eight edits are cut, as those of more than TARGET are elsewhere.
+        "seam_units_sliced": lambda spark, sf: lineage.seam_units(E.messages(spark, sf), target=8),
+        "density_shifts_default": lambda spark, sf: lineage.density_shifts(E.messages(spark, sf)),
         "density_shifts": lambda spark, sf: lineage.density_shifts(E.messages(spark, sf), factor=2.0),
         "position_buckets": lambda spark, sf: lineage.position_buckets(E.messages(spark, sf), size=5),
         "context_ranges": _context,
+        "context_ranges_default": lambda spark, sf: _context(spark, sf, lineage.CONTEXT),
         "recoverable_versions": lambda spark, sf: lineage.file_versions(_versions(spark, sf), FILE),
         "version_deltas": lambda spark, sf: lineage.version_deltas(_versions(spark, sf)).select(
             "target_file", "version", "chunk_id", "content_hash", "prev_hash", "added", "removed"),

@@ -145,6 +145,9 @@ SELECT tool_name, success, count(*) AS n FROM messages WHERE tool_name IS NOT NU
 }
 
 
+QUERIES["digest_open_loops_default"] = QUERIES["digest_open_loops"].replace("2024-01-29", "2024-01-30").replace("message_count > 10", "message_count > 100")
+
+
 def all_sql() -> dict[str, str]:
     out = {}
     for name, body in QUERIES.items():

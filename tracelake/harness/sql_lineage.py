@@ -2,7 +2,7 @@
 
 from tracelake.harness.sql_events import BASE
 
-EVENT_QUERIES = {
+EVENT_QUERIES: dict[str, str] = {
     "path_iterations": """SELECT target_file, count(*) AS ops, min(created_at) AS first_touch, max(created_at) AS last_touch
   FROM messages WHERE target_file ILIKE '%FILE_7%' GROUP BY 1""",
     "work_units": """SELECT m.session_id, CAST(m.created_at AS DATE) AS day, string_agg(DISTINCT tool_name, ',' ORDER BY tool_name) AS tools, count(*) AS ops,
@@ -94,6 +94,13 @@ def _with(base: str, body: str) -> str:
     return f"WITH {base.strip()}{'' if body.startswith(',') else chr(10)}{body}"
 
 
+EVENT_QUERIES |= {
+    "seam_units_sliced": EVENT_QUERIES["seam_units"],
+    "density_shifts_default": EVENT_QUERIES["density_shifts"].replace(">= 2.0", ">= 3.0"),
+    "context_ranges_default": EVENT_QUERIES["context_ranges"].replace("min(position) - 2)", "min(position) - 200)").replace("max(position) + 2 AS", "max(position) + 200 AS"),
+}
+
+
 def all_sql() -> dict[str, str]:
     out = {n: _with(BASE, q) for n, q in EVENT_QUERIES.items()}
     out.update({n: _with(DOCS, q) for n, q in DOC_QUERIES.items()})

@@ -1,104 +1,136 @@
 """Ordered computations per key that stay parallel when one key is very large.
 
-A plain window puts every row of a key into one task.  So keys are counted first
-(combined on the map side, key and order column only).  When no key has more than
-max_rows rows, the plain window is used.  Else such keys are cut into buckets
-along their order column; the window runs per (key, bucket), and only one summary
-row per (key, bucket) is windowed per key to carry values across the cuts.  Other
-keys stay one bucket.  The input is shuffled once, by (key, bucket).
+A plain window puts every row of a key into one task. Here a key's rows are cut
+into slices along their order, of `target` rows and never of more than twice as
+many; a key of fewer is one slice. The window runs per (key, slice), and only
+one summary row per (key, slice) is windowed per key to carry values across the
+cuts. Input rows are shuffled once, by (key, slice).
+
+The cuts come from counts. A cell, at first a key, that holds more than `target`
+rows is divided into CELLS of equal width between its least and largest value
+of the first order column in which its rows differ, and so on; a second into
+which most rows fall is thus divided further, down to the tie columns. Running
+sums over the cells of a key then place the cuts. Rows that are equal in all
+order columns (strings: in their first 48 bytes) stay together.
+
+A null order value comes first; rows with a null key are one group.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+
+from tracelake.session import Scratch
+
+_KEY, _SLICE = "__key", "__slice"
+_BY = [_KEY, _SLICE]
+TARGET = 2_000_000
+CELLS = 512
+#: A string is ordered by so many numbers of so many bytes each.
+STRING_DIGITS, DIGIT_BYTES = 8, 6
+
+
+def _digits(df: DataFrame, order: list[str]) -> list[Column]:
+    """The order columns as whole numbers, each exact as a double; their list never falls in the order of the rows."""
+    out: list[Column] = []
+    for name in order:
+        kind, c = df.schema[name].dataType, F.col(name)
+        if isinstance(kind, T.StringType):
+            for k in range(STRING_DIGITS):
+                part = F.rpad(F.hex(F.substring(F.encode(c, "utf-8"), 1 + DIGIT_BYTES * k, DIGIT_BYTES)), 2 * DIGIT_BYTES, "0")
+                out.append(F.coalesce(F.conv(part, 16, 10).cast("long"), F.lit(-1).cast("long")))
+            continue
+        if isinstance(kind, T.TimestampNTZType):
+            c = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
+        elif isinstance(kind, T.TimestampType):
+            c = F.unix_micros(c)
+        elif not isinstance(kind, T.IntegralType):
+            raise TypeError(f"rows can't be cut along {name}: {kind.simpleString()}")
+        c = c.cast("long")
+        out += [F.coalesce(F.shiftright(c, 32), F.lit(-(1 << 40))), F.coalesce(c.bitwiseAND((1 << 32) - 1), F.lit(0).cast("long"))]
+    return out
 
-_BUCKET = "__bucket"
-MAX_ROWS = 2_000_000
 
+def cut_points(df: DataFrame, keys: list[str], order: list[str], target: int) -> DataFrame | None:
+    """__key and __cuts, the places at which the slices of a key begin but the first; None if no key is cut."""
+    digits = _digits(df, order)
+    rows = df.select(F.struct(*keys).alias(_KEY), F.array(*digits).alias("at"), F.lit("").alias("cell"))
+    scratch = Scratch(df.sparkSession)
+    leaves, number = None, 0
+    while True:
+        lows, highs = (F.array(*[f(F.get("at", k)) for k in range(len(digits))]) for f in (F.min, F.max))
+        counted = rows.groupBy(_KEY, "cell").agg(F.count("*").alias("n"), lows.alias("lows"), highs.alias("highs"))
+        cells = scratch.write(f"cells-{number}", counted)
+        differ = F.array_position(F.zip_with("lows", "highs", lambda a, b: a < b), F.lit(True)).cast("int")
+        large = (F.col("n") > target) & (differ > 0)
+        if number:
+            leaf = cells.where(~large).select(_KEY, "n", F.col("lows").alias("start"))
+            leaves = leaf if leaves is None else leaves.union(leaf)
+        low, high = F.element_at("lows", differ), F.element_at("highs", differ)
+        split = cells.where(large).select(
+            _KEY, "cell", (differ - 1).alias("digit"), low.alias("low"), F.greatest(F.lit(1.0), (high - low + 1) / F.lit(float(CELLS))).alias("width"))
+        if split.isEmpty():
+            break
+        inner = F.floor((F.get("at", F.col("digit")) - F.col("low")) / F.col("width")).cast("string")
+        rows = rows.join(split, [_KEY, "cell"]).select(_KEY, "at", F.concat_ws(".", "cell", inner).alias("cell"))
+        number += 1
+    if leaves is None:
+        return None
+    # The least values of a cell, column by column, are not above its first row, and above all rows of the cells before it.
+    before = Window.partitionBy(_KEY).orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    placed = leaves.withColumn(_SLICE, F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / target))
+    begins = placed.groupBy(_KEY, _SLICE).agg(F.min("start").alias("start")).where(F.col(_SLICE) > 0)
+    return scratch.write("cuts", begins.groupBy(_KEY).agg(F.sort_array(F.collect_list("start")).alias("__cuts")))
+
+
+def sliced(df: DataFrame, keys: list[str], order: list[str], target: int = TARGET, sizes: DataFrame | None = None) -> DataFrame:
+    """Add the key as one column and the number of the row's slice along the order.
+
+    `sizes` may hold the same keys and order columns more cheaply than df, with
+    at least as many rows.
+    """
+    cuts = cut_points(df if sizes is None else sizes, keys, order, target)
+    rows = df.withColumn(_KEY, F.struct(*keys))
+    if cuts is None:  # a join with no cuts
+        return rows.withColumn(_SLICE, F.lit(0).cast("long"))
+    begun = F.size(F.filter("__cuts", lambda c: c <= F.array(*_digits(df, order))))
+    return rows.join(cuts, _KEY, "left").withColumn(_SLICE, F.when(F.col("__cuts").isNull(), 0).otherwise(begun).cast("long")).select(*rows.columns, _SLICE)
 
-def time_value(c: str) -> Column:
-    """A timestamp as microseconds, to cut along."""
-    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(c))
 
+def whole(df: DataFrame) -> DataFrame:
+    """The rows without what sliced() added."""
+    return df.drop(*_BY)
 
-def with_bucket(
-    df: DataFrame, keys: list[str], along: Column, max_rows: int = MAX_ROWS, sizes: DataFrame | None = None
-) -> DataFrame:
-    """Number the buckets of every key; without a large key the rows come back as they are.
-
-    `along` is a number that never falls in the order of the rows.  Keys above
-    max_rows get slices of equal width, as many as it takes for max_rows rows
-    each on average.  There are at most (rows / max_rows) such keys, which bounds
-    what is broadcast.  A null along sorts first, before the first slice; rows
-    with a null key are one group and stay one bucket.  `sizes` may hold the same
-    keys and order column more cheaply than df, with at least as many rows.
-    """
-    counted = (df if sizes is None else sizes).select(*keys, along.alias("__along")).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.min("__along").alias("__lo"), F.max("__along").alias("hi")
-    )
-    width = F.greatest(F.lit(1.0), (F.col("hi") - F.col("__lo")) / F.ceil(F.col("n") / F.lit(max_rows)))
-    large = counted.filter(F.col("n") > max_rows).select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__lo", width.alias("__width"))
-    if large.isEmpty():
-        return df
-    same = F.lit(True)
-    for k in keys:
-        same = same & (df[k] == F.col(f"__k_{k}"))
-    zero, first = F.lit(0).cast("long"), F.lit(-1).cast("long")
-    slice_no = F.floor((along - F.col("__lo")) / F.col("__width")).cast("long")
-    bucket = F.when(F.col("__width").isNull(), zero).when(along.isNull(), first).otherwise(slice_no)
-    out = df.join(F.broadcast(large), same, "left").withColumn(_BUCKET, bucket)
-    return out.select(*df.columns, _BUCKET)
-
-
-def without_bucket(df: DataFrame) -> DataFrame:
-    return df.drop(_BUCKET)
-
-
-def previous(df: DataFrame, keys: list[str], order: list[str], values: dict[str, str]) -> DataFrame:
-    """Add lag(1) of columns: values maps new name to source column. Needs with_bucket first."""
-    if _BUCKET not in df.columns:
-        whole = Window.partitionBy(*keys).orderBy(*order)
-        return df.select("*", *[F.lag(src).over(whole).alias(name) for name, src in values.items()])
-    local = Window.partitionBy(*keys, _BUCKET).orderBy(*order)
-    along = Window.partitionBy(*keys).orderBy(_BUCKET)
-    ends = df.groupBy(*keys, _BUCKET).agg(
+
+def previous(df: DataFrame, order: list[str], values: dict[str, str]) -> DataFrame:
+    """Add lag(1) of columns to sliced rows: values maps new name to source column."""
+    local = Window.partitionBy(*_BY).orderBy(*order)
+    along = Window.partitionBy(_KEY).orderBy(_SLICE)
+    ends = df.groupBy(*_BY).agg(
         F.max_by(F.struct(*[F.col(v).alias(n) for n, v in values.items()]), F.struct(*order)).alias("__end")
     )
-    carried = ends.select(*keys, _BUCKET, F.lag("__end").over(along).alias("__carry"))
-    first = F.row_number().over(local) == 1
-    out = df
-    for name, src in values.items():
-        out = out.withColumn(name, F.lag(src).over(local))
-    out = out.withColumn("__first", first)
-    out = out.join(carried, [*keys, _BUCKET], "left")
+    carried = ends.select(*_BY, F.lag("__end").over(along).alias("__carry"))
+    lagged = df.select("*", *[F.lag(src).over(local).alias(name) for name, src in values.items()], (F.row_number().over(local) == 1).alias("__first"))
+    out = lagged.join(carried, _BY, "left")
     for name in values:
         out = out.withColumn(name, F.when(F.col("__first"), F.col(f"__carry.{name}")).otherwise(F.col(name)))
     return out.drop("__first", "__carry")
 
 
-def running(df: DataFrame, keys: list[str], order: list[str], **aggs: tuple[str, Column]) -> DataFrame:
-    """Add running aggregates: name=('sum'|'max', expression). Needs with_bucket first."""
+def running(df: DataFrame, order: list[str], **aggs: tuple[str, Column]) -> DataFrame:
+    """Add running aggregates to sliced rows: name=('sum'|'max', expression)."""
     fns = {"sum": F.sum, "max": F.max}
-    if _BUCKET not in df.columns:
-        whole = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.select("*", *[fns[fn](expr).over(whole).alias(name) for name, (fn, expr) in aggs.items()])
-    local = (
-        Window.partitionBy(*keys, _BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    before = Window.partitionBy(*keys).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    local = Window.partitionBy(*_BY).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy(_KEY).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     staged = df
     for name, (_, expr) in aggs.items():
         staged = staged.withColumn(f"__v_{name}", expr)
-    totals = staged.groupBy(*keys, _BUCKET).agg(
-        *[fns[fn](f"__v_{name}").alias(f"__t_{name}") for name, (fn, _) in aggs.items()]
-    )
-    offsets = totals.select(
-        *keys, _BUCKET, *[fns[fn](f"__t_{name}").over(before).alias(f"__o_{name}") for name, (fn, _) in aggs.items()]
-    )
+    totals = staged.groupBy(*_BY).agg(*[fns[fn](f"__v_{name}").alias(f"__t_{name}") for name, (fn, _) in aggs.items()])
+    offsets = totals.select(*_BY, *[fns[fn](f"__t_{name}").over(before).alias(f"__o_{name}") for name, (fn, _) in aggs.items()])
     out = staged
     for name, (fn, _) in aggs.items():
         out = out.withColumn(name, fns[fn](f"__v_{name}").over(local))
-    out = out.join(offsets, [*keys, _BUCKET], "left")
+    out = out.join(offsets, _BY, "left")
     for name, (fn, _) in aggs.items():
         carry = F.col(f"__o_{name}")
         if fn == "sum":
@@ -110,28 +142,23 @@ def running(df: DataFrame, keys: list[str], order: list[str], **aggs: tuple[str,
 
 
 def numbered(
-    df: DataFrame, keys: list[str], order: list[str], along: Column, name: str, max_rows: int = MAX_ROWS,
-    sizes: DataFrame | None = None,
+    df: DataFrame, keys: list[str], order: list[str], name: str, target: int = TARGET, sizes: DataFrame | None = None,
 ) -> DataFrame:
     """1-based row number per key, in order."""
-    out = running(with_bucket(df, keys, along, max_rows, sizes), keys, order, **{name: ("sum", F.lit(1).cast("long"))})
-    return without_bucket(out)
+    return whole(running(sliced(df, keys, order, target, sizes), order, **{name: ("sum", F.lit(1).cast("long"))}))
 
 
 def gap_sessions(
-    df: DataFrame, keys: list[str], ts: str, tie: list[str], gap: str, same_day: bool = False,
-    max_rows: int = MAX_ROWS,
+    df: DataFrame, keys: list[str], ts: str, tie: list[str], gap: str, same_day: bool = False, target: int = TARGET,
 ) -> DataFrame:
     """Add session_no and position (both 1-based): a gap above `gap` starts a new session.
 
     With same_day a change of calendar day starts one as well.  One shuffle of
-    the rows by (key, bucket), one summary row per (key, bucket), one join back.
+    the rows by (key, slice), one summary row per (key, slice), one join back.
     """
-    placed = with_bucket(df, keys, time_value(ts), max_rows)
-    by = [*keys, _BUCKET] if _BUCKET in placed.columns else keys
-    local = Window.partitionBy(*by).orderBy(ts, *tie)
+    local = Window.partitionBy(*_BY).orderBy(ts, *tie)
     upto = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    along = Window.partitionBy(*keys).orderBy(_BUCKET)
+    along = Window.partitionBy(_KEY).orderBy(_SLICE)
     before = along.rowsBetween(Window.unboundedPreceding, -1)
 
     def breaks(earlier: Column, later: Column) -> Column:
@@ -139,45 +166,38 @@ def gap_sessions(
         return cut | (F.to_date(later) != F.to_date(earlier)) if same_day else cut
 
     rows = (
-        placed.withColumn("__prev", F.lag(ts).over(local))
+        sliced(df, keys, [ts, *tie], target).withColumn("__prev", F.lag(ts).over(local))
         .withColumn("__n", F.row_number().over(local).cast("long"))
         .withColumn("__cut", F.coalesce(breaks(F.col("__prev"), F.col(ts)), F.lit(False)))
         .withColumn("__cuts", F.sum(F.col("__cut").cast("long")).over(upto))
         .withColumn("__cut_n", F.max(F.when(F.col("__cut"), F.col("__n"))).over(upto))
     )
-    if by == keys:
-        since = F.coalesce(F.col("__cut_n"), F.lit(1).cast("long"))
-        return rows.select(*df.columns, (F.col("__cuts") + 1).alias("session_no"), (F.col("__n") - since + 1).alias("position"))
     parts = (
-        rows.groupBy(*keys, _BUCKET)
+        rows.groupBy(*_BY)
         .agg(
             F.max("__n").alias("rows"), F.min(ts).alias("lo"), F.max(ts).alias("hi"),
             F.max("__cuts").alias("cuts"), F.max("__cut_n").alias("cut_n"),
         )
-        .withColumn("opens", F.coalesce(breaks(F.lag("hi").over(along), F.col("lo")), F.lit(True)))
+        .withColumn("opens", F.coalesce(breaks(F.lag("hi").over(along), F.col("lo")), F.lag("rows").over(along).isNull()))
         .withColumn("rows0", F.coalesce(F.sum("rows").over(before), F.lit(0).cast("long")))
         .withColumn(
             "last_cut", F.col("rows0") + F.coalesce(F.col("cut_n"), F.when(F.col("opens"), F.lit(1).cast("long")))
         )
         .select(
-            *keys, _BUCKET, F.col("opens").alias("__opens"),
-            # sessions opened in earlier buckets, and rows already in the session that is open here
+            *_BY, F.col("opens").alias("__opens"),
+            # sessions opened in earlier slices, and rows already in the session that is open here
             F.coalesce(
                 F.sum(F.col("cuts") + F.col("opens").cast("long")).over(before), F.lit(0).cast("long")
             ).alias("__cuts0"),
             (F.col("rows0") - F.max("last_cut").over(before) + 1).alias("__open_rows"),
         )
     )
-    # A left join, so rows with a null key are kept: they are one bucket, which opens at its first row.
-    out = rows.join(parts, [*keys, _BUCKET], "left")
-    out = out.withColumn("__opens", F.coalesce("__opens", F.lit(True)))
-    out = out.withColumn("__cuts0", F.coalesce("__cuts0", F.lit(0).cast("long")))
-    opened = F.col("__opens").cast("long")
+    out = rows.join(parts, _BY)
     position = (
         F.when(F.col("__cut_n").isNotNull(), F.col("__n") - F.col("__cut_n") + 1)
         .when(F.col("__opens"), F.col("__n"))
         .otherwise(F.col("__open_rows") + F.col("__n"))
     )
     return out.select(
-        *df.columns, (F.col("__cuts0") + opened + F.col("__cuts")).alias("session_no"), position.alias("position")
+        *df.columns, (F.col("__cuts0") + F.col("__opens").cast("long") + F.col("__cuts")).alias("session_no"), position.alias("position")
     )

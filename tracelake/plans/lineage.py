@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tracelake.functions.text import preview
 from tracelake.functions.times import from_epoch
-from tracelake.operators.sequences import gap_sessions, previous, running, time_value, with_bucket, without_bucket
+from tracelake.operators.sequences import TARGET, gap_sessions, previous, running, sliced, whole
 from tracelake.plans.digest import WRITE_TOOLS
 
 # Bodies a file can be recovered from.
@@ -51,11 +51,11 @@ def edits(messages: DataFrame) -> DataFrame:
     return messages.filter(F.col("tool_name").isin(WRITE_TOOLS)).select("session_id", "id", "position", "created_at")
 
 
-def seam_units(messages: DataFrame, gap: str = "1 HOUR") -> DataFrame:
-    """Edits of a session cut at day boundaries and at gaps above an hour."""
+def seam_units(messages: DataFrame, gap: str = "1 HOUR", target: int = TARGET) -> DataFrame:
+    """Edits of a session cut at day boundaries and at gaps above an hour. Sessions of more than `target` edits are worked on in slices."""
     cut = gap_sessions(
         edits(messages).withColumnRenamed("position", "message_position"), ["session_id"], "created_at", ["message_position", "id"],
-        gap, same_day=True,
+        gap, same_day=True, target=target,
     )
     return cut.groupBy("session_id", F.col("session_no").alias("unit")).agg(
         F.count(F.lit(1)).alias("ops"), F.min("message_position").alias("first_pos"), F.max("message_position").alias("last_pos"),
@@ -69,8 +69,7 @@ def density_shifts(messages: DataFrame, factor: float = 3.0) -> DataFrame:
         edits(messages).groupBy("session_id", F.date_trunc("hour", "created_at").alias("hour"))
         .agg(F.count(F.lit(1)).alias("edits"))
     )
-    placed = with_bucket(hourly, ["session_id"], time_value("hour"))
-    lagged = without_bucket(previous(placed, ["session_id"], ["hour"], {"before": "edits"}))
+    lagged = whole(previous(sliced(hourly, ["session_id"], ["hour"]), ["hour"], {"before": "edits"}))
     return lagged.filter(F.col("edits") >= factor * F.col("before"))
 
 
@@ -134,9 +133,8 @@ def version_deltas(versions: DataFrame) -> DataFrame:
     """
     slim = versions.select("target_file", "chunk_id", "content_hash", "body_tool", "timestamp", "session_id", "position")
     order = ["timestamp", "session_id", "position", "chunk_id"]
-    cut = with_bucket(slim, ["target_file"], F.col("timestamp"))
-    cut = previous(cut, ["target_file"], order, {"prev_hash": "content_hash"})
-    placed = without_bucket(running(cut, ["target_file"], order, version=("sum", F.lit(1).cast("long"))))
+    cut = previous(sliced(slim, ["target_file"], order), order, {"prev_hash": "content_hash"})
+    placed = whole(running(cut, order, version=("sum", F.lit(1).cast("long"))))
     lines = versions.groupBy("content_hash").agg(
         F.any_value(F.split(body_text(F.col("body_tool"), F.col("content")), "\n")).alias("lines")
     )

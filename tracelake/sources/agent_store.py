@@ -127,11 +127,11 @@ def chunk_rows(sessions: DataFrame, messages: DataFrame, parts: DataFrame, fallb
     rows = p.join(m, ["session_id", "message_id"]).join(s, "session_id")
     order = ["m_created", "message_id", "p_created", "part_id"]
     # How large the sessions are at most is known without reading any payload.
-    sizes = parts.select("session_id", "message_id").join(
+    sizes = parts.select("session_id", "message_id", F.col("time_created").alias("p_created"), F.col("id").alias("part_id")).join(
         messages.select(F.col("id").alias("message_id"), "session_id", F.col("time_created").alias("m_created")),
         ["session_id", "message_id"],
     )
-    rows = numbered(rows, ["session_id"], order, F.col("m_created"), "chunk_number", sizes=sizes)
+    rows = numbered(rows, ["session_id"], order, "chunk_number", sizes=sizes)
     kind = text_at("d", "$.type")
     is_tool = kind == "tool"
     is_user = F.col("m_role") == "user"
