@@ -47,7 +47,7 @@ WINDOW = 2048
 MOST_OPEN = 4096
 #: Bytes of words and ids that a worker keeps, with what Python adds to them.
 CACHE_BYTES = 128 << 20
-ENTRY_BYTES, LONGEST_KEPT = 250, 64
+ENTRY_BYTES, LONGEST_KEPT = 170, 64
 #: Characters encoded at a time.
 PART = 1 << 18
 #: No pre-token of the vocabulary crosses white space or goes on at a digit, and nothing is composed with either.

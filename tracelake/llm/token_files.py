@@ -20,6 +20,7 @@ import os
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,67 +36,72 @@ from tracelake.llm.token_counts import byte_letters
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
-CACHE_ENTRIES = 600_000
+#: Bytes of pieces and ids that a worker keeps, with what Python adds to them.
+CACHE_BYTES = 128 << 20
+ENTRY_BYTES, LONGEST_KEPT = 170, 64
 SHARD_SCHEMA = "shard int, file string, width int, n_docs long, n_null long, n_tokens long"
 #: White space but spaces and line ends.
 RARE_WHITE = re.compile(r"[^\S \n]")
-#: Pre-tokens of plain pieces: Latin letters, digits, marks but the apostrophe, single line ends. Other pieces are left whole.
+#: Pre-tokens of plain lines: Latin letters, digits, marks but the apostrophe, single line ends. Other lines are cut at spaces.
 PLAIN = r" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]++| ?[0-9]++| ?[!-&(-/:-@\[-`{-~]++|\n"
-PLAIN_PART, PLAIN_PIECE = re.compile(PLAIN), re.compile(f"(?:{PLAIN})++")
+PLAIN_PART, PLAIN_LINE = re.compile(PLAIN), re.compile(f"(?:{PLAIN})++")
 
 
-class PieceEncoder:
-    """The library's ids for whole texts, with a bounded cache of what it gave for pieces no pre-token crosses."""
+class PieceEncoder(dict):
+    """The library's ids, as bytes, of whole texts; holds what it gave for pieces that no pre-token crosses.
+
+    Plain lines are split into their pre-tokens, which repeat more often than words with their marks. What is kept is
+    bounded by bytes: a full table becomes the old one, from which what is used again comes back.
+    """
 
     def __init__(self, path: str, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.type = np.dtype("<u2" if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4")
+        self.code = "H" if self.type.itemsize == 2 else "I"
         self.end = np.array([end_id], self.type).tobytes()
-        self.cache: dict[str, bytes] = {}
-        self.after_space: dict[str, bytes] = {}
-
+        self.old: dict[str, bytes] = {}
+        self.held = 0
         self.spelling = {byte: letter for letter, byte in byte_letters().items()}
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
-    def word(self, part: str) -> bytes:
-        """The library's model on one pre-token, spelled in its byte letters."""
-        ids = self.cache.get(part)
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
         if ids is None:
-            spelled = part.encode().decode("latin-1").translate(self.spelling)
-            ids = self.cache[part] = np.array([t.id for t in self.tokenizer.model.tokenize(spelled)], self.type).tobytes()
+            ids = self.found(piece)
+        if len(piece) <= LONGEST_KEPT:
+            if self.held > CACHE_BYTES // 2:
+                self.old = dict(self)
+                self.clear()
+                self.held = 0
+            self.held += ENTRY_BYTES + 4 * len(piece) + len(ids)
+            self[piece] = ids
         return ids
 
-    def packed(self, piece: str) -> bytes:
-        """The library on one piece; a plain one is split into its pre-tokens, which repeat more often."""
-        if len(self.cache) >= CACHE_ENTRIES:
-            self.cache.clear()
-        ids = self.cache.get(piece)
-        if ids is not None:
-            return ids
-        if PLAIN_PIECE.fullmatch(piece) and "\n\n" not in piece and not any(s in piece for s in self.special):
-            ids = b"".join(map(self.word, PLAIN_PART.findall(piece)))
-        else:
-            ids = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, self.type).tobytes()
-        return ids
+    def found(self, piece: str) -> bytes:
+        """The library's model on one pre-token, spelled in its byte letters; the whole library on other pieces."""
+        if PLAIN_PART.fullmatch(piece):
+            spelled = piece.encode().decode("latin-1").translate(self.spelling)
+            return array(self.code, [t.id for t in self.model.tokenize(spelled)]).tobytes()
+        return array(self.code, self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
+
+    def pieces(self, line: str) -> list[str]:
+        if PLAIN_LINE.fullmatch(line) and not any(s in line for s in self.special):
+            return PLAIN_PART.findall(line)
+        first, *words = line.split(" ")
+        return [first, *[" " + w for w in words]]
 
     def encode(self, text: str) -> bytes:
-        """A cut before a space changes no token if the space stands between two other characters."""
+        """A cut before a space, or on both sides of a line end, changes no token if it stands between two other characters."""
         if not text:
             return self.end
-        if "  " in text or "\n " in text or " \n" in text or text[0] == " " or text[-1] == " " or RARE_WHITE.search(text):
+        get = self.__getitem__
+        if "  " in text or "\n " in text or " \n" in text or "\n\n" in text or text[0] in " \n" or text[-1] in " \n" or RARE_WHITE.search(text):
             places = [0, *cut_places(text, 1), len(text)]
-            get, packed = self.cache.get, self.packed
-            return b"".join([get(p := text[a:b]) or packed(p) for a, b in zip(places, places[1:])]) + self.end
-        first, *words = text.split(" ")
-        get, after = self.after_space.get, self.following
-        return b"".join([self.packed(first), *[get(w) or after(w) for w in words], self.end])
-
-    def following(self, word: str) -> bytes:
-        if len(self.after_space) >= CACHE_ENTRIES:
-            self.after_space.clear()
-        ids = self.after_space[word] = self.packed(" " + word)
-        return ids
+            return b"".join([get(text[a:b]) for a, b in zip(places, places[1:])]) + self.end
+        line_end = get("\n")
+        return line_end.join([b"".join(map(get, self.pieces(line))) for line in text.split("\n")]) + self.end
 
 
 _ENCODERS: dict[tuple[str, int], PieceEncoder] = {}
