@@ -5,7 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from tracelake.operators import sinks
-from tracelake.plans import presets, views
+from tracelake.plans import late, presets, views
 from tracelake.sources import articles, feeds, stories
 from tracelake.streaming import incremental
 
@@ -122,12 +122,12 @@ def test_second_batch_keeps_first(spark, tmp_path):
     earlier = [{**COMMENTS[0], "pos": 0, "short_id": "cx", "comment_plain": "came in before"}] + [{**c, "pos": c["pos"] + 1} for c in COMMENTS]
     _, second = story_rows(spark, tmp_path / "two", changed, earlier)
     base = str(tmp_path / "table")
-    schema = first.select("id", "content", "timestamp").schema
-    sinks.write_version(first.select("id", "content", "timestamp"), base)
-    for _ in range(2):  # the same batch twice adds nothing the second time
-        stored = sinks.read_current(spark, base, schema)
-        sinks.write_version(sinks.keep_first(stored, second.select("id", "content", "timestamp"), ["id"], ["timestamp"]), base)
-    got = {r["id"]: r["content"] for r in sinks.read_current(spark, base, schema).collect()}
+    schema = "id string, content string, timestamp long"
+    sinks.write_batch(first.select("id", "content", "timestamp"), base, 0)
+    for number in (1, 2):  # the same batch twice adds nothing the second time
+        stored = sinks.read_batches(spark, base, schema, before=number)
+        sinks.write_batch(sinks.fresh_rows(stored, second.select("id", "content", "timestamp"), ["id"], ["timestamp"]), base, number)
+    got = {r["id"]: r["content"] for r in sinks.read_batches(spark, base, schema).collect()}
     assert got["lob_s1:0"] == "T\n\nD" and got["lob_s1:1"] == "first"  # ids are positional: the shifted text stays hidden
     assert got["lob_s1:2"] == "first" and got["lob_s1:5"] == "late" and got["lob_s3:0"] == "New"
     assert len(got) == 7
@@ -155,3 +155,19 @@ def test_presets_quirks(spark, tmp_path):
     assert {r["tag"]: r["articles"] for r in presets.tag_counts(art).collect()} == {"[]": 1, "x": 1}
     assert presets.random_sample(view, longer_than=0).count() == 3
     assert view.filter(presets.tags_like("thread_tags", "RUS_")).filter(F.col("type") == "story").count() == 1
+    # The reports over the cell give what those over the view give, whether its chunks are one table or three.
+    for stored in (cell, {**cell, "rows": rows}):
+        for whole, few in (
+            (presets.top(view, "2024-01-10"), late.top(stored, "2024-01-10")),
+            (presets.top(view, "2024-01-10", limit=2), late.top(stored, "2024-01-10", limit=2)),
+            (presets.story_recent(view, "2024-01-10", limit=3), late.story_recent(stored, "2024-01-10", limit=3)),
+            (presets.story_recent(view, "2024-01-02 00:00:00.5", days=1), late.story_recent(stored, "2024-01-02 00:00:00.5", days=1)),
+            (presets.tagged(view, "rust", "2024-01-10"), late.tagged(stored, "rust", "2024-01-10")),
+            (presets.tagged(view, "none", "2024-01-10"), late.tagged(stored, "none", "2024-01-10")),
+            (presets.top_threads(views.threads(cell), 1), late.top_threads(stored, 1)),
+            (presets.comment_thread(view, "lob_s1"), late.comment_thread(stored, views.story_chunks, "lob_s1")),
+        ):
+            assert whole.columns == few.columns and list(map(tuple, whole.collect())) == list(map(tuple, few.collect()))
+    tagged = art.select("id", F.col("type").alias("item_type"), "tags")
+    assert {r["tag"]: r["articles"] for r in late.tag_counts({"rows": tagged}).collect()} == {"[]": 1, "x": 1}
+    assert {r["tag"]: r["articles"] for r in late.tag_counts_inner({"rows": tagged}).collect()} == {"x": 1}

@@ -35,6 +35,28 @@ def test_replace_and_coalesce(spark):
     assert got == [(1, 1, "a"), (2, 9, "n2"), (3, 3, "c")]
 
 
+def test_upserts_rewrite_touched_buckets_alone(spark, tmp_path):
+    base = str(tmp_path / "t")
+    old = spark.createDataFrame([(i, i, f"v{i}") for i in range(200)], KV)
+    files = lambda: {str(p) for p in (tmp_path / "t").rglob("*.parquet")}
+    rows = lambda: {r["id"]: (r["n"], r["v"]) for r in sinks.read_buckets(spark, base, old.schema).collect()}
+    sinks.write_buckets(old, base, ["id"], 32)
+    before, want = files(), rows()
+    assert len(before) == 32
+    batch = spark.createDataFrame([(7, 1, "x"), (7, 2, "y"), (1000, 5, "new")], KV)
+    sinks.upsert_replace(batch, base, old.schema, ["id"], ["n"], 32)
+    sinks.upsert_replace(batch, base, old.schema, ["id"], ["n"], 32)  # again, as after a failure
+    want |= {7: (2, "y"), 1000: (5, "new")}
+    assert rows() == want and 30 <= len(files() & before) < 32
+    before = files()
+    updates = spark.createDataFrame([(7, None, "late"), (8, 80, "late"), (5000, 1, "unknown")], KV)
+    sinks.upsert_coalesce(updates, base, old.schema, ["id"], old_wins=("v",), new_wins=("n",), buckets=32)
+    want |= {8: (80, "v8")}
+    assert rows() == want and len(files() & before) >= 29
+    sinks.upsert_replace(batch.where("false"), base, old.schema, ["id"], ["n"], 32)
+    assert rows() == want
+
+
 def test_audit(spark):
     stored = spark.createDataFrame([(1, 0, "k")], KV)
     batch = spark.createDataFrame([(1, 1, "k"), (2, 2, "k"), (2, 3, "k"), (3, None, "k"), (4, 4, "l")], KV)

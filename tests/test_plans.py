@@ -44,13 +44,29 @@ def test_filters_and_columns_reach_a_stored_table(spark, tmp_path):
     rows = spark.range(100).selectExpr(
         "cast(id as string) id", "'a' type", "timestamp_ntz'2024-01-01' created_at", "'t' title", "'u' author", "1 score", "'c' content",
         "id timestamp", "'x' other", "'tu' thread_url", "'su' story_url")
-    sinks.write_version(rows, str(tmp_path / "t"))
-    table = sinks.read_current(spark, str(tmp_path / "t"), schema + ", thread_url string, story_url string")
+    rows.write.parquet(str(tmp_path / "t"))
+    table = spark.read.schema(schema + ", thread_url string, story_url string").parquet(str(tmp_path / "t"))
     text = plan(presets.story_recent(table, "2024-01-05"))
     assert "GreaterThanOrEqual(created_at" in text
     assert "other" not in text[text.index("ReadSchema"):]
 
 
+def test_reports_choose_rows_before_texts_and_joins(spark, sf, monkeypatch):
+    """The first scan has no text and no join, and skips by time; the second is filtered by the chosen keys."""
+    from tracelake.harness import feeds as H
+    from tracelake.plans import late
+
+    chosen, top_rows = [], late.top_rows
+    monkeypatch.setattr(late, "top_rows", lambda *a: chosen.append(top_rows(*a)) or chosen[-1])
+    cell = H.story_cell(spark, sf)
+    second = plan(late.story_recent(cell, H.AS_OF, days=60))
+    first = plan(chosen[0].select("id", "source_id"))
+    assert "Join" not in first and "content" not in first and "GreaterThanOrEqual(timestamp" in first and "TakeOrderedAndProject" in first
+    assert "In(id" in second or "EqualTo(id" in second
+    counts = plan(late.tag_counts(H.article_cell(spark, sf)))
+    assert counts.count("FileScan") == 1 and "Join" not in counts and counts.count("Exchange") == 1
+
+
 def test_index_reads_only_the_query_words(spark, tmp_path):
     chunks = spark.createDataFrame([("a", "one two"), ("b", "three")], "id string, content string")
     search.write_index(*search.build_index(chunks), str(tmp_path))

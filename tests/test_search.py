@@ -119,6 +119,27 @@ def test_diverse_is_greedy_mmr(cloud):
     assert vectors.diverse(scored.limit(0), 8).count() == 0
 
 
+def test_diverse_scans_few_times(spark, monkeypatch):
+    """The picks of the rule itself, step by step over all rows, with few rows looked ahead, ties and copies; at most three scans."""
+    rng = np.random.default_rng(4)
+    m = np.round(rng.normal(size=(900, 8)), 1)
+    m[300:450] = m[7]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(m.tolist())], "id long, embedding array<double>").repartition(4)
+    scored = vectors.score(df, m[0].tolist())
+    unit = m / np.linalg.norm(m, axis=1, keepdims=True)
+    score = np.round(unit @ unit[0], vectors.DIGITS)
+    taken = [min(range(900), key=lambda i: (-score[i], i))]
+    while len(taken) < 20:
+        gain = np.round(0.7 * score - 0.3 * (unit @ unit[taken].T).max(axis=1), vectors.DIGITS)
+        taken.append(min((i for i in range(900) if i not in taken), key=lambda i: (-gain[i], -score[i], i)))
+    calls, scan = [], vectors._head
+    monkeypatch.setattr(vectors, "_head", lambda *a: calls.append(1) or scan(*a))
+    for ahead, most in ((vectors.AHEAD, 2), (300, 3), (5, 20)):
+        calls.clear()
+        got = vectors.diverse(scored, 20, ahead=ahead).orderBy("pick").collect()
+        assert [r["id"] for r in got] == taken and len(calls) <= most
+
+
 def test_peaks(cloud):
     m, df = cloud
     got = {r["id"]: r for r in vectors.peaks(vectors.score(df, list(m[0])), pool=60).collect()}

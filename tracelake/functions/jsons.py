@@ -51,15 +51,6 @@ def quoted(c: Column | str) -> Column:
     return F.when(col(c).isNull(), F.lit("null")).otherwise(F.regexp_extract(body, r"(?s)^.{5}(.*).$", 1))
 
 
-def rows_as_json(cols: list[str], order: list[str]) -> Column:
-    """Aggregate: rows of the group as a JSON array of objects, nulls kept, in the given order.
-
-    Only for reports whose row count is limited before (top-k or one day's list).
-    """
-    body = F.array_sort(F.collect_list(F.struct(*order, F.struct(*cols).alias("__row"))))
-    return F.to_json(F.transform(body, lambda r: r["__row"]), {"ignoreNullFields": "false"})
-
-
 def list_text(items: Column) -> Column:
     """Array of strings as JSON text with a space after each comma."""
     return F.concat(F.lit("["), F.array_join(F.transform(items, quoted), ", "), F.lit("]"))

@@ -177,7 +177,7 @@ def article_cell(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     heads = article_heads(spark, sf)
     rows = stored("articles", spark, sf, lambda: feeds.chunk_rows(
         heads, article_comments(spark, sf), articles.PREFIX, articles.KIND, "article"))
-    cell = feeds.tables(rows)
+    cell = {"rows": rows, **feeds.tables(rows)}
     cell["sources"] = feeds.sources(heads, articles.PREFIX)
     cell["graph"] = _graph(cell["sources"], F.regexp_extract("source_id", "([0-9]+)$", 1))
     return cell
@@ -187,7 +187,7 @@ def story_cell(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     heads = story_heads(spark, sf)
     rows = stored("stories", spark, sf, lambda: feeds.chunk_rows(
         heads, story_comments(spark, sf), stories.PREFIX, stories.KIND, "story"))
-    cell = feeds.tables(rows)
+    cell = {"rows": rows, **feeds.tables(rows)}
     cell["sources"] = feeds.sources(heads, stories.PREFIX)
     cell["graph"] = _graph(cell["sources"], F.regexp_extract("source_id", "([0-9]+)$", 1))
     return cell

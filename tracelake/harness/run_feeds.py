@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tracelake.functions.html import strip_html
 from tracelake.harness import feeds as H
 from tracelake.harness.events import table
-from tracelake.plans import presets, views
+from tracelake.plans import late, presets, views
 from tracelake.sources import feeds, stories
 
 CURSOR = 1705000000
@@ -36,11 +36,11 @@ def _thread_rows(spark, sf):
 
 
 def _article(report):
-    return lambda spark, sf: report(_article_chunks(spark, sf))
+    return lambda spark, sf: report(H.article_cell(spark, sf))
 
 
 def _story(report):
-    return lambda spark, sf: report(_story_chunks(spark, sf))
+    return lambda spark, sf: report(H.story_cell(spark, sf))
 
 
 def queries() -> dict:
@@ -65,21 +65,21 @@ def queries() -> dict:
         "view_article_chunks": _article_chunks,
         "view_story_chunks": _story_chunks,
         "view_threads": lambda spark, sf: views.threads(H.story_cell(spark, sf)),
-        "recent_stories": _story(lambda c: presets.story_recent(c, H.AS_OF, days=7)),
-        "recent_articles": _article(presets.article_recent),
-        "top_stories": _story(lambda c: presets.top(c, H.AS_OF)),
-        "tagged_stories": _story(lambda c: presets.tagged(c, "rust", H.AS_OF)),
-        "articles_by_tag": _article(lambda c: presets.by_tag(c, "SRC1")),
-        "article_tag_counts": _article(presets.tag_counts),
-        "article_tag_counts_inner": _article(presets.tag_counts_inner),
-        "articles_by_me": lambda spark, sf: presets.mine(_article_chunks(spark, sf), H.meta(spark), H.AS_OF, days=20),
+        "recent_stories": _story(lambda c: late.story_recent(c, H.AS_OF, days=7)),
+        "recent_articles": _article(late.article_recent),
+        "top_stories": _story(lambda c: late.top(c, H.AS_OF)),
+        "tagged_stories": _story(lambda c: late.tagged(c, "rust", H.AS_OF)),
+        "articles_by_tag": _article(lambda c: late.by_tag(c, "SRC1")),
+        "article_tag_counts": _article(late.tag_counts),
+        "article_tag_counts_inner": _article(late.tag_counts_inner),
+        "articles_by_me": lambda spark, sf: late.mine(H.article_cell(spark, sf), H.meta(spark), H.AS_OF, days=20),
         "cell_shape": lambda spark, sf: presets.shape(H.article_cell(spark, sf)),
-        "random_sample": _article(presets.random_sample),
-        "latest_sample": _article(presets.latest_sample),
-        "top_articles_for_tag": _article(lambda c: presets.top_articles_for_tag(c, "src2")),
-        "top_threads": lambda spark, sf: presets.top_threads(views.threads(H.story_cell(spark, sf))),
-        "top_threads_for_tag": lambda spark, sf: presets.top_threads(views.threads(H.story_cell(spark, sf)), tag="db"),
-        "comment_thread": _article(lambda c: presets.comment_thread(c, "devto_3")),
-        "story_comment_thread": _story(lambda c: presets.comment_thread(c, "lob_c3")),
+        "random_sample": _article(late.random_sample),
+        "latest_sample": _article(late.latest_sample),
+        "top_articles_for_tag": _article(lambda c: late.top_articles_for_tag(c, "src2")),
+        "top_threads": _story(late.top_threads),
+        "top_threads_for_tag": _story(lambda c: late.top_threads(c, tag="db")),
+        "comment_thread": _article(lambda c: late.comment_thread(c, views.article_chunks, "devto_3")),
+        "story_comment_thread": _story(lambda c: late.comment_thread(c, views.story_chunks, "lob_c3")),
         "page_text": lambda spark, sf: table(spark, sf, "pages").select("page_id", strip_html("html").alias("text")),
     }

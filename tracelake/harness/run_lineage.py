@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import functions as F
 
 from tracelake.harness import events as E
 from tracelake.harness import feeds as H
+from tracelake.harness.transcripts import landing
 from tracelake.operators import sinks
 from tracelake.plans import lineage
 from tracelake.streaming import incremental
@@ -64,6 +67,19 @@ def _first(spark, sf):
     return pick_first(_labelled(spark, sf), ["key"], ["doc_id"])
 
 
+def _table(spark, sf, name, rows):
+    """The rows as a keyed table of a few buckets, its folder and its schema."""
+    base = f"{landing(spark, sf, name)}-{uuid4().hex}"
+    sinks.write_buckets(rows, base, ["key"], 16)
+    return base, rows.schema
+
+
+def _replaced(spark, sf):
+    base, schema = _table(spark, sf, "replaced", _first(spark, sf))
+    sinks.upsert_replace(_texts(spark, sf), base, schema, ["key"], ["doc_id"], 16)
+    return sinks.read_buckets(spark, base, schema)
+
+
 def _coalesced(spark, sf):
     target = _first(spark, sf).select(
         "key", "doc_id", F.when(F.col("n_chars") % 2 == 0, F.col("lang")).alias("lang"),
@@ -73,7 +89,9 @@ def _coalesced(spark, sf):
     updates = pick_last(_texts(spark, sf), ["key"], ["doc_id"]).select(
         "key", F.concat(F.lit("new-"), "lang").alias("lang"),
         F.when(F.col("n_chars") % 5 != 0, F.concat(F.lit("new-"), "source")).alias("source"))
-    return sinks.coalesce_update(target, updates, ["key"], old_wins=("lang",), new_wins=("source",))
+    base, schema = _table(spark, sf, "coalesced", target)
+    sinks.upsert_coalesce(updates, base, schema, ["key"], old_wins=("lang",), new_wins=("source",), buckets=16)
+    return sinks.read_buckets(spark, base, schema)
 
 
 def _audit(spark, sf):
@@ -131,7 +149,7 @@ def queries() -> dict:
         "co_touched_files": lambda spark, sf: lineage.co_touched(E.messages(spark, sf), _edited(spark, sf)),
         "assignment_summary": lambda spark, sf: lineage.assignment_summary(E.sessions(spark, sf), _lanes(spark, sf)),
         "ingest_keep_first": lambda spark, sf: sinks.keep_first(_first(spark, sf), _texts(spark, sf), ["key"], ["doc_id"]),
-        "ingest_replace": lambda spark, sf: sinks.replace(_first(spark, sf), _texts(spark, sf), ["key"], ["doc_id"]),
+        "ingest_replace": _replaced,
         "ingest_coalesce": _coalesced,
         "ingest_audit": _audit,
         "refresh_from_cursor": _refresh,

@@ -26,3 +26,8 @@ def _pick(df: DataFrame, keys: list[str], order: list[str], chooser) -> DataFram
         return df.select(*keys).distinct()
     picked = df.groupBy(*keys).agg(chooser(F.struct(*rest), F.struct(*order)).alias("__row"))
     return picked.select(*[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in df.columns])
+
+
+def top_rows(df: DataFrame, order: list[Column], k: int) -> DataFrame:
+    """First k rows of all; each task keeps k."""
+    return df.orderBy(*order).limit(k)

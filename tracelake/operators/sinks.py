@@ -1,14 +1,14 @@
 """Idempotent merges of a batch into a table, and the content-addressed store.
 
-Each function returns DataFrames.  Append-only tables (keep-first, high-water)
-are stored as one directory per batch, so a batch writes only its own rows and a
-replayed batch replaces itself.  Tables whose rows change are stored as whole
-versions, read by the newest complete one.
+The merges return DataFrames.  Append-only tables (keep-first, high-water) are
+stored as one directory per batch, so a batch writes only its own rows and a
+replayed batch replaces itself.  Tables whose rows change are stored in buckets
+by a hash of the key; a batch reads and rewrites the buckets of its keys alone.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tracelake.operators.ranking import pick_first, pick_last
 
@@ -48,6 +48,54 @@ def coalesce_update(
     return joined.select(*[merged(c) for c in target.columns])
 
 
+BUCKET = "bucket"
+BUCKETS = 256
+
+
+def _bucketed(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int"))
+
+
+def write_buckets(df: DataFrame, base: str, keys: list[str], buckets: int = BUCKETS) -> None:
+    """Write a keyed table anew. The number of buckets is the table's for good: about its size by a few GB."""
+    _bucketed(df, keys, buckets).repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(base)
+
+
+def read_buckets(spark: SparkSession, base: str, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])).parquet(base).drop(BUCKET)
+
+
+def _merge_buckets(batch: DataFrame, base: str, schema: T.StructType, keys: list[str], buckets: int, merge) -> None:
+    """Rewrite the buckets that the batch's keys fall into; the files of the others stay as they are.
+
+    Buckets are staged and moved into place one by one, so a batch that failed
+    half way is run again: a merge gives the same rows over what it wrote.
+    """
+    spark = batch.sparkSession
+    batch = _bucketed(batch, keys, buckets)
+    touched = [r[0] for r in batch.select(BUCKET).distinct().collect()]  # at most `buckets` numbers
+    if not touched:
+        return
+    whole = spark.read.schema(T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])).parquet(base)
+    target = whole.where(F.col(BUCKET).isin(touched))
+    merged = merge(target.drop(BUCKET), batch.drop(BUCKET))
+    rows = _bucketed(merged, keys, buckets).repartition(BUCKET)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(base)
+
+
+def upsert_replace(batch: DataFrame, base: str, schema: T.StructType, keys: list[str], order: list[str], buckets: int = BUCKETS) -> None:
+    """replace() on a table written by write_buckets."""
+    _merge_buckets(batch, base, schema, keys, buckets, lambda target, rows: replace(target, rows, keys, order))
+
+
+def upsert_coalesce(
+    updates: DataFrame, base: str, schema: T.StructType, keys: list[str], old_wins: tuple[str, ...] = (), new_wins: tuple[str, ...] = (),
+    buckets: int = BUCKETS,
+) -> None:
+    """coalesce_update() on a table written by write_buckets."""
+    _merge_buckets(updates, base, schema, keys, buckets, lambda target, rows: coalesce_update(target, rows, keys, old_wins, new_wins))
+
+
 def flag_batch(
     target: DataFrame, batch: DataFrame, keys: list[str], order: list[str], valid: Column
 ) -> DataFrame:
@@ -108,32 +156,3 @@ def read_batches(spark: SparkSession, base: str, schema: str, before: int | None
         return spark.createDataFrame([], schema)
     df = spark.read.schema(f"{schema}, batch long").parquet(base)
     return (df if before is None else df.filter(F.col("batch") < before)).drop("batch")
-
-
-def _versions(spark: SparkSession, base: str) -> list[int]:
-    jvm, root, fs = _folder(spark, base)
-    if not fs.exists(root):
-        return []
-    found = []
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        done = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-        if name.startswith("v") and name[1:].isdigit() and fs.exists(done):
-            found.append(int(name[1:]))
-    return sorted(found)
-
-
-def read_current(spark: SparkSession, base: str, schema: str) -> DataFrame:
-    """Newest complete version of a table; empty when there is none yet."""
-    versions = _versions(spark, base)
-    if not versions:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{base}/v{versions[-1]:06d}")
-
-
-def write_version(df: DataFrame, base: str) -> str:
-    """Write the table as the next version directory and return its path."""
-    versions = _versions(df.sparkSession, base)
-    path = f"{base}/v{(versions[-1] if versions else 0) + 1:06d}"
-    df.write.mode("overwrite").parquet(path)
-    return path

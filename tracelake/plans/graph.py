@@ -73,7 +73,7 @@ def _order(dimensions: int, middle: list[float], bits: int, table: int):
     return F.arrow_udf(place, "struct<cell: long, along: double>")
 
 
-def _nearest(nearest: int, cell: int):
+def _nearest(nearest: int, cell: int, positive: bool):
     """Rows in order, in runs of `cell`: each run is compared with itself and the runs before and after it."""
 
     def best(run: pa.Table, around: list[pa.Table]) -> pa.RecordBatch:
@@ -87,7 +87,7 @@ def _nearest(nearest: int, cell: int):
         k = min(nearest, len(seen))
         top = np.argpartition(-(ranked + 1), k - 1, axis=1)[:, :k]
         row, weight = np.repeat(np.arange(len(run)), k), np.take_along_axis(near, top, axis=1).ravel()
-        keep = (weight > 0) & (top.ravel() != np.repeat(own, k))
+        keep = (top.ravel() != np.repeat(own, k)) & ((weight > 0) | (not positive))
         return pa.RecordBatch.from_arrays([
             run.column("source_id").take(pa.array(row[keep])).combine_chunks(),
             seen.column("source_id").take(pa.array(top.ravel()[keep])).combine_chunks(), pa.array(weight[keep])], ["source_id", "neighbour", "weight"])
@@ -123,8 +123,10 @@ def _nearest(nearest: int, cell: int):
     return run
 
 
-def neighbour_edges(sources: DataFrame, nearest: int = NEAREST, cell: int = CELL, tables: int = TABLES, scratch: Scratch | None = None) -> DataFrame:
-    """source_id, neighbour, weight: up to `nearest` sources of the largest positive cosine."""
+def neighbour_edges(
+    sources: DataFrame, nearest: int = NEAREST, cell: int = CELL, tables: int = TABLES, scratch: Scratch | None = None, positive: bool = True,
+) -> DataFrame:
+    """source_id, neighbour, weight: up to `nearest` sources of the largest positive cosine, or of any."""
     scratch = scratch or Scratch(sources.sparkSession)
     units = scratch.write("units", unit_vectors(sources))
     n = units.count()
@@ -138,7 +140,7 @@ def neighbour_edges(sources: DataFrame, nearest: int = NEAREST, cell: int = CELL
     for table in range(tables if bits else 1):  # without a bit, all orders compare all
         placed = units.withColumn("at", _order(len(middle), middle, bits, table)("embedding"))
         placed = placed.repartitionByRange(max(1, n // (8 * cell)), "at.cell", "at.along", "source_id").sortWithinPartitions("at.cell", "at.along", "source_id")
-        pairs = placed.select("source_id", "embedding").mapInArrow(_nearest(nearest, cell), schema)
+        pairs = placed.select("source_id", "embedding").mapInArrow(_nearest(nearest, cell, positive), schema)
         found = pairs if found is None else found.union(pairs)
     if not bits:
         return found

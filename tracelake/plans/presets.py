@@ -1,4 +1,4 @@
-"""Named reports over the chunks and threads views. Parameters are plain Python values."""
+"""Named reports over the chunks and threads views; late has them over stored cells. Parameters are plain Python values."""
 
 from __future__ import annotations
 
@@ -140,12 +140,3 @@ def comment_thread(chunks: DataFrame, source_id: str) -> DataFrame:
         chunks.filter((F.col("source_id") == source_id) & (F.col("type") == "comment"))
         .orderBy("position").select(*cols, preview("content", 500).alias("body"))
     )
-
-
-def scope_rows(meta: DataFrame) -> DataFrame:
-    """Pull settings, the main keys first."""
-    # Keys of the settings report.
-    keys = ["scope", "tags", "authors", "since_days", "tag_limit", "comment_limit", "include_comments",
-            "last_pull_ts", "last_pull_at"]
-    rank = F.when(F.col("key") == "scope", 0).when(F.col("key") == "tags", 1).when(F.col("key") == "authors", 2)
-    return meta.filter(F.col("key").isin(keys)).orderBy(rank.otherwise(3), "key").select("key", "value")

@@ -9,23 +9,25 @@ relevance) or peaks (hill climbing to the densest neighbour) look at them.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tracelake.functions.text import words
 from tracelake.functions.times import calendar_since, instant
-from tracelake.session import scratch_table
+from tracelake.plans.graph import neighbour_edges
+from tracelake.session import Scratch, scratch_table
 
 DIMENSIONS = 64
 SUPPRESS_SHARE = 0.5
 POOL = 300
 DIVERSE_SHARE = 0.7
 NEIGHBOURS = 5
+#: Rows from which the greedy choice goes on without a scan.
+AHEAD = 2000
 DIGITS = 9  # a product differs in its last bits with the batch it is made in; rounded, equal texts tie and the id decides
 
 
@@ -112,11 +114,6 @@ def top(scored: DataFrame, limit: int) -> DataFrame:
     return scored.orderBy(F.col("score").desc(), F.col("id").asc()).limit(limit)
 
 
-def _sorted_pool(pdf: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray]:
-    pdf = pdf.sort_values(["score", "id"], ascending=[False, True], ignore_index=True)
-    return pdf, _unit_rows(np.vstack(pdf["embedding"].to_numpy()).astype(np.float64))
-
-
 def _nearest(c: str, picked: np.ndarray) -> Column:
     """Largest cosine of a vector column with the vectors picked so far, a batch at a time."""
     unit = _unit_rows(picked)
@@ -128,64 +125,84 @@ def _nearest(c: str, picked: np.ndarray) -> Column:
     return F.arrow_udf(near, T.DoubleType())(F.col(c))
 
 
-def diverse(scored: DataFrame, limit: int, pool: int | None = None, share: float = DIVERSE_SHARE) -> DataFrame:
+def _vectors(rows: list) -> np.ndarray:
+    return _unit_rows(np.array([r["embedding"] for r in rows], dtype=np.float64))
+
+
+def _head(rows: DataFrame, picks: list, share: float, limit: int) -> list:
+    """The rows of the largest gain after these picks, in order, from one scan."""
+    gain = F.col("score")
+    if picks:
+        rows = rows.filter(~F.col("id").isin([p["id"] for p in picks]))
+        near = _nearest("embedding", np.array([p["embedding"] for p in picks], dtype=np.float64))
+        gain = F.round(share * F.col("score") - (1 - share) * near, DIGITS)
+    return rows.withColumn("gain", gain).orderBy(F.col("gain").desc(), F.col("score").desc(), F.col("id").asc()).limit(limit).collect()
+
+
+def diverse(scored: DataFrame, limit: int, pool: int | None = None, share: float = DIVERSE_SHARE, ahead: int = AHEAD) -> DataFrame:
     """Spread results: greedy maximal marginal relevance over all scored rows, or over the best `pool` where the caller names one.
 
-    Each of the `limit` rounds scores every row against the picks so far, in
-    batches, and takes the best; only the picks come to the driver.
+    A pick can only lower the gain of other rows. So one scan finds the first
+    pick, a second one the `ahead` rows of the largest gain after it, and from
+    these the greedy choice goes on, with their nearest cosine carried along,
+    for as long as its pick is not below the last of them; every row left out
+    is. Then, if picks are missing, another scan takes all picks into account.
+    The picks are those of one scan per pick; at most `ahead` rows come to the
+    driver at a time.
     """
     rows = scored.select("id", "score", "embedding").filter(F.col("embedding").isNotNull())
-    rows = scratch_table(rows if pool is None else top(rows, pool))
-    picks: list = []
-    while len(picks) < limit:
-        left, gain = rows, F.col("score")
-        if picks:
-            left = rows.filter(~F.col("id").isin([p["id"] for p in picks]))
-            near = _nearest("embedding", np.array([p["embedding"] for p in picks], dtype=np.float64))
-            gain = F.round(share * F.col("score") - (1 - share) * near, DIGITS)
-        best = left.withColumn("__gain", gain).orderBy(F.col("__gain").desc(), F.col("score").desc(), F.col("id").asc()).limit(1).collect()
-        if not best:
+    if pool is not None:
+        rows = scratch_table(top(rows, pool))
+    picks: list = _head(rows, [], share, 1) if limit > 0 else []
+    while picks and len(picks) < limit:
+        head = _head(rows, picks, share, ahead)
+        if not head:
             break
-        picks += best
+        unit = _vectors(head)
+        near = (unit @ _vectors(picks).T).max(axis=1)
+        score, left = np.array([r["score"] for r in head]), list(range(len(head)))
+        last = len(head) - 1
+        floor = (head[last]["gain"], score[last]) if len(head) == ahead else (-np.inf, -np.inf)
+        while left and len(picks) < limit:
+            gain = np.round(share * score - (1 - share) * near, DIGITS)
+            most = max((gain[i], score[i]) for i in left)
+            best = min((i for i in left if (gain[i], score[i]) == most), key=lambda i: head[i]["id"])
+            at = (gain[best], score[best])
+            if at < floor or at == floor and head[best]["id"] > head[last]["id"]:
+                break
+            picks.append(head[best])
+            left.remove(best)
+            near = np.maximum(near, unit @ unit[best])
     schema = T.StructType([rows.schema["id"], T.StructField("pick", T.IntegerType()), T.StructField("score", T.DoubleType())])
     return rows.sparkSession.createDataFrame([(p["id"], i, p["score"]) for i, p in enumerate(picks, start=1)], schema)
 
 
-def _climb(neighbours: int):
-    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts = [b for b in batches if len(b)]
-        if not parts:
-            return
-        pdf, unit = _sorted_pool(pd.concat(parts))
-        sim = np.round(unit @ unit.T, DIGITS)
-        np.fill_diagonal(sim, -np.inf)
-        k = min(neighbours, len(pdf) - 1)
-        if k < 1:
-            yield pd.DataFrame({"id": pdf["id"], "_cluster_id": [1], "_is_attractor": [1], "score": pdf["score"]})
-            return
-        nearest = np.argsort(-sim, axis=1, kind="stable")[:, :k]
-        density = np.round(np.take_along_axis(sim, nearest, axis=1).mean(axis=1), DIGITS)
-        rank = np.lexsort((np.arange(len(pdf)), -density)).argsort()  # 0 is the densest, ties by pool order
-        parent = np.array([min([i, *nearest[i]], key=lambda j: rank[j]) for i in range(len(pdf))])
-        while (parent[parent] != parent).any():
-            parent = parent[parent]
-        order = {a: n for n, a in enumerate(sorted(set(parent), key=lambda j: rank[j]), start=1)}
-        yield pd.DataFrame({
-            "id": pdf["id"], "_cluster_id": [order[p] for p in parent],
-            "_is_attractor": (parent == np.arange(len(pdf))).astype(int), "score": pdf["score"],
-        })
-
-    return find
-
-
 def peaks(scored: DataFrame, pool: int = POOL, neighbours: int = NEIGHBOURS) -> DataFrame:
-    """Cluster the best `pool` rows: each climbs to its densest neighbour; the summits are attractors."""
-    best = top(scored, pool).select("id", "score", "embedding").coalesce(1)
-    schema = T.StructType([
-        best.schema["id"], T.StructField("_cluster_id", T.IntegerType()), T.StructField("_is_attractor", T.IntegerType()),
-        T.StructField("score", T.DoubleType()),
-    ])
-    return best.mapInPandas(_climb(neighbours), schema)
+    """Cluster the best `pool` rows: each climbs to its densest neighbour; the summits are attractors.
+
+    Neighbours are found in blocks, as for the source graph. A row's density is
+    the mean cosine with its neighbours; rows are ranked by it, then by score
+    and id. Pointer doubling takes every row to its summit.
+    """
+    scratch = Scratch(scored.sparkSession)
+    best = scratch.write("pool", top(scored, pool).select("id", "score", "embedding"))
+    edges = scratch.write("edges", neighbour_edges(best.select(F.col("id").alias("source_id"), "embedding"), neighbours, scratch=scratch, positive=False))
+    density = edges.groupBy(F.col("source_id").alias("id")).agg(F.round(F.avg("weight"), DIGITS).alias("density"))
+    # A large rank is the denser row; of equals the one of the better score, then the smaller id.
+    order = Window.orderBy(F.col("density").desc_nulls_last(), F.col("score").desc(), F.col("id").asc())
+    ranked = scratch.write("ranked", best.select("id", "score").join(density, "id", "left").withColumn("rank", F.row_number().over(order).cast("long")))
+    there = ranked.select(F.col("id").alias("neighbour"), F.col("rank").alias("near"))
+    upward = edges.join(there, "neighbour").groupBy(F.col("source_id").alias("id")).agg(F.min("near").alias("near"))
+    at = ranked.join(upward, "id", "left").select("id", "score", "rank", F.least("rank", F.coalesce("near", "rank")).alias("top"))
+    number = 0
+    while True:
+        at = scratch.write(f"climb-{number}", at)
+        onward = at.select(F.col("rank").alias("top"), F.col("top").alias("next"))
+        if at.join(onward, "top").where("next <> top").isEmpty():
+            break
+        at, number = at.join(onward, "top").select("id", "score", "rank", F.col("next").alias("top")), number + 1
+    summits = at.where("rank = top").select("top", F.row_number().over(Window.orderBy("top")).alias("_cluster_id"))
+    return at.join(summits, "top").select("id", "_cluster_id", F.when(F.col("rank") == F.col("top"), 1).otherwise(0).alias("_is_attractor"), "score")
 
 
 def hybrid(keyword_hits: DataFrame, vectors: DataFrame, query: Sequence[float], limit: int = 10, **modifiers) -> DataFrame:
