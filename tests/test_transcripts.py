@@ -28,6 +28,9 @@ TEXT = (
 )
 
 
+HEAD_ONLY = "# aider chat started at 2024-01-01 10:00:00"
+
+
 def write(folder, name, data: bytes):
     folder.mkdir(parents=True, exist_ok=True)
     (folder / name).write_bytes(data)
@@ -75,6 +78,39 @@ def test_scan_blocks_and_sessions(spark, tmp_path):
     assert one["source_id"] == "aider:" + hashlib.sha1(stable.encode()).hexdigest()[:24]
 
 
+def test_lines_read_by_byte_range(spark, tmp_path, monkeypatch):
+    """Files cut into ranges of a few bytes, and rows into slices of a few lines, give the lines of whole files."""
+    texts = [TEXT, TEXT + "\n", "", "\n", HEAD_ONLY, "é\r# aider chat started at x\r\n> a\u2028> b\x0cc\rd\n\n> e\r" * 9, TEXT.replace("\n", "\r\n") * 3]
+    for k, text in enumerate(texts):
+        write(tmp_path / f"d{k % 2}", f"aider.{k}.chat.md", text.encode() + (b"\xff\xfe bad" if k == 6 else b""))
+    files = chat.read_transcripts(spark, str(tmp_path))
+    rows = lambda df: sorted(map(tuple, df.select("path", "line_no", "raw", "role", "prev_role", "session_index", "island").collect()), key=str)
+    want = rows(chat.lines(files))
+    assert len({r[0] for r in want}) == 5
+    sessions = sorted(map(str, chat.sessions(files, chat.blocks(chat.lines(files))).collect()))
+    monkeypatch.setattr(chat, "SLICE_LINES", 4)
+    assert rows(chat.lines(files)) == want
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in (17, 100, 1 << 20):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", 1)
+            read = chat.read_lines(spark, str(tmp_path))
+            assert rows(read) == want
+        assert sorted(map(str, chat.sessions(read, chat.blocks(read)).collect())) == sessions
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+
+
+def test_no_task_needs_a_whole_file(spark, tmp_path):
+    write(tmp_path, "aider.a.chat.md", TEXT.encode())
+    files = chat.read_transcripts(spark, str(tmp_path))
+    for df in (chat.blocks(chat.lines(files)), chat.blocks(chat.read_lines(spark, str(tmp_path))), logs.input_history(files), logs.model_log(files)):
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert "windowspecdefinition(path" not in text and "__slice" in text
+
+
 def test_lines_tile_the_session(spark, tmp_path):
     write(tmp_path, "aider.chat.md", TEXT.encode())
     rows, blocks, sessions = parsed(spark, chat.read_transcripts(spark, str(tmp_path)))

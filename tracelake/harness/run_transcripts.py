@@ -52,6 +52,12 @@ def _scanned(spark, sf):
     return files.select(H.logical(F.col("path")).alias("path"), F.octet_length("text").cast("long").alias("n_bytes"), F.md5("text").alias("digest"))
 
 
+def _line_scan(spark, sf):
+    """Lines of the files as they are read by byte range."""
+    rows = chat.read_lines(spark, H.landed(spark, sf))
+    return rows.select(H.logical(F.col("path")).alias("path"), "session_index", "line_no", "role", "raw")
+
+
 def _signature(spark, sf):
     listed = incremental.file_listing(spark, H.landed(spark, sf), arrivals.PATTERN)
     return incremental.directory_signature(listed)
@@ -65,6 +71,7 @@ def _streamed(spark, sf):
 def queries() -> dict:
     return {
         "transcript_scan": _scanned,
+        "transcript_line_scan": _line_scan,
         "transcript_signature": _signature,
         "transcript_stream": _streamed,
         "transcript_lines": lambda spark, sf: chat.lines(H.files(spark, sf)).select(

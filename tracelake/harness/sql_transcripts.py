@@ -181,6 +181,7 @@ HIGH_WATER += """SELECT chunk_id, chunk_number, content, type FROM chk LEFT JOIN
 def all_sql() -> dict[str, str]:
     out = {name: f"WITH {BASE.strip()}\n{body}" for name, body in QUERIES.items()}
     out["transcript_high_water"] = "WITH " + HIGH_WATER
+    out["transcript_line_scan"] = out["transcript_lines"]
     out["transcript_stream"] = "WITH " + STREAM
     out["transcript_scan"] = f"{FILES}SELECT path, strlen(text) AS n_bytes, md5(text) AS digest FROM f"
     out["transcript_signature"] = f"{FILES}SELECT CAST(sum(strlen(text)) AS BIGINT) AS total_size, count(*) AS file_count FROM f"

@@ -97,6 +97,11 @@ def sliced(df: DataFrame, keys: list[str], order: list[str], target: int = TARGE
     return rows.join(cuts, _KEY, "left").withColumn(_SLICE, F.when(F.col("__cuts").isNull(), 0).otherwise(begun).cast("long")).select(*rows.columns, _SLICE)
 
 
+def in_slices(df: DataFrame, keys: list[str], number: Column) -> DataFrame:
+    """Rows whose slice is known beforehand: a number that does not fall along the key's order."""
+    return df.withColumn(_KEY, F.struct(*keys)).withColumn(_SLICE, number.cast("long"))
+
+
 def whole(df: DataFrame) -> DataFrame:
     """The rows without what sliced() added."""
     return df.drop(*_BY)

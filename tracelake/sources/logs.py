@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tracelake.functions.text import LINE_ENDS, SPACE, group, is_blank, rstrip, strip
-from tracelake.sources.markdown_chat import split_lines
+from tracelake.operators import sequences
+from tracelake.sources.markdown_chat import SLICE_LINES, split_lines
 
 # Marks of the input history and the model log.
 ENTRY_MARK = "# "
@@ -24,9 +25,9 @@ def numbered_lines(files: DataFrame) -> DataFrame:
 
 
 def _islands(rows: DataFrame, starts: Column) -> DataFrame:
-    """Number the runs that begin at `starts`; a file is one row of at most 2 GiB, which bounds the window."""
-    so_far = Window.partitionBy("path").orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return rows.withColumn("island", F.sum(starts.cast("long")).over(so_far))
+    """Number the runs that begin at `starts`, counted in slices of a file."""
+    sliced = sequences.in_slices(rows.withColumn("__starts", starts), ["path"], F.floor(F.col("line_no") / SLICE_LINES))
+    return sequences.whole(sequences.running(sliced, ["line_no"], island=("sum", F.col("__starts").cast("long")))).drop("__starts")
 
 
 def _joined(lines: str) -> Column:

@@ -1,12 +1,17 @@
 """Markdown chat transcripts: files to lines, sessions, blocks and canonical rows.
 
-A file is one row until its lines are exploded, and a row holds at most 2 GiB, so
-the windows per file below are bounded by that; the files spread over the tasks.
+Files come in as one row each, of at most 2 GiB, or as lines read by byte range,
+whatever their size. Session and block of a line follow from counts of headers
+and of role changes before it. They are counted within slices of a file (runs of
+lines, or byte ranges), and sums over the slices are carried across: no task
+needs a whole file.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from tracelake.operators import sequences
 
 from tracelake.functions.text import LINE_END, LINE_ENDS, SPACE, col, group, is_blank, nonempty, rstrip, strip
 from tracelake.functions.times import stamp_epoch
@@ -20,6 +25,8 @@ HEADER_MARK = "# aider chat started at "
 SESSION_HEADER = rf"(?d)^# aider chat started at (.+?){SPACE}*$"
 USER_MARK = "#### "
 TOOL_MARK = "> "
+#: Lines of a slice, where a file is one row.
+SLICE_LINES = 100_000
 
 
 def read_transcripts(
@@ -79,14 +86,39 @@ def lines(files: DataFrame) -> DataFrame:
     flat = listed.select("path", F.posexplode(rows).alias("pos", "r")).select(
         "path", (F.col("pos") + 1).cast("long").alias("line_no"), "r.raw", "r.role", "r.prev_role"
     )
+    return _placed(sequences.in_slices(flat, ["path"], F.floor(F.col("line_no") / SLICE_LINES)))
+
+
+def _placed(sliced: DataFrame) -> DataFrame:
+    """Lines with the session and the run of one role that they belong to."""
     header = F.col("role") == "system"
     starts = header | (F.col("role") == "tool") | ~F.col("role").eqNullSafe(F.col("prev_role"))
-    so_far = Window.partitionBy("path").orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        flat.withColumn("session_index", F.sum(header.cast("long")).over(so_far) - 1)
-        .withColumn("island", F.sum(starts.cast("long")).over(so_far))
-        .filter(F.col("session_index") >= 0)
+    counted = sequences.running(
+        sliced, ["line_no"], session_index=("sum", header.cast("long")), island=("sum", starts.cast("long")))
+    placed = sequences.whole(counted).withColumn("session_index", F.col("session_index") - 1)
+    return placed.select("path", "line_no", "raw", "role", "prev_role", "session_index", "island").filter(F.col("session_index") >= 0)
+
+
+def read_lines(spark: SparkSession, folder: str, pattern: str = "aider*.chat*.md") -> DataFrame:
+    """The lines of all files below a folder, as lines() gives them, read by byte range: a file may have any size.
+
+    A range holds the lines that begin in it. Their numbers come from the sums of
+    the ranges before; whether a file's last line is ended, from its size.
+    """
+    at = F.col("_metadata")
+    given = (
+        spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).option("lineSep", "\n").text(folder)
+        .select(at["file_path"].alias("path"), at["file_block_start"].alias("range"), at["file_size"].alias("size"), "value",
+                F.monotonically_increasing_id().alias("at"))
     )
+    # The order within a range is that of the ids its task gave.
+    ranges = sequences.in_slices(given, ["path"], F.col("range"))
+    summed = sequences.running(ranges, ["at"], ended=("sum", F.octet_length("value").cast("long") + 1))
+    text = F.concat(F.make_valid_utf8("value"), F.when(F.col("ended") <= F.col("size"), F.lit("\n")).otherwise(""))
+    parts = summed.select(*summed.columns, F.posexplode(split_lines(text)).alias("part", "raw")).withColumn("role", _role(F.col("raw")))
+    numbered = sequences.running(parts, ["at", "part"], line_no=("sum", F.lit(1).cast("long")))
+    before = sequences.previous(numbered, ["line_no"], {"prev_role": "role"})
+    return _placed(before)
 
 
 def _piece(role: Column, raw: Column) -> Column:
@@ -114,8 +146,9 @@ def blocks(file_lines: DataFrame) -> DataFrame:
         .filter(F.col("role").isin("system", "tool") | ~is_blank("content"))
         .drop("__lines", "island")
     )
-    in_session = Window.partitionBy("path", "session_index").orderBy("start_line")
-    placed = kept.withColumn("block_no", F.row_number().over(in_session).cast("long"))
+    # A session has no more blocks than runs; those are known without the texts.
+    runs = file_lines.groupBy("path", "session_index", "island").agg(F.min("line_no").alias("start_line"))
+    placed = sequences.numbered(kept, ["path", "session_index"], ["start_line"], "block_no", sizes=runs)
     return evaluate_once(placed, __e=classify("role", "content")).select(
         "path", "session_index", "block_no", "role", "content", "raw", "start_line", "end_line",
         F.col("__e.kind").alias("event_kind"), F.col("__e.event").alias("event"),
@@ -133,7 +166,9 @@ def source_id(path: Column, index: Column, started_at: Column) -> Column:
 
 
 def extents(files: DataFrame) -> DataFrame:
-    """path, session_index, start_line, end_line, found inside the row of the file: nothing is shuffled."""
+    """path, session_index, start_line, end_line, found inside the row of the file, where it is one; else from its lines."""
+    if "line_no" in files.columns:
+        return files.groupBy("path", "session_index").agg(F.min("line_no").alias("start_line"), F.max("line_no").alias("end_line"))
     listed = files.select("path", split_lines("text").alias("__lines")).filter(F.size("__lines") > 0)
     starts = F.filter(
         F.transform("__lines", lambda x, i: F.when(_is_header(x), i + 1)), lambda n: n.isNotNull()
@@ -148,7 +183,7 @@ def extents(files: DataFrame) -> DataFrame:
 
 
 def sessions(files: DataFrame, block_rows: DataFrame) -> DataFrame:
-    """One row per session with its line range, metadata, title and stable id."""
+    """One row per session with its line range, metadata, title and stable id. files: rows of files, or their lines."""
     extent = extents(files)
 
     def pick(kind: str, field: str, chooser) -> Column:
