@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tracelake.operators.ranking import pick_last
 from tracelake.operators.sinks import read_batches, write_batch
+from tracelake.session import Scratch
 from tracelake.sources import markdown_chat as chat
 from tracelake.streaming.incremental import above_high_water, directory_signature, file_listing
 
@@ -64,8 +65,9 @@ def ingest_files(spark: SparkSession, files: DataFrame, table: str, batch_id: in
     The marks (highest number per source) are a small table of their own, so the
     stored chunks are not read again.  A replayed batch replaces its own rows.
     """
-    newest = _logical(files, rename)
-    blocks = chat.blocks(chat.lines(newest))
+    scratch = Scratch(spark)
+    newest = scratch.write("files", _logical(files, rename))  # read once, however many plans need them
+    blocks = scratch.write("blocks", chat.blocks(chat.lines(newest)))
     sessions = chat.sessions(newest, blocks).join(newest.select("path", "modified"), "path")
     # A header without a readable time falls back to the file's own time.
     chunks = chat.chunk_rows(sessions, blocks, F.col("modified")).select(*_COLUMNS)
@@ -73,6 +75,8 @@ def ingest_files(spark: SparkSession, files: DataFrame, table: str, batch_id: in
     write_batch(above_high_water(marks, chunks), f"{table}/chunks", batch_id)
     written = spark.read.schema(CHUNKS).parquet(f"{table}/chunks/batch={batch_id}")
     write_batch(written.groupBy("source_id").agg(F.max("chunk_number").alias("chunk_number")), f"{table}/marks", batch_id)
+    for name in ("files", "blocks"):
+        scratch.drop(name)
 
 
 def stored_chunks(spark: SparkSession, table: str) -> DataFrame:
