@@ -11,7 +11,8 @@ rows is divided into CELLS of equal width between its least and largest value
 of the first order column in which its rows differ, and so on; a second into
 which most rows fall is thus divided further, down to the tie columns. Running
 sums over the cells of a key then place the cuts. Rows that are equal in all
-order columns (strings: in their first 48 bytes) stay together.
+order columns (strings: in their first 48 bytes) stay together. Where no key is
+cut there is nothing to carry, and the plain window is what is left.
 
 A null order value comes first; rows with a null key are one group.
 """
@@ -23,7 +24,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from tracelake.session import Scratch
 
 _KEY, _SLICE = "__key", "__slice"
-_BY = [_KEY, _SLICE]
 TARGET = 2_000_000
 CELLS = 512
 #: A string is ordered by so many numbers of so many bytes each.
@@ -54,8 +54,13 @@ def _digits(df: DataFrame, order: list[str]) -> list[Column]:
 def cut_points(df: DataFrame, keys: list[str], order: list[str], target: int) -> DataFrame | None:
     """__key and __cuts, the places at which the slices of a key begin but the first; None if no key is cut."""
     digits = _digits(df, order)
-    rows = df.select(F.struct(*keys).alias(_KEY), F.array(*digits).alias("at"), F.lit("").alias("cell"))
     scratch = Scratch(df.sparkSession)
+    rows = df.select(F.struct(*keys).alias(_KEY), F.array(*digits).alias("at"))
+    sizes = rows.groupBy(_KEY).agg(F.count("*").alias("n")).where(F.col("n") > target)
+    many = scratch.write("keys", sizes.select(_KEY, F.lit("").alias("cell")))  # at most rows / target
+    if many.isEmpty():
+        return None
+    rows = rows.join(many, _KEY)
     leaves, number = None, 0
     while True:
         lows, highs = (F.array(*[f(F.get("at", k)) for k in range(len(digits))]) for f in (F.min, F.max))
@@ -63,9 +68,8 @@ def cut_points(df: DataFrame, keys: list[str], order: list[str], target: int) ->
         cells = scratch.write(f"cells-{number}", counted)
         differ = F.array_position(F.zip_with("lows", "highs", lambda a, b: a < b), F.lit(True)).cast("int")
         large = (F.col("n") > target) & (differ > 0)
-        if number:
-            leaf = cells.where(~large).select(_KEY, "n", F.col("lows").alias("start"))
-            leaves = leaf if leaves is None else leaves.union(leaf)
+        leaf = cells.where(~large).select(_KEY, "n", F.col("lows").alias("start"))
+        leaves = leaf if leaves is None else leaves.union(leaf)
         low, high = F.element_at("lows", differ), F.element_at("highs", differ)
         split = cells.where(large).select(
             _KEY, "cell", (differ - 1).alias("digit"), low.alias("low"), F.greatest(F.lit(1.0), (high - low + 1) / F.lit(float(CELLS))).alias("width"))
@@ -74,8 +78,6 @@ def cut_points(df: DataFrame, keys: list[str], order: list[str], target: int) ->
         inner = F.floor((F.get("at", F.col("digit")) - F.col("low")) / F.col("width")).cast("string")
         rows = rows.join(split, [_KEY, "cell"]).select(_KEY, "at", F.concat_ws(".", "cell", inner).alias("cell"))
         number += 1
-    if leaves is None:
-        return None
     # The least values of a cell, column by column, are not above its first row, and above all rows of the cells before it.
     before = Window.partitionBy(_KEY).orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     placed = leaves.withColumn(_SLICE, F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / target))
@@ -84,15 +86,15 @@ def cut_points(df: DataFrame, keys: list[str], order: list[str], target: int) ->
 
 
 def sliced(df: DataFrame, keys: list[str], order: list[str], target: int = TARGET, sizes: DataFrame | None = None) -> DataFrame:
-    """Add the key as one column and the number of the row's slice along the order.
+    """Add the key as one column and, if any key is cut, the number of the row's slice along the order.
 
     `sizes` may hold the same keys and order columns more cheaply than df, with
     at least as many rows.
     """
     cuts = cut_points(df if sizes is None else sizes, keys, order, target)
     rows = df.withColumn(_KEY, F.struct(*keys))
-    if cuts is None:  # a join with no cuts
-        return rows.withColumn(_SLICE, F.lit(0).cast("long"))
+    if cuts is None:
+        return rows
     begun = F.size(F.filter("__cuts", lambda c: c <= F.array(*_digits(df, order))))
     return rows.join(cuts, _KEY, "left").withColumn(_SLICE, F.when(F.col("__cuts").isNull(), 0).otherwise(begun).cast("long")).select(*rows.columns, _SLICE)
 
@@ -104,19 +106,26 @@ def in_slices(df: DataFrame, keys: list[str], number: Column) -> DataFrame:
 
 def whole(df: DataFrame) -> DataFrame:
     """The rows without what sliced() added."""
-    return df.drop(*_BY)
+    return df.drop(_KEY, _SLICE)
+
+
+def _by(df: DataFrame) -> list[str]:
+    return [c for c in (_KEY, _SLICE) if c in df.columns]
 
 
 def previous(df: DataFrame, order: list[str], values: dict[str, str]) -> DataFrame:
     """Add lag(1) of columns to sliced rows: values maps new name to source column."""
-    local = Window.partitionBy(*_BY).orderBy(*order)
+    by = _by(df)
+    local = Window.partitionBy(*by).orderBy(*order)
+    lagged = df.select("*", *[F.lag(src).over(local).alias(name) for name, src in values.items()])
+    if _SLICE not in by:
+        return lagged
     along = Window.partitionBy(_KEY).orderBy(_SLICE)
-    ends = df.groupBy(*_BY).agg(
+    ends = df.groupBy(*by).agg(
         F.max_by(F.struct(*[F.col(v).alias(n) for n, v in values.items()]), F.struct(*order)).alias("__end")
     )
-    carried = ends.select(*_BY, F.lag("__end").over(along).alias("__carry"))
-    lagged = df.select("*", *[F.lag(src).over(local).alias(name) for name, src in values.items()], (F.row_number().over(local) == 1).alias("__first"))
-    out = lagged.join(carried, _BY, "left")
+    carried = ends.select(*by, F.lag("__end").over(along).alias("__carry"))
+    out = lagged.withColumn("__first", F.row_number().over(local) == 1).join(carried, by, "left")
     for name in values:
         out = out.withColumn(name, F.when(F.col("__first"), F.col(f"__carry.{name}")).otherwise(F.col(name)))
     return out.drop("__first", "__carry")
@@ -125,17 +134,20 @@ def previous(df: DataFrame, order: list[str], values: dict[str, str]) -> DataFra
 def running(df: DataFrame, order: list[str], **aggs: tuple[str, Column]) -> DataFrame:
     """Add running aggregates to sliced rows: name=('sum'|'max', expression)."""
     fns = {"sum": F.sum, "max": F.max}
-    local = Window.partitionBy(*_BY).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    by = _by(df)
+    local = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    if _SLICE not in by:
+        return df.select("*", *[fns[fn](expr).over(local).alias(name) for name, (fn, expr) in aggs.items()])
     before = Window.partitionBy(_KEY).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     staged = df
     for name, (_, expr) in aggs.items():
         staged = staged.withColumn(f"__v_{name}", expr)
-    totals = staged.groupBy(*_BY).agg(*[fns[fn](f"__v_{name}").alias(f"__t_{name}") for name, (fn, _) in aggs.items()])
-    offsets = totals.select(*_BY, *[fns[fn](f"__t_{name}").over(before).alias(f"__o_{name}") for name, (fn, _) in aggs.items()])
+    totals = staged.groupBy(*by).agg(*[fns[fn](f"__v_{name}").alias(f"__t_{name}") for name, (fn, _) in aggs.items()])
+    offsets = totals.select(*by, *[fns[fn](f"__t_{name}").over(before).alias(f"__o_{name}") for name, (fn, _) in aggs.items()])
     out = staged
     for name, (fn, _) in aggs.items():
         out = out.withColumn(name, fns[fn](f"__v_{name}").over(local))
-    out = out.join(offsets, _BY, "left")
+    out = out.join(offsets, by, "left")
     for name, (fn, _) in aggs.items():
         carry = F.col(f"__o_{name}")
         if fn == "sum":
@@ -161,7 +173,9 @@ def gap_sessions(
     With same_day a change of calendar day starts one as well.  One shuffle of
     the rows by (key, slice), one summary row per (key, slice), one join back.
     """
-    local = Window.partitionBy(*_BY).orderBy(ts, *tie)
+    placed = sliced(df, keys, [ts, *tie], target)
+    by = _by(placed)
+    local = Window.partitionBy(*by).orderBy(ts, *tie)
     upto = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     along = Window.partitionBy(_KEY).orderBy(_SLICE)
     before = along.rowsBetween(Window.unboundedPreceding, -1)
@@ -171,14 +185,17 @@ def gap_sessions(
         return cut | (F.to_date(later) != F.to_date(earlier)) if same_day else cut
 
     rows = (
-        sliced(df, keys, [ts, *tie], target).withColumn("__prev", F.lag(ts).over(local))
+        placed.withColumn("__prev", F.lag(ts).over(local))
         .withColumn("__n", F.row_number().over(local).cast("long"))
         .withColumn("__cut", F.coalesce(breaks(F.col("__prev"), F.col(ts)), F.lit(False)))
         .withColumn("__cuts", F.sum(F.col("__cut").cast("long")).over(upto))
         .withColumn("__cut_n", F.max(F.when(F.col("__cut"), F.col("__n"))).over(upto))
     )
+    if _SLICE not in by:
+        since = F.coalesce(F.col("__cut_n"), F.lit(1).cast("long"))
+        return rows.select(*df.columns, (F.col("__cuts") + 1).alias("session_no"), (F.col("__n") - since + 1).alias("position"))
     parts = (
-        rows.groupBy(*_BY)
+        rows.groupBy(*by)
         .agg(
             F.max("__n").alias("rows"), F.min(ts).alias("lo"), F.max(ts).alias("hi"),
             F.max("__cuts").alias("cuts"), F.max("__cut_n").alias("cut_n"),
@@ -189,7 +206,7 @@ def gap_sessions(
             "last_cut", F.col("rows0") + F.coalesce(F.col("cut_n"), F.when(F.col("opens"), F.lit(1).cast("long")))
         )
         .select(
-            *_BY, F.col("opens").alias("__opens"),
+            *by, F.col("opens").alias("__opens"),
             # sessions opened in earlier slices, and rows already in the session that is open here
             F.coalesce(
                 F.sum(F.col("cuts") + F.col("opens").cast("long")).over(before), F.lit(0).cast("long")
@@ -197,7 +214,7 @@ def gap_sessions(
             (F.col("rows0") - F.max("last_cut").over(before) + 1).alias("__open_rows"),
         )
     )
-    out = rows.join(parts, _BY)
+    out = rows.join(parts, by)
     position = (
         F.when(F.col("__cut_n").isNotNull(), F.col("__n") - F.col("__cut_n") + 1)
         .when(F.col("__opens"), F.col("__n"))

@@ -9,7 +9,7 @@ needs a whole file.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tracelake.operators import sequences
 
@@ -72,7 +72,10 @@ def _role(line: Column) -> Column:
 
 
 def lines(files: DataFrame) -> DataFrame:
-    """path, line_no (1-based), raw, role, prev_role, session_index; lines before the first header are dropped."""
+    """path, line_no (1-based), raw, role, prev_role, session_index, island; lines before the first header are dropped.
+
+    A file's lines are cut into slices inside its row, with the headers and runs before each.
+    """
     listed = files.withColumn("__lines", split_lines("text"))
     # The previous role sits in the same array, so finding it needs no window.
     listed = listed.withColumn("__roles", F.transform("__lines", _role))
@@ -83,19 +86,32 @@ def lines(files: DataFrame) -> DataFrame:
             F.when(i > 0, F.get("__roles", i - 1)).alias("prev_role"),
         ),
     )
-    flat = listed.select("path", F.posexplode(rows).alias("pos", "r")).select(
-        "path", (F.col("pos") + 1).cast("long").alias("line_no"), "r.raw", "r.role", "r.prev_role"
-    )
-    return _placed(sequences.in_slices(flat, ["path"], F.floor(F.col("line_no") / SLICE_LINES)))
+    listed = evaluate_once(listed.select("path", "__lines", "__roles"), __rows=rows).select("path", "__rows")
+    first = F.col("__slice") * SLICE_LINES
+    before = F.slice("__rows", F.lit(1), first.cast("int"))
+    cut = listed.select("path", "__rows", F.explode(F.sequence(F.lit(0), F.floor(F.size("__rows") / SLICE_LINES).cast("int"))).alias("__slice")).select(
+        "path", "__slice", F.size(F.filter(before, _is_head)).cast("long").alias("__heads"), F.size(F.filter(before, _starts)).cast("long").alias("__runs"),
+        F.slice("__rows", (first + 1).cast("int"), F.lit(SLICE_LINES)).alias("__rows"))
+    flat = cut.select("path", "__slice", "__heads", "__runs", F.posexplode("__rows").alias("pos", "r")).select(
+        "path", "__slice", (first + F.col("pos") + 1).cast("long").alias("line_no"), "r.raw", "r.role", "r.prev_role", "__heads", "__runs")
+    so_far = Window.partitionBy("path", "__slice").orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    row = F.struct("role", "prev_role")
+    counted = flat.withColumn("session_index", F.sum(_is_head(row).cast("long")).over(so_far) + F.col("__heads")).withColumn(
+        "island", F.sum(_starts(row).cast("long")).over(so_far) + F.col("__runs"))
+    return _from_first_header(counted)
 
 
-def _placed(sliced: DataFrame) -> DataFrame:
-    """Lines with the session and the run of one role that they belong to."""
-    header = F.col("role") == "system"
-    starts = header | (F.col("role") == "tool") | ~F.col("role").eqNullSafe(F.col("prev_role"))
-    counted = sequences.running(
-        sliced, ["line_no"], session_index=("sum", header.cast("long")), island=("sum", starts.cast("long")))
-    placed = sequences.whole(counted).withColumn("session_index", F.col("session_index") - 1)
+def _is_head(row: Column) -> Column:
+    return row["role"] == "system"
+
+
+def _starts(row: Column) -> Column:
+    """Headers and tool lines are runs of their own."""
+    return row["role"].isin("system", "tool") | ~row["role"].eqNullSafe(row["prev_role"])
+
+
+def _from_first_header(counted: DataFrame) -> DataFrame:
+    placed = counted.withColumn("session_index", F.col("session_index") - 1)
     return placed.select("path", "line_no", "raw", "role", "prev_role", "session_index", "island").filter(F.col("session_index") >= 0)
 
 
@@ -118,7 +134,10 @@ def read_lines(spark: SparkSession, folder: str, pattern: str = "aider*.chat*.md
     parts = summed.select(*summed.columns, F.posexplode(split_lines(text)).alias("part", "raw")).withColumn("role", _role(F.col("raw")))
     numbered = sequences.running(parts, ["at", "part"], line_no=("sum", F.lit(1).cast("long")))
     before = sequences.previous(numbered, ["line_no"], {"prev_role": "role"})
-    return _placed(before)
+    row = F.struct("role", "prev_role")
+    counted = sequences.running(
+        before, ["line_no"], session_index=("sum", _is_head(row).cast("long")), island=("sum", _starts(row).cast("long")))
+    return _from_first_header(counted)
 
 
 def _piece(role: Column, raw: Column) -> Column:
@@ -146,9 +165,8 @@ def blocks(file_lines: DataFrame) -> DataFrame:
         .filter(F.col("role").isin("system", "tool") | ~is_blank("content"))
         .drop("__lines", "island")
     )
-    # A session has no more blocks than runs; those are known without the texts.
-    runs = file_lines.groupBy("path", "session_index", "island").agg(F.min("line_no").alias("start_line"))
-    placed = sequences.numbered(kept, ["path", "session_index"], ["start_line"], "block_no", sizes=runs)
+    sliced = sequences.in_slices(kept, ["path", "session_index"], F.floor(F.col("start_line") / SLICE_LINES))
+    placed = sequences.whole(sequences.running(sliced, ["start_line"], block_no=("sum", F.lit(1).cast("long"))))
     return evaluate_once(placed, __e=classify("role", "content")).select(
         "path", "session_index", "block_no", "role", "content", "raw", "start_line", "end_line",
         F.col("__e.kind").alias("event_kind"), F.col("__e.event").alias("event"),
