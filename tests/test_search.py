@@ -57,6 +57,14 @@ def test_parse():
     assert search.parse_query('"Vector database" fast, x') == [["vector", "database"], ["fast"], ["x"]]
 
 
+def test_snippets(spark, chunks):
+    hits = spark.createDataFrame([("a",), ("b",)], "id string")
+    told = lambda query: {r["id"]: r["snippet"] for r in search.with_snippet(hits, chunks, query, before=4, width=12).collect()}
+    assert told("stores absent") == {"a": "ase stores a", "b": "database vec"}
+    assert told('"vector vector" stores')["b"] == "ase vector v"
+    assert told(" - ") == told("") == {"a": "The vector d", "b": "database vec"}
+
+
 def test_index_round_trip_and_update(spark, chunks, tmp_path):
     search.write_index(*search.build_index(chunks), str(tmp_path / "i"))
     index = search.read_index(spark, str(tmp_path / "i"))

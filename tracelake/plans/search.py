@@ -123,9 +123,9 @@ def keyword(
 
 
 def with_snippet(hits: DataFrame, chunks: DataFrame, query: str, before: int = 30, width: int = 120) -> DataFrame:
-    """Add the text round the first place where the first word of the query stands as a word."""
-    first = parse_query(query)[0][0]
-    at = F.regexp_instr(F.lower("content"), F.lit(rf"(?<![\p{{L}}\p{{N}}]){first}(?![\p{{L}}\p{{N}}])"))
+    """Add the text round the first place where a unit of the query stands as words; a query without words shows the beginning."""
+    units = [r"[^\p{L}\p{N}]+".join(rf"\Q{w}\E" for w in u) for u in parse_query(query)]
+    at = F.regexp_instr(F.lower("content"), F.lit(rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(units)})(?![\p{{L}}\p{{N}}])")) if units else F.lit(1)
     start = F.greatest(F.lit(1), at - before)
     body = chunks.select("id", F.col("content").substr(start, F.lit(width)).alias("snippet"))
     return hits.join(body, "id")
