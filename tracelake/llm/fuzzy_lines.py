@@ -10,7 +10,8 @@ lines of the same language, alike to a tenth, all but never do. Two bits of each
 go along, and only lines that agree in sixteen of 25 are candidates (of pairs at 0.8 that share a band, one in 700 does not).
 
 In a bucket of two lines they are one pair; in a larger one first every line
-with the one of least id, then, once those links are merged, only pairs whose
+with the one of least id, then, once those links are merged, in buckets that are still large every line
+with eight lines more, and once those are merged only pairs whose
 lines are still in different components. A candidate counts if the Jaccard
 similarity of the sets of all five-character shingles is 0.8 or more, computed
 exactly. Components keep the line that comes first by doc_id, text hash and
@@ -46,6 +47,10 @@ DIRECTIONS = 3
 AGREEING = 16
 #: Up to so many lines of a bucket are compared pair by pair at once.
 SMALL_BUCKET = 2
+#: In buckets of more lines than this that hold several components, so many lines more lead before all that is apart is compared.
+LARGE_BUCKET, LEADS = 16, 8
+#: Pairs of one line that a task verifies at most.
+PER_TASK = 1024
 WHITE = " \t\n\x0b\x0c\r"
 
 
@@ -70,8 +75,9 @@ def _hash_at(wide: Column, start: Column) -> Column:
     return F.xxhash64(F.substring(wide, start, F.lit(4 * SHINGLE)))
 
 
-def shingle_set(wide: Column) -> Column:
-    return F.array_distinct(F.transform(_starts(wide), lambda start: _hash_at(wide, start)))
+def shingles(wide: Column) -> Column:
+    """The hashes of the shingles at every place, repeats included."""
+    return F.transform(_starts(wide), lambda start: _hash_at(wide, start))
 
 
 def signatures(rows: DataFrame) -> DataFrame:
@@ -105,14 +111,22 @@ def _agree(a: str, b: str) -> Column:
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The candidate pairs a, b whose lines are similar enough, by their exact shingle sets."""
-    left = texts.select(F.col("id").alias("a"), F.col("line").alias("line_a"))
-    right = texts.select(F.col("id").alias("b"), F.col("line").alias("line_b"))
-    wide = pairs.join(left, "a").join(right, "b").select("a", "b", _wide(F.col("line_a")).alias("wide_a"), _wide(F.col("line_b")).alias("wide_b"))
-    sets = F.struct(shingle_set(F.col("wide_a")).alias("x"), shingle_set(F.col("wide_b")).alias("y"))
-    both = wide.select("a", "b", F.explode(F.array(sets)).alias("s"))  # a generator: evaluated once, not per use
-    sized = both.select("a", "b", F.size("s.x").alias("x"), F.size("s.y").alias("y"), F.explode(F.array(F.size(F.array_intersect("s.x", "s.y")))).alias("shared"))
-    return sized.where(F.col("shared") >= F.lit(SIMILARITY) * (F.col("x") + F.col("y") - F.col("shared"))).select("a", "b")
+    """The candidate pairs a, b whose lines are similar enough, by their exact shingle sets. texts: id, line, size (of the set).
+
+    Lines travel as text; the set of a is made where its pairs meet it, once for up to PER_TASK of them.
+    """
+    tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a stated number: small tables are costly here, so they aren't merged
+    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(PER_TASK)).cast("int").alias("parts"))
+    firsts = texts.select(F.col("id").alias("a"), "line", F.col("size").alias("size_a")).join(parts, "a")
+    right = texts.select(F.col("id").alias("b"), F.col("line").alias("line_b"), F.col("size").alias("size_b"))
+    possible = pairs.join(firsts.select("a", "size_a", "parts"), "a").join(right, "b")
+    possible = possible.where(F.least("size_a", "size_b") >= F.lit(SIMILARITY) * F.greatest("size_a", "size_b"))
+    possible = possible.select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), "b", "line_b", "size_b")
+    left = firsts.select("a", "size_a", "line", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).repartition(tasks, "a", "part")
+    both = possible.join(left.select("a", "part", "size_a", shingles(_wide(F.col("line"))).alias("set_a")).hint("merge"), ["a", "part"])
+    shared = F.size(F.array_intersect("set_a", shingles(_wide(F.col("line_b")))))
+    counted = both.select("a", "b", "size_a", "size_b", F.explode(F.array(shared)).alias("shared"))  # a generator: evaluated once, not per use
+    return counted.where(F.col("shared") >= F.lit(SIMILARITY) * (F.col("size_a") + F.col("size_b") - F.col("shared"))).select("a", "b")
 
 
 def _pairs(members: DataFrame, also: str = "true") -> DataFrame:
@@ -128,7 +142,23 @@ def _named(pairs: DataFrame) -> DataFrame:
 
 def _texts(rows: DataFrame, pairs: DataFrame, folder: str, name: str) -> DataFrame:
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    return written(rows.join(wanted, "id", "left_semi").dropDuplicates(["id"]), folder, name)
+    found = rows.join(wanted, "id", "left_semi").dropDuplicates(["id"])
+    return written(found.select("id", "line", F.size(F.array_distinct(shingles(_wide(F.col("line"))))).alias("size")), folder, name)
+
+
+def _leads(mixed: DataFrame) -> DataFrame:
+    """Pairs of lines that are apart with some of their bucket's lines. mixed: key, id, sketch, root."""
+    lead = mixed.groupBy("key", F.pmod(F.xxhash64("id"), F.lit(LEADS)).alias("class")).agg(*[F.min_by(c, "id").alias(f"lead_{c}") for c in ("id", "sketch", "root")])
+    pairs = mixed.join(lead.drop("class"), "key").where("root <> lead_root").where(_agree("sketch", "lead_sketch"))
+    return pairs.select(F.least("id", "lead_id").alias("a"), F.greatest("id", "lead_id").alias("b")).distinct()
+
+
+def _mixed(members: DataFrame, roots: DataFrame, more_than: int, folder: str, name: str) -> DataFrame:
+    """key, id, sketch, root of the buckets of more lines than that which hold several components."""
+    large = members.where(F.col("n") > more_than).select("key", "id", "sketch")
+    rooted = written(large.join(roots, large.id == roots.node, "left").select("key", "id", "sketch", F.coalesce("root", "id").alias("root")), folder, name)
+    several = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
+    return rooted.join(several, "key", "left_semi")
 
 
 def line_components(docs: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -137,22 +167,22 @@ def line_components(docs: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]
     places = written(rows.select("doc_id", "text_hash", "line_no", "id"), folder, "places")
     rows = rows.select("id", "line")
     keyed = signatures(rows).select("id", _sketch().alias("sketch"), F.explode(_keys()).alias("key")).repartition("key")  # one exchange for the counts and the join
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("id", "sketch")).alias("lead")).where("n > 1")
-    members = written(keyed.join(sizes, "key").select("key", "id", "sketch", "n", "lead"), folder, "members")
-    led = members.where("id <> lead.id").where(_agree("sketch", "lead.sketch")).select(F.col("lead.id").alias("a"), F.col("id").alias("b"))
-    pairs = written(led.distinct(), folder, "pairs")
-    edges = written(verified(pairs, _texts(rows, pairs, folder, "texts")), folder, "similar")
-    roots = components(edges, f"{folder}/first")
-    large = members.where(F.col("n") > SMALL_BUCKET).select("key", "id", "sketch")
-    rooted = large.join(roots, large.id == roots.node, "left").select("key", "id", "sketch", F.coalesce("root", "id").alias("root"))
-    rooted = written(rooted, folder, "rooted")
-    mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
-    apart = _named(_pairs(rooted.join(mixed, "key", "left_semi"), "root_a <> root_b"))
-    apart = written(apart.join(pairs, ["a", "b"], "left_anti"), folder, "apart")
-    if not apart.isEmpty():
-        more = verified(apart, _texts(rows, apart, folder, "more_texts"))
-        roots = components(written(edges.union(more), folder, "all_similar"), f"{folder}/second")
-    for name in ("members", "texts", "rooted", "apart", "more_texts"):
+    sizes = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("lead"), F.min_by("sketch", "id").alias("lead_sketch")).where("n > 1")
+    members = written(keyed.join(sizes, "key").select("key", "id", "sketch", "n", "lead", "lead_sketch"), folder, "members")
+    led = members.where("id <> lead").where(_agree("sketch", "lead_sketch")).select(F.col("lead").alias("a"), F.col("id").alias("b"))
+    done = written(led.distinct(), folder, "pairs-0")
+    edges = written(verified(done, _texts(rows, done, folder, "texts-0")), folder, "similar-0")
+    roots = components(edges, f"{folder}/roots-0")
+    for step, least in enumerate((LARGE_BUCKET, SMALL_BUCKET), 1):
+        mixed = _mixed(members, roots, least, folder, f"rooted-{step}")
+        pairs = _leads(mixed) if step == 1 else _named(_pairs(mixed, "root_a <> root_b"))
+        pairs = written(pairs.join(done, ["a", "b"], "left_anti"), folder, f"pairs-{step}")
+        if pairs.isEmpty():
+            continue
+        done = done.union(pairs)
+        edges = edges.union(written(verified(pairs, _texts(rows, pairs, folder, f"texts-{step}")), folder, f"similar-{step}"))
+        roots = components(edges, f"{folder}/roots-{step}")
+    for name in ("members", *[f"{n}-{step}" for step in range(3) for n in ("pairs", "texts", "rooted", "similar")]):
         drop_folder(docs.sparkSession, f"{folder}/{name}")
     return places, roots
 
