@@ -51,6 +51,8 @@ SMALL_BUCKET = 2
 LARGE_BUCKET, LEADS = 16, 8
 #: Pairs of one line that a task verifies at most.
 PER_TASK = 1024
+#: Up to so many ids (8 MB) are broadcast to fetch their lines; more are joined by an exchange, with the same result.
+BROADCAST_IDS = 1 << 20
 WHITE = " \t\n\x0b\x0c\r"
 
 
@@ -142,6 +144,8 @@ def _named(pairs: DataFrame) -> DataFrame:
 
 def _texts(rows: DataFrame, pairs: DataFrame, folder: str, name: str) -> DataFrame:
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    if wanted.count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)
     found = rows.join(wanted, "id", "left_semi").dropDuplicates(["id"])
     return written(found.select("id", "line", F.size(F.array_distinct(shingles(_wide(F.col("line"))))).alias("size")), folder, name)
 
