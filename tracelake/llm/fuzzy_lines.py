@@ -5,9 +5,9 @@ hashes of its five-character shingles, those at every place whatever the
 line's length. The minima stand in a square of five by five, and each band is
 a line of that square in one of three directions (the affine plane of order
 five), so that two bands share one minimum at most: fifteen bands of five.
-Lines of similarity 0.8 share a band in 96 of 100 cases, of 0.85 in 99, while
+If minima are independent, lines of similarity 0.8 share a band in 98 of 100 cases, of 0.85 in 99.5, while
 lines of the same language, alike to a tenth, all but never do. Two bits of each minimum
-go along, and only lines that agree in sixteen of 25 are candidates (of pairs at 0.8 that share a band, one in 700 does not).
+go along, and only lines that agree in sixteen of 25 are candidates (of pairs at 0.8 that share a band, one in 4,000 does not).
 
 In a bucket of two lines they are one pair; in a larger one first every line
 with the one of least id, then, once those links are merged, in buckets that are still large every line
