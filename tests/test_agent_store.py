@@ -2,8 +2,10 @@
 
 import hashlib
 import json
+import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tracelake.sources import agent_store as store
 
@@ -117,3 +119,23 @@ def test_read_body(spark):
     df = spark.createDataFrame([(i, o) for i, (o, _) in enumerate(cases)], "i int, o string")
     got = [r["b"] for r in df.select("i", store.read_body(df["o"]).alias("b")).orderBy("i").collect()]
     assert got == [want for _, want in cases]
+
+
+def test_messages_are_not_broadcast_by_the_estimate_of_a_dropped_variant(spark, tmp_path):
+    """200,000 messages of 1 MB and more: the estimate without the payload is far below what a broadcast would hold."""
+    ids = spark.range(200_000).select(F.concat(F.lit("m"), F.col("id").cast("string")).alias("id"), F.lit("s").alias("session_id"),
+                                      F.col("id").alias("time_created"), F.lit('{"role":"user","modelID":"m"}').alias("data"))
+    ids.coalesce(1).write.parquet(f"{tmp_path}/message")
+    ids.select(F.concat(F.lit("p"), "id").alias("id"), F.col("id").alias("message_id"), "session_id", "time_created",
+               F.lit('{"type":"text","text":"t"}').alias("data")).coalesce(1).write.parquet(f"{tmp_path}/part")
+    messages, parts = spark.read.parquet(f"{tmp_path}/message"), spark.read.parquet(f"{tmp_path}/part")
+    sessions = spark.createDataFrame([("s", "/d", "t", 5)], "id string, directory string, title string, time_created long")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "400k")
+    try:
+        rows = store.chunk_rows(sessions, messages, parts, 0)
+        text = rows._jdf.queryExecution().executedPlan().toString()
+        assert not re.search(r"BroadcastHashJoin \[session_id#\d+, message_id#\d+\]", text)
+        assert re.search(r"SortMergeJoin \[session_id#\d+, message_id#\d+\]", text)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)

@@ -124,7 +124,8 @@ def chunk_rows(sessions: DataFrame, messages: DataFrame, parts: DataFrame, fallb
     ), d=object_variant("data")).drop("data")
     # A part without text makes no row here, so it gets no number later.
     p = p.select("*", F.explode(F.filter(F.array(part_text()), lambda t: ~is_blank(t))).alias("text"))
-    rows = p.join(m, ["session_id", "message_id"]).join(s, "session_id")
+    # The estimate of a side whose VARIANT is dropped again is a small part of its size; unhinted it would be broadcast.
+    rows = p.join(m.hint("merge"), ["session_id", "message_id"]).join(s, "session_id")
     order = ["m_created", "message_id", "p_created", "part_id"]
     # How large the sessions are at most is known without reading any payload.
     sizes = parts.select("session_id", "message_id", F.col("time_created").alias("p_created"), F.col("id").alias("part_id")).join(
@@ -157,7 +158,8 @@ def source_rows(sessions: DataFrame, messages: DataFrame) -> DataFrame:
     first = m.filter(F.col("model").isNotNull()).groupBy("session_id").agg(
         F.min_by("model", F.struct("time_created", "id")).alias("model")
     )
-    return sessions.withColumnRenamed("id", "session_id").join(first, "session_id", "left").select(
+    # As in chunk_rows, the estimate of this side says nothing about its size.
+    return sessions.withColumnRenamed("id", "session_id").join(first.hint("merge"), "session_id", "left").select(
         F.concat(F.lit(PREFIX), "session_id").alias("source_id"), "title",
         F.concat(F.lit(PREFIX), "session_id").alias("source"), F.col("directory").alias("primary_cwd"),
         F.when(F.coalesce("time_created", F.lit(0)) == 0, "").otherwise(F.col("time_created").cast("string")).alias("file_date"),
