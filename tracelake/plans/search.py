@@ -10,28 +10,70 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tracelake.functions.text import words
+from tracelake.session import scratch_table
 
 K1 = 1.2
 B = 0.75
 POSTINGS = "token string, id string, length int, positions array<int>"
 DOCUMENTS = "id string, length int"
+#: Token lists grouped at a time: what is sorted takes some fifty bytes a token.
+PIECE = 1000
+_FOUND = T.ArrayType(T.StructType([T.StructField("token", T.StringType()), T.StructField("positions", T.ArrayType(T.IntegerType()))]))
+
+
+def _occurrences(tokens: pa.Array) -> pa.Array:
+    """The distinct tokens of every list, each with its positions in order; PIECE lists at a time."""
+    return pa.concat_arrays([_piece(tokens.slice(at, PIECE)) for at in range(0, max(1, len(tokens)), PIECE)])
+
+
+def _piece(tokens: pa.Array) -> pa.Array:
+    lengths = pc.list_value_length(tokens).to_numpy(zero_copy_only=False)
+    coded = tokens.flatten().dictionary_encode()
+    codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    rows = np.repeat(np.arange(len(lengths)), lengths)
+    at = (np.arange(len(codes)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
+    key = rows * (len(coded.dictionary) + 1) + codes
+    order = np.argsort(key, kind="stable")
+    firsts = np.flatnonzero(np.diff(key[order], prepend=-1))
+    positions = pa.ListArray.from_arrays(pa.array(np.append(firsts, len(order)), pa.int32()), pa.array(at[order]))
+    found = pa.StructArray.from_arrays([coded.dictionary.take(pa.array(codes[order][firsts])), positions], ["token", "positions"])
+    ends = np.cumsum(np.bincount(rows[order][firsts], minlength=len(lengths)))
+    return pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), found)
 
 
 def build_index(chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Postings (token, id, length, positions) and documents (id, length) of chunks (id, content).
 
     A posting carries the length of its chunk, so ranking needs no join to the documents.
+    A chunk's tokens are grouped inside its row. Only chunks that share their id
+    with others are grouped across rows; which those are is looked up first.
     """
-    tokens = chunks.select("id", words(F.coalesce("content", F.lit(""))).alias("tokens"))
-    documents = tokens.select("id", F.size("tokens").alias("length"))
-    postings = (
-        tokens.select("id", F.size("tokens").alias("length"), F.posexplode("tokens").alias("pos", "token"))
-        .groupBy("token", "id").agg(F.max("length").alias("length"), F.array_sort(F.collect_list("pos")).alias("positions"))
-    )
-    return postings, documents
+    documents = _tokens(chunks).select("id", F.size("tokens").alias("length"))
+    ids = chunks.select(F.struct("id").alias("__id"))  # a null id is an id like any other
+    repeated = scratch_table(ids.groupBy("__id").agg(F.count("*").alias("n")).where("n > 1").select("__id"))
+    if repeated.isEmpty():
+        return _postings(chunks), documents
+    keyed = chunks.withColumn("__id", F.struct("id"))
+    several = _postings(keyed.join(repeated, "__id", "left_semi")).groupBy("token", "id").agg(
+        F.max("length").alias("length"), F.array_sort(F.flatten(F.collect_list("positions"))).alias("positions"))
+    return _postings(keyed.join(repeated, "__id", "left_anti")).unionByName(several), documents
+
+
+def _tokens(chunks: DataFrame) -> DataFrame:
+    return chunks.select("id", words(F.coalesce("content", F.lit(""))).alias("tokens"))
+
+
+def _postings(chunks: DataFrame) -> DataFrame:
+    """Postings of chunks, row by row."""
+    found = F.arrow_udf(_occurrences, _FOUND)(F.col("tokens"))
+    rows = _tokens(chunks).select("id", F.size("tokens").alias("length"), F.inline(found))
+    return rows.select("token", "id", "length", "positions")
 
 
 def sorted_postings(postings: DataFrame) -> DataFrame:
