@@ -1,6 +1,11 @@
 """What a task, a batch or a shuffle holds must not grow with the table."""
 
+import json
+
+import pyarrow as pa
+
 from tracelake.plans import search
+from tracelake.sources import articles
 
 
 def test_postings_of_distinct_ids_need_no_shuffle(spark):
@@ -17,3 +22,12 @@ def test_postings_of_repeated_and_null_ids_are_one_row_a_token(spark):
     rows = {(r["token"], r["id"]): (r["length"], r["positions"]) for r in search.build_index(chunks)[0].collect()}
     assert rows == {("a", "1"): (4, [0, 1, 3]), ("b", "1"): (4, [1, 2]), ("x", "1"): (4, [0]),
                     ("a", None): (2, [0, 1]), ("b", None): (2, [0]), ("a", "2"): (1, [0])}
+
+
+def test_trees_are_decoded_in_pieces(monkeypatch):
+    tree = json.dumps([{"id_code": "c", "body_html": "x" * 50, "children": []}])
+    monkeypatch.setattr(articles, "TREE_BYTES", 2 * len(tree), raising=False)
+    batch = pa.RecordBatch.from_pydict({"head_id": list("abcde"), "tree": [tree, tree, None, tree, tree]})
+    out = list(articles._flatten(iter([batch])))
+    assert [b.num_rows for b in out] == [3, 2]
+    assert [len(x) for b in out for x in b.column("flat").to_pylist()] == [1, 1, 0, 1, 1]

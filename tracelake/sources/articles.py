@@ -5,7 +5,9 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tracelake import schemas
@@ -17,6 +19,8 @@ from tracelake.operators.ranking import pick_first
 
 PREFIX = "devto_"  # fixed value: id prefix of this source kind
 KIND = "devto"
+#: Trees that a Python task decodes at a time; decoded they take several times as much.
+TREE_BYTES = 4 << 20
 
 _TEXTS = ["id", "parent_id", "author", "body_html", "created_at"]
 _COMMENTS = T.ArrayType(T.StructType(
@@ -110,9 +114,20 @@ def _walk(tree: list, into: dict[str, list]) -> int:
     return count
 
 
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of at most TREE_BYTES of trees, or of one tree."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("tree")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < batch.num_rows:
+        base = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, base + TREE_BYTES, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def _flatten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Trees to arrays of comments, built column by column."""
-    for batch in batches:
+    for batch in (piece for whole in batches for piece in _pieces(whole)):
         columns: dict[str, list] = {"dfs_pos": [], **{name: [] for name in _TEXTS}}
         ends = [0]
         for text in batch.column("tree").to_pylist():
