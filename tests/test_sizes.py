@@ -2,9 +2,10 @@
 
 import json
 
+import numpy as np
 import pyarrow as pa
 
-from tracelake.plans import search
+from tracelake.plans import search, vectors
 from tracelake.sources import articles
 
 
@@ -31,3 +32,12 @@ def test_trees_are_decoded_in_pieces(monkeypatch):
     out = list(articles._flatten(iter([batch])))
     assert [b.num_rows for b in out] == [3, 2]
     assert [len(x) for b in out for x in b.column("flat").to_pylist()] == [1, 1, 0, 1, 1]
+
+
+def test_texts_are_embedded_in_pieces(monkeypatch):
+    tokens = pa.array([["a", "b"], [], ["c"], ["a"], ["d", "d"]], pa.list_(pa.string()))
+    whole, made, zeros = vectors._embed_tokens(tokens).to_pylist(), [], np.zeros
+    monkeypatch.setattr(vectors, "EMBED_ROWS", 2, raising=False)
+    monkeypatch.setattr(vectors.np, "zeros", lambda shape, *a, **k: made.append(shape) or zeros(shape, *a, **k))
+    assert vectors._embed_tokens(tokens).to_pylist() == whole
+    assert max(shape[0] for shape in made) == 2

@@ -28,6 +28,8 @@ DIVERSE_SHARE = 0.7
 NEIGHBOURS = 5
 #: Rows from which the greedy choice goes on without a scan.
 AHEAD = 2000
+#: Token lists embedded at a time: their codes and places are arrays of eight bytes a token.
+EMBED_ROWS = 500
 DIGITS = 9  # a product differs in its last bits with the batch it is made in; rounded, equal texts tie and the id decides
 
 
@@ -43,7 +45,13 @@ def _unit_rows(m: np.ndarray) -> np.ndarray:
 
 
 def _embed_tokens(tokens: pa.Array) -> pa.Array:
-    """Signed feature hashing of token lists; every distinct token of the batch is hashed once."""
+    """Signed feature hashing of token lists, EMBED_ROWS at a time."""
+    pieces = [_embed_piece(tokens.slice(at, EMBED_ROWS)) for at in range(0, max(1, len(tokens)), EMBED_ROWS)]
+    return pa.concat_arrays(pieces)
+
+
+def _embed_piece(tokens: pa.Array) -> pa.Array:
+    """Every distinct token of the lists is hashed once."""
     n = len(tokens)
     coded = pc.dictionary_encode(tokens.flatten()) if n else None
     out = np.zeros((n, DIMENSIONS))
