@@ -4,9 +4,11 @@ import json
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from tracelake.plans import search, vectors
 from tracelake.sources import articles
+from tracelake.streaming import arrivals
 
 
 def test_postings_of_distinct_ids_need_no_shuffle(spark):
@@ -41,3 +43,21 @@ def test_texts_are_embedded_in_pieces(monkeypatch):
     monkeypatch.setattr(vectors.np, "zeros", lambda shape, *a, **k: made.append(shape) or zeros(shape, *a, **k))
     assert vectors._embed_tokens(tokens).to_pylist() == whole
     assert max(shape[0] for shape in made) == 2
+
+
+def test_named_files_are_listed_in_few_tasks(spark, tmp_path):
+    paths = []
+    for n in range(250):
+        (tmp_path / f"aider{n}.chat.md").write_text(f"text {n}")
+        paths.append(f"file:{tmp_path}/aider{n}.chat.md")
+    context, kept = spark.sparkContext, spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")
+    context.setJobGroup("listing", "")
+    try:
+        found = arrivals.read_files(spark, paths)
+        tracker = context.statusTracker()
+        stages = [s for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+        assert max(tracker.getStageInfo(s).numTasks for s in stages) <= 3
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism") == kept
+    assert found.agg(F.count("*"), F.min("text")).first() == (250, "text 0")

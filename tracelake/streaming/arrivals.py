@@ -32,6 +32,9 @@ FILE = "path string, modificationTime timestamp, length long, content binary"
 _COLUMNS = [c.split()[0] for c in CHUNKS.replace("\n", " ").split(",")]
 
 
+# Fixed by Spark: into how many tasks the listing of named files goes at most.
+LISTERS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+FILES_PER_LISTER = 100
 LISTING = "path string, length long, modificationTime timestamp"
 PATTERN = "aider*.chat*.md"
 Rename = Callable[[Column], Column]
@@ -128,7 +131,14 @@ def read_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     if not there:
         return _texts(spark.createDataFrame([], FILE))
     plain = [re.sub(r"([\[\]{}*?\\])", r"\\\1", p.toString()) for p in there]
-    return _texts(spark.read.format("binaryFile").schema(FILE).load(plain))
+    # Unless told otherwise, Spark lists named files by one task each.
+    kept = spark.conf.get(LISTERS)
+    spark.conf.set(LISTERS, str(min(int(kept), -(-len(plain) // FILES_PER_LISTER))))
+    try:
+        found = spark.read.format("binaryFile").schema(FILE).load(plain)
+    finally:
+        spark.conf.set(LISTERS, kept)
+    return _texts(found)
 
 
 def start_grown(spark: SparkSession, listings: str, table: str, checkpoint: str, rename: Rename | None = None) -> StreamingQuery:
