@@ -45,23 +45,20 @@ def _unit_rows(m: np.ndarray) -> np.ndarray:
 
 
 def _embed_tokens(tokens: pa.Array) -> pa.Array:
-    """Signed feature hashing of token lists, EMBED_ROWS at a time."""
-    pieces = [_embed_piece(tokens.slice(at, EMBED_ROWS)) for at in range(0, max(1, len(tokens)), EMBED_ROWS)]
-    return pa.concat_arrays(pieces)
-
-
-def _embed_piece(tokens: pa.Array) -> pa.Array:
-    """Every distinct token of the lists is hashed once."""
+    """Signed feature hashing of token lists, EMBED_ROWS at a time; every distinct token of the batch is hashed once."""
     n = len(tokens)
-    coded = pc.dictionary_encode(tokens.flatten()) if n else None
-    out = np.zeros((n, DIMENSIONS))
-    if coded is not None and len(coded):
-        slots = [_slot(t) for t in coded.dictionary.to_pylist()]
-        codes = coded.indices.to_numpy(zero_copy_only=False)
-        dims, signs = np.array([s[0] for s in slots]), np.array([s[1] for s in slots])
-        rows = pc.list_parent_indices(tokens).to_numpy(zero_copy_only=False)
-        np.add.at(out, (rows, dims[codes]), signs[codes])
-    flat = _unit_rows(out).astype(np.float32).ravel()
+    coded = pc.dictionary_encode(tokens.flatten())
+    slots = [_slot(t) for t in coded.dictionary.to_pylist()]
+    dims, signs = np.array([s[0] for s in slots], np.int64), np.array([s[1] for s in slots])
+    codes = coded.indices.to_numpy(zero_copy_only=False)
+    lengths = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False)
+    ends = np.append(0, np.cumsum(lengths, dtype=np.int64))
+    flat = np.empty(n * DIMENSIONS, np.float32)
+    for at in range(0, n, EMBED_ROWS):
+        stop = min(n, at + EMBED_ROWS)
+        out, part = np.zeros((stop - at, DIMENSIONS)), codes[ends[at]:ends[stop]]
+        np.add.at(out, (np.repeat(np.arange(stop - at), lengths[at:stop]), dims[part]), signs[part])
+        flat[at * DIMENSIONS:stop * DIMENSIONS] = _unit_rows(out).astype(np.float32).ravel()
     return pa.ListArray.from_arrays(np.arange(0, (n + 1) * DIMENSIONS, DIMENSIONS, dtype=np.int32), pa.array(flat))
 
 
