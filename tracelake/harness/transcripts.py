@@ -91,12 +91,8 @@ def files(spark: SparkSession, sf: str, half: bool = False) -> DataFrame:
     return d.select(path.alias("path"), text.alias("text"), F.lit(MODIFIED).cast("long").alias("modified"))
 
 
-def lines(spark: SparkSession, sf: str, half: bool = False) -> DataFrame:
-    return stored(f"lines{half}", spark, sf, lambda: chat.lines(files(spark, sf, half)))
-
-
 def blocks(spark: SparkSession, sf: str, half: bool = False) -> DataFrame:
-    return stored(f"blocks{half}", spark, sf, lambda: chat.blocks(lines(spark, sf, half)))
+    return stored(f"blocks{half}", spark, sf, lambda: chat.blocks(chat.lines(files(spark, sf, half), by_session=True)))
 
 
 def sessions(spark: SparkSession, sf: str, half: bool = False) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from tracelake.functions.text import LINE_END, SPACE as S
+from tracelake.functions.text import LINE_END, SPACE as S, SPACES
 
 # Slash command to kind of event; other commands are "command".
 COMMAND_KINDS = {
@@ -96,7 +96,12 @@ def _group(text: str, pattern: str, n: int) -> str:
 
 
 def _strip(text: str) -> str:
-    return f"regexp_replace({text}, {_str(rf'\A{S}+|{S}+\z')}, '')"
+    return f"btrim({text}, {_str(SPACES)})"
+
+
+def _let(name: str, value: str, inner: str) -> str:
+    """SQL has no names inside an expression; here `inner` uses a value by name, which is thus computed once."""
+    return f"transform(array({value}), {name} -> {inner})[0]"
 
 
 def _first_word(text: str) -> str:
@@ -125,14 +130,13 @@ def _command_kind(name: str) -> str:
 
 
 def _user_fields(text: str) -> str:
-    body = _strip(text)
-    command = f"if({_starts(body, '/')}, regexp_extract({body}, {_str(rf'\A([^{LINE_END[1:]}*)')}, 1), null)"
-    name = _first_word(command)
-    return _fields({
-        "command": f"coalesce({_json(command)}, 'null')",
-        "command_name": _json(name),
-        "command_kind": f"if({name} is null, null, {_json(_command_kind(name))})",
+    command = f"if({_starts('body', '/')}, regexp_extract(body, {_str(rf'\A([^{LINE_END[1:]}*)')}, 1), null)"
+    fields = _fields({
+        "command": f"coalesce({_json('command')}, 'null')",
+        "command_name": _json("name"),
+        "command_kind": f"if(name is null, null, {_json(_command_kind('name'))})",
     })
+    return _let("body", _strip(text), _let("command", command, _let("name", _first_word("command"), fields)))
 
 
 def _rules(text: str) -> list[tuple[str, str, dict[str, str]]]:

@@ -2,9 +2,10 @@
 
 Files come in as one row each, of at most 2 GiB, or as lines read by byte range,
 whatever their size. Session and block of a line follow from counts of headers
-and of role changes before it. They are counted within slices of a file (runs of
-lines, or byte ranges), and sums over the slices are carried across: no task
-needs a whole file.
+and of role changes before it. In a file's row they are its places in an array,
+so lines, sessions and blocks need no shuffle. Byte ranges, and files of several
+rows, are counted within slices, and sums over the slices are carried across: no
+task needs a whole file.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from tracelake.operators import sequences
 from tracelake.functions.text import LINE_END, LINE_ENDS, SPACE, col, group, is_blank, nonempty, rstrip, strip
 from tracelake.functions.times import stamp_epoch
 from tracelake.operators.columns import evaluate_once
+from tracelake.session import Scratch
 from tracelake.sources.chat_events import classify
 
 PREFIX = "aider:"  # fixed value: id prefix of this source kind
@@ -71,14 +73,80 @@ def _role(line: Column) -> Column:
     )
 
 
-def lines(files: DataFrame) -> DataFrame:
+def lines(files: DataFrame, by_session: bool = False) -> DataFrame:
     """path, line_no (1-based), raw, role, prev_role, session_index, island; lines before the first header are dropped.
 
-    A file's lines are cut into slices inside its row, with the headers and runs before each.
+    All of them are found inside the row of the file, without a shuffle. Rows
+    that share their path are one file, whose lines are counted across them.
+    With by_session they come in rows of a session, for blocks(): path,
+    session_index, runs. Where a file has several rows, its lines come one by
+    one there, told apart by a column `whole`.
     """
-    listed = files.withColumn("__lines", split_lines("text"))
+    repeated = _repeated(files)
+    if repeated is None:
+        packed = _in_sessions(files)
+    else:
+        same = files["path"].eqNullSafe(repeated["path"])
+        line = F.array(F.struct("line_no", "raw", "prev_role"))
+        packed = _in_sessions(files.join(repeated, same, "left_anti")).withColumn("whole", F.lit(True)).unionByName(_across_rows(files.join(repeated, same, "left_semi")).select(
+            "path", "session_index", F.array(F.struct("island", "role", line.alias("lines"))).alias("runs"), F.lit(False).alias("whole")))
+    return packed if by_session else _line_by_line(packed)
+
+
+def _repeated(files: DataFrame) -> DataFrame | None:
+    """The paths that several rows have; None if there are none."""
+    scratch = Scratch(files.sparkSession)
+    found = scratch.write("repeated", files.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("path"))
+    if not found.isEmpty():
+        return found
+    scratch.drop("repeated")
+    return None
+
+
+def _with_roles(files: DataFrame) -> DataFrame:
+    """path, __lines, __roles: the lines of a file and their roles as arrays of its row."""
+    listed = files.select("path", split_lines("text").alias("__lines"))
+    return listed.select("path", "__lines", F.transform("__lines", _role).alias("__roles"))
+
+
+def _places(items: str, holds) -> Column:
+    """The positions (from 0) of the items of an array for which holds(item, position) is true."""
+    return F.filter(F.transform(items, lambda x, i: F.when(holds(x, i), i)), lambda i: i.isNotNull())
+
+
+def _in_sessions(files: DataFrame) -> DataFrame:
+    """One row per session with its runs, each with its lines, taken by position: work in proportion to the lines."""
+    roles = lambda i: F.get("__roles", i)
+    run_starts = _places("__roles", lambda role, i: _starts({"role": role, "prev_role": F.when(i > 0, roles(i - 1))}))
+    listed = _with_roles(files).withColumn("__starts", run_starts)
+    listed = listed.withColumn("__heads", _places("__starts", lambda at, _: roles(at) == "system"))
+
+    def until(places: str, k: Column, end: str) -> Column:
+        """The last position that belongs to the k-th place."""
+        return F.coalesce(F.get(places, k + 1), F.size(end)) - 1
+
+    def line(i: Column) -> Column:
+        return F.struct((i + 1).cast("long").alias("line_no"), F.get("__lines", i).alias("raw"), F.when(i > 0, roles(i - 1)).alias("prev_role"))
+
+    def run(k: Column) -> Column:
+        at = F.get("__starts", k)
+        return F.struct((k + 1).cast("long").alias("island"), roles(at).alias("role"),
+                        F.transform(F.sequence(at, until("__starts", k, "__lines")), line).alias("lines"))
+
+    sessions = F.transform("__heads", lambda first, s: F.struct(
+        s.cast("long").alias("session_index"), F.transform(F.sequence(first, until("__heads", s, "__starts")), run).alias("runs")))
+    return listed.select("path", F.inline(sessions))
+
+
+def _line_by_line(packed: DataFrame) -> DataFrame:
+    runs = packed.select("path", "session_index", F.inline("runs"))
+    flat = runs.select("path", "session_index", "island", "role", F.inline("lines"))
+    return flat.select("path", "line_no", "raw", "role", "prev_role", "session_index", "island")
+
+
+def _across_rows(files: DataFrame) -> DataFrame:
+    """The lines of files that have several rows, cut into slices inside a row, with the headers and runs before each."""
     # The previous role sits in the same array, so finding it needs no window.
-    listed = listed.withColumn("__roles", F.transform("__lines", _role))
     rows = F.transform(
         "__lines",
         lambda x, i: F.struct(
@@ -86,7 +154,7 @@ def lines(files: DataFrame) -> DataFrame:
             F.when(i > 0, F.get("__roles", i - 1)).alias("prev_role"),
         ),
     )
-    listed = evaluate_once(listed.select("path", "__lines", "__roles"), __rows=rows).select("path", "__rows")
+    listed = evaluate_once(_with_roles(files), __rows=rows).select("path", "__rows")
     first = F.col("__slice") * SLICE_LINES
     before = F.slice("__rows", F.lit(1), first.cast("int"))
     cut = listed.select("path", "__rows", F.explode(F.sequence(F.lit(0), F.floor(F.size("__rows") / SLICE_LINES).cast("int"))).alias("__slice")).select(
@@ -146,31 +214,70 @@ def _piece(role: Column, raw: Column) -> Column:
     return F.when(role == "tool", F.substring(bare, 3, 1 << 30)).when(role == "user", F.substring(bare, 6, 1 << 30)).otherwise(bare)
 
 
+def _content(role: Column, raw: Column, typed: Column) -> Column:
+    return F.when(role == "system", group(raw, SESSION_HEADER)).when(role == "assistant", rstrip(raw)).otherwise(rstrip(typed))
+
+
+def _joined(role: Column, run: Column) -> tuple[Column, Column]:
+    """The lines of a run in one text, as they are and without their marks."""
+    typed = F.when(role.isin("user", "tool"), F.array_join(F.transform(run, lambda x: _piece(role, x["raw"])), "\n"))
+    return F.array_join(F.transform(run, lambda x: x["raw"]), ""), typed
+
+
+def _kept(role: Column, content: Column) -> Column:
+    return role.isin("system", "tool") | ~is_blank(content)
+
+
 def blocks(file_lines: DataFrame) -> DataFrame:
-    """Runs of one role as blocks, classified and numbered from 1 within their session."""
-    parts = file_lines.withColumn("piece", F.when(F.col("role").isin("user", "tool"), _piece(F.col("role"), F.col("raw"))))
-    merged = parts.groupBy("path", "session_index", "island", "role").agg(
-        F.min("line_no").alias("start_line"), F.max("line_no").alias("end_line"),
-        F.array_sort(F.collect_list(F.struct("line_no", "raw", "piece"))).alias("__lines"),
+    """Runs of one role as blocks, classified and numbered from 1 within their session.
+
+    Lines that come by session are joined and numbered inside the session's row, others are grouped.
+    """
+    if "whole" in file_lines.columns:
+        rest = _blocks_of_lines(_line_by_line(file_lines.filter(~F.col("whole"))))
+        placed = _blocks_in_sessions(file_lines.filter(F.col("whole"))).unionByName(rest)
+    elif "runs" in file_lines.columns:
+        placed = _blocks_in_sessions(file_lines)
+    else:
+        placed = _blocks_of_lines(file_lines)
+    return evaluate_once(placed, __e=classify("role", "content")).select(
+        "path", "session_index", "block_no", "role", "content", "raw", "start_line", "end_line",
+        F.col("__e.kind").alias("event_kind"), F.col("__e.event").alias("event"),
     )
-    raw = F.array_join(F.transform("__lines", lambda s: s["raw"]), "")
-    typed = F.array_join(F.transform("__lines", lambda s: s["piece"]), "\n")
-    content = (
-        F.when(F.col("role") == "system", group("raw", SESSION_HEADER))
-        .when(F.col("role") == "assistant", rstrip("raw"))
-        .otherwise(rstrip(typed))
+
+
+BLOCK = ["path", "session_index", "block_no", "role", "content", "raw", "start_line", "end_line"]
+
+
+def _blocks_in_sessions(packed: DataFrame) -> DataFrame:
+    def joined(run: Column) -> Column:
+        raw, typed = _joined(run["role"], run["lines"])
+        first, last = F.element_at(run["lines"], 1), F.element_at(run["lines"], -1)
+        return F.struct(run["role"].alias("role"), raw.alias("raw"), typed.alias("typed"),
+                        first["line_no"].alias("start_line"), last["line_no"].alias("end_line"))
+
+    def block(b: Column) -> Column:
+        return F.struct(b["role"].alias("role"), _content(b["role"], b["raw"], b["typed"]).alias("content"), b["raw"].alias("raw"),
+                        b["start_line"].alias("start_line"), b["end_line"].alias("end_line"))
+
+    kept = F.filter(F.transform(F.transform("runs", joined), block), lambda b: _kept(b["role"], b["content"]))
+    numbered = F.transform(kept, lambda b, i: F.struct((i + 1).cast("long").alias("block_no"), b.alias("b")))
+    return packed.select("path", "session_index", F.inline(numbered)).select("path", "session_index", "block_no", "b.*").select(*BLOCK)
+
+
+def _blocks_of_lines(file_lines: DataFrame) -> DataFrame:
+    merged = file_lines.groupBy("path", "session_index", "island", "role").agg(
+        F.min("line_no").alias("start_line"), F.max("line_no").alias("end_line"),
+        F.array_sort(F.collect_list(F.struct("line_no", "raw"))).alias("__lines"),
     )
+    raw, typed = _joined(F.col("role"), F.col("__lines"))
     kept = (
-        evaluate_once(evaluate_once(merged, raw=raw), content=content)
-        .filter(F.col("role").isin("system", "tool") | ~is_blank("content"))
+        evaluate_once(evaluate_once(merged, raw=raw), content=_content(F.col("role"), F.col("raw"), typed))
+        .filter(_kept(F.col("role"), F.col("content")))
         .drop("__lines", "island")
     )
     sliced = sequences.in_slices(kept, ["path", "session_index"], F.floor(F.col("start_line") / SLICE_LINES))
-    placed = sequences.whole(sequences.running(sliced, ["start_line"], block_no=("sum", F.lit(1).cast("long"))))
-    return evaluate_once(placed, __e=classify("role", "content")).select(
-        "path", "session_index", "block_no", "role", "content", "raw", "start_line", "end_line",
-        F.col("__e.kind").alias("event_kind"), F.col("__e.event").alias("event"),
-    )
+    return sequences.whole(sequences.running(sliced, ["start_line"], block_no=("sum", F.lit(1).cast("long")))).select(*BLOCK)
 
 
 def value(event: Column | str, name: str) -> Column:
@@ -187,17 +294,12 @@ def extents(files: DataFrame) -> DataFrame:
     """path, session_index, start_line, end_line, found inside the row of the file, where it is one; else from its lines."""
     if "line_no" in files.columns:
         return files.groupBy("path", "session_index").agg(F.min("line_no").alias("start_line"), F.max("line_no").alias("end_line"))
-    listed = files.select("path", split_lines("text").alias("__lines")).filter(F.size("__lines") > 0)
-    starts = F.filter(
-        F.transform("__lines", lambda x, i: F.when(_is_header(x), i + 1)), lambda n: n.isNotNull()
-    )
-    found = listed.select("path", F.size("__lines").alias("__n"), starts.alias("__starts"))
-    flat = found.select("path", "__n", "__starts", F.posexplode("__starts").alias("at", "start"))
-    after = F.get("__starts", F.col("at") + 1)
-    return flat.select(
-        "path", F.col("at").cast("long").alias("session_index"), F.col("start").cast("long").alias("start_line"),
-        F.coalesce(after - 1, F.col("__n")).cast("long").alias("end_line"),
-    )
+    # The array is made inside the generator: Spark filters on a generator's column, which would split the text again for each filter.
+    listed = files.select("path", split_lines("text").alias("__lines"))
+    found = listed.select("path", F.size("__lines").alias("__n"), _places("__lines", lambda x, _: _is_header(x)).alias("__starts"))
+    return found.select("path", F.inline(F.transform("__starts", lambda at, i: F.struct(
+        i.cast("long").alias("session_index"), (at + 1).cast("long").alias("start_line"),
+        F.coalesce(F.get("__starts", i + 1), F.col("__n")).cast("long").alias("end_line")))))
 
 
 def sessions(files: DataFrame, block_rows: DataFrame) -> DataFrame:

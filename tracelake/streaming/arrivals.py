@@ -70,7 +70,7 @@ def ingest_files(spark: SparkSession, files: DataFrame, table: str, batch_id: in
     """
     scratch = Scratch(spark)
     newest = scratch.write("files", _logical(files, rename))  # read once, however many plans need them
-    blocks = scratch.write("blocks", chat.blocks(scratch.write("lines", chat.lines(newest))))
+    blocks = scratch.write("blocks", chat.blocks(chat.lines(newest, by_session=True)))
     sessions = chat.sessions(newest, blocks).join(newest.select("path", "modified"), "path")
     # A header without a readable time falls back to the file's own time.
     chunks = chat.chunk_rows(sessions, blocks, F.col("modified")).select(*_COLUMNS)
@@ -78,7 +78,7 @@ def ingest_files(spark: SparkSession, files: DataFrame, table: str, batch_id: in
     write_batch(above_high_water(marks, chunks), f"{table}/chunks", batch_id)
     written = spark.read.schema(CHUNKS).parquet(f"{table}/chunks/batch={batch_id}")
     write_batch(written.groupBy("source_id").agg(F.max("chunk_number").alias("chunk_number")), f"{table}/marks", batch_id)
-    for name in ("files", "lines", "blocks"):
+    for name in ("files", "blocks"):
         scratch.drop(name)
 
 
