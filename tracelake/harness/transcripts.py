@@ -143,10 +143,13 @@ def land(spark: SparkSession, sf: str, folder: str, half: bool = False) -> None:
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = pyarrow.fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
+        made: set[str] = set()
         for batch in batches:
             for path, text in zip(batch.column("path").to_pylist(), batch.column("text").to_pylist()):
                 place = root + path.removeprefix("/work")
-                fs.create_dir(place.rpartition("/")[0], recursive=True)
+                if (below := place.rpartition("/")[0]) not in made:
+                    fs.create_dir(below, recursive=True)
+                    made.add(below)
                 with fs.open_output_stream(place) as out:
                     out.write(text.encode())
             yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
