@@ -34,6 +34,9 @@ def test_rows_that_share_a_path_are_one_file(spark):
     assert blocks(chat.lines(files, by_session=True)) == blocks(chat.lines(files))
     assert sorted({r["session_index"] for r in chat.lines(files).filter("path = 'a'").collect()}) == [0, 1, 2, 3]
     assert chat.lines(files).filter("path is null").count() == 1
+    for df in (chat.lines(files), chat.lines(files, by_session=True)):
+        placed = chat.blocks(df).filter("path = 'a'").orderBy("session_index", "block_no").select("session_index", "start_line", "end_line").collect()
+        assert placed == sorted(placed)
 
 
 def test_extents_split_a_text_once(spark):

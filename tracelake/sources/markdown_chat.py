@@ -277,7 +277,8 @@ def _blocks_of_lines(file_lines: DataFrame) -> DataFrame:
         .drop("__lines", "island")
     )
     sliced = sequences.in_slices(kept, ["path", "session_index"], F.floor(F.col("start_line") / SLICE_LINES))
-    return sequences.whole(sequences.running(sliced, ["start_line"], block_no=("sum", F.lit(1).cast("long")))).select(*BLOCK)
+    # Only rows that share a path have blocks with the same first line.
+    return sequences.whole(sequences.running(sliced, ["start_line", "end_line"], block_no=("sum", F.lit(1).cast("long")))).select(*BLOCK)
 
 
 def value(event: Column | str, name: str) -> Column:
