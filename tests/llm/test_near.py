@@ -140,3 +140,38 @@ def test_lines_of_unlike_length_and_spacing_share_bands(spark):
     docs = spark.createDataFrame([(i, "\n".join(p)) for i, p in enumerate(pairs)], "doc_id long, text string")
     gone = [r.doc_id for r in fuzzy_lines.line_groups(docs, work_folder(spark, "f")).collect() if not r.kept]
     assert len(gone) >= 0.97 * len(pairs)
+
+
+def near_copies(rng, copies, changed):
+    """Lines of 90 words from one line, each with some words changed for others of a small vocabulary."""
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 7))) for _ in range(60)]
+    base = [rng.choice(words) for _ in range(90)]
+    return [" ".join(rng.choice(words) if i in gone else w for i, w in enumerate(base)) for gone in (set(rng.sample(range(90), changed)) for _ in range(copies))]
+
+
+def test_lines_nearly_alike_are_no_candidates(spark, monkeypatch):
+    lines = near_copies(random.Random(11), 150, 11)
+    sets = [{t[i:i + 5] for i in range(len(t) - 4)} for t in lines]
+    close = [(a, b) for a, b in itertools.combinations(range(len(lines)), 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    named, write = {}, fuzzy_lines.written
+    monkeypatch.setattr(fuzzy_lines, "written", lambda df, folder, name: named.setdefault(name, write(df, folder, name)))
+    monkeypatch.setattr(fuzzy_lines, "drop_folder", lambda *a: None)
+    monkeypatch.setattr(fuzzy_lines, "PER_TASK", 16)
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    got = {r.doc_id: r.first_doc_id for r in fuzzy_lines.line_groups(docs, work_folder(spark, "f")).collect()}
+    assert sum(got[i] != r for i, r in merged(range(len(lines)), close).items()) <= 2  # banding may miss a pair
+    made = [named[n].count() for n in ("pairs-0", "pairs-1", "pairs-2")]
+    assert len(close) < 600 and made[0] < 15 * len(lines) and made[1] + made[2] < 1000  # of 11,175 pairs
+
+
+def test_maps_lose_no_link(spark):
+    rng = random.Random(12)
+    lines = [t for n in (2, 4, 6, 8) for t in near_copies(rng, 12, n)] + ["ab", "abcd", "abcde", "abcdef", "x" * 40, "x" * 41, "äöü ß" * 30, "äöü ß" * 29 + "äöü"]
+    sets = [{t[i:i + 5] for i in range(len(t) - 4)} or {t} for t in lines]
+    texts = spark.createDataFrame(list(enumerate(lines)), "id long, line string")
+    sized = fuzzy_lines.maps(texts)
+    assert {r.id: r.size for r in sized.collect()} == {i: len(s) for i, s in enumerate(sets)}
+    mixed = sized.selectExpr("*", "0L AS key", "0L AS sketch", "id AS root", f"{len(lines)}L AS n")
+    got = {tuple(r) for r in fuzzy_lines._pairs(mixed).collect()}
+    close = {(a, b) for a, b in itertools.combinations(range(len(lines)), 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert len(close) > 50 and close <= got

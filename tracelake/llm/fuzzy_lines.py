@@ -12,7 +12,11 @@ go along, and only lines that agree in sixteen of 25 are candidates (of pairs at
 In a bucket of two lines they are one pair; in a larger one first every line
 with the one of least id, then, once those links are merged, in buckets that are still large every line
 with eight lines more, and once those are merged only pairs whose
-lines are still in different components. A candidate counts if the Jaccard
+lines are still in different components. The lines of buckets that still hold several components get a map of
+1,024 bits: each different shingle turns one bit. Bits in which two maps differ are
+never more than the shingles that only one of the lines has, and those are at most a ninth of both
+sets' sizes at a similarity of 0.8; so pairs whose maps differ in more bits are left out of the candidates and no link is lost.
+Large buckets are compared in blocks, which different tasks do. A candidate counts if the Jaccard
 similarity of the sets of all five-character shingles is 0.8 or more, computed
 exactly. Components keep the line that comes first by doc_id, text hash and
 line number.
@@ -49,7 +53,9 @@ AGREEING = 16
 SMALL_BUCKET = 2
 #: In buckets of more lines than this that hold several components, so many lines more lead before all that is apart is compared.
 LARGE_BUCKET, LEADS = 16, 8
-#: Pairs of one line that a task verifies at most.
+#: Longs in a line's map; a power of two.
+MAP_WORDS = 16
+#: Pairs of one line that a task verifies at most; lines of a bucket that meet the others in one task.
 PER_TASK = 1024
 #: Up to so many ids (8 MB) are broadcast to fetch their lines; more are joined by an exchange, with the same result.
 BROADCAST_IDS = 1 << 20
@@ -82,6 +88,10 @@ def shingles(wide: Column) -> Column:
     return F.transform(_starts(wide), lambda start: _hash_at(wide, start))
 
 
+def _set(line: Column) -> Column:
+    return F.array_distinct(shingles(_wide(line)))
+
+
 def signatures(rows: DataFrame) -> DataFrame:
     """id and the minima of every different line. rows: id, line. Exclusive or with a constant orders the hashes anew for each minimum."""
     hashes = rows.select("id", _wide(F.col("line")).alias("wide")).select("id", "wide", F.explode(_starts(F.col("wide"))).alias("start"))
@@ -113,54 +123,70 @@ def _agree(a: str, b: str) -> Column:
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The candidate pairs a, b whose lines are similar enough, by their exact shingle sets. texts: id, line, size (of the set).
+    """The candidate pairs a, b whose lines are similar enough, by their exact shingle sets. texts: id, line.
 
     Lines travel as text; the set of a is made where its pairs meet it, once for up to PER_TASK of them.
     """
     tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a stated number: small tables are costly here, so they aren't merged
     parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(PER_TASK)).cast("int").alias("parts"))
-    firsts = texts.select(F.col("id").alias("a"), "line", F.col("size").alias("size_a")).join(parts, "a")
-    right = texts.select(F.col("id").alias("b"), F.col("line").alias("line_b"), F.col("size").alias("size_b"))
-    possible = pairs.join(firsts.select("a", "size_a", "parts"), "a").join(right, "b")
-    possible = possible.where(F.least("size_a", "size_b") >= F.lit(SIMILARITY) * F.greatest("size_a", "size_b"))
-    possible = possible.select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), "b", "line_b", "size_b")
-    left = firsts.select("a", "size_a", "line", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).repartition(tasks, "a", "part")
-    both = possible.join(left.select("a", "part", "size_a", shingles(_wide(F.col("line"))).alias("set_a")).hint("merge"), ["a", "part"])
-    shared = F.size(F.array_intersect("set_a", shingles(_wide(F.col("line_b")))))
-    counted = both.select("a", "b", "size_a", "size_b", F.explode(F.array(shared)).alias("shared"))  # a generator: evaluated once, not per use
-    return counted.where(F.col("shared") >= F.lit(SIMILARITY) * (F.col("size_a") + F.col("size_b") - F.col("shared"))).select("a", "b")
-
-
-def _pairs(members: DataFrame, also: str = "true") -> DataFrame:
-    """Candidates a < b among the members of a bucket. members: key, id, sketch and more columns, which come with each side."""
-    left = members.select("key", *[F.col(c).alias(f"{c}_a") for c in members.columns if c != "key"])
-    right = members.select("key", *[F.col(c).alias(f"{c}_b") for c in members.columns if c != "key"])
-    return left.join(right, "key").where("id_a < id_b").where(also).where(_agree("sketch_a", "sketch_b"))
-
-
-def _named(pairs: DataFrame) -> DataFrame:
+    right = pairs.join(parts, "a").join(texts.select(F.col("id").alias("b"), F.col("line").alias("line_b")), "b")
+    right = right.select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), "b", "line_b")
+    left = texts.select(F.col("id").alias("a"), "line").join(parts, "a")
+    left = left.select("a", "line", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).repartition(tasks, "a", "part")
+    both = right.join(left.select("a", "part", _set(F.col("line")).alias("set_a")).hint("merge"), ["a", "part"])
+    sets = both.select("a", "b", "set_a", F.explode(F.array(_set(F.col("line_b")))).alias("set_b"))  # a generator: evaluated once, not per use
+    counted = sets.select("a", "b", (F.size("set_a") + F.size("set_b")).alias("sizes"), F.explode(F.array(F.size(F.array_intersect("set_a", "set_b")))).alias("shared"))
+    return counted.where(F.col("shared") >= F.lit(SIMILARITY) * (F.col("sizes") - F.col("shared"))).select("a", "b")
+
+
+def maps(texts: DataFrame) -> DataFrame:
+    """id, size (different shingles), w0, w1, ...: a map of bits in which each different shingle turned one. texts: id, line, each id once."""
+    hashes = texts.select("id", F.explode(_set(F.col("line"))).alias("h"))
+    word = F.shiftrightunsigned("h", 64 - (MAP_WORDS - 1).bit_length())
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("h").bitwiseAND(F.lit(63).cast("long")).cast("int"))
+    words = [F.bit_xor(F.when(word == i, bit).otherwise(F.lit(0).cast("long"))).alias(f"w{i}") for i in range(MAP_WORDS)]
+    return hashes.groupBy("id").agg(F.count("*").cast("int").alias("size"), *words)
+
+
+def _may_link(a: str, b: str) -> Column:
+    """Whether two lines can be similar enough by their maps and sizes (never false where they are) and agree in enough minima."""
+    apart = reduce(lambda x, y: x + y, [F.bit_count(F.col(f"w{i}{a}").bitwiseXOR(F.col(f"w{i}{b}"))) for i in range(MAP_WORDS)])
+    most = F.lit((1 - SIMILARITY) / (1 + SIMILARITY)) * (F.col(f"size{a}") + F.col(f"size{b}")) + F.lit(1e-6)  # rounding
+    return _agree(f"sketch{a}", f"sketch{b}") & (apart <= most)
+
+
+def _pairs(mixed: DataFrame) -> DataFrame:
+    """Pairs of lines of a bucket that are apart. A bucket's lines are dealt over blocks, and each block meets all of them."""
+    blocks = F.ceil(F.col("n") / F.lit(PER_TASK)).cast("int")
+    left = mixed.withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int")).drop("n")
+    right = mixed.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).drop("n")
+    left, right = [side.select("key", "block", *[F.col(c).alias(c + end) for c in side.columns if c not in ("key", "block")]) for side, end in ((left, "_a"), (right, "_b"))]
+    pairs = left.join(right, ["key", "block"]).where("id_a < id_b AND root_a <> root_b").where(_may_link("_a", "_b"))
     return pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
 
 
-def _texts(rows: DataFrame, pairs: DataFrame, folder: str, name: str) -> DataFrame:
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    if wanted.count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
-    found = rows.join(wanted, "id", "left_semi").dropDuplicates(["id"])
-    return written(found.select("id", "line", F.size(F.array_distinct(shingles(_wide(F.col("line"))))).alias("size")), folder, name)
+def _leads(mixed: DataFrame) -> DataFrame:
+    """Pairs of lines that are apart with some of their bucket's lines."""
+    values = [c for c in mixed.columns if c not in ("key", "n")]
+    lead = mixed.groupBy("key", F.pmod(F.xxhash64("id"), F.lit(LEADS)).alias("class")).agg(F.min_by(F.struct(*values), "id").alias("lead"))
+    lead = lead.select("key", *[F.col("lead").getField(c).alias(f"{c}_lead") for c in values])
+    pairs = mixed.join(lead, "key").where("root <> root_lead").where(_may_link("", "_lead"))
+    return pairs.select(F.least("id", "id_lead").alias("a"), F.greatest("id", "id_lead").alias("b")).distinct()
 
 
-def _leads(mixed: DataFrame) -> DataFrame:
-    """Pairs of lines that are apart with some of their bucket's lines. mixed: key, id, sketch, root."""
-    lead = mixed.groupBy("key", F.pmod(F.xxhash64("id"), F.lit(LEADS)).alias("class")).agg(*[F.min_by(c, "id").alias(f"lead_{c}") for c in ("id", "sketch", "root")])
-    pairs = mixed.join(lead.drop("class"), "key").where("root <> lead_root").where(_agree("sketch", "lead_sketch"))
-    return pairs.select(F.least("id", "lead_id").alias("a"), F.greatest("id", "lead_id").alias("b")).distinct()
+def _found(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """id, line of the wanted ids, each once."""
+    wanted = wanted.distinct()
+    if wanted.count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)
+    return rows.join(wanted, "id", "left_semi").dropDuplicates(["id"])
 
 
 def _mixed(members: DataFrame, roots: DataFrame, more_than: int, folder: str, name: str) -> DataFrame:
-    """key, id, sketch, root of the buckets of more lines than that which hold several components."""
-    large = members.where(F.col("n") > more_than).select("key", "id", "sketch")
-    rooted = written(large.join(roots, large.id == roots.node, "left").select("key", "id", "sketch", F.coalesce("root", "id").alias("root")), folder, name)
+    """key, id, sketch, n, root of the buckets of more lines than that which hold several components."""
+    large = members.where(F.col("n") > more_than).select("key", "id", "sketch", "n")
+    rooted = large.join(roots, large.id == roots.node, "left").select("key", "id", "sketch", "n", F.coalesce("root", "id").alias("root"))
+    rooted = written(rooted, folder, name)
     several = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
     return rooted.join(several, "key", "left_semi")
 
@@ -175,18 +201,20 @@ def line_components(docs: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]
     members = written(keyed.join(sizes, "key").select("key", "id", "sketch", "n", "lead", "lead_sketch"), folder, "members")
     led = members.where("id <> lead").where(_agree("sketch", "lead_sketch")).select(F.col("lead").alias("a"), F.col("id").alias("b"))
     done = written(led.distinct(), folder, "pairs-0")
-    edges = written(verified(done, _texts(rows, done, folder, "texts-0")), folder, "similar-0")
+    texts = written(_found(rows, members.select("id")), folder, "texts")
+    edges = written(verified(done, texts), folder, "similar-0")
     roots = components(edges, f"{folder}/roots-0")
-    for step, least in enumerate((LARGE_BUCKET, SMALL_BUCKET), 1):
-        mixed = _mixed(members, roots, least, folder, f"rooted-{step}")
-        pairs = _leads(mixed) if step == 1 else _named(_pairs(mixed, "root_a <> root_b"))
-        pairs = written(pairs.join(done, ["a", "b"], "left_anti"), folder, f"pairs-{step}")
+    members = written(_mixed(members, roots, SMALL_BUCKET, folder, "rooted-0").drop("root"), folder, "apart")
+    sized = written(maps(texts.join(members.select("id").distinct(), "id", "left_semi")), folder, "maps")
+    for step, least, chosen in ((1, LARGE_BUCKET, _leads), (2, SMALL_BUCKET, _pairs)):
+        mixed = _mixed(members, roots, least, folder, f"rooted-{step}").join(sized, "id")
+        pairs = written(chosen(mixed).join(done, ["a", "b"], "left_anti"), folder, f"pairs-{step}")
         if pairs.isEmpty():
             continue
         done = done.union(pairs)
-        edges = edges.union(written(verified(pairs, _texts(rows, pairs, folder, f"texts-{step}")), folder, f"similar-{step}"))
+        edges = edges.union(written(verified(pairs, texts), folder, f"similar-{step}"))
         roots = components(edges, f"{folder}/roots-{step}")
-    for name in ("members", *[f"{n}-{step}" for step in range(3) for n in ("pairs", "texts", "rooted", "similar")]):
+    for name in ("members", "texts", "apart", "maps", *[f"{n}-{step}" for step in range(3) for n in ("pairs", "rooted", "similar")]):
         drop_folder(docs.sparkSession, f"{folder}/{name}")
     return places, roots
 
