@@ -175,3 +175,8 @@ def test_maps_lose_no_link(spark):
     got = {tuple(r) for r in fuzzy_lines._pairs(mixed).collect()}
     close = {(a, b) for a, b in itertools.combinations(range(len(lines)), 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
     assert len(close) > 50 and close <= got
+
+
+def test_line_is_coded_once(spark):
+    plan = spark.range(1).selectExpr("repeat('abc', 9) AS line").select(fuzzy_lines.shingles(fuzzy_lines._wide(fuzzy_lines.F.col("line"))).alias("h"))
+    assert plan._jdf.queryExecution().analyzed().toString().lower().count("encode(") == 1  # in a lambda it would be made for every shingle

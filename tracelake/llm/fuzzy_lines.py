@@ -84,8 +84,8 @@ def _hash_at(wide: Column, start: Column) -> Column:
 
 
 def shingles(wide: Column) -> Column:
-    """The hashes of the shingles at every place, repeats included."""
-    return F.transform(_starts(wide), lambda start: _hash_at(wide, start))
+    """The hashes of the shingles at every place, repeats included. As an element of an array the code is made once, not once a shingle."""
+    return F.transform(F.array(wide), lambda own: F.transform(_starts(own), lambda start: _hash_at(own, start)))[0]
 
 
 def _set(line: Column) -> Column:
