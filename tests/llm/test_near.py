@@ -52,6 +52,13 @@ def test_simhash(spark, sf):
         assert (int(r.fingerprint, 16), r.component_id) == (prints[r.doc_id], want[r.doc_id])
 
 
+def test_masked_fingerprints_are_not_broadcast(spark, tmp_path):
+    """The estimate leaves out the 31 rows of a fingerprint, so a table somewhat below the threshold would fill the driver."""
+    spark.range(1000).withColumnRenamed("id", "fingerprint").write.parquet(str(tmp_path / "t"))
+    plan = simhash.links(spark.read.parquet(str(tmp_path / "t")))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_large_bucket_in_blocks(spark):
     rng = np.random.default_rng(0)
     prints = set()

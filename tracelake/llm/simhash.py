@@ -146,7 +146,8 @@ def links(distinct: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> Data
     masks = [F.struct(F.lit(i).alias("mask"), F.col("fingerprint").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(covering_masks(radius))]
     keyed = distinct.select("fingerprint", F.explode(F.array(*masks)).alias("k")).select("k.mask", "k.key", "fingerprint")
     sizes = keyed.groupBy("mask", "key").agg(F.count("*").alias("n")).where("n > 1")
-    rows = keyed.join(sizes, ["mask", "key"]).withColumn("parts", F.ceil(F.col("n") / F.lit(block)).cast("int"))
+    # A row makes as many as there are masks, which Spark's estimate of either side leaves out: neither is broadcast.
+    rows = keyed.join(sizes.hint("merge"), ["mask", "key"]).withColumn("parts", F.ceil(F.col("n") / F.lit(block)).cast("int"))
     rows = rows.withColumn("part", F.pmod(F.xxhash64("fingerprint"), F.col("parts")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     rows = rows.select("mask", "key", F.least("part", "other").alias("left"), F.greatest("part", "other").alias("right"), "fingerprint")
