@@ -18,6 +18,7 @@ from tracelake.functions.text import LINE_END, LINE_ENDS, SPACE, col, group, is_
 from tracelake.functions.times import stamp_epoch
 from tracelake.operators.columns import evaluate_once
 from tracelake.session import Scratch
+from tracelake.sources import landing
 from tracelake.sources.chat_events import classify
 
 PREFIX = "aider:"  # fixed value: id prefix of this source kind
@@ -40,14 +41,22 @@ def read_transcripts(
     File names must not start with a dot (Spark skips those); a manifest
     (landed, path) restores the original path.
     """
-    files = (
-        spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
-        .text(folder, wholetext=True)
-        .select(
-            F.col("_metadata.file_path").alias("path"), F.make_valid_utf8("value").alias("text"),
-            F.unix_seconds(F.col("_metadata.file_modification_time")).alias("modified"),
+    found = landing.find(spark, folder)
+    listed = landing.listing(spark, found, pattern) if found else None
+    if listed is not None:
+        files = landing.whole(found, listed).select(
+            "path", F.make_valid_utf8(F.col("content").cast("string")).alias("text"),
+            F.floor(F.col("modified") / 1000).alias("modified"),
+        )
+    else:
+        files = (
+            spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
+            .text(folder, wholetext=True)
+            .select(
+                F.col("_metadata.file_path").alias("path"), F.make_valid_utf8("value").alias("text"),
+                F.unix_seconds(F.col("_metadata.file_modification_time")).alias("modified"),
+            )
         )
-    )
     if manifest is not None:
         files = files.join(manifest.select(F.col("landed").alias("path"), F.col("path").alias("__path")), "path", "left")
         files = files.withColumn("path", F.coalesce("__path", "path")).drop("__path")
@@ -189,13 +198,19 @@ def read_lines(spark: SparkSession, folder: str, pattern: str = "aider*.chat*.md
     A range holds the lines that begin in it. Their numbers come from the sums of
     the ranges before; whether a file's last line is ended, from its size.
     """
-    at = F.col("_metadata")
-    given = (
-        spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).option("lineSep", "\n").text(folder)
-        .select(at["file_path"].alias("path"), at["file_block_start"].alias("range"), at["file_size"].alias("size"), "value",
-                F.monotonically_increasing_id().alias("at"))
-    )
-    # The order within a range is that of the ids its task gave.
+    found = landing.find(spark, folder)
+    listed = landing.listing(spark, found, pattern) if found else None
+    if listed is not None:
+        width = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+        given = landing.lines(found, listed, width).withColumn("value", F.col("value").cast("string"))
+    else:
+        at = F.col("_metadata")
+        given = (
+            spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).option("lineSep", "\n").text(folder)
+            .select(at["file_path"].alias("path"), at["file_block_start"].alias("range"), at["file_size"].alias("size"), "value",
+                    F.monotonically_increasing_id().alias("at"))
+        )
+    # The order within a range is that of the numbers its task gave.
     ranges = sequences.in_slices(given, ["path"], F.col("range"))
     summed = sequences.running(ranges, ["at"], ended=("sum", F.octet_length("value").cast("long") + 1))
     text = F.concat(F.make_valid_utf8("value"), F.when(F.col("ended") <= F.col("size"), F.lit("\n")).otherwise(""))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tracelake.functions.times import epoch_seconds, instant
 from tracelake.operators.sinks import fresh_rows
+from tracelake.sources import landing
 
 
 def cursor(meta: DataFrame, since_days: int | None = None, as_of=None, lateness: int = 0) -> Column:
@@ -93,6 +94,10 @@ def needs_resync(signature: DataFrame, meta: DataFrame, prefix: str) -> DataFram
 
 def file_listing(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     """Path, length and modification time; the file bodies are not read."""
+    found = landing.find(spark, folder)
+    listed = landing.listing(spark, found, pattern) if found else None
+    if listed is not None:
+        return listed.select(landing.path(found).alias("path"), "length", F.timestamp_millis("modified").alias("modificationTime"))
     return (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
         .load(folder).select("path", "length", "modificationTime")
