@@ -9,11 +9,16 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tracelake.shipping import ship
 
+# Fixed by Spark: whether a query's shuffle files are removed at its end.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def local_session(cores: int | str = "*", name: str = "tracelake", shuffle_partitions: int = 8) -> SparkSession:
     spark = (
@@ -34,6 +39,17 @@ def local_session(cores: int | str = "*", name: str = "tracelake", shuffle_parti
     return spark
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Within, the shuffle files of a query go as it ends; else they stay on disk until the driver happens to collect its garbage."""
+    kept = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if kept is None else spark.conf.set(CLEANUP, kept)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names for intermediate tables. A local session without one gets a temporary folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

@@ -18,8 +18,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tracelake.operators.ranking import pick_last
 from tracelake.operators.sinks import read_batches, write_batch
-from tracelake.session import Scratch
-from tracelake.sources import markdown_chat as chat
+from tracelake.session import Scratch, shuffles_dropped
+from tracelake.sources import landing, markdown_chat as chat
 from tracelake.streaming.incremental import above_high_water, directory_signature, file_listing
 
 CHUNKS = """
@@ -37,6 +37,9 @@ LISTERS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 FILES_PER_LISTER = 100
 LISTING = "path string, length long, modificationTime timestamp"
 PATTERN = "aider*.chat*.md"
+#: Bytes and number of the transcripts of a micro-batch of `refresh`: a batch costs some twenty jobs however few files it has, and their
+#: paths go through the driver.
+BATCH_BYTES, LISTED_PER_BATCH = 64 << 20, 100_000
 Rename = Callable[[Column], Column]
 
 
@@ -108,24 +111,30 @@ def _signature(files: DataFrame) -> tuple:
     return (*directory_signature(files).first(), files.agg(F.max(F.unix_micros("modificationTime"))).first()[0])
 
 
-def snapshot(spark: SparkSession, folder: str, listings: str, pattern: str = PATTERN, files_per_batch: int = 1000) -> bool:
+def snapshot(spark: SparkSession, folder: str, listings: str, pattern: str = PATTERN, files_per_batch: int | None = None) -> bool:
     """Write the listing of the folder as the next snapshot, unless its signature is that of the last one. File bodies are not read.
 
-    A snapshot's files hold at most `files_per_batch` rows each, which bounds a micro-batch of the stream over them.
+    A snapshot's files bound a micro-batch of the stream over them: each holds the rows of about BATCH_BYTES of transcripts, and of at
+    most `files_per_batch`, or else LISTED_PER_BATCH, files.
     """
+    most = files_per_batch or LISTED_PER_BATCH
     earlier = _listed(spark, listings)
     last = earlier.agg(F.max("number")).first()[0]
     now = file_listing(spark, folder, pattern)
     if last is not None and _signature(now) == _signature(earlier.filter(F.col("number") == last)):
         return False
     number = 0 if last is None else last + 1
-    rows = now.withColumn("number", F.lit(number).cast("long")).repartition(-(-now.count() // files_per_batch) or 1)
-    rows.write.mode("overwrite").option("maxRecordsPerFile", files_per_batch).parquet(f"{listings}/batch={number}")
+    size, count = directory_signature(now).first()
+    tasks = max(1, -(-count // most), -(-size // BATCH_BYTES))
+    rows = now.withColumn("number", F.lit(number).cast("long")).repartition(tasks)
+    rows.write.mode("overwrite").option("maxRecordsPerFile", most).parquet(f"{listings}/batch={number}")
     return True
 
 
 def read_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     """path, text, modified of the named files; those that have gone meanwhile are left out."""
+    if found := landing.named(spark, paths):
+        return _texts(landing.whole(*found, plain=True, missing=True).withColumn("modificationTime", F.timestamp_millis("modified")))
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     there = [p for p in map(jvm.org.apache.hadoop.fs.Path, paths) if p.getFileSystem(conf).exists(p)]
     if not there:
@@ -146,9 +155,10 @@ def start_grown(spark: SparkSession, listings: str, table: str, checkpoint: str,
     rows = spark.readStream.schema(LISTING).option("maxFilesPerTrigger", 1).parquet(f"{listings}/*")
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        paths = [r["path"] for r in df.select("path").distinct().collect()]  # at most files_per_batch
+        paths = [r["path"] for r in df.select("path").distinct().collect()]  # those of one file of a snapshot
         if paths:
-            ingest_files(spark, read_files(spark, paths), table, batch_id, rename)
+            with shuffles_dropped(spark):
+                ingest_files(spark, read_files(spark, paths), table, batch_id, rename)
 
     return (
         rows.dropDuplicates(["path", "length", "modificationTime"]).writeStream.foreachBatch(batch)
@@ -157,7 +167,7 @@ def start_grown(spark: SparkSession, listings: str, table: str, checkpoint: str,
 
 
 def refresh(
-    spark: SparkSession, folder: str, base: str, pattern: str = PATTERN, files_per_batch: int = 1000, rename: Rename | None = None, dry_run: bool = False,
+    spark: SparkSession, folder: str, base: str, pattern: str = PATTERN, files_per_batch: int | None = None, rename: Rename | None = None, dry_run: bool = False,
 ) -> bool:
     """Bring the table below `base` up to date with a folder of growing transcripts; returns whether the folder had changed.
 
