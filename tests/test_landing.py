@@ -1,5 +1,6 @@
 """Files of a landing folder are listed and read by the tasks, as Spark's own sources would."""
 
+from tracelake.harness import events
 from tracelake.session import CLEANUP
 from tracelake.sources import landing, markdown_chat as chat
 from tracelake.streaming import arrivals, incremental
@@ -57,3 +58,16 @@ def test_shuffle_files_go_with_the_batch(spark, tmp_path, monkeypatch):
     before = spark.conf.get(CLEANUP)
     assert arrivals.refresh(spark, str(tmp_path), str(tmp_path / "base"))
     assert seen == ["true"] and spark.conf.get(CLEANUP) == before
+
+
+def test_shuffle_files_go_once_a_table_is_stored(spark, tmp_path):
+    """What the report shuffles must not lie beside what its table was made from."""
+    seen = []
+
+    def make():
+        seen.append(spark.conf.get(CLEANUP))
+        return spark.range(3)
+
+    before = spark.conf.get(CLEANUP)
+    assert events.stored(f"t-{tmp_path.name}", spark, str(tmp_path), make).count() == 3
+    assert seen == ["true"] and spark.conf.get(CLEANUP) == before

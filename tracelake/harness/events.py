@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tracelake.functions.times import epoch_seconds
 from tracelake.operators.sequences import gap_sessions
-from tracelake.session import shared_folder
+from tracelake.session import shared_folder, shuffles_dropped
 
 AS_OF = "2024-01-31 00:00:00"
 LARGE = 10
@@ -35,7 +35,8 @@ def stored(name: str, spark: SparkSession, sf: str, make) -> DataFrame:
     key = (name, spark.sparkContext.applicationId, sf)
     if key not in _KEPT:
         path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{md5(sf.encode()).hexdigest()[:8]}"
-        make().write.mode("overwrite").parquet(path)
+        with shuffles_dropped(spark):
+            make().write.mode("overwrite").parquet(path)
         _KEPT[key] = spark.read.parquet(path)
     return _KEPT[key]
 
